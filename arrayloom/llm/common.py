@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +51,26 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
+
+
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+
+
+def with_computed(df: DataFrame, column: str, make: Callable[[], Callable[[list], dict[str, list]]], fields: dict[str, str], keep: bool = False) -> DataFrame:
+    """df with fields computed in Python from the values of one column; keep: whether that column stays.
+
+    make runs once for a task and returns a function from a batch's values to lists by field. Other columns pass
+    through as Arrow, untouched."""
+    small_batches(df.sparkSession)
+    others = [c for c in df.columns if keep or c != column]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for b in batches:
+            new = compute(b.column(b.schema.get_field_index(column)).to_pylist())
+            arrays = [b.column(b.schema.get_field_index(c)) for c in others]
+            arrays += [pa.array(new[f], _ARROW[t]) for f, t in fields.items()]
+            yield pa.RecordBatch.from_arrays(arrays, [*others, *fields])
+
+    types = dict(df.dtypes) | fields
+    return df.mapInArrow(rows, ", ".join(f"`{c}` {types[c]}" for c in (*others, *fields)))

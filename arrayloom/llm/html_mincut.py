@@ -15,13 +15,11 @@ from __future__ import annotations
 import html
 import re
 from collections import deque
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import small_batches
+from .common import with_computed
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|head|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?/][^>]*>|[^<]+|<", re.S | re.I)
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -172,13 +170,9 @@ def main_text(page: str | None) -> str:
 
 def extract_pages(pages: DataFrame, column: str = "html", key: str = "page_id", url: str = "url") -> DataFrame:
     """Per input row: page_id, url, text (main text), n_chars (its code points)."""
-    small_batches(pages.sparkSession)
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
-            texts = [main_text(p) for p in x["html"]]
-            yield pd.DataFrame({"page_id": x["page_id"], "url": x["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+    def make():
+        return lambda pages: {"text": t, "n_chars": [*map(len, t)]} if (t := [main_text(p) for p in pages]) else {"text": [], "n_chars": []}
 
-    types = dict(pages.dtypes)
     slim = pages.selectExpr(f"`{key}` AS page_id", f"`{url}` AS url", f"`{column}` AS html")
-    return slim.mapInPandas(rows, f"page_id {types[key]}, url {types[url]}, text string, n_chars long")
+    return with_computed(slim, "html", make, {"text": "string", "n_chars": "long"})

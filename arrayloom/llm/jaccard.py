@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, small_or_shuffled, written
+from .common import small_batches, small_or_shuffled, with_computed, written
 
 #: An element in the prefixes of more texts than this counts as frequent, up to so many elements, most frequent first.
 FREQUENT_FROM, FREQUENT_MOST = 16, 1 << 20
@@ -136,18 +136,20 @@ def signatures(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Per row: rid, doc_id, n (set size), cls (128 bits that name the set; null if empty), prefix under order 1."""
     often = docs.sparkSession.sparkContext.broadcast(frequent(docs, words, num, den))
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         top = often.value
-        for x in batches:
-            sets = shingle_sets(list(x["text"]), words)
+
+        def compute(texts: list) -> dict[str, list]:
+            sets = shingle_sets(texts, words)
             every = np.concatenate([*sets, np.zeros(0, np.uint64)])
             mask = top[np.minimum(np.searchsorted(top, every), len(top) - 1)] == every if len(top) else np.zeros(len(every), bool)
-            cut = np.cumsum([len(s) for s in sets])[:-1]
-            prefix = [first_order(s, m, prefix_size(len(s), num, den)).view(np.int64) for s, m in zip(sets, np.split(mask, cut), strict=True)]
-            yield pd.DataFrame({"doc_id": x["doc_id"], "n": [len(s) for s in sets], "cls": [set_name(s) for s in sets], "prefix": prefix})
+            cut = np.cumsum([len(s) for s in sets], dtype=np.int64)[:-1]
+            prefix = [first_order(s, m, prefix_size(len(s), num, den)).view(np.int64) for s, m in zip(sets, np.split(mask, cut), strict=True)] if sets else []
+            return {"n": [len(s) for s in sets], "cls": [set_name(s) for s in sets], "prefix": prefix}
+
+        return compute
 
-    kind = dict(docs.dtypes)["doc_id"]
-    out = docs.mapInPandas(rows, f"doc_id {kind}, n long, cls binary, prefix array<long>")
+    out = with_computed(docs, "text", make, {"n": "long", "cls": "binary", "prefix": "array<long>"})
     return written(out.withColumn("rid", F.monotonically_increasing_id()), "signatures")
 
 
@@ -164,12 +166,14 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, n_nodes: int, words: int) ->
     """(node, n, elements) for the classes in nodes(node, cls, doc_id), from their texts."""
     kept = docs.join(small_or_shuffled(nodes.select(F.col("doc_id").alias("_id")), n_nodes), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
-            sets = shingle_sets(list(x["text"]), words)
-            yield pd.DataFrame({"cls": [set_name(s) for s in sets], "n": [len(s) for s in sets], "elements": [s.tobytes() for s in sets]})
+    def make():
+        def compute(texts: list) -> dict[str, list]:
+            sets = shingle_sets(texts, words)
+            return {"cls": [set_name(s) for s in sets], "n": [len(s) for s in sets], "elements": [s.tobytes() for s in sets]}
+
+        return compute
 
-    got = kept.select("text").mapInPandas(rows, "cls binary, n long, elements binary")
+    got = with_computed(kept.select("text"), "text", make, {"cls": "binary", "n": "long", "elements": "binary"})
     got = got.join(small_or_shuffled(nodes.select("node", "cls"), n_nodes), "cls").drop("cls")
     out = written(got, "sets")
     return out if out.count() == n_nodes else written(out.dropDuplicates(["node"]), "sets")

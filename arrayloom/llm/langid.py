@@ -15,15 +15,13 @@ rows are predicted separately; an empty table gives an empty result; with no lab
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import with_computed
 
 #: Bound of the training sample: labelled rows, one window each.
 SAMPLE_ROWS = 6000
@@ -216,13 +214,8 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 
 def label_languages(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """docs with lang_pred and score; a text's own label, source and id are not inputs. Other columns pass through."""
-    small_batches(docs.sparkSession)
-    docs = docs.drop("lang_pred", "score")
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
-            langs, scores = predict(model, list(x[text]))
-            yield x.assign(lang_pred=langs, score=scores)
+    def make():
+        return lambda texts: dict(zip(("lang_pred", "score"), predict(model, texts), strict=True))
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInPandas(rows, f"{fields}, lang_pred string, score double")
+    return with_computed(docs.drop("lang_pred", "score"), text, make, {"lang_pred": "string", "score": "double"}, keep=True)

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import small_batches
+from .common import small_batches, with_computed
 
 # Element ids of the format.
 EBML, SEGMENT, INFO, TRACKS, TRACK, CUES, CLUSTER = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x1654AE6B, 0xAE, 0x1C53BB6B, 0x1F43B675
@@ -172,14 +172,11 @@ def payload_of(text: str | None) -> tuple[bytes, int]:
 
 def media_column(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, n_bytes, media: each text stored as a Matroska file."""
-    small_batches(docs.sparkSession)
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
-            made = [payload_of(t) for t in x["text"]]
-            yield pd.DataFrame({"doc_id": x["doc_id"], "n_bytes": [n for _, n in made], "media": [mux(p) for p, _ in made]})
+    def make():
+        return lambda texts: {"n_bytes": [n for _, n in p], "media": [mux(x) for x, _ in p]} if (p := [*map(payload_of, texts)]) else {"n_bytes": [], "media": []}
 
-    return docs.selectExpr(f"`{key}` AS doc_id", f"`{text}` AS text").mapInPandas(rows, f"doc_id {dict(docs.dtypes)[key]}, n_bytes long, media binary")
+    return with_computed(docs.selectExpr(f"`{key}` AS doc_id", f"`{text}` AS text"), "text", make, {"n_bytes": "long", "media": "binary"})
 
 
 def packet_table(media: DataFrame, column: str = "media", key: str = "doc_id") -> DataFrame:
@@ -203,8 +200,6 @@ def packet_table(media: DataFrame, column: str = "media", key: str = "doc_id") -
 def media_features(media: DataFrame, column: str = "media", key: str = "doc_id") -> DataFrame:
     """Per file: doc_id, n_bytes, payload (bytes of all packets read back): size, SHA-256, CRC-32 of the last UNIT; the
     file's size and SHA-256; feature (packets, clusters, cued clusters, tracks, last timestamp, lacing kinds, mean sample)."""
-    small_batches(media.sparkSession)
-
     def row(data: bytes) -> tuple:
         got = packets(data)
         payload = b"".join([data[p[5] : p[6]] for p in got])
@@ -213,13 +208,10 @@ def media_features(media: DataFrame, column: str = "media", key: str = "doc_id")
         feature = f"packets={len(got)};clusters={len({p[1] for p in got})};cued={cued};tracks={len({p[0] for p in got})};last_ms={got[-1][2] if got else 0};lacing={kinds};mean={sum(payload) / max(1, len(payload)):.4f}"
         return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(data), hashlib.sha256(data).hexdigest(), feature
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-        for x in batches:
-            out = pd.DataFrame([row(bytes(m)) for m in x["media"]], columns=names)
-            out.insert(0, "n_bytes", x["n_bytes"])
-            out.insert(0, "doc_id", x["doc_id"])
-            yield out
+    fields = {"payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string"}
+
+    def make():
+        return lambda cells: {f: [r[i] for r in rows] for rows in [[row(m) for m in cells]] for i, f in enumerate(fields)}
 
     slim = media.selectExpr(f"`{key}` AS doc_id", "n_bytes", f"`{column}` AS media").where("media IS NOT NULL")
-    return slim.mapInPandas(rows, f"doc_id {dict(media.dtypes)[key]}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return with_computed(slim, "media", make, fields)

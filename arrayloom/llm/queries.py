@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, html_mincut, jaccard, langid, licenses, matroska, mixing, secret_scan, sharding
+from . import dedup, html_mincut, jaccard, langid, licenses, matroska, mixing, packing, secret_scan, sharding
 from .common import documents
 
 
@@ -34,6 +34,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir)).drop("rid")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(documents(spark, sf_dir))
 
@@ -54,5 +58,5 @@ OP10_SQL = """SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS g
 doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_matroska, op3_language_id, op4_html_extraction, op5_mixing, op7_license_scan, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_matroska, op3_language_id, op4_html_extraction, op5_mixing, op6_packing, op7_license_scan, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup)}
 ORACLE_SQL = {"op7_license_scan": licenses.license_sql(), "op10_exact_dedup": OP10_SQL}

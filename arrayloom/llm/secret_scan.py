@@ -15,13 +15,11 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import small_batches
+from .common import with_computed
 
 # Keywords, patterns and least lengths of the kinds.
 KINDS = ("assign", "access", "hex", "checked")
@@ -93,16 +91,10 @@ def _row(text: str | None, words: ahocorasick.Automaton) -> tuple:
 
 def secret_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_checked (tokens whose checksum holds)."""
-    small_batches(docs.sparkSession)
-    kind = dict(docs.dtypes)[key]
+    fields = {"n_assign": "long", "n_access": "long", "n_hex": "long", "base_sha256": "string", "spans": "string", "n_checked": "long"}
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         words = automaton()
-        for x in batches:
-            found = [_row(t, words) for t in x["text"]]
-            out = pd.DataFrame(found, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_checked"])
-            out.insert(0, "doc_id", x["doc_id"])
-            yield out
-
-    slim = docs.selectExpr(f"`{key}` AS doc_id", f"`{text}` AS text")
-    return slim.mapInPandas(rows, f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_checked long")
+        return lambda texts: {f: [r[i] for r in rows] for rows in [[_row(t, words) for t in texts]] for i, f in enumerate(fields)}
+
+    return with_computed(docs.selectExpr(f"`{key}` AS doc_id", f"`{text}` AS text"), "text", make, fields)
