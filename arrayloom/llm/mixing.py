@@ -96,7 +96,8 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     place = F.xxhash64(F.lit("place"), "src", "slot")
     drawn = drawn.select("src", "n_blocks", place.alias("place"), F.pmod(F.xxhash64(F.lit("shard"), "src", "slot"), F.lit(n_shards)).alias("shard"), F.floor(F.col("slot") / F.col("n_blocks")).alias("epoch"), (F.col("slot") % F.col("n_blocks")).alias("idx"))
     drawn = drawn.withColumn("idx", shuffled_index(F.col("idx"), F.col("n_blocks"), F.col("src"), F.col("epoch"))).drop("n_blocks")
-    return rows, parts.join(drawn, ["src", "idx"]).drop("src")
+    # both sides come out of explodes, whose size Spark can't foresee: never broadcast them
+    return rows, parts.join(drawn.hint("merge"), ["src", "idx"]).drop("src")
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
