@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,7 +49,11 @@ def utf8(text: Column) -> Column:
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of very long texts still fits a Python worker."""
+    """Bound the rows of an Arrow batch, so that a batch of very long texts still fits a Python worker; and let workers
+    find this package where the driver found it."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))

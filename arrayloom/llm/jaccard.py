@@ -26,17 +26,20 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, small_or_shuffled, with_computed, written
+from .common import BROADCAST_ROWS, small_batches, small_or_shuffled, with_computed, written
 
 #: An element in the prefixes of more texts than this counts as frequent, up to so many elements, most frequent first.
 FREQUENT_FROM, FREQUENT_MOST = 16, 1 << 20
 #: Elements of the sets verified against one pivot in one group.
 GROUP_ELEMENTS = 1 << 20
-#: Rounds of pivots at most before what remains is paired completely.
-PIVOT_ROUNDS = 6
+#: Prefix lengths over which elements are counted: when frequent elements go last, later ones take their places.
+FREQUENT_DEPTH = 2
+#: What remains is paired completely after so many rounds of pivots, or once lists hold so many open pairs per set.
+PIVOT_ROUNDS, OPEN_PAIRS = 5, 100
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
 _WORD_BYTE = np.ones(256, bool)
 _WORD_BYTE[[9, 10, 11, 12, 13, 32]] = False
@@ -124,7 +127,7 @@ def frequent(docs: DataFrame, words: int, num: int, den: int) -> np.ndarray:
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            got = [s[: prefix_size(len(s), num, den)] for s in shingle_sets(list(x["text"]), words)]
+            got = [s[: FREQUENT_DEPTH * prefix_size(len(s), num, den)] for s in shingle_sets(list(x["text"]), words)]
             yield pd.DataFrame({"tok": np.concatenate([*got, np.zeros(0, np.uint64)]).view(np.int64)})
 
     counts = docs.select("text").mapInPandas(tokens, "tok long").groupBy("tok").count()
@@ -162,44 +165,33 @@ def set_name(s: np.ndarray) -> bytes | None:
     return int(a).to_bytes(8, "big") + int(b).to_bytes(8, "big")
 
 
-def _whole_sets(docs: DataFrame, nodes: DataFrame, n_nodes: int, words: int) -> DataFrame:
-    """(node, n, elements) for the classes in nodes(node, cls, doc_id), from their texts."""
-    kept = docs.join(small_or_shuffled(nodes.select(F.col("doc_id").alias("_id")), n_nodes), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b, n: elements of b) that are links. Texts of b go to groups of their a, with a's; large groups are
+    split and a stands in each part. nodes: (node, cls, doc_id) of every class."""
+    load = written(pairs.groupBy("a").agg(F.ceil(F.sum("n") / GROUP_ELEMENTS).cast("int").alias("parts")), "loads")
+    tails = pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("node"))
+    heads = load.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("node"))
+    roles = written(tails.unionByName(heads).join(nodes, "node").withColumnRenamed("doc_id", "_id"), "roles")
+    given = docs.join(small_or_shuffled(roles, roles.count(), BROADCAST_ROWS // 4), F.col("doc_id").eqNullSafe(F.col("_id")))
 
-    def make():
-        def compute(texts: list) -> dict[str, list]:
-            sets = shingle_sets(texts, words)
-            return {"cls": [set_name(s) for s in sets], "n": [len(s) for s in sets], "elements": [s.tobytes() for s in sets]}
-
-        return compute
-
-    got = with_computed(kept.select("text"), "text", make, {"cls": "binary", "n": "long", "elements": "binary"})
-    got = got.join(small_or_shuffled(nodes.select("node", "cls"), n_nodes), "cls").drop("cls")
-    out = written(got, "sets")
-    return out if out.count() == n_nodes else written(out.dropDuplicates(["node"]), "sets")
-
-
-def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that are links. b's sets go to groups of their a; large groups are split, a's set in each."""
-    n_pairs = pairs.count()
-    sized = sets.select(F.col("node").alias("b"), F.col("n").alias("_n"))
-    weigh = small_or_shuffled(pairs, n_pairs)
-    load = sized.join(weigh, "b").groupBy("a").agg(F.ceil(F.sum("_n") / GROUP_ELEMENTS).cast("int").alias("parts"))
-    load = written(load, "loads")
-    split = written(pairs.join(load, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).select("a", "b", "part"), "split")
-    heads = load.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    tails = sets.withColumnRenamed("node", "b").join(small_or_shuffled(split, n_pairs), "b")
-    heads = sets.withColumnRenamed("node", "a").join(small_or_shuffled(heads, n_pairs), "a").withColumn("b", F.col("a"))
-    cols = ["a", "part", "b", "elements"]
-
-    def group(x: pd.DataFrame) -> pd.DataFrame:
-        a = x["a"].iloc[0]
-        of = {b: np.frombuffer(e, np.uint64) for b, e in zip(x["b"], x["elements"], strict=True)}
-        head = of.pop(a)
-        hit = [b for b, s in of.items() if linked(head, s, num, den)]
-        return pd.DataFrame({"a": np.full(len(hit), a, np.int64), "b": np.array(hit, np.int64)})
-
-    return heads.select(cols).unionByName(tails.select(cols)).groupBy("a", "part").applyInPandas(group, "a long, b long")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, head, seen = None, None, set()
+        for x in batches:
+            a, part, node, cls, text = (x.column(c).to_pylist() for c in ("a", "part", "node", "cls", "text"))
+            hit = []
+            for i, s in enumerate(shingle_sets(text, words)):
+                if set_name(s) != cls[i]:
+                    continue  # another row with the same doc_id
+                if (a[i], part[i]) != at:
+                    at, head, seen = (a[i], part[i]), s, {a[i]}  # a stands first
+                elif node[i] not in seen:
+                    seen.add(node[i])
+                    if linked(head, s, num, den):
+                        hit.append((a[i], node[i]))
+            yield pa.RecordBatch.from_arrays([pa.array([h[k] for h in hit], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    grouped = given.select("a", "part", "node", "cls", "text").repartition("a", "part").sortWithinPartitions("a", "part", F.col("node") != F.col("a"))
+    return grouped.mapInArrow(compare, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -242,40 +234,36 @@ def similarity_components(docs: DataFrame, words: int = 5, num: int = 80, den: i
     postings = heads.select(F.col("rid").alias("node"), "n", F.explode("prefix").alias("tok"))
     lists = postings.groupBy("tok").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("tok")
     shared = written(postings.join(lists, "tok"), "shared")
-    nodes = written(classes.join(shared.select("node").distinct(), "node", "left_semi"), "nodes")
-    n_nodes = nodes.count()
-    labels = None
-    if n_nodes:
-        sets = _whole_sets(docs, nodes, n_nodes, words)
-        tried = None
-        fits = lambda a, b: den * F.least(a, b) >= num * F.greatest(a, b)
-        for turn in range(PIVOT_ROUNDS + 1):
-            mine = shared.withColumn("comp", F.col("node"))
-            if labels is not None:
-                mine = shared.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            live = mine.groupBy("tok").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "comp")).alias("pivot"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi")
-            mine = written(mine.join(live.select("tok", "pivot", "m"), "tok"), "open")
-            # pairs of different components that lists still hold, counting a pair once for every list
-            per = mine.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("k"), F.first("m").alias("m"))
-            left = per.agg(F.sum(F.col("k") * (F.col("m") - F.col("k")))).first()[0] or 0
-            last = turn == PIVOT_ROUNDS or (turn > 0 and left <= 20 * n_nodes)
-            if last:
-                other = mine.select("tok", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-                pairs = mine.join(other, "tok").where((F.col("node") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & fits(F.col("n"), F.col("n_b")))
-                pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
-            else:
-                pairs = mine.where((F.col("comp") != F.col("pivot.comp")) & fits(F.col("n"), F.col("pivot.n")))
-                pairs = pairs.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct()
-            same = F.struct(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-            pairs = pairs.withColumn("key", same)
-            if tried is not None:
-                pairs = pairs.join(tried, "key", "left_anti")
-            pairs = written(pairs, "pairs")
-            tried = pairs.select("key") if tried is None else tried.unionByName(pairs.select("key"))
-            links = written(verify(pairs.select("a", "b"), sets, num, den), "links")
-            labels = _relabelled(labels, links)
-            if last:
-                break
+    n_nodes = shared.select("node").distinct().count()
+    labels = tried = None
+    fits = lambda a, b: den * F.least(a, b) >= num * F.greatest(a, b)
+    last = not n_nodes
+    turn = 0
+    while not last:
+        mine = shared.withColumn("comp", F.col("node"))
+        if labels is not None:
+            mine = shared.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        live = mine.groupBy("tok").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "comp")).alias("pivot"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi")
+        mine = written(mine.join(live.select("tok", "pivot", "m"), "tok"), "open")
+        # pairs of different components that lists still hold; a pair counts once for every list and way round
+        per = mine.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("k"), F.first("m").alias("m"))
+        left = per.agg(F.sum(F.col("k") * (F.col("m") - F.col("k")))).first()[0] or 0
+        last = turn == PIVOT_ROUNDS or left <= 2 * OPEN_PAIRS * n_nodes and turn > 0
+        if last:
+            other = mine.select("tok", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
+            pairs = mine.join(other, "tok").where((F.col("node") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & fits(F.col("n"), F.col("n_b")))
+            pairs = pairs.select(F.col("node").alias("a"), "b", F.col("n_b").alias("n")).distinct()
+        else:
+            pairs = mine.where((F.col("comp") != F.col("pivot.comp")) & fits(F.col("n"), F.col("pivot.n")))
+            pairs = pairs.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"), "n").distinct()
+        pairs = pairs.withColumn("key", F.struct(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")))
+        if tried is not None:
+            pairs = pairs.join(tried, "key", "left_anti")
+        pairs = written(pairs, "pairs")
+        tried = pairs.select("key") if tried is None else tried.unionByName(pairs.select("key"))
+        links = written(verify(pairs.select("a", "b", "n"), docs, classes, words, num, den), "links")
+        labels = _relabelled(labels, links)
+        turn += 1
     rows = sigs.select("rid", "doc_id", "n", "cls").join(classes.select("cls", "node"), "cls", "left")
     if labels is not None:
         rows = rows.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

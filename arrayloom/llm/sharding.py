@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import utf8, written
+from .common import small_batches, utf8, written
 
 #: Parts into which the keys of one arc are split by a second hash, so that ranks are computed in small groups.
 SEGMENTS_PER_ARC = 8
@@ -81,6 +81,7 @@ def quotas(counts: np.ndarray, owners: np.ndarray, room: np.ndarray) -> list[tup
 def shard_rows(docs: DataFrame, n_shards: int = 16, nodes: int = 64, load_factor: float = 1.0, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per input row: doc_id, size (UTF-8 bytes plus 1), text_crc32, shard, slot (gapless in a shard)."""
     spark = docs.sparkSession
+    small_batches(spark, 10000)
 
     @F.pandas_udf("int")
     def arc(pos: pd.Series) -> pd.Series:
