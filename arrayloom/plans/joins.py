@@ -1 +1,87 @@
+"""Queries of joins, set operations, sorts, distances and clusters (J, U, T, D)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from arrayloom.functions import seqfn
+from arrayloom.operators import gaps, intervals, similarity
+
+from .scalars import CANON, ROT
+from .tables import ARRAYS, BEDS, FEATURES, SAT, SEQS, arrays, beds, features, sat, seqs, table
+
 QUERIES, ORACLE_SQL = {}, {}
+
+
+def over(name: str, rows, sql: str | None) -> None:
+    QUERIES[name] = rows
+    if sql:
+        ORACLE_SQL[name] = sql
+
+
+LABEL = """CASE WHEN l_ind = b0 AND r_ind = b1 THEN 'TR equal ' || type WHEN l_ind >= b0 AND r_ind <= b1 THEN 'TR in ' || type WHEN b0 >= l_ind AND b1 <= r_ind THEN type || ' in TR'
+WHEN r_ind > b0 AND r_ind <= b1 AND l_ind < b0 THEN 'TR overlap left ' || type WHEN l_ind < b1 AND l_ind >= b0 AND r_ind > b1 THEN 'TR overlap right ' || type ELSE 'No overlap' END"""
+HITS = f"""f AS (SELECT DISTINCT seqid, type, "start" - 1 AS b0, "end" AS b1 FROM features), hits AS (SELECT trf_id, seqid, l_ind, r_ind, b0, b1, type, {LABEL} AS label FROM arrays JOIN f USING (seqid) WHERE l_ind < b1 AND b0 < r_ind)"""
+over("j01_p27_interval_overlap", lambda spark, sf: intervals.annotate(arrays(spark, sf), features(spark, sf)).select("trf_id", "seqid", "l_ind", "r_ind", "b0", "b1", "type", "label"), f"WITH {ARRAYS}, {FEATURES}, {HITS} SELECT * FROM hits")
+over("p28_p29_overlap_lengths", lambda spark, sf: intervals.annotate(arrays(spark, sf), features(spark, sf)).select("trf_id", "b0", "b1", "type", seqfn.overlap_length(F.col("l_ind"), F.col("r_ind"), F.col("b0"), F.col("b1")).alias("bp")), f"WITH {ARRAYS}, {FEATURES}, {HITS} SELECT trf_id, b0, b1, type, least(r_ind, b1) - greatest(l_ind, b0) AS bp FROM hits")
+over("j02_j03_f12_annotation", lambda spark, sf: intervals.annotation_labels(arrays(spark, sf), features(spark, sf)).select("trf_id", "seqid", "l_ind", "r_ind", "trf_ref_annotation"),
+     f"""WITH {ARRAYS}, {FEATURES}, {HITS}, m AS (SELECT *, bool_or(type = 'CDS') OVER (PARTITION BY trf_id, seqid, l_ind, r_ind) AS cds FROM hits), k AS (SELECT DISTINCT trf_id, l_ind, r_ind, b0, b1, type, label FROM m WHERE type <> 'region' AND NOT (cds AND type IN ('gene', 'mRNA', 'exon'))),
+l AS (SELECT trf_id, l_ind, r_ind, string_agg(label, '|' ORDER BY label DESC) AS s FROM k GROUP BY 1, 2, 3) SELECT a.trf_id, a.seqid, a.l_ind, a.r_ind, coalesce(s, 'No annotation') AS trf_ref_annotation FROM arrays a LEFT JOIN l USING (trf_id, l_ind, r_ind)""")
+def gap_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return features(spark, sf).where("type = 'region'").select("seqid", "start", "end")
+
+
+GAPS = """gaps AS (SELECT seqid, "start", "end" FROM features WHERE type = 'region'), near AS (SELECT trf_id, seqid, l_ind, r_ind, min("start") AS g0, max("end") AS g1 FROM arrays JOIN gaps USING (seqid) WHERE greatest(l_ind - 10000, 0) < "end" AND "start" < r_ind + 10000 GROUP BY ALL)"""
+over("j04_gap_proximity", lambda spark, sf: intervals.gap_neighbours(arrays(spark, sf), gap_rows(spark, sf)), f"""WITH {ARRAYS}, {FEATURES}, {GAPS} SELECT trf_id, seqid, least(l_ind, g0) AS "start", greatest(r_ind, g1) AS "end", CASE WHEN l_ind < g0 AND r_ind < g1 THEN 'aN' WHEN l_ind < g0 AND r_ind > g1 THEN 'aNa' WHEN g0 < l_ind THEN 'Na' ELSE 'unknown' END AS gap_type, greatest(r_ind, g1) - least(l_ind, g0) AS span FROM near""")
+over("j05_without_gaps", lambda spark, sf: intervals.without_gaps(arrays(spark, sf), gap_rows(spark, sf)), f"WITH {ARRAYS}, {FEATURES}, {GAPS} SELECT trf_id, seqid, l_ind, r_ind FROM arrays WHERE seqid IN (SELECT seqid FROM gaps) AND trf_id NOT IN (SELECT trf_id FROM near)")
+over("j06_extract", lambda spark, sf: sat(spark, sf), f"WITH {SAT} SELECT * FROM sat")
+over("j07_missing_sequences", lambda spark, sf: seqs(spark, sf).where(F.length("seq") >= 200).select("seqid").join(sat(spark, sf).select(F.col("trf_head").alias("seqid")).distinct(), "seqid", "left_anti"), f"WITH {SAT} SELECT seqid FROM seqs WHERE length(seq) >= 200 AND seqid NOT IN (SELECT trf_head FROM sat)")
+over("j08_a21_low_counts", lambda spark, sf: seqs(spark, sf).select("seqid", F.length("seq").cast("bigint").alias("length")).join(sat(spark, sf).groupBy(F.col("trf_head").alias("seqid")).agg(F.count(F.lit(1)).alias("n")), "seqid", "left").select("seqid", "length", F.coalesce("n", F.lit(0)).alias("n")).where("n < 20"), f"WITH {SAT}, c AS (SELECT trf_head AS seqid, count(*) AS n FROM sat GROUP BY 1) SELECT s.seqid, length(seq) AS length, coalesce(n, 0) AS n FROM seqs s LEFT JOIN c USING (seqid) WHERE coalesce(n, 0) < 20")
+over("j09_j12_subset_by_names", lambda spark, sf: seqs(spark, sf).join(beds(spark, sf).where("period = 7").select("seqid").distinct(), "seqid", "left_semi"), f"WITH {SEQS}, {BEDS} SELECT seqid, seq FROM seqs WHERE seqid IN (SELECT seqid FROM beds WHERE period = 7)")
+over("j10_u05_name_differences", lambda spark, sf: seqs(spark, sf).select("seqid").subtract(sat(spark, sf).select("trf_head")), f"WITH {SAT} SELECT seqid FROM seqs EXCEPT SELECT trf_head FROM sat")
+over("j11_by_id", lambda spark, sf: arrays(spark, sf).groupBy("seqid").agg(F.min("trf_id").alias("trf_id")).join(arrays(spark, sf).select("trf_id", "l_ind"), "trf_id"), f"WITH {ARRAYS}, m AS (SELECT seqid, min(trf_id) AS trf_id FROM arrays GROUP BY 1) SELECT trf_id, m.seqid, l_ind FROM m JOIN arrays USING (trf_id)")
+
+
+def source_vectors(spark: SparkSession, sf: str, canonical: bool) -> DataFrame:
+    """5-mer vectors of the first bases of every sequence, one per source and language."""
+    rows = table(spark, sf, "documents").join(seqs(spark, sf).withColumn("doc_id", F.substring("seqid", 4, 20).cast("bigint")), "doc_id")
+    cut = rows.select(F.concat_ws("-", "source", "lang").alias("id"), F.explode(seqfn.kmers(F.col("seq"), 5)).alias("k"))
+    if canonical:
+        cut = cut.withColumn("k", F.least(F.col("k"), seqfn.revcomp(F.col("k"))))
+    return cut.groupBy("id", F.col("k").alias("kmer")).agg(F.count(F.lit(1)).cast("double").alias("tf"))
+
+
+def _sql_cosine(kmer: str, scale: int, where: str) -> str:
+    return f"""WITH {SEQS}, k AS (SELECT concat_ws('-', source, lang) AS id, {kmer} AS kmer, count(*)::DOUBLE AS tf FROM (SELECT d.source, d.lang, substr(seq, CAST(i AS INTEGER), 5) AS x FROM documents d JOIN seqs ON seqid = 'doc' || doc_id, LATERAL (SELECT unnest(range(1, length(seq) - 3)) AS i) WHERE length(seq) > 4) WHERE regexp_full_match(x, '[ACGT]{{5}}') GROUP BY 1, 2),
+n AS (SELECT id, sqrt(sum(tf * tf)) AS norm FROM k GROUP BY 1), d AS (SELECT a.id AS id_a, b.id AS id_b, sum(a.tf * b.tf) AS dot FROM k a JOIN k b ON a.kmer = b.kmer AND a.id < b.id GROUP BY 1, 2), r AS (SELECT id_a, id_b, abs(round({scale} * (1 - dot / (na.norm * nb.norm)), 6)) AS distance FROM d JOIN n na ON na.id = id_a JOIN n nb ON nb.id = id_b) SELECT * FROM r WHERE {where}"""
+
+
+over("j13_cosine_distance", lambda spark, sf: similarity.cosine_pairs(source_vectors(spark, sf, False)).withColumn("distance", F.abs(F.round("distance", 6))), _sql_cosine("x", 100, "TRUE"))
+over("j14_canonical_cosine", lambda spark, sf: similarity.cosine_pairs(source_vectors(spark, sf, True), 1.0).withColumn("distance", F.abs(F.round("distance", 6))).where("distance <= 0.2"), _sql_cosine("least(x, reverse(translate(x, 'ACGT', 'TGCA')))", 1, "distance <= 0.2"))
+HAM = "list_min(list_transform(list_concat({r}, {rr}), lambda y: len(list_filter(range(1, 7), lambda i: substr(y, CAST(i AS INTEGER), 1) <> substr(repeat(a, 2), CAST(i AS INTEGER), 1))) / 6.0::DOUBLE))".format(r=ROT.format("b"), rr=ROT.format("reverse(translate(b, 'ACGT', 'TGCA'))"))
+over("j16_sliding_hamming", lambda spark, sf: seqs(spark, sf).where("length(seq) > 5").select(F.substring("seq", 1, 3).alias("a"), F.substring("seq", 1, 6).alias("b")).distinct().select("a", "b", F.round(similarity.sliding_hamming(F.col("a"), F.col("b")), 6).alias("distance")), f"WITH {SEQS}, p AS (SELECT DISTINCT substr(seq, 1, 3) AS a, substr(seq, 1, 6) AS b FROM seqs WHERE length(seq) > 5) SELECT a, b, round({HAM}, 6) AS distance FROM p")
+over("j17_edit_distance", lambda spark, sf: similarity.edit_pairs(seqs(spark, sf).where("length(seq) > 8").select(F.substring("seq", 1, 9).alias("s")), 1), f"WITH {SEQS}, m AS (SELECT DISTINCT substr(seq, 1, 9) AS s FROM seqs WHERE length(seq) > 8), p AS (SELECT a.s AS a, b.s AS b, least(levenshtein(a.s, b.s), levenshtein(a.s, reverse(translate(b.s, 'ACGT', 'TGCA')))) AS distance FROM m a JOIN m b ON a.s < b.s) SELECT * FROM p WHERE distance <= 1")
+over("j18_rotation_distance", lambda spark, sf: seqs(spark, sf).where("length(seq) > 13").select(F.substring("seq", 1, 7).alias("a"), F.substring("seq", 8, 7).alias("b")).distinct().select("a", "b", similarity.rotation_distance(F.col("a"), F.col("b")).alias("distance")), "WITH {s}, p AS (SELECT DISTINCT substr(seq, 1, 7) AS a, substr(seq, 8, 7) AS b FROM seqs WHERE length(seq) > 13) SELECT a, b, CAST(list_min(list_transform(list_concat({r}, {rr}), lambda y: levenshtein(a, y))) AS INTEGER) AS distance FROM p".format(s=SEQS, r=ROT.format("b"), rr=ROT.format("reverse(translate(b, 'ACGT', 'TGCA'))")))
+over("j20_self_overlaps", lambda spark, sf: intervals.self_overlaps(arrays(spark, sf)), f"WITH {ARRAYS} SELECT a.seqid, a.trf_id AS id_a, b.trf_id AS id_b, CASE WHEN a.l_ind = b.l_ind AND a.r_ind = b.r_ind THEN 'duplicate' WHEN a.l_ind <= b.l_ind AND a.r_ind >= b.r_ind THEN 'contains' WHEN a.l_ind >= b.l_ind AND a.r_ind <= b.r_ind THEN 'contained' ELSE 'partial' END AS kind FROM arrays a JOIN arrays b ON a.seqid = b.seqid AND a.trf_id < b.trf_id AND a.l_ind < b.r_ind AND b.l_ind < a.r_ind")
+over("d04_connected_components", lambda spark, sf: similarity.connected_components(intervals.self_overlaps(arrays(spark, sf)).select("id_a", "id_b")), f"""WITH {ARRAYS}, o AS (SELECT *, max(r_ind) OVER (PARTITION BY seqid ORDER BY l_ind, r_ind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM arrays), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR l_ind >= reach THEN 1 ELSE 0 END) OVER (PARTITION BY seqid ORDER BY l_ind, r_ind ROWS UNBOUNDED PRECEDING) AS run FROM o),
+c AS (SELECT trf_id, min(trf_id) OVER (PARTITION BY seqid, run) AS comp, max(trf_id) OVER (PARTITION BY seqid, run) AS most FROM g) SELECT DISTINCT trf_id AS id, comp FROM c WHERE most > comp""")
+
+
+def components_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Components of overlapping repeats: members, total size and share of all members."""
+    comps = similarity.connected_components(intervals.self_overlaps(arrays(spark, sf)).select("id_a", "id_b"))
+    sized = comps.join(arrays(spark, sf).select(F.col("trf_id").alias("id"), (F.col("r_ind") - F.col("l_ind")).alias("bp")), "id")
+    return sized.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.sum("bp").alias("bp")).where("n > 2")
+
+
+over("d05_a22_components_report", components_report, None)
+over("d02_d03_leader_families", lambda spark, sf: similarity.leader_families(sat(spark, sf).where("trf_period = 9").select(seqfn.canonical(F.col("trf_consensus")).alias("canonical"), F.col("trf_array_length").alias("array_length"))), None)
+over("d09_restored_regions", lambda spark, sf: seqs(spark, sf).join(intervals.merge_intervals(beds(spark, sf).where("period = 3").select("seqid", "start", "end"), 50).select("seqid", F.col("start").alias("s"), F.col("end").alias("e")), "seqid", "left").select("seqid", F.coalesce("s", F.lit(0)).alias("start"), F.least(F.coalesce("e", F.length("seq")), F.length("seq")).alias("end")).where("end > start").select(F.concat_ws("_", F.concat("seqid", F.lit("_")), F.col("start").cast("string"), F.col("end").cast("string")).alias("head")),
+     f"""WITH {SEQS}, {BEDS}, x AS (SELECT seqid, "start", "end" FROM beds WHERE period = 3), o AS (SELECT *, max("end") OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM x), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR "start" - reach > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS run FROM o), m AS (SELECT seqid, min("start") AS s, max("end") AS e FROM g GROUP BY seqid, run),
+r AS (SELECT seqid, coalesce(s, 0) AS s, least(coalesce(e, length(seq)), length(seq)) AS e FROM seqs LEFT JOIN m USING (seqid)) SELECT seqid || '__' || s || '_' || e AS head FROM r WHERE e > s""")
+over("d13_d14_bars", lambda spark, sf: arrays(spark, sf).select("seqid", "trf_id", "l_ind", F.greatest(F.col("r_ind") - F.col("l_ind"), F.lit(500)).alias("bar"), F.when(F.col("r_ind") - F.col("l_ind") > 900, "large").otherwise("small").alias("trace")), f"WITH {ARRAYS} SELECT seqid, trf_id, l_ind, greatest(r_ind - l_ind, 500) AS bar, CASE WHEN r_ind - l_ind > 900 THEN 'large' ELSE 'small' END AS trace FROM arrays")
+over("u01_u06_union_with_source", lambda spark, sf: arrays(spark, sf).select("seqid", F.col("l_ind").alias("start"), F.lit("core").alias("source")).unionByName(features(spark, sf).select("seqid", "start", F.lit("enriched").alias("source"))), f"""WITH {ARRAYS}, {FEATURES} SELECT seqid, l_ind AS "start", 'core' AS source FROM arrays UNION ALL SELECT seqid, "start", 'enriched' FROM features""")
+over("u03_u04_distinct_features", lambda spark, sf: features(spark, sf).unionByName(features(spark, sf)).distinct(), f"WITH {FEATURES} SELECT DISTINCT * FROM features")
+over("t01_t04_scaffolds_by_length", lambda spark, sf: seqs(spark, sf).select("seqid", F.length("seq").cast("bigint").alias("length")).orderBy(F.desc("length"), "seqid"), f"WITH {SEQS} SELECT seqid, length(seq) AS length FROM seqs ORDER BY length DESC, seqid")
+over("t05_top_families", lambda spark, sf: sat(spark, sf).groupBy(seqfn.canonical(F.col("trf_consensus")).alias("family")).agg(F.sum("trf_array_length").alias("bp")).orderBy(F.desc("bp"), "family").limit(12), f"WITH {SAT} SELECT {CANON.format('trf_consensus')} AS family, CAST(sum(trf_array_length) AS BIGINT) AS bp FROM sat GROUP BY 1 ORDER BY bp DESC, family LIMIT 12")
