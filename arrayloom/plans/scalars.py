@@ -30,7 +30,7 @@ def over(name: str, rows: Callable[[SparkSession, str], DataFrame], sql: str) ->
     QUERIES[name], ORACLE_SQL[name] = rows, sql
 
 
-S = F.col("seq")
+S = "seq"
 over("p01_clean_sequence", lambda spark, sf: table(spark, sf, "documents").select("doc_id", seqfn.clean_sequence(F.replace("text", F.lit("ß"), F.lit("-"))).alias("clean")),
      r"SELECT doc_id, regexp_replace(upper(replace(text, 'ß', '-')), '[^ACTGNUWSMKRYBDHV\-]', '', 'g') AS clean FROM documents")
 over_seqs("p02_gc_fraction", lambda: {"gc": F.round(seqfn.gc_fraction(S), 6)}, f"round({sql_gc('seq')}, 6) AS gc")
@@ -91,9 +91,15 @@ over("p18_refined_ids", lambda spark, sf: sat(spark, sf).select(seqfn.refined_id
 CHUNK = "CASE WHEN doc_id % 3 = 0 THEN concat('chr', doc_id % 25, '__', doc_id * 1000, '_', doc_id * 1000 + 900) ELSE concat('chr', doc_id) END"
 over("p19_restored_coordinates", lambda spark, sf: table(spark, sf, "documents").select("doc_id", F.expr(CHUNK).alias("head")).withColumn("r", seqfn.restored_coordinates(F.col("head"), F.col("doc_id") % 100, F.col("doc_id") % 100 + 50)).select("doc_id", "r.head", "r.l_ind", "r.r_ind"),
      f"WITH h AS (SELECT doc_id, {CHUNK} AS head FROM documents) SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN split_part(head, '__', 1) ELSE head END AS head, doc_id % 100 + CASE WHEN doc_id % 3 = 0 THEN doc_id * 1000 ELSE 0 END AS l_ind, doc_id % 100 + 50 + CASE WHEN doc_id % 3 = 0 THEN doc_id * 1000 ELSE 0 END AS r_ind FROM h")
-MOTIF = F.when(F.length(S) % 5 == 0, F.concat(S, F.lit("TTAGGG" * 5))).when(F.length(S) % 5 == 1, F.concat(F.lit("ATTCGAAAAATTCGGGA"), S)).otherwise(S)
+
+
+def motif() -> Column:
+    """Sequences with planted motifs."""
+    return F.when(F.length(S) % 5 == 0, F.concat(S, F.lit("TTAGGG" * 5))).when(F.length(S) % 5 == 1, F.concat(F.lit("ATTCGAAAAATTCGGGA"), S)).otherwise(S)
+
+
 MOTIF_SQL = f"CASE length(seq) % 5 WHEN 0 THEN seq || '{'TTAGGG' * 5}' WHEN 1 THEN 'ATTCGAAAAATTCGGGA' || seq ELSE seq END"
-over_seqs("p20_p21_motifs_and_log", lambda: {"tel": seqfn.has_telomere(MOTIF), "cenpb": seqfn.has_cenpb(MOTIF), "class_name": seqfn.motif_class(MOTIF), "log_length": F.round(seqfn.log_length(F.length(S)), 6)},
+over_seqs("p20_p21_motifs_and_log", lambda: {"tel": seqfn.has_telomere(motif()), "cenpb": seqfn.has_cenpb(motif()), "class_name": seqfn.motif_class(motif()), "log_length": F.round(seqfn.log_length(F.length(S)), 6)},
           f"CAST(regexp_matches({MOTIF_SQL}, '{seqfn.TELOMERE}') AS INTEGER) AS tel, CAST(regexp_matches({MOTIF_SQL}, '{seqfn.CENPB}') AS INTEGER) AS cenpb, CASE WHEN regexp_matches({MOTIF_SQL}, '{seqfn.TELOMERE}') THEN 'TEL' WHEN regexp_matches({MOTIF_SQL}, '{seqfn.CENPB}') THEN 'CENPB' ELSE 'UNK' END AS class_name, CASE WHEN length(seq) > 0 THEN round(ln(length(seq)), 6) END AS log_length")
 NUMBERS = "CASE doc_id % 5 WHEN 0 THEN CAST(doc_id AS STRING) WHEN 1 THEN concat(doc_id, '.0') WHEN 2 THEN '' WHEN 3 THEN 'not-a-number' END"
 over("p22_lenient_int", lambda spark, sf: table(spark, sf, "documents").select("doc_id", seqfn.lenient_int(F.expr(NUMBERS)).alias("n")), "SELECT doc_id, CASE WHEN doc_id % 5 < 2 THEN doc_id ELSE 0 END AS n FROM documents")
@@ -148,5 +154,5 @@ over("c05_all_classes", lambda spark, sf: classify.all_classes(sat(spark, sf)).s
 over("f03_exclude_list", lambda spark, sf: table(spark, sf, "lineitem").join(F.broadcast(table(spark, sf, "supplier").where("s_nationkey < 5").select(F.col("s_suppkey").alias("l_suppkey"))), "l_suppkey", "left_anti").groupBy("l_suppkey").count().withColumnRenamed("count", "n"), "SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 5) GROUP BY 1")
 over("f04_subset_by_head", lambda spark, sf: sat(spark, sf).agg(F.count_if(F.contains("trf_head", F.lit("7"))).alias("n"), F.count(F.lit(1)).alias("total"), F.sum(F.when(F.contains("trf_head", F.lit("7")), F.col("trf_array_length"))).alias("bp")), f"WITH {SAT} SELECT count(*) FILTER (contains(trf_head, '7')) AS n, count(*) AS total, CAST(sum(trf_array_length) FILTER (contains(trf_head, '7')) AS BIGINT) AS bp FROM sat")
 over("f10_least_scaffold_length", lambda spark, sf: seqs(spark, sf).where(F.length("seq") >= 500).select("seqid", F.length("seq").cast("bigint").alias("length")), f"WITH {SEQS} SELECT seqid, length(seq) AS length FROM seqs WHERE length(seq) >= 500")
-over("f15_centromere_or_telomere", lambda spark, sf: seqs(spark, sf).select("seqid", seqfn.motif_class(MOTIF).alias("class_name")).where("class_name <> 'UNK'"), f"WITH {SEQS} SELECT seqid, CASE WHEN regexp_matches({MOTIF_SQL}, '{seqfn.TELOMERE}') THEN 'TEL' ELSE 'CENPB' END AS class_name FROM seqs WHERE regexp_matches({MOTIF_SQL}, '{seqfn.TELOMERE}') OR regexp_matches({MOTIF_SQL}, '{seqfn.CENPB}')")
+over("f15_centromere_or_telomere", lambda spark, sf: seqs(spark, sf).select("seqid", seqfn.motif_class(motif()).alias("class_name")).where("class_name <> 'UNK'"), f"WITH {SEQS} SELECT seqid, CASE WHEN regexp_matches({MOTIF_SQL}, '{seqfn.TELOMERE}') THEN 'TEL' ELSE 'CENPB' END AS class_name FROM seqs WHERE regexp_matches({MOTIF_SQL}, '{seqfn.TELOMERE}') OR regexp_matches({MOTIF_SQL}, '{seqfn.CENPB}')")
 over("f16_t05_longest", lambda spark, sf: sat(spark, sf).where("trf_period > 5").select("trf_array_length", "trf_id", "trf_array").orderBy(F.desc("trf_array_length"), "trf_id", "trf_array").limit(2000), f"WITH {SAT} SELECT trf_array_length, trf_id, trf_array FROM sat WHERE trf_period > 5 ORDER BY trf_array_length DESC, trf_id, trf_array LIMIT 2000")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arrayloom import schemas
 from arrayloom.functions.seqfn import first_word, lenient_int
 
-V = F.col("value")
+V = "value"
 
 
 def read_fasta(spark: SparkSession, path: str, lower: bool = False) -> DataFrame:
