@@ -27,7 +27,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, small_batches, small_or_shuffled, with_computed, written
@@ -231,30 +231,36 @@ def similarity_components(docs: DataFrame, words: int = 5, num: int = 80, den: i
     classes = written(sigs.where("n > 0").groupBy("cls").agg(F.min("rid").alias("node"), F.min_by("doc_id", "rid").alias("doc_id")), "classes")
     n_classes = classes.count()
     heads = sigs.select("rid", "n", "prefix").join(small_or_shuffled(classes.select(F.col("node").alias("rid")), n_classes), "rid", "left_semi")
-    postings = heads.select(F.col("rid").alias("node"), "n", F.explode("prefix").alias("tok"))
+    postings = heads.select(F.col("rid").alias("node"), "n", F.posexplode("prefix").alias("pos", "tok"))
     lists = postings.groupBy("tok").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("tok")
     shared = written(postings.join(lists, "tok"), "shared")
     n_nodes = shared.select("node").distinct().count()
     labels = tried = None
-    fits = lambda a, b: den * F.least(a, b) >= num * F.greatest(a, b)
+
+    def fits(a: Column, i: Column, b: Column, j: Column) -> Column:
+        """Whether sets of sizes a and b whose first common element stands at i and j can reach the threshold: by size,
+        and by what can still be common. A pair fails at later common elements only, never at its first."""
+        most = F.least(a - i, b - j)
+        return (den * F.least(a, b) >= num * F.greatest(a, b)) & ((num + den) * most >= num * (a + b))
+
     last = not n_nodes
     turn = 0
     while not last:
         mine = shared.withColumn("comp", F.col("node"))
         if labels is not None:
             mine = shared.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        live = mine.groupBy("tok").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "comp")).alias("pivot"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi")
+        live = mine.groupBy("tok").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "pos", "comp")).alias("pivot"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi")
         mine = written(mine.join(live.select("tok", "pivot", "m"), "tok"), "open")
         # pairs of different components that lists still hold; a pair counts once for every list and way round
         per = mine.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("k"), F.first("m").alias("m"))
         left = per.agg(F.sum(F.col("k") * (F.col("m") - F.col("k")))).first()[0] or 0
         last = turn == PIVOT_ROUNDS or left <= 2 * OPEN_PAIRS * n_nodes and turn > 0
         if last:
-            other = mine.select("tok", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-            pairs = mine.join(other, "tok").where((F.col("node") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & fits(F.col("n"), F.col("n_b")))
+            other = mine.select("tok", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"), F.col("comp").alias("comp_b"))
+            pairs = mine.join(other, "tok").where((F.col("node") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & fits(F.col("n"), F.col("pos"), F.col("n_b"), F.col("pos_b")))
             pairs = pairs.select(F.col("node").alias("a"), "b", F.col("n_b").alias("n")).distinct()
         else:
-            pairs = mine.where((F.col("comp") != F.col("pivot.comp")) & fits(F.col("n"), F.col("pivot.n")))
+            pairs = mine.where((F.col("comp") != F.col("pivot.comp")) & fits(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos")))
             pairs = pairs.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"), "n").distinct()
         pairs = pairs.withColumn("key", F.struct(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")))
         if tried is not None:
