@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 from arrayloom.functions.seqfn import count_of
 
-A, C, G, T = (lambda b=b: count_of(F.upper("trf_array"), b) for b in "ACGT")
+#: Base counts are columns, computed once for all predicates and names.
+A, C, G, T = (lambda b=b: F.col(f"_n_{b}") for b in "ACGT")
 SIZES = (1000, 10000, 100000, 1000000)
 
 
+def with_counts(sat: DataFrame) -> DataFrame:
+    return sat.withColumns({f"_n_{b}": count_of(F.upper("trf_array"), b) for b in "ACGT"})
+
+
 def perfect_micro() -> Column:
     return (F.col("trf_period") < 6) & (F.col("trf_pmatch") == 100)
 
@@ -75,7 +80,7 @@ def fuzzy_ssr_name() -> Column:
 
 def classify(sat: DataFrame, predicate: Column, name: Column) -> DataFrame:
     """Rows of one class with their family name."""
-    return sat.where(predicate).withColumn("trf_family", name)
+    return with_counts(sat).where(predicate).withColumn("trf_family", name).drop(*[f"_n_{b}" for b in "ACGT"])
 
 
 def all_classes(sat: DataFrame) -> DataFrame:
@@ -90,8 +95,8 @@ def all_classes(sat: DataFrame) -> DataFrame:
         both(complex_repeat(), "complex", none),
         *[both(F.col("trf_array_length") > n, f"{n // 1000}kb", none) for n in SIZES],
     ]
-    found = sat.withColumn("_k", F.explode(F.array_compact(F.array(*kinds))))
-    return found.select("*", "_k.category", "_k.trf_family").drop("_k")
+    found = with_counts(sat).withColumn("_k", F.explode(F.array_compact(F.array(*kinds))))
+    return found.select("*", "_k.category", "_k.trf_family").drop("_k", *[f"_n_{b}" for b in "ACGT"])
 
 
 def category_summary(classes: DataFrame, genome_size: DataFrame) -> DataFrame:

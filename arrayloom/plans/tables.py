@@ -12,10 +12,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores if it comes from fewer files than there are; large tables are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores // 2 else df
+
+
 def seqs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(seqid, seq): the letters a, c, g, t, n of every document in upper case."""
     seq = F.regexp_replace(F.translate("text", "acgtn", "ACGTN"), "[^ACGTN]", "")
-    return table(spark, sf_dir, "documents").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("seqid"), F.coalesce(seq, F.lit("")).alias("seq"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("seqid"), F.coalesce(seq, F.lit("")).alias("seq"))
 
 
 SEQS = "seqs AS (SELECT 'doc' || doc_id AS seqid, coalesce(regexp_replace(translate(text, 'acgtn', 'ACGTN'), '[^ACGTN]', '', 'g'), '') AS seq FROM documents)"
@@ -25,7 +31,7 @@ def beds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(seqid, start, end, period, strand), 0-based half-open; one per line item."""
     n = table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n_docs"))
     start = (F.col("l_partkey") * 7 + F.col("l_linenumber")) % 300
-    items = table(spark, sf_dir, "lineitem").crossJoin(F.broadcast(n))  # one row
+    items = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")).crossJoin(F.broadcast(n))  # one row
     return items.select(
         F.concat(F.lit("doc"), (F.col("l_orderkey") % F.col("n_docs")).cast("string")).alias("seqid"),
         start.alias("start"),
