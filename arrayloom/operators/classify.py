@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrayloom.functions.seqfn import count_of
@@ -121,3 +121,9 @@ def micro_summary(classes: DataFrame) -> DataFrame:
     return classes.groupBy("trf_family").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.abs(F.col("trf_r_ind") - F.col("trf_l_ind"))).alias("span"), F.round(100 - perfect, 2).alias("imperfect"), F.round(perfect, 2).alias("perfect")
     )
+
+
+def family_info(families: DataFrame) -> DataFrame:
+    """families(family, start, bp, core, consensus): n, bp, core bp and first consensus of each, ranked by core bp."""
+    by = families.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("bp").alias("bp"), F.sum(F.when(F.col("core"), F.col("bp")).otherwise(0)).alias("core_bp"), F.min_by("consensus", F.struct("start", "consensus")).alias("consensus"))
+    return by.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("core_bp"), "family")))

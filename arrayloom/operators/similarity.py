@@ -21,6 +21,22 @@ def cosine_pairs(vectors: DataFrame, scale: float = 100.0) -> DataFrame:
     return dots.select("id_a", "id_b", (scale * (1 - F.col("dot") / (F.col("na") * F.col("nb")))).alias("distance"))
 
 
+def euclidean_pairs(vectors: DataFrame) -> DataFrame:
+    """(id_a, id_b, distance) of vectors that share a k-mer, from norms and dot products."""
+    norms = vectors.groupBy("id").agg(F.sum(F.col("tf") * F.col("tf")).alias("norm"))
+    v = vectors.join(norms, "id")
+    a = v.select("kmer", F.col("id").alias("id_a"), F.col("tf").alias("x"), F.col("norm").alias("norm_a"))
+    b = v.select("kmer", F.col("id").alias("id_b"), F.col("tf").alias("y"), F.col("norm").alias("norm_b"))
+    dots = a.join(b, "kmer").where("id_a < id_b").groupBy("id_a", "id_b").agg(F.sum(F.col("x") * F.col("y")).alias("dot"), F.first("norm_a").alias("na"), F.first("norm_b").alias("nb"))
+    return dots.select("id_a", "id_b", F.sqrt(F.greatest(F.col("na") + F.col("nb") - 2 * F.col("dot"), F.lit(0.0))).alias("distance"))
+
+
+def cluster_flow(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(source, target, value): members that clusters(id, comp) of one threshold pass to those of the next."""
+    both = before.select("id", F.col("comp").alias("source")).join(after.select("id", F.col("comp").alias("target")), "id", "left")
+    return both.groupBy("source", F.coalesce("target", F.lit("SING")).alias("target")).agg(F.count(F.lit(1)).alias("value"))
+
+
 def sliding_hamming(a: Column, b: Column) -> Column:
     """Least share of mismatches of a (repeated to b's length, which it divides) over the rotations of b and of its
     reverse complement."""

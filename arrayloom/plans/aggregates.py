@@ -119,3 +119,23 @@ SELECT seqid, w * 100 AS "start", least(w * 100 + 400, n) AS "end", count(DISTIN
 over("d12_a24_w14_monomers", lambda spark, sf: gaps.monomers(sat(spark, sf).select(F.col("trf_id").alias("array_id"), F.col("trf_array").alias("seq"), F.col("trf_period").alias("period"))).groupBy("array_id", "type").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bp"), F.min("cut_sequence").alias("least")),
      f"WITH {SAT}, m AS (SELECT trf_id AS array_id, trf_period AS p, substr(trf_array, CAST(i AS INTEGER) + 1, trf_period) AS cut FROM sat, LATERAL (SELECT unnest(range(0, length(trf_array), trf_period)) AS i)) SELECT array_id, CASE WHEN length(cut) = p THEN 'monomer' ELSE 'tail' END AS type, count(*) AS n, CAST(sum(length(cut)) AS BIGINT) AS bp, min(cut) AS least FROM m GROUP BY 1, 2")
 over("d16_gene_density", lambda spark, sf: intervals.density(features(spark, sf).where("type = 'CDS'").select("seqid", F.col("start").alias("l_ind"), F.col("end").alias("r_ind")), F.lit("CDS"), 50000), f"""WITH {FEATURES}, arrays AS (SELECT seqid, "start" AS l_ind, "end" AS r_ind FROM features WHERE type = 'CDS'), """ + DENS.format(a="", b=50000, c="'CDS'").removeprefix("WITH , ") + " SELECT * FROM d")
+
+
+def families(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeats as members of families named by their period; those longer than 60 bases are core."""
+    return sat(spark, sf).select(F.concat(F.lit("SF"), F.lpad(F.col("trf_period").cast("string"), 4, "0")).alias("family"), F.col("trf_l_ind").alias("start"), F.col("trf_array_length").alias("bp"), (F.col("trf_array_length") > 60).alias("core"), F.col("trf_consensus").alias("consensus"))
+
+
+over("a18_family_info", lambda spark, sf: classify.family_info(families(spark, sf)), f"""WITH {SAT}, f AS (SELECT 'SF' || lpad(CAST(trf_period AS VARCHAR), 4, '0') AS family, count(*) AS n, CAST(sum(trf_array_length) AS BIGINT) AS bp, CAST(sum(CASE WHEN trf_array_length > 60 THEN trf_array_length ELSE 0 END) AS BIGINT) AS core_bp, first(trf_consensus ORDER BY trf_l_ind, trf_consensus) AS consensus FROM sat GROUP BY 1)
+SELECT *, CAST(row_number() OVER (ORDER BY core_bp DESC, family) AS INTEGER) AS rank FROM f""")
+over("a19_assembly_summary", lambda spark, sf: seqs(spark, sf).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("seq")).alias("bp"), F.max(F.length("seq")).alias("longest"), F.count_if(F.length("seq") >= 500).alias("n_500")), f"WITH {SEQS} SELECT count(*) AS n, CAST(sum(length(seq)) AS BIGINT) AS bp, CAST(max(length(seq)) AS INTEGER) AS longest, count(*) FILTER (length(seq) >= 500) AS n_500 FROM seqs")
+over("a28_run_summary", lambda spark, sf: table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("o_totalprice"), 4).alias("mean")), "SELECT o_orderstatus, count(*) AS n, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1")
+
+
+def report_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The category summary with display labels."""
+    labels = spark.createDataFrame([("pmicro", "Perfect microsatellites"), ("micro", "Microsatellites"), ("tSSR", "True SSR"), ("fSSR", "Fuzzy SSR"), ("complex", "Complex")], "category string, label string")
+    return classify.category_summary(classes(spark, sf), genome(spark, sf)).join(F.broadcast(labels), "category").select("category", "label", "n", "pgenome")
+
+
+over("d15_report_rows", report_rows, f"{WITH}, l(category, label) AS (VALUES ('pmicro', 'Perfect microsatellites'), ('micro', 'Microsatellites'), ('tSSR', 'True SSR'), ('fSSR', 'Fuzzy SSR'), ('complex', 'Complex')) SELECT category, label, count(*) AS n, round(100.0 * sum(trf_array_length) / {GENOME}, 3) AS pgenome FROM classes JOIN l USING (category) GROUP BY 1, 2")

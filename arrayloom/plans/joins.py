@@ -85,3 +85,15 @@ over("u01_u06_union_with_source", lambda spark, sf: arrays(spark, sf).select("se
 over("u03_u04_distinct_features", lambda spark, sf: features(spark, sf).unionByName(features(spark, sf)).distinct(), f"WITH {FEATURES} SELECT DISTINCT * FROM features")
 over("t01_t04_scaffolds_by_length", lambda spark, sf: seqs(spark, sf).select("seqid", F.length("seq").cast("bigint").alias("length")).orderBy(F.desc("length"), "seqid"), f"WITH {SEQS} SELECT seqid, length(seq) AS length FROM seqs ORDER BY length DESC, seqid")
 over("t05_top_families", lambda spark, sf: sat(spark, sf).groupBy(seqfn.canonical(F.col("trf_consensus")).alias("family")).agg(F.sum("trf_array_length").alias("bp")).orderBy(F.desc("bp"), "family").limit(12), f"WITH {SAT} SELECT {CANON.format('trf_consensus')} AS family, CAST(sum(trf_array_length) AS BIGINT) AS bp FROM sat GROUP BY 1 ORDER BY bp DESC, family LIMIT 12")
+over("j15_euclidean_distance", lambda spark, sf: similarity.euclidean_pairs(source_vectors(spark, sf, False)).withColumn("distance", F.round("distance", 4)), _sql_cosine("x", 100, "TRUE").replace("round(100 * (1 - dot / (na.norm * nb.norm)), 6)", "round(sqrt(greatest(na.norm * na.norm + nb.norm * nb.norm - 2 * dot, 0.0)), 4)").replace("abs(round(sqrt", "(round(sqrt"))
+
+
+def overlap_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """How components of any overlap pass into components of containment only."""
+    pairs = intervals.self_overlaps(arrays(spark, sf))
+    loose = similarity.connected_components(pairs.select("id_a", "id_b"))
+    tight = similarity.connected_components(pairs.where("kind <> 'partial'").select("id_a", "id_b"))
+    return similarity.cluster_flow(loose, tight)
+
+
+over("d06_cluster_flow", overlap_flow, None)
