@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, small_batches, small_or_shuffled, with_computed, written
 
-#: An element in the prefixes of more texts than this counts as frequent, up to so many elements, most frequent first.
+#: An element of more texts than this counts as frequent, up to so many elements, most frequent first.
 FREQUENT_FROM, FREQUENT_MOST = 16, 1 << 20
 #: Elements of the sets verified against one pivot in one group.
 GROUP_ELEMENTS = 1 << 20
-#: Prefix lengths over which elements are counted: when frequent elements go last, later ones take their places.
+#: Prefix lengths over which every element is counted: when frequent elements go last, later ones take their places.
 FREQUENT_DEPTH = 2
+#: Elements that a task counts at a time.
+CHUNK_ELEMENTS = 1 << 21
 #: What remains is paired completely after so many rounds of pivots, or once lists hold so many open pairs per set.
 PIVOT_ROUNDS, OPEN_PAIRS = 5, 100
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
@@ -123,15 +125,32 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
 
 
 def frequent(docs: DataFrame, words: int, num: int, den: int) -> np.ndarray:
-    """Sorted elements that stand in many prefixes under the order by hash; counted over all texts."""
+    """Sorted elements that stand in many texts; counted over all texts. Early elements of the order by hash are counted
+    whole, later ones where a chunk of texts holds them twice: common ones show in most chunks, and those that only one
+    text of a chunk holds, nearly all, are not shuffled."""
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
-            got = [s[: FREQUENT_DEPTH * prefix_size(len(s), num, den)] for s in shingle_sets(list(x["text"]), words)]
-            yield pd.DataFrame({"tok": np.concatenate([*got, np.zeros(0, np.uint64)]).view(np.int64)})
+        early, late, held = [], [], 0
+
+        def counts() -> pd.DataFrame:
+            tok, n = np.unique(np.concatenate([*early, *late, np.zeros(0, np.uint64)]), return_counts=True)
+            keep = n > 1
+            keep[np.searchsorted(tok, np.concatenate([*early, np.zeros(0, np.uint64)]))] = True
+            return pd.DataFrame({"tok": tok[keep].view(np.int64), "n": n[keep]})
 
-    counts = docs.select("text").mapInPandas(tokens, "tok long").groupBy("tok").count()
-    top = counts.where(F.col("count") > FREQUENT_FROM).orderBy(F.desc("count"), "tok").limit(FREQUENT_MOST)
+        for x in batches:
+            for s in shingle_sets(list(x["text"]), words):
+                p = FREQUENT_DEPTH * prefix_size(len(s), num, den)
+                early.append(s[:p])
+                late.append(s[p:])
+                held += len(s)
+            if held > CHUNK_ELEMENTS:
+                yield counts()
+                early, late, held = [], [], 0
+        yield counts()
+
+    counted = docs.select("text").mapInPandas(tokens, "tok long, n long").groupBy("tok").agg(F.sum("n").alias("n"))
+    top = counted.where(F.col("n") > FREQUENT_FROM).orderBy(F.desc("n"), "tok").limit(FREQUENT_MOST)
     return np.sort(top.select("tok").toPandas()["tok"].to_numpy(np.int64).view(np.uint64))
 
 
