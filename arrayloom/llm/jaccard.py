@@ -40,8 +40,9 @@ GROUP_ELEMENTS = 1 << 20
 FREQUENT_DEPTH = 2
 #: Elements that a task counts at a time.
 CHUNK_ELEMENTS = 1 << 21
-#: What remains is paired completely after so many rounds of pivots, or once lists hold so many open pairs per set.
-PIVOT_ROUNDS, OPEN_PAIRS = 5, 100
+#: What remains is paired completely after so many rounds of pivots, once lists hold so many open pairs per set, or
+#: after a round in which fewer than one of so many pairs was a link.
+PIVOT_ROUNDS, OPEN_PAIRS, FRUITLESS = 5, 100, 50
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
 _WORD_BYTE = np.ones(256, bool)
 _WORD_BYTE[[9, 10, 11, 12, 13, 32]] = False
@@ -263,7 +264,7 @@ def similarity_components(docs: DataFrame, words: int = 5, num: int = 80, den: i
         return (den * F.least(a, b) >= num * F.greatest(a, b)) & ((num + den) * most >= num * (a + b))
 
     last = not n_nodes
-    turn = 0
+    turn, fruitless = 0, False
     while not last:
         mine = shared.withColumn("comp", F.col("node"))
         if labels is not None:
@@ -277,7 +278,7 @@ def similarity_components(docs: DataFrame, words: int = 5, num: int = 80, den: i
         # pairs of different components that lists still hold; a pair counts once for every list and way round
         per = mine.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("k"), F.first("m").alias("m"))
         left = per.agg(F.sum(F.col("k") * (F.col("m") - F.col("k")))).first()[0] or 0
-        last = turn == PIVOT_ROUNDS or left <= 2 * OPEN_PAIRS * n_nodes and turn > 0
+        last = turn == PIVOT_ROUNDS or fruitless or left <= 2 * OPEN_PAIRS * n_nodes and turn > 0
         if last:
             other = mine.select("tok", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"), F.col("comp").alias("comp_b"))
             pairs = mine.join(other, "tok").where((F.col("node") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & fits(F.col("n"), F.col("pos"), F.col("n_b"), F.col("pos_b")))
@@ -291,6 +292,7 @@ def similarity_components(docs: DataFrame, words: int = 5, num: int = 80, den: i
         pairs = written(pairs, "pairs")
         tried = pairs.select("key") if tried is None else tried.unionByName(pairs.select("key"))
         links = written(verify(pairs.select("a", "b", "n"), docs, classes, words, num, den), "links")
+        fruitless = FRUITLESS * links.count() < pairs.count()
         labels = _relabelled(labels, links)
         turn += 1
     rows = sigs.select("rid", "doc_id", "n", "cls").join(classes.select("cls", "node"), "cls", "left")
