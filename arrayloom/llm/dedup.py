@@ -113,7 +113,8 @@ def drop_exact(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     lost = written(found.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")), "dropped")
     n = lost.count()
     # a doc_id repeated with the same text: both a kept and a dropped row carry the pair, so keep one of the copies
-    both = lost.join(found.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")), ["_id", "_sha"], "left_semi")
+    kept = found.where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    both = lost.join(kept, F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
     both = written(both.distinct(), "repeated")
     n_both = both.count()
     sha = F.sha2(utf8(F.col(text)), 256)

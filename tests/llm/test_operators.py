@@ -333,3 +333,9 @@ def test_drop_exact(docs):
     kept = got(dedup.drop_exact(docs))
     assert sorted((r["text"] or "") for r in kept) == sorted({t or "" for _, t, *_ in rows()})
     assert set(kept[0]) == set(docs.columns)
+
+
+def test_drop_exact_null_ids(spark):
+    given = [(None, "a"), (None, "a"), (None, "b"), (1, "b"), (None, None), (None, ""), (2, "c"), (2, "c"), (2, "d")]
+    kept = dedup.drop_exact(spark.createDataFrame(given, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept) == [("1", "b"), ("2", "c"), ("2", "d"), ("None", ""), ("None", "a")]
