@@ -306,7 +306,14 @@ def similarity_components(docs: DataFrame, words: int = 5, num: int = 80, den: i
 
 
 def drop_near(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs with one document of each group of near duplicates (the smallest doc_id); rows with an empty set stay."""
-    found = similarity_components(docs, words, num, den, text, key)
-    lost = written(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct(), "near")
-    return docs.join(small_or_shuffled(lost, lost.count()), F.col(key) == F.col("_id"), "left_anti")
+    """docs with one row of each group of near duplicates (the smallest doc_id, null after all others); rows with an empty
+    set stay. Rows are told apart by a number of their own, so repeated and null ids are rows like all others."""
+    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = similarity_components(numbered, words, num, den, text, "_row").where("n_shingles > 0")
+    rows = found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("comp"))
+    rows = written(rows.join(numbered.select("_row", F.col(key).alias("id")), "_row"), "rows")
+    groups = rows.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "_row")).alias("best"), F.count(F.lit(1)).alias("m"))
+    groups = written(groups.where("m > 1").select("comp", F.col("best._row").alias("kept")), "groups")
+    lost = rows.join(small_or_shuffled(groups, groups.count()), "comp").where("_row <> kept").select("_row")
+    lost = written(lost, "near")
+    return numbered.join(small_or_shuffled(lost, lost.count()), "_row", "left_anti").select(docs.columns)

@@ -291,6 +291,15 @@ def test_jaccard_edges(docs, none):
     assert jaccard.drop_near(docs).count() <= len(rows())
 
 
+def test_drop_near_repeated_and_null_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    given = [(1, a), (5, a + " end"), (5, b), (5, None), (7, c), (7, c + " end"), (7, c), (None, d), (None, d + " end"), (None, d), (None, b + " end"), (None, ""), (9, "")]
+    kept = jaccard.drop_near(spark.createDataFrame(given, "doc_id long, text string"))
+    assert kept.columns == ["doc_id", "text"]
+    start = sorted((str(r["doc_id"]), (r["text"] or "")[:1]) for r in kept.collect())
+    assert start == [("1", "a"), ("5", ""), ("5", "b"), ("7", "c"), ("9", ""), ("None", ""), ("None", "d")]
+
+
 def brute_secrets(text):
     text, found = text or "", []
     a = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
