@@ -5,8 +5,11 @@ length gives each block a cost for being content and one for being boilerplate:
 Neighbouring blocks, and blocks of one container, are joined by smoothness edges. The minimum cut, found by maximum
 flow, separates content from boilerplate. Each page is labelled alone inside mapInPandas.
 
+A class, id or role of boilerplate, or a form, does not count for an element that wraps the page's content, and names of
+layout states (has-sidebar) do not count at all.
+
 Defined results: null html is empty; a page without content blocks has empty text; unclosed or stray tags are
-tolerated; pages of any length are read whole; repeated rows are handled separately; an empty table gives an empty
+tolerated, and an unclosed head, title, select or noscript does not end the page; pages of any length are read whole; repeated rows are handled separately; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -15,19 +18,39 @@ from __future__ import annotations
 import html
 import re
 from collections import deque
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from .common import with_computed
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|head|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?/][^>]*>|[^<]+|<", re.S | re.I)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?/][^>]*>|[^<]+|<", re.S | re.I)
+#: Elements without content of the page, each with the first thing that ends it: its end tag (the group), or a tag that cannot
+#: stand in it. Where the latter comes first, or neither, the end tag is missing and nothing but the start tag is skipped.
+SKIPPED = {
+    tag: re.compile(rf"(</{tag}\s*>)|<(?:{bound})\b", re.I)
+    for tag, bound in {
+        "title": "/head|body|meta|link|script|style|title",
+        "noscript": "noscript|/head|body",
+        "select": "select|input|textarea|p|h[1-6]|article|main|section|table|ul|ol|body",
+        "svg": "body",
+        "template": "body",
+        "iframe": "iframe",
+        "textarea": "textarea",
+    }.items()
+}
+#: What is skipped of an element without an end tag, besides its start tag: a title's text, a select's options.
+REST = {"title": re.compile(r"[^<]*"), "select": re.compile(r"(?:[^<]|</?(?:option|optgroup|hr)\b[^>]*>)*", re.I)}
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Weights of ancestors: positive for content, negative for boilerplate.
 TAGS = {"article": 6.0, "main": 4.0, "p": 1.0, "h1": 1.0, "h2": 0.5, "h3": 0.5, "blockquote": 0.5, "pre": 0.5, "figcaption": 0.3, "nav": -20.0, "footer": -20.0, "aside": -20.0, "form": -20.0, "button": -20.0, "menu": -20.0, "dialog": -20.0}
 GOOD = re.compile(r"\b(article|content|post-?body|entry|main|story)\b", re.I)
 BAD = re.compile(r"\b(ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|footer|sidebar|side-bar|cookie\w*|consent|notice|breadcrumbs?|comments?|comment-\w+|respond|disqus\w*|share|social|related|newsletter|subscribe|popup|modal|login|signup|widget)\b", re.I)
+#: Names that tell of a page's layout or state, not of the element that has them.
+STATE = re.compile(r"(?:has|no|is|with|without|hide|show)-.*|.*-(?:with|without|has|no)-.*|.*-(?:open|opened|closed|active|enabled|disabled|collapsed|expanded|fixed)", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 NEXT_TO, SAME_PARENT = 0.6, 0.8
 
 
@@ -38,15 +61,42 @@ class Block:
     parent: int
 
 
-def _weight(tag: str, attrs: str, in_article: bool) -> float:
-    w = TAGS.get(tag, 0.0)
+def _weight(tag: str, attrs: str, in_article: bool) -> tuple[float, float]:
+    """An element's weight, and what it loses besides unless it is a wrapper of the page."""
+    w, doubt = TAGS.get(tag, 0.0), 0.0
+    if tag == "form":
+        w, doubt = 0.0, w
     if tag == "header" and not in_article:
         w -= 20
-    if attrs and (names := " ".join(re.findall(r"(?:class|id|role)\s*=\s*[\"']?([^\"'>]*)", attrs, re.I)).replace("_", "-")):
-        w += -20 if BAD.search(names) else 3 if GOOD.search(names) and tag not in ("body", "html") else 0
-    if re.search(r"\bhidden\b|display\s*:\s*none", attrs, re.I) and tag not in ("body", "html"):
-        w -= 20
-    return w
+    if attrs and tag not in ("body", "html", "head"):
+        names = [n for a, v in ATTRIBUTE.findall(attrs) if a.lower() in ("class", "id", "role") for n in v.strip("\"'").replace("_", "-").split()]
+        good = 3 if GOOD.search(" ".join(names)) else 0
+        # an article's names tell of its topics as well (category-social), so only a whole one counts
+        bad = BAD.fullmatch if tag in ("article", "main") else BAD.search
+        w += good
+        if any(bad(n) for n in names if not STATE.fullmatch(n)):
+            doubt -= 20 + good
+        if re.search(r"\bhidden\b|display\s*:\s*none", attrs, re.I):
+            w -= 20
+    return w, doubt
+
+
+def _tokens(page: str) -> Iterator[re.Match]:
+    """Matches of TOKEN outside skipped elements."""
+    at, ended = 0, {}
+    while m := TOKEN.match(page, at):
+        at = m.end()
+        tag = m[3].lower() if m[3] and not m[2] else ""
+        if tag in SKIPPED and not m[0].endswith("/>"):
+            end = SKIPPED[tag].search(page, at) if at < ended.get(tag, len(page)) else None
+            if end is None:
+                ended[tag] = min(at, ended.get(tag, at))
+            if end is not None and end[1]:
+                at = end.end()
+            elif tag in REST:
+                at = REST[tag].match(page, at).end()
+        elif tag not in SKIPPED:
+            yield m
 
 
 def blocks(page: str) -> list[Block]:
@@ -55,6 +105,11 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, float, int]] = []  # tag, weight, number
     words: list[str] = []
     linked = links = made = 0
+    # elements in doubt: number -> (what they lose, letters and heads of content before them); of closed ones, what they hold
+    doubts: dict[int, tuple[float, int, int]] = {}
+    held: dict[int, tuple[int, int]] = {}
+    doubted: list[tuple[int, ...]] = []  # of each block
+    letters = heads = 0
 
     def flush() -> None:
         nonlocal words, linked
@@ -65,9 +120,18 @@ def blocks(page: str) -> list[Block]:
             score = own - 4.0 * linked / total + min(2.0, len(text) / 200) - 0.6
             holder = next((n for t, _, n in reversed(stack) if t not in ("p", "li", "b") and t not in INLINE), 0)
             out.append(Block(text, score, holder))
+            doubted.append(tuple(n for _, _, n in stack if n in doubts) if doubts else ())
         words, linked = [], 0
 
-    for m in TOKEN.finditer(page):
+    def close(at: int) -> None:
+        nonlocal links
+        links -= sum(t == "a" for t, _, _ in stack[at:])
+        for _, _, n in stack[at:]:
+            if n in doubts:
+                held[n] = letters - doubts[n][1], heads - doubts[n][2]
+        del stack[at:]
+
+    for m in _tokens(page):
         token = m[0]
         if m[3]:
             tag = m[3].lower()
@@ -76,22 +140,31 @@ def blocks(page: str) -> list[Block]:
             if m[2]:
                 at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
                 if at is not None:
-                    links -= sum(t == "a" for t, _, _ in stack[at:])
-                    del stack[at:]
+                    close(at)
             elif tag not in VOID and not token.endswith("/>"):
                 if tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6") and stack:
                     # a block in a paragraph ends it, with the inline tags left open in it
                     at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == ("li" if tag == "li" else "p")), None)
                     if at is not None and all(t in INLINE for t, _, _ in stack[at + 1 :]):
-                        links -= sum(t == "a" for t, _, _ in stack[at:])
-                        del stack[at:]
+                        close(at)
                 made += 1
                 links += tag == "a"
-                stack.append((tag, _weight(tag, m[4] or "", any(t == "article" for t, _, _ in stack)), made))
+                weight, doubt = _weight(tag, m[4] or "", any(t == "article" for t, _, _ in stack))
+                if doubt:
+                    doubts[made] = doubt, letters, heads
+                # the head of content: a main or article that no ancestor speaks against
+                heads += tag in ("article", "main") and not doubt and not any(w <= -20 or n in doubts for _, w, n in stack)
+                stack.append((tag, weight, made))
         elif token[0] != "<" or token == "<":
             words.append(token)
+            letters += len(token.strip())
             linked += len(token) if links else 0
     flush()
+    close(0)
+    # a wrapper holds most of the text, and no head of content stands beside it
+    lost = {n: d for n, (d, _, _) in doubts.items() if 2 * held[n][0] <= letters or held[n][1] < heads}
+    for b, numbers in zip(out, doubted, strict=True):
+        b.score += sum(lost.get(n, 0.0) for n in numbers)
     return out
 
 

@@ -133,6 +133,38 @@ def test_html(spark):
     assert html_mincut.extract_pages(df.limit(0)).count() == 0
 
 
+ARTICLE = "<article><h1>A title</h1><p>" + "The text of the page. " * 20 + "<p>Its end.</article>"
+MENU = "<nav><a href=/>Home</a></nav>"
+BESIDE = "<div id=comments>" + "<p>I disagree with all of it. " * 40 + "</div><div class='site-footer'>Footer</div>"
+
+
+@pytest.mark.parametrize(
+    ("before", "after"),
+    [
+        ("<body class='single-post has-sidebar nav-open'>", BESIDE),
+        ("<body><div class='content-with-sidebar'>", "</div>" + BESIDE),
+        ("<body><div id=wrap class='no-sidebar'>", BESIDE + "</div>"),
+        ("<body class='sidebar-left'><div class='page widget'>", "</div><div class=ad>Buy</div>"),
+        ("<body><form id=aspnetForm>", "</form>"),
+        ("<head><title>T</title><meta charset=utf-8><body>", BESIDE),
+        ("<head><title>T<meta charset=utf-8><body>", BESIDE),
+        ("<head><title>T</title><style>p{}</style>", BESIDE),
+        ("<body><select><option>One<option>Two", BESIDE),
+        ("<body><noscript>", BESIDE + "<noscript>No script</noscript>"),
+    ],
+)
+def test_html_whole_pages(before, after):
+    want = html_mincut.main_text("<body>" + ARTICLE)
+    assert want.startswith("A title\nThe text") and want.endswith("Its end.")
+    assert html_mincut.main_text(before + MENU + ARTICLE + after) == want
+
+
+def test_html_boilerplate_stays_out():
+    inside = "<article class='post category-social'><h1>A title</h1><p>The text of the page.</article>"
+    beside = "".join(f"<div class='{c}'><p>Something else altogether</div>" for c in ("site-footer", "main-nav", "comment-list", "cookie-banner")) + "<article class=comment><p>I disagree</article><form>Search it</form>"
+    assert html_mincut.main_text("<body><head><title>T</title></head>" + inside + beside) == "A title\nThe text of the page."
+
+
 def test_minimum_cut_is_minimal():
     rng = np.random.default_rng(1)
     for _ in range(50):
