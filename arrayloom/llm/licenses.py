@@ -13,6 +13,9 @@ result; other columns are not read.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +52,31 @@ KNOWN = (
     ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
 )
+#: Published texts, one file for each licence; and the headings, besides none, under which texts are found.
+TEXTS = Path(__file__).parent / "license_texts"
+HEADINGS = {
+    "MIT": ("The MIT License (MIT)", "The MIT License", "MIT License (MIT)", "MIT"),
+    "ISC": ("The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "3-Clause BSD License", "BSD-3-Clause", "BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "BSD-2-Clause", "BSD License"),
+}
+#: What follows the terms of a licence and is often left out.
+APPENDIX = re.compile(r"(END OF TERMS AND CONDITIONS).*", re.S)
+#: Notices besides those of KNOWN.
+LATER = tuple((f"GPL-{v}.0-or-later", n) for v in (2, 3) for n in (f"SPDX-License-Identifier: GPL-{v}.0-or-later", f"This work is licensed under the GNU General Public License, version {v} or later.", f"This work is licensed under the GNU General Public License, version {v} or any later version."))
+
+
+def whole_texts() -> tuple:
+    """(licence, text) of entire texts: the published ones, without appendix, with bullets for numbers, under headings."""
+    bodies = [("MIT", MIT), ("ISC", ISC)]
+    for f in sorted(TEXTS.glob("*.txt")):
+        body = f.read_text("utf-8")
+        bodies += [(f.stem, body), (f.stem, APPENDIX.sub(r"\1", body)), (f.stem, APPENDIX.sub("", body))]
+        if f.stem.startswith("BSD"):
+            bodies.append((f.stem, re.sub(r"(?m)^[0-9]\. ", "* ", body)))
+    return tuple(dict.fromkeys((i, f"{h}\n{b}") for i, b in bodies for h in ("", *HEADINGS.get(i, ()))))
+
+
 # Spellings that count as equal, canonical one last.
 SPELLINGS = (
     ("licence", "license"),
@@ -86,10 +114,10 @@ def known_licenses(spark: SparkSession, known: tuple = KNOWN) -> DataFrame:
     return spark.createDataFrame(list(known), "license_id string, body string").groupBy(digest(F.col("body")).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
-def license_scan(docs: DataFrame, text: str = "text", key: str = "doc_id", known: tuple = KNOWN) -> DataFrame:
+def license_scan(docs: DataFrame, text: str = "text", key: str = "doc_id", known: tuple | None = None) -> DataFrame:
     """Per input row: doc_id, text_digest (canonical, null if empty), license_id (of the whole text, else null),
     line_licenses (licences of whole lines, sorted, comma-joined, '' if none), n_line_hits (lines that match)."""
-    table = F.broadcast(known_licenses(docs.sparkSession, known))
+    table = F.broadcast(known_licenses(docs.sparkSession, KNOWN + LATER + whole_texts() if known is None else known))
     base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("doc_id"), F.col(text).alias("text"))
     whole = base.select("rid", "doc_id", digest(F.col("text")).alias("text_digest"))
     whole = written(whole.join(table.withColumnRenamed("digest", "text_digest"), "text_digest", "left"), "license-texts")
@@ -104,7 +132,7 @@ def _sql_text(s: str) -> str:
 
 
 def license_sql(known: tuple = KNOWN) -> str:
-    """The same result in DuckDB SQL."""
+    """The same result in DuckDB SQL, for the known texts given (by default the short ones only)."""
 
     def form(x: str) -> str:
         out = f"regexp_replace(translate({x}, '{UPPER}', '{LOWER}'), {_sql_text(COPYRIGHT_LINE)}, ' ', 'g')"

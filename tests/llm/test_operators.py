@@ -271,6 +271,17 @@ def test_licenses(spark, none):
     assert licenses.license_scan(none).count() == 0
 
 
+def test_licenses_entire_texts(spark):
+    files = sorted(licenses.TEXTS.glob("*.txt"))
+    want = {f.stem: "Copyright (c) 2021 Some Person\n\n" + " ".join(f.read_text("utf-8").upper().split()) for f in files if f.stem.startswith("BSD")}
+    want |= {f.stem: f.read_text("utf-8").replace("\n", "\r\n") for f in files if not f.stem.startswith("BSD")}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0-only", "GPL-3.0-only", "MPL-2.0"} <= set(want)
+    given = [*want.items(), ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n" + licenses.MIT), ("BSD-3-Clause", "BSD 3-Clause License\n\n" + files[[f.stem for f in files].index("BSD-3-Clause")].read_text("utf-8"))]
+    given += [("GPL-3.0-or-later", "This work is licensed under the GNU General Public License, version 3 or later."), (None, want["MPL-2.0"][:-400])]
+    out = licenses.license_scan(spark.createDataFrame(given, "doc_id string, text string")).collect()
+    assert len(out) == len(given) and all(r["license_id"] == r["doc_id"] for r in out)
+
+
 def components_by_pairs(texts, words, num, den):
     sets = []
     for t in texts:
