@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -19,9 +20,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a new temporary one only where that is unset."""
+    """The folder all executors share, from spark.checkpoint.dir. Where that is unset, a local master gets a temporary
+    one; on a cluster, whose machines would not see each other's files, that is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="arrayloom-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -34,6 +38,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables that written() made and that no result still to be computed reads."""
+    for t in tables:
+        if t is None:
+            continue
+        # all part files of a table stand in its one folder
+        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            if "/arrayloom/" in folder:
+                path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores in front of those that would clash with the columns."""
+    taken, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def small_or_shuffled(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
     """df marked for broadcast when its counted rows are few, else left to a shuffled join."""
     return F.broadcast(df) if rows <= most else df

@@ -1,16 +1,21 @@
 """Mixing sources to target weights.
 
-Each source's documents form one stream of words, cut into fixed-length blocks. Sources get slots in proportion to
-their targets; slots fall to output shards at random, so a shard's source counts are multinomial draws conditioned on
-the exact totals (independent draws would miss the targets and take some documents more than twice). A slot's number
-goes through its source's pseudorandom index permutation, one per epoch, and blocks join slots by index.
+Each source's documents form one stream of words, cut into fixed-length blocks. A source gets slots in proportion to
+its target. Source counts are drawn for every output shard: a table (src, shard, n) that holds, for each source, one
+multinomial draw of its slots over the shards. That is the draw of sources per shard, conditioned on the exact totals of
+the sources; independent draws would miss the targets and take documents of capped sources more than twice. The n slots
+of a row of that table are numbered on from those of the shards before; a slot's number goes through its source's
+pseudorandom index permutation, one per epoch, and blocks join slots by index. Within the shard, slots are dealt to places a
+prime step apart, which interleaves the sources.
 
 Everything is DataFrame code. Per-source sums are pre-aggregated. Positions in a stream come from sums over hash
-buckets and then within a bucket, so a source with a third of the rows is spread over many tasks. The table of
-sources (one row each) is the only one ordered as a whole.
+buckets and then within a bucket, so a source with a third of the rows is spread over many tasks. Ordered as a whole
+are the table of sources (one row each) and, per source, the counts per shard (one row for shard_words words).
 
 Defined results: null text or one without words has size 0 and takes nothing; a null source is a source of its own,
-last in order; rows that repeat a doc_id count as separate rows; an empty table gives an empty result.
+last in order; rows that repeat a doc_id, or whole rows, count as separate rows; rows that tie in everything else are
+told apart by a number of their own; very long texts are cut like others; other columns are passed through by
+mixed_documents whatever their names, and not read by mixed; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,14 +23,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import BROADCAST_ROWS, WORD, discard, fresh, written
 
 #: Weights by a source's place in code point order, repeating.
 WEIGHTS = (5, 2, 1)
 #: Hash buckets a source's stream is laid out in.
 STREAM_BUCKETS = 4096
+#: Slots that one row of a table stands for before they are made into rows.
+RUN = 4096
+#: Words of an output shard, on average.
+SHARD_WORDS = 1 << 20
 #: Rounds of the swap-or-not shuffle that permutes block indices.
 ROUNDS = 8
+#: A prime beyond the slots of any shard: the step between the places of a shard's slots.
+STRIDE = 1_000_000_007
 
 
 def word_count(text: Column) -> Column:
@@ -64,9 +75,39 @@ def shuffled_index(index: Column, n: Column, *tweak: Column) -> Column:
     return F.aggregate(F.array(*map(F.lit, range(1, ROUNDS + 1))), index, swap_or_not)
 
 
-def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", share: float = 1.5, most: float = 2.0, block_words: int = 32, shard_words: int = 1 << 20, rid: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def spread_index(index: Column, n: Column, *tweak: Column) -> Column:
+    """index over 0..n-1 (n below STRIDE) to places far apart: steps of a prime, which no n below it divides."""
+    return F.pmod(index * STRIDE + F.pmod(F.xxhash64(*tweak), n), n)
+
+
+def shard_counts(srcs: DataFrame, n_shards: int) -> DataFrame:
+    """(src, shard, n, base, offset, shard_slots): slots of each source drawn for each shard; base: slots of the source
+    in the shards before; offset: slots of the shard that belong to the sources before; shard_slots: all of the shard.
+
+    srcs: src, slots. Every slot draws its shard; draws are counted where they are made."""
+    runs = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("slots") - 1) / RUN))
+    runs = srcs.where("slots > 0").select("src", "slots", F.explode(runs).alias("run"))
+    # a fixed number of partitions: adaptive execution would see few small rows here and make one task of all draws
+    runs = runs.repartition(_tasks(srcs), "src", "run")
+    slot = F.explode(F.sequence(F.col("run") * RUN, F.least(F.col("slots"), (F.col("run") + 1) * RUN) - 1)).alias("slot")
+    drawn = runs.select("src", slot).select("src", F.pmod(F.xxhash64(F.lit("shard"), "src", "slot"), F.lit(n_shards)).alias("shard"))
+    counts = written(drawn.groupBy("src", "shard").agg(F.count(F.lit(1)).alias("n")), "shard-counts")
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return counts.withColumns({
+        "base": before(Window.partitionBy("src").orderBy("shard")),
+        "offset": before(Window.partitionBy("shard").orderBy("src")),
+        "shard_slots": F.sum("n").over(Window.partitionBy("shard")),
+    })
+
+
+def _tasks(df: DataFrame) -> int:
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", share: float = 1.5, most: float = 2.0, block_words: int = 32, shard_words: int = SHARD_WORDS, rid: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, pieces). rows: rid, doc_id, source, size, src, source_size, target. pieces: one per document part in a
-    slot of the mix: rid, shard, place (order in the shard), epoch, idx (block), lo, hi (words of the document)."""
+    slot of the mix: rid, shard, place (in the shard), epoch, idx (block), lo, hi (words of the document)."""
     rid = F.monotonically_increasing_id() if rid is None else rid
     sized = docs.select(rid.alias("rid"), F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
     sized = written(sized, "sizes")
@@ -75,6 +116,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     srcs = written(srcs.withColumn("slots", slots), "sources")
     n_shards = max(1, round((srcs.agg(F.sum("target")).first()[0] or 0) / shard_words))
     rows = written(sized.join(srcs.select("src", F.col("source").alias("_s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "rows")
+    discard(sized)
 
     laid = rows.where("size > 0").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(STREAM_BUCKETS)))
     sums = laid.groupBy("src", "bucket").agg(F.sum("size").alias("n"))
@@ -90,35 +132,55 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
         (F.least(F.col("end"), (F.col("idx") + 1) * block_words) - F.col("start")).alias("hi"),
     )
 
-    runs = srcs.where("slots > 0").select("src", "n_blocks", "slots", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("slots") - 1) / 4096))).alias("run"))
-    runs = runs.repartition("src", "run")
-    drawn = runs.select("src", "n_blocks", F.explode(F.sequence(F.col("run") * 4096, F.least(F.col("slots"), (F.col("run") + 1) * 4096) - 1)).alias("slot"))
-    place = F.xxhash64(F.lit("place"), "src", "slot")
-    drawn = drawn.select("src", "n_blocks", place.alias("place"), F.pmod(F.xxhash64(F.lit("shard"), "src", "slot"), F.lit(n_shards)).alias("shard"), F.floor(F.col("slot") / F.col("n_blocks")).alias("epoch"), (F.col("slot") % F.col("n_blocks")).alias("idx"))
-    drawn = drawn.withColumn("idx", shuffled_index(F.col("idx"), F.col("n_blocks"), F.col("src"), F.col("epoch"))).drop("n_blocks")
+    # a count is cut into runs, so that one shard's slots of one source are no task's whole work
+    runs = shard_counts(srcs, n_shards).join(F.broadcast(srcs.select("src", "n_blocks")), "src") if srcs.count() <= BROADCAST_ROWS else shard_counts(srcs, n_shards).join(srcs.select("src", "n_blocks"), "src")
+    runs = runs.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / RUN)))).repartition(_tasks(docs), "src", "shard", "run")
+    at = F.explode(F.sequence(F.col("run") * RUN, F.least(F.col("n"), (F.col("run") + 1) * RUN) - 1)).alias("at")
+    drawn = runs.select("src", "shard", "n_blocks", "base", "offset", "shard_slots", at)
+    slot = F.col("base") + F.col("at")
+    epoch = F.floor(slot / F.col("n_blocks"))
+    drawn = drawn.select(
+        "src", "shard", spread_index(F.col("offset") + F.col("at"), F.col("shard_slots"), F.col("shard")).alias("place"), epoch.alias("epoch"),
+        shuffled_index(slot % F.col("n_blocks"), F.col("n_blocks"), F.col("src"), epoch).alias("idx"),
+    )
     # both sides come out of explodes, whose size Spark can't foresee: never broadcast them
     return rows, parts.join(drawn.hint("merge"), ["src", "idx"]).drop("src")
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """Per input row: doc_id, size, source_size, target (its source's), taken (words the mix takes, repeats counted)."""
+    """Per input row: doc_id, size, source_size, target (its source's), taken (words the mix takes, repeats counted),
+    n_slots (slots of the mix that hold words of it), first_shard and first_place (the first of these; null if none)."""
     rows, pieces = mix(docs, **options)
-    taken = pieces.groupBy("rid").agg(F.sum(F.col("hi") - F.col("lo")).alias("taken"))
-    return rows.join(taken, "rid", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+    taken = pieces.groupBy("rid").agg(F.sum(F.col("hi") - F.col("lo")).alias("taken"), F.count(F.lit(1)).alias("n_slots"), F.min(F.struct("shard", "place")).alias("first"))
+    out = rows.join(taken, "rid", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return out.select("doc_id", "size", "source_size", "target", zero("taken"), zero("n_slots"), F.col("first.shard").cast("bigint").alias("first_shard"), F.col("first.place").alias("first_place"))
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **options) -> DataFrame:
     """The mix as documents: for each epoch that takes words of a document, a row with those words in order (the whole
-    text unchanged when all its words are taken); documents without words keep no row."""
-    docs = written(docs.withColumn("_rid", F.monotonically_increasing_id()), "numbered")
-    rows, pieces = mix(docs, text, key, source, rid=F.col("_rid"), **options)
-    spans = F.array_sort(F.collect_list(F.struct("lo", "hi")))
-    picks = pieces.groupBy("rid", "epoch").agg(spans.alias("_spans"), F.sum(F.col("hi") - F.col("lo")).alias("_n"))
-    picks = picks.join(rows.select("rid", F.col("size").alias("_size")), "rid").withColumnRenamed("rid", "_rid")
-    out = docs.join(picks, "_rid")
-    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
-    some = F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice(words, (s["lo"] + 1).cast("int"), (s["hi"] - s["lo"]).cast("int")))), "")
-    out = out.withColumn(text, F.when(F.col("_n") == F.col("_size"), F.col(text)).otherwise(some))
+    text unchanged when all its words are taken); documents without words keep no row. Rows are laid out by output
+    shard, in order of place, each at the first slot that holds words of it."""
+    names = dict(zip(("row", "spans", "n", "size", "first"), fresh(docs.columns, "row_", "spans_", "n_", "size_", "first_"), strict=True))
+    row, spans, n, size, first = names.values()
+    docs = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    rows, pieces = mix(docs, text, key, source, rid=F.col(row), **options)
+    picks = pieces.groupBy("rid", "epoch").agg(
+        F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias(spans), F.sum(F.col("hi") - F.col("lo")).alias(n), F.min(F.struct("shard", "place")).alias(first)
+    )
+    picks = picks.join(rows.select("rid", F.col("size").alias(size)), "rid").withColumnRenamed("rid", row).drop("epoch")
+    # a document taken whole needs no spans
+    picks = picks.withColumn(spans, F.when(F.col(n) < F.col(size), F.col(spans)))
+    out = docs.join(picks, row).withColumn(text, F.when(F.col(spans).isNull(), F.col(text)).otherwise(_cut(F.col(text), F.col(spans))))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast("bigint"))
-    return out.select([c for c in docs.columns if c != "_rid"])
+    out = out.repartitionByRange(_tasks(docs), F.col(f"{first}.shard"), F.col(f"{first}.place")).sortWithinPartitions(F.col(f"{first}.shard"), F.col(f"{first}.place"))
+    return out.select([c for c in docs.columns if c != row])
+
+
+def _cut(text: Column, spans: Column) -> Column:
+    """The words of the spans, each with the white space after it. The text is split once: words are bound to a lambda's
+    variable, so that no span splits it again."""
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
+    some = lambda w: F.array_join(F.flatten(F.transform(spans, lambda s: F.slice(w, (s["lo"] + 1).cast("int"), (s["hi"] - s["lo"]).cast("int")))), "")
+    return F.transform(F.array(words), some)[0]

@@ -206,6 +206,78 @@ def test_mixing_targets_by_iteration(spark):
     assert all(abs(got_[k] - want[k]) < 1e-6 for k in names)
 
 
+def test_mixing_draws_shards(spark):
+    """Counts per shard add up to the slots, lie as multinomial draws do, and number slots without gap or overlap."""
+    srcs = spark.createDataFrame([(0, 40000), (1, 900), (2, 0), (3, 1)], "src int, slots long")
+    rows = got(mixing.shard_counts(srcs, 20))
+    by = defaultdict(list)
+    for r in rows:
+        by[r["src"]].append((r["shard"], r["base"], r["n"]))
+    assert {k: sum(n for *_, n in v) for k, v in by.items()} == {0: 40000, 1: 900, 3: 1}
+    for v in by.values():
+        at = 0
+        for _, base, n in sorted(v):
+            assert base == at
+            at += n
+    chi = sum((n - 2000) ** 2 / 2000 for *_, n in by[0])
+    assert 5 < chi < 45  # 19 degrees of freedom
+    shards = defaultdict(list)
+    for r in rows:
+        shards[r["shard"]].append((r["src"], r["offset"], r["n"], r["shard_slots"]))
+    for v in shards.values():
+        at = 0
+        for _, offset, n, total in sorted(v):
+            assert offset == at and total == sum(x[2] for x in v)
+            at += n
+
+
+def test_mixing_against_brute_force(spark):
+    """taken follows from the pieces: each slot holds one block once, a place of a shard one slot, and words of blocks
+    are those of a plain walk over each source's stream."""
+    rng = np.random.default_rng(4)
+    given = [(i, " ".join(["w"] * int(rng.integers(0, 90))), f"s{rng.integers(0, 4)}" if i % 9 else None) for i in range(120)]
+    df = spark.createDataFrame(given, "doc_id long, text string, source string").repartition(3)
+    rows, pieces = (got(x) for x in mixing.mix(df, block_words=8, shard_words=700))
+    assert len({r["shard"] for r in pieces}) > 3
+    size = {r["rid"]: r["size"] for r in rows}
+    src = {r["rid"]: r["src"] for r in rows}
+    slots = defaultdict(list)
+    for p in pieces:
+        slots[p["shard"], p["place"]].append(p)
+    at = defaultdict(set)
+    for shard, place in slots:
+        at[shard].add(place)
+    assert all(v == set(range(len(v))) for v in at.values())
+    used = defaultdict(int)
+    for v in slots.values():
+        (key,) = {(src[p["rid"]], p["epoch"], p["idx"]) for p in v}
+        used[key] += 1
+    assert set(used.values()) == {1}
+    covered = defaultdict(list)
+    for p in pieces:
+        covered[p["rid"], p["epoch"]].append((p["lo"], p["hi"]))
+    whole = 0
+    for (rid, epoch), v in covered.items():
+        v.sort()
+        assert all(a[1] <= b[0] for a, b in zip(v, v[1:], strict=False)) and v[0][0] >= 0 and v[-1][1] <= size[rid]
+        if epoch == 0 and any(k[0] == src[rid] and k[1] == 1 for k in used):
+            whole += 1
+            assert sum(b - a for a, b in v) == size[rid]  # an epoch that is followed by another takes everything
+    assert whole
+    for s in {*src.values()}:
+        total = sum(size[r] for r in size if src[r] == s)
+        target = next(r["target"] for r in rows if r["src"] == s)
+        n_blocks = -(-total // 8)
+        assert sum(k[0] == s for k in used) == round(target / total * n_blocks)
+
+
+def test_mixed_documents_clashing_names(spark, none):
+    given = spark.createDataFrame([(1, "a b c d", "s", 1, 2, 3, "x", "y"), (1, "a b c d", "s", 1, 2, 3, "x", "y"), (2, None, None, 0, 0, 0, None, None)], "doc_id long, text string, source string, row_ int, N_ int, size_ int, spans_ string, first_ string")
+    out = got(mixing.mixed_documents(given, block_words=2))
+    assert set(out[0]) == set(given.columns) and {r["row_"] for r in out} == {1} and {r["first_"] for r in out} == {"y"}
+    assert mixing.mixed_documents(none).count() == 0
+
+
 def test_mixed_documents(docs):
     out = got(mixing.mixed_documents(docs, block_words=4))
     assert set(out[0]) == set(docs.columns)
@@ -217,8 +289,9 @@ def test_mixed_documents(docs):
 
 def test_index_permutation(spark):
     for n in (1, 2, 7, 100):
-        at = spark.range(n).select(mixing.shuffled_index(F.col("id"), F.lit(n).cast("long"), F.lit(3), F.lit(0)).alias("p"))
-        assert sorted(r["p"] for r in at.collect()) == list(range(n))
+        at = spark.range(n).select(mixing.shuffled_index(F.col("id"), F.lit(n).cast("long"), F.lit(3), F.lit(0)).alias("p"), mixing.spread_index(F.col("id"), F.lit(n).cast("long"), F.lit(3)).alias("q"))
+        out = at.collect()
+        assert sorted(r["p"] for r in out) == sorted(r["q"] for r in out) == list(range(n))
 
 
 def test_packing(docs, none):
