@@ -86,7 +86,7 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, str(rows))
 
 
-_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
 
 
 def with_computed(df: DataFrame, column: str, make: Callable[[], Callable[[list], dict[str, list]]], fields: dict[str, str], keep: bool = False) -> DataFrame:

@@ -1,9 +1,10 @@
 """Jaccard join on word n-grams with multiple global orders.
 
 A text's set holds the distinct hashes of its word n-grams. If two sets reach the threshold, they share an element of
-their prefixes under every global order of the elements. Order 1 puts frequent elements last and generates candidates
-through lists of the sets that hold an element in their prefix; candidates must also share prefix elements under
-orders 2 and 3; only what passes all of them is verified on the whole sets.
+their prefixes under every global order of the elements. Each text's prefixes under three orders are computed together.
+Order 1 puts frequent elements last and generates candidates through lists of the sets that hold an element in their
+prefix; a join then keeps the candidates that also share elements of their prefixes under orders 2 and 3. Texts move
+only for what passes all three, to be verified on the whole sets.
 
 Equal sets form one class first, so copies are never paired. Links are only needed up to connection: a list first
 links its members to one pivot, so that a group of near copies of any size costs as many pairs as it has members; lists
@@ -16,7 +17,9 @@ groups for verification hold one pivot and at most GROUP_ELEMENTS elements; ever
 
 Defined results: null or word-less text has an empty set, no link and its own doc_id as component; fewer words than n
 give one element, the whole sequence; a null doc_id is ignored where a component's smallest doc_id is sought; rows
-that repeat a doc_id are separate rows; an empty table gives an empty result; other columns are not read.
+that repeat a doc_id are separate rows; ties for a component's smallest doc_id are one value; very long texts are read
+whole; an empty table gives an empty result; similarity_components does not read other columns, drop_near passes them
+through whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, small_batches, small_or_shuffled, with_computed, written
+from .common import BROADCAST_ROWS, discard, fresh, small_batches, small_or_shuffled, with_computed, written
 
 #: An element of more texts than this counts as frequent, up to so many elements, most frequent first.
 FREQUENT_FROM, FREQUENT_MOST = 16, 1 << 20
@@ -40,6 +43,8 @@ GROUP_ELEMENTS = 1 << 20
 FREQUENT_DEPTH = 2
 #: Elements that a task counts at a time.
 CHUNK_ELEMENTS = 1 << 21
+#: Characters of texts hashed at a time.
+CHUNK_CHARS = 1 << 18
 #: What remains is paired completely after so many rounds of pivots, once lists hold so many open pairs per set, or
 #: after a round in which fewer than one of so many pairs was a link.
 PIVOT_ROUNDS, OPEN_PAIRS, FRUITLESS = 5, 100, 50
@@ -78,7 +83,19 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
-    """Sorted distinct n-gram hashes of each text."""
+    """Sorted distinct n-gram hashes of each text. Texts are hashed some CHUNK_CHARS at a time, so that the arrays of a
+    batch stay small; a longer text is a chunk of its own."""
+    out, some, held = [], [], 0
+    for t in texts:
+        some.append(t)
+        held += len(t or "")
+        if held >= CHUNK_CHARS:
+            out += _shingle_sets(some, words)
+            some, held = [], 0
+    return out + _shingle_sets(some, words) if some else out
+
+
+def _shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     h, at = word_hashes(texts)
     grams = np.zeros(max(0, len(h) - words + 1), np.uint64)
     for i in range(words):
@@ -108,19 +125,17 @@ def first_order(s: np.ndarray, often: np.ndarray, p: int) -> np.ndarray:
 
 
 def other_order(s: np.ndarray, k: int, p: int) -> np.ndarray:
-    """The first p elements under order k, as their ranks."""
+    """The first p elements under order k, by the upper half of their ranks: equal elements stay equal."""
     r = s * np.uint64(_ODD[k])
-    return np.sort(r)[:p] if p < len(r) else np.sort(r)
+    if p < len(r):
+        r = np.partition(r, p - 1)[:p]
+    return (r >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
-    """Whether two sets reach the threshold: size, orders 2 and 3, then the whole sets."""
+    """Whether two sets reach the threshold."""
     if num * max(len(a), len(b)) > den * min(len(a), len(b)):
         return False
-    pa, pb = prefix_size(len(a), num, den), prefix_size(len(b), num, den)
-    for k in (2, 3):
-        if not len(np.intersect1d(other_order(a, k, pa), other_order(b, k, pb), assume_unique=True)):
-            return False
     both = len(np.intersect1d(a, b, assume_unique=True))
     return den * both >= num * (len(a) + len(b) - both)
 
@@ -151,12 +166,25 @@ def frequent(docs: DataFrame, words: int, num: int, den: int) -> np.ndarray:
         yield counts()
 
     counted = docs.select("text").mapInPandas(tokens, "tok long, n long").groupBy("tok").agg(F.sum("n").alias("n"))
-    top = counted.where(F.col("n") > FREQUENT_FROM).orderBy(F.desc("n"), "tok").limit(FREQUENT_MOST)
-    return np.sort(top.select("tok").toPandas()["tok"].to_numpy(np.int64).view(np.uint64))
+    counted = written(counted.where(F.col("n") > FREQUENT_FROM), "frequent")
+    # how many elements have about so high a count: some hundred rows; then the lowest count that keeps the bound
+    step = F.floor(F.log2("n") * 16).cast("int")
+    least, held = None, 0
+    for k, m in sorted(counted.groupBy(step.alias("k")).count().collect(), reverse=True):
+        held += m
+        if held > FREQUENT_MOST:
+            break
+        least = k
+    if least is None:
+        return np.zeros(0, np.uint64)
+    top = np.sort(counted.where(step >= least).select("tok").toPandas()["tok"].to_numpy(np.int64).view(np.uint64))
+    discard(counted)
+    return top
 
 
 def signatures(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Per row: rid, doc_id, n (set size), cls (128 bits that name the set; null if empty), prefix under order 1."""
+    """Per row: rid, doc_id, n (set size), cls (128 bits that name the set; null if empty), prefix under order 1, and
+    second and third, the prefixes under the other orders."""
     often = docs.sparkSession.sparkContext.broadcast(frequent(docs, words, num, den))
 
     def make():
@@ -167,12 +195,14 @@ def signatures(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             every = np.concatenate([*sets, np.zeros(0, np.uint64)])
             mask = top[np.minimum(np.searchsorted(top, every), len(top) - 1)] == every if len(top) else np.zeros(len(every), bool)
             cut = np.cumsum([len(s) for s in sets], dtype=np.int64)[:-1]
-            prefix = [first_order(s, m, prefix_size(len(s), num, den)).view(np.int64) for s, m in zip(sets, np.split(mask, cut), strict=True)] if sets else []
-            return {"n": [len(s) for s in sets], "cls": [set_name(s) for s in sets], "prefix": prefix}
+            sizes = [prefix_size(len(s), num, den) for s in sets]
+            prefix = [first_order(s, m, p).view(np.int64) for s, m, p in zip(sets, np.split(mask, cut), sizes, strict=True)] if sets else []
+            others = {name: [other_order(s, k, p) for s, p in zip(sets, sizes, strict=True)] for k, name in ((2, "second"), (3, "third"))}
+            return {"n": [len(s) for s in sets], "cls": [set_name(s) for s in sets], "prefix": prefix} | others
 
         return compute
 
-    out = with_computed(docs, "text", make, {"n": "long", "cls": "binary", "prefix": "array<long>"})
+    out = with_computed(docs, "text", make, {"n": "long", "cls": "binary", "prefix": "array<long>", "second": "array<int>", "third": "array<int>"})
     return written(out.withColumn("rid", F.monotonically_increasing_id()), "signatures")
 
 
@@ -185,6 +215,13 @@ def set_name(s: np.ndarray) -> bytes | None:
     return int(a).to_bytes(8, "big") + int(b).to_bytes(8, "big")
 
 
+def filtered(pairs: DataFrame, orders: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) that share prefix elements under orders 2 and 3 as well. orders: (node, second, third)."""
+    of = lambda c: orders.select(F.col("node").alias(c), F.col("second").alias(f"second_{c}"), F.col("third").alias(f"third_{c}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    return both.where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")).select(pairs.columns)
+
+
 def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b, n: elements of b) that are links. Texts of b go to groups of their a, with a's; large groups are
     split and a stands in each part. nodes: (node, cls, doc_id) of every class."""
@@ -211,7 +248,9 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, num:
             yield pa.RecordBatch.from_arrays([pa.array([h[k] for h in hit], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     grouped = given.select("a", "part", "node", "cls", "text").repartition("a", "part").sortWithinPartitions("a", "part", F.col("node") != F.col("a"))
-    return grouped.mapInArrow(compare, "a long, b long")
+    links = written(grouped.mapInArrow(compare, "a long, b long"), "links")
+    discard(load, roles)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -250,12 +289,14 @@ def similarity_components(docs: DataFrame, words: int = 5, num: int = 80, den: i
     sigs = signatures(docs, words, num, den)
     classes = written(sigs.where("n > 0").groupBy("cls").agg(F.min("rid").alias("node"), F.min_by("doc_id", "rid").alias("doc_id")), "classes")
     n_classes = classes.count()
+    orders = sigs.select(F.col("rid").alias("node"), "second", "third")
     heads = sigs.select("rid", "n", "prefix").join(small_or_shuffled(classes.select(F.col("node").alias("rid")), n_classes), "rid", "left_semi")
     postings = heads.select(F.col("rid").alias("node"), "n", F.posexplode("prefix").alias("pos", "tok"))
     lists = postings.groupBy("tok").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("tok")
     shared = written(postings.join(lists, "tok"), "shared")
     n_nodes = shared.select("node").distinct().count()
     labels = tried = None
+    done: list[DataFrame] = []
 
     def fits(a: Column, i: Column, b: Column, j: Column) -> Column:
         """Whether sets of sizes a and b whose first common element stands at i and j can reach the threshold: by size,
@@ -290,10 +331,13 @@ def similarity_components(docs: DataFrame, words: int = 5, num: int = 80, den: i
         if tried is not None:
             pairs = pairs.join(tried, "key", "left_anti")
         pairs = written(pairs, "pairs")
+        discard(mine)
         tried = pairs.select("key") if tried is None else tried.unionByName(pairs.select("key"))
-        links = written(verify(pairs.select("a", "b", "n"), docs, classes, words, num, den), "links")
+        held = written(filtered(pairs.select("a", "b", "n"), orders), "candidates")
+        links = verify(held, docs, classes, words, num, den)
         fruitless = FRUITLESS * links.count() < pairs.count()
         labels = _relabelled(labels, links)
+        done += [pairs, held, links]
         turn += 1
     rows = sigs.select("rid", "doc_id", "n", "cls").join(classes.select("cls", "node"), "cls", "left")
     if labels is not None:
@@ -301,19 +345,23 @@ def similarity_components(docs: DataFrame, words: int = 5, num: int = 80, den: i
     else:
         rows = rows.withColumn("comp", F.col("node"))
     rows = written(rows.select("doc_id", "n", "comp"), "members")
-    least = rows.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    discard(sigs, classes, shared, *done)
+    # a table of its own: a join with it may split a component of very many rows, one after an aggregate could not
+    least = written(rows.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id")), "least")
     return rows.join(least, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def drop_near(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, text: str = "text", key: str = "doc_id") -> DataFrame:
     """docs with one row of each group of near duplicates (the smallest doc_id, null after all others); rows with an empty
     set stay. Rows are told apart by a number of their own, so repeated and null ids are rows like all others."""
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = similarity_components(numbered, words, num, den, text, "_row").where("n_shingles > 0")
-    rows = found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("comp"))
-    rows = written(rows.join(numbered.select("_row", F.col(key).alias("id")), "_row"), "rows")
-    groups = rows.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "_row")).alias("best"), F.count(F.lit(1)).alias("m"))
-    groups = written(groups.where("m > 1").select("comp", F.col("best._row").alias("kept")), "groups")
-    lost = rows.join(small_or_shuffled(groups, groups.count()), "comp").where("_row <> kept").select("_row")
+    row, ident, comp = fresh(docs.columns, "row_", "id_", "comp_")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = similarity_components(numbered, words, num, den, text, row).where("n_shingles > 0")
+    rows = found.select(F.col("doc_id").alias(row), F.col("component_id").alias(comp))
+    rows = written(rows.join(numbered.select(row, F.col(key).alias(ident)), row), "rows")
+    groups = rows.groupBy(comp).agg(F.min(F.struct(F.col(ident).isNull().alias("unknown"), F.col(ident).alias("ident"), F.col(row).alias("row"))).alias("best"), F.count(F.lit(1)).alias("m"))
+    groups = written(groups.where("m > 1").select(comp, F.col("best.row").alias("kept")), "groups")
+    lost = rows.join(small_or_shuffled(groups, groups.count()), comp).where(F.col(row) != F.col("kept")).select(row)
     lost = written(lost, "near")
-    return numbered.join(small_or_shuffled(lost, lost.count()), "_row", "left_anti").select(docs.columns)
+    discard(rows, groups)
+    return numbered.join(small_or_shuffled(lost, lost.count()), row, "left_anti").select(docs.columns)

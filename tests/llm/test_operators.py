@@ -464,3 +464,29 @@ def test_drop_exact_null_ids(spark):
     given = [(None, "a"), (None, "a"), (None, "b"), (1, "b"), (None, None), (None, ""), (2, "c"), (2, "c"), (2, "d")]
     kept = dedup.drop_exact(spark.createDataFrame(given, "doc_id long, text string")).collect()
     assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept) == [("1", "b"), ("2", "c"), ("2", "d"), ("None", ""), ("None", "a")]
+
+
+def test_drop_near_clashing_names(spark):
+    given = spark.createDataFrame([(1, "a b c d e f", 7, 8, 9, 0), (2, "a b c d e f", 7, 8, 9, 0)], "doc_id long, text string, row_ int, ID_ int, comp_ int, kept int")
+    out = jaccard.drop_near(given)
+    assert [r.asDict() for r in out.collect()] == [given.first().asDict()]
+
+
+def test_jaccard_orders_filter(spark):
+    """Sets that reach the threshold share prefix elements under orders 2 and 3; sets with one element in common seldom do."""
+    rng = np.random.default_rng(8)
+    new = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
+    base = new(200)
+    sets = [np.unique(x) for x in (base, np.concatenate([base[:195], new(5)]), np.concatenate([base[:1], new(199)]))]
+    rows = [(i, *(jaccard.other_order(s, k, jaccard.prefix_size(len(s), 90, 100)).tolist() for k in (2, 3))) for i, s in enumerate(sets)]
+    orders = spark.createDataFrame(rows, "node long, second array<int>, third array<int>")
+    pairs = spark.createDataFrame([(0, 1, 200), (0, 2, 200), (1, 2, 200)], "a long, b long, n long")
+    assert [tuple(r) for r in jaccard.filtered(pairs, orders).collect()] == [(0, 1, 200)]
+
+
+def test_frequent_is_bounded(spark, monkeypatch):
+    df = spark.createDataFrame([(f"x y z{i % 3} u{i}",) for i in range(90)], "text string")
+    monkeypatch.setattr(jaccard, "FREQUENT_FROM", 5)
+    assert len(jaccard.frequent(df, 2, 90, 100)) == 4  # "x y" of 90 texts, "y z0" to "y z2" of 30 each
+    monkeypatch.setattr(jaccard, "FREQUENT_MOST", 2)
+    assert len(jaccard.frequent(df, 2, 90, 100)) == 1
