@@ -3,7 +3,7 @@
 import hashlib
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -328,13 +328,85 @@ def test_packing(docs, none):
 
 
 def test_bm25_by_hand():
-    docs = [np.array([1, 2, 3, 3]), np.array([3, 4]), np.array([5, 6, 7])]
-    idf = np.ones(packing.VOCABULARY, np.float32)
-    score = packing.BlockIndex(docs, idf, 3.0).scores(0)
-    w = lambda tf, n: tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / 3))
+    terms, tfs = [np.array(x, np.uint32) for x in ([1, 2, 3], [3, 4], [5, 6, 7])], [np.array(x, np.uint8) for x in ([1, 1, 2], [1, 1], [1, 1, 1])]
+    weights = packing.Weights(np.array([3], np.uint32), np.array([2]), 3, 2, 3.0)
+    score = packing.ShardIndex(terms, tfs, [4, 2, 3], weights).scores(np.array([1, 2, 3, 99], np.uint32))
+    idf = np.log(1 + 1.5 / 2.5)
+    w = lambda tf, n: idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / 3))
     assert np.allclose(score, [2 * w(1, 4) + w(2, 4), w(1, 2), 0], atol=1e-5)
 
 
+def brute_bm25(texts):
+    """Scores of all documents for each, over all words that two or more hold, from the text itself."""
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    t.encode_special_tokens = True
+    words, sizes = [], []
+    for x in texts:
+        e = t.encode(x or "", add_special_tokens=False)
+        words.append(Counter(" ".join(e.tokens).replace("</w> ", "</w>\n").split("\n")) if e.tokens else Counter())
+        sizes.append(len(e.ids) + 1)
+    df, n, mean = Counter(w for d in words for w in d), len(texts), sum(sizes) / len(texts)
+    held = defaultdict(list)
+    for i, d in enumerate(words):
+        for w, tf in d.items():
+            held[w].append((i, np.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * sizes[i] / mean))))
+
+    def scores(q):
+        out = np.zeros(n)
+        for w in words[q]:
+            if df[w] > 1:
+                for i, s in held[w]:
+                    out[i] += s
+        return out
+
+    return scores
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_retrieval_recall(spark, sf, monkeypatch, small):
+    """Neighbours over several shards against brute force; with a bound on known words they stay close to it."""
+    monkeypatch.setattr(packing, "SHARD_DOCS", 20)
+    if small:
+        monkeypatch.setattr(packing, "KNOWN_TERMS", 3000)
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(120)
+    docs = table.collect()
+    tokens = packing.tokenized(spark.createDataFrame(docs, "doc_id long, text string"))
+    ids = {r["rid"]: r["doc_id"] for r in tokens.collect()}
+    ends = packing.word_ends()
+    found = defaultdict(set)
+    for r in packing.neighbours(tokens, packing.document_frequencies(tokens, ends), ends, 10, 64).collect():
+        found[ids[r["seed"]]].add(ids[r["rid"]])
+    scores, at = brute_bm25([r["text"] for r in docs]), {r["doc_id"]: i for i, r in enumerate(docs)}
+    assert len(found) > 60
+    recall = []
+    for seed, got_ in found.items():
+        s = scores(at[seed])
+        s[at[seed]] = 0
+        least = np.sort(s)[-10]
+        recall.append(sum(s[at[i]] >= least - 1e-4 for i in got_ if s[at[i]] > 0) / min(10, (s > 0).sum()))
+    assert np.mean(recall) >= (0.9 if small else 0.999)
+
+
+def test_windows_hold_neighbours(spark):
+    """A seed's window goes on with the documents that score highest for it; each document is used once."""
+    rng = np.random.default_rng(6)
+    letter = lambda i: chr(97 + i)  # noqa: E731  (the tokenizer cuts words at digits)
+    topics = [[letter(k) * 3 + letter(i % 26) + letter(i // 26) for i in range(30)] for k in range(12)]
+    docs = [(i, " ".join(rng.choice(topics[i % 12], 20))) for i in range(240)]
+    tokens = packing.tokenized(spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
+    ends = packing.word_ends()
+    topic = {r["rid"]: r["doc_id"] % 12 for r in tokens.collect()}
+    weights = packing.document_frequencies(tokens, ends)
+    got_ = packing.assigned(tokens, weights, ends, 512).collect()
+    assert sorted(r["rid"] for r in got_) == sorted(topic)
+    seeded = [r for r in got_ if r["seed"] >= 0]
+    assert all(topic[r["rid"]] == topic[r["seed"]] for r in seeded) and len(seeded) > 120
+    best = {}
+    for r in packing.neighbours(tokens, weights, ends, 240, 512).collect():
+        best[r["rid"]] = max(best.get(r["rid"], (0, 0)), (round(r["score"], 4), -r["seed"]))
+    assert all(best[r["rid"]] == (round(r["score"], 4), -r["seed"]) for r in seeded if r["rid"] != r["seed"])
+
+
 def test_licenses(spark, none):
     mit = "Copyright (c) 2020 Some Person\n\n" + licenses.MIT.upper().replace("SUBLICENSE", "sub" + "licence")
     df = spark.createDataFrame([(1, mit, "x"), (2, None, "x"), (3, "", "x"), (4, "text\nReleased under the MIT License.\nreleased under the mit licence\n", "x"), (4, "Copyright 2020 X", "x"), (5, licenses.MIT + " More.", "x")], "doc_id long, text string, digest string")
