@@ -103,6 +103,50 @@ def test_language(spark, sf, docs, none):
     assert len(langid.label_positions(model, "été und")) == 9
 
 
+def test_language_forward_pass_by_hand():
+    """Label probabilities against a plain loop over the bytes of a text, each layer from CONTEXT bytes before a window."""
+    m = langid.train(["abc def", "xyz uvw"], ["a", "b"], steps=3, hidden=4)
+    text = "".join(chr(97 + i * i % 26) + " " * (i % 5 == 0) for i in range(150)) + "é"
+    raw = [langid._FOLD[b] for b in text.encode()]
+    soft = lambda v: v / (1 + np.abs(v))
+
+    def step(d, h, byte):
+        (tz, tr, tn), (uz, ur, un) = m.tables[d], m.recur[d]
+        z, r = (soft(t[byte] + h @ u) / 2 + 0.5 for t, u in ((tz, uz), (tr, ur)))
+        n = soft(tn[byte] + (r * h) @ un)
+        return z * h + (1 - z) * n
+
+    want = []
+    for a in range(0, len(raw), langid.WINDOW):
+        b = min(len(raw), a + langid.WINDOW)
+        sides = []
+        for d, at in ((0, range(max(0, a - langid.CONTEXT), b)), (1, range(min(len(raw), b + langid.CONTEXT) - 1, a - 1, -1))):
+            h, states = np.zeros(4), {}
+            for i in at:
+                h = states[i] = step(d, h, raw[i])
+            sides.append(states)
+        for i in range(a, b):
+            e = np.exp(np.concatenate([sides[0][i], sides[1][i]]) @ m.out + m.bias)
+            want.append(e / e.sum())
+    mean = np.mean(want, axis=0)
+    (lang,), (score,) = langid.predict(m, [text])
+    assert lang == m.langs[int(mean.argmax())] and abs(score - mean.max()) < 1e-4
+    assert langid.label_positions(m, text) == [m.langs[int(p.argmax())] for p in want]
+
+
+def test_language_sample_is_bounded(spark):
+    rows_ = [(i, f"text {i} {'x' * (i % 7)}", "ab"[i % 2]) for i in range(3000)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, lang string").repartition(6)
+    seen = []
+    real, langid.train = langid.train, lambda pieces, labels: seen.append(len(pieces))
+    try:
+        langid.learn(df, sample_rows=100)
+        langid.learn(df.withColumn("doc_id", F.lit(1)), sample_rows=100)
+    finally:
+        langid.train = real
+    assert seen == [100, 100]
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     m = langid.train(["abc", "xyz"], ["a", "b"], steps=1, hidden=3)
