@@ -1,16 +1,19 @@
 """Main text of web pages by minimum-cut labelling.
 
-A page is cut into text blocks at block-level tags. A linear classifier on tags, class and id words, link density and
-length gives each block a cost for being content and one for being boilerplate: the capacities to the two terminals.
-Neighbouring blocks, and blocks of one container, are joined by smoothness edges. The minimum cut, found by maximum
-flow, separates content from boilerplate. Each page is labelled alone inside mapInPandas.
+A page is cut into text blocks at block-level tags. A linear classifier gives each block a score: what the structure
+around it says (tags, class and id words), bounded, plus the log-odds that its own text is content, which a logistic
+regression on length, links and punctuation gives. The regression is fitted to blocks of a bounded sample of pages whose
+structure leaves no doubt. Scores become the capacities to the two terminals. Neighbouring blocks, and blocks near each
+other in the tree, are joined by smoothness edges, the stronger the fewer steps lie between them. The minimum cut, found
+by maximum flow, separates content from boilerplate. Each page is labelled alone inside mapInArrow.
 
 A class, id or role of boilerplate, or a form, does not count for an element that wraps the page's content, and names of
 layout states (has-sidebar) do not count at all.
 
 Defined results: null html is empty; a page without content blocks has empty text; unclosed or stray tags are
-tolerated, and an unclosed head, title, select or noscript does not end the page; pages of any length are read whole; repeated rows are handled separately; an empty table gives an empty
-result; other columns are not read.
+tolerated, and an unclosed head, title, select or noscript does not end the page; pages of any length and depth are read
+whole, in time proportional to their length; a block that ties between both sides is boilerplate; repeated rows are
+handled separately; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -18,10 +21,12 @@ from __future__ import annotations
 import html
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import with_computed
 
@@ -51,14 +56,44 @@ BAD = re.compile(r"\b(ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|foot
 #: Names that tell of a page's layout or state, not of the element that has them.
 STATE = re.compile(r"(?:has|no|is|with|without|hide|show)-.*|.*-(?:with|without|has|no)-.*|.*-(?:open|opened|closed|active|enabled|disabled|collapsed|expanded|fixed)", re.I)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
-NEXT_TO, SAME_PARENT = 0.6, 0.8
+#: Smoothness: between blocks that follow each other, and between blocks of one container, or of containers that are
+#: further apart in the tree (divided by the steps between them).
+NEXT_TO, NEAR = 0.6, 0.8
+#: What structure can say for or against a block, so that a cut can outweigh a single wrong sign, and what text can.
+STRUCTURE, TEXT = 12.0, 3.0
+#: Pages that the regression on texts is fitted to.
+SAMPLE_PAGES = 300
+#: Weights of text_features before any fit.
+TEXT_WEIGHTS = (-0.6, -4.0, 2.0, 0.0, 0.0)
 
 
 @dataclass
 class Block:
     text: str
-    score: float
-    parent: int
+    structure: float
+    features: tuple[float, ...]
+    place: tuple[int, int]  # the container and the container's container
+    score: float = 0.0
+
+
+@dataclass
+class Open:
+    """An open element and what holds for text in it: sums and nearest elements of it and its ancestors."""
+
+    tag: str
+    number: int
+    total: float  # weights
+    place: tuple[int, int]
+    article: bool
+    against: bool  # a weight or doubt of boilerplate
+    doubt: int  # the innermost element in doubt, 0 for none
+    solid: int  # depth of the innermost element that is not inline
+
+
+def text_features(text: str, linked: float) -> tuple[float, ...]:
+    """One, share of letters in links, length, sentence ends, share of capitals."""
+    n = len(text)
+    return 1.0, linked, min(1.0, n / 400), min(4, sum(map(text.count, ".!?"))) / 4, sum(map(str.isupper, text[:200])) / min(n, 200)
 
 
 def _weight(tag: str, attrs: str, in_article: bool) -> tuple[float, float]:
@@ -100,36 +135,34 @@ def _tokens(page: str) -> Iterator[re.Match]:
 
 
 def blocks(page: str) -> list[Block]:
-    """The text blocks of a page with the classifier's score of each (positive: content)."""
+    """The text blocks of a page with what structure and text say of each (positive: content)."""
     out: list[Block] = []
-    stack: list[tuple[str, float, int]] = []  # tag, weight, number
+    root = Open("", 0, 0.0, (0, 0), False, False, 0, 0)
+    stack = [root]
+    depths: dict[str, list[int]] = {}  # of open elements by tag
     words: list[str] = []
-    linked = links = made = 0
-    # elements in doubt: number -> (what they lose, letters and heads of content before them); of closed ones, what they hold
-    doubts: dict[int, tuple[float, int, int]] = {}
+    linked = made = 0
+    # elements in doubt: what they lose, the one around them, letters and heads before them; of closed ones, what they hold
+    doubts: dict[int, tuple[float, int, int, int]] = {}
     held: dict[int, tuple[int, int]] = {}
-    doubted: list[tuple[int, ...]] = []  # of each block
+    inner: list[int] = []  # the innermost element in doubt of each block
     letters = heads = 0
 
     def flush() -> None:
         nonlocal words, linked
         text = " ".join(html.unescape("".join(words)).split())
         if text:
-            total = max(1, sum(map(len, words)))
-            own = sum(w for _, w, _ in stack)
-            score = own - 4.0 * linked / total + min(2.0, len(text) / 200) - 0.6
-            holder = next((n for t, _, n in reversed(stack) if t not in ("p", "li", "b") and t not in INLINE), 0)
-            out.append(Block(text, score, holder))
-            doubted.append(tuple(n for _, _, n in stack if n in doubts) if doubts else ())
+            top = stack[-1]
+            out.append(Block(text, top.total, text_features(text, linked / max(1, sum(map(len, words)))), top.place))
+            inner.append(top.doubt)
         words, linked = [], 0
 
     def close(at: int) -> None:
-        nonlocal links
-        links -= sum(t == "a" for t, _, _ in stack[at:])
-        for _, _, n in stack[at:]:
-            if n in doubts:
-                held[n] = letters - doubts[n][1], heads - doubts[n][2]
-        del stack[at:]
+        while len(stack) > at:
+            e = stack.pop()
+            depths[e.tag].pop()
+            if e.number in doubts:
+                held[e.number] = letters - doubts[e.number][2], heads - doubts[e.number][3]
 
     for m in _tokens(page):
         token = m[0]
@@ -138,36 +171,80 @@ def blocks(page: str) -> list[Block]:
             if tag not in INLINE:
                 flush()
             if m[2]:
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if at is not None:
-                    close(at)
+                if depths.get(tag):
+                    close(depths[tag][-1])
             elif tag not in VOID and not token.endswith("/>"):
-                if tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6") and stack:
+                if tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6"):
                     # a block in a paragraph ends it, with the inline tags left open in it
-                    at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == ("li" if tag == "li" else "p")), None)
-                    if at is not None and all(t in INLINE for t, _, _ in stack[at + 1 :]):
+                    at = (depths.get("li" if tag == "li" else "p") or [None])[-1]
+                    if at is not None and stack[-1].solid <= at:
                         close(at)
                 made += 1
-                links += tag == "a"
-                weight, doubt = _weight(tag, m[4] or "", any(t == "article" for t, _, _ in stack))
+                top = stack[-1]
+                weight, doubt = _weight(tag, m[4] or "", top.article)
                 if doubt:
-                    doubts[made] = doubt, letters, heads
+                    doubts[made] = doubt, top.doubt, letters, heads
                 # the head of content: a main or article that no ancestor speaks against
-                heads += tag in ("article", "main") and not doubt and not any(w <= -20 or n in doubts for _, w, n in stack)
-                stack.append((tag, weight, made))
+                heads += tag in ("article", "main") and not doubt and not top.against
+                holds = tag not in INLINE and tag not in ("p", "li")
+                depths.setdefault(tag, []).append(len(stack))
+                stack.append(Open(
+                    tag, made, top.total + weight, (made, top.place[0]) if holds else top.place, top.article or tag == "article",
+                    top.against or weight <= -20 or bool(doubt), made if doubt else top.doubt, top.solid if tag in INLINE else len(stack),
+                ))
         elif token[0] != "<" or token == "<":
             words.append(token)
             letters += len(token.strip())
-            linked += len(token) if links else 0
+            linked += len(token) if depths.get("a") else 0
     flush()
-    close(0)
-    # a wrapper holds most of the text, and no head of content stands beside it
-    lost = {n: d for n, (d, _, _) in doubts.items() if 2 * held[n][0] <= letters or held[n][1] < heads}
-    for b, numbers in zip(out, doubted, strict=True):
-        b.score += sum(lost.get(n, 0.0) for n in numbers)
+    close(1)
+    # a wrapper holds most of the text, and no head of content stands beside it; elements in doubt are numbered outside in
+    lost = {0: 0.0}
+    for n, (d, around, _, _) in doubts.items():
+        lost[n] = lost[around] + (d if 2 * held[n][0] <= letters or held[n][1] < heads else 0.0)
+    for b, n in zip(out, inner, strict=True):
+        b.structure += lost[n]
     return out
 
 
+def scored(found: list[Block], weights: Sequence[float] = TEXT_WEIGHTS) -> list[Block]:
+    """The blocks with their scores."""
+    for b in found:
+        said = sum(w * x for w, x in zip(weights, b.features, strict=True))
+        b.score = max(-STRUCTURE, min(STRUCTURE, b.structure)) + max(-TEXT, min(TEXT, said))
+    return found
+
+
+def fit_texts(pages: list[str], steps: int = 300) -> tuple[float, ...]:
+    """Weights of a logistic regression, by gradient descent, on the texts of blocks whose structure is beyond doubt; both
+    classes weigh the same. The first weights where one class is missing."""
+    found = [b for p in pages for b in blocks(p) if abs(b.structure) >= 4]
+    x, y = np.array([b.features for b in found]), np.array([b.structure > 0 for b in found], float)
+    if not 0 < y.sum() < len(y):
+        return TEXT_WEIGHTS
+    share = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    w = np.array(TEXT_WEIGHTS)
+    for _ in range(steps):
+        w -= 4.0 * (x.T @ (share * (1 / (1 + np.exp(-x @ w)) - y)) + 0.001 * w)
+    return tuple(map(float, w))
+
+
+def smoothness(found: list[Block]) -> list[tuple[int, int, float]]:
+    """Edges: between blocks that follow each other; between each block and the last one before it of the same container,
+    or of a container beside or around it (two steps)."""
+    edges = [(i, i + 1, NEXT_TO) for i in range(len(found) - 1)]
+    last: dict[int, int] = {}
+    beside: dict[int, int] = {}
+    for i, b in enumerate(found):
+        here, around = b.place
+        if here in last:
+            edges.append((last[here], i, NEAR))
+        elif around in beside:
+            edges.append((beside[around], i, NEAR / 2))
+        last[here] = beside[around] = i
+    return edges
+
+
 def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Which nodes stay on the source's side: Dinic's maximum flow over terminal and smoothness capacities."""
     n = len(source)
@@ -228,24 +305,35 @@ def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, i
                 cap[e ^ 1] += flow
 
 
-def main_text(page: str | None) -> str:
+def labels(found: list[Block]) -> list[bool]:
+    """Which scored blocks the minimum cut leaves on the side of content."""
+    return minimum_cut([max(b.score, 0.0) for b in found], [max(-b.score, 0.0) for b in found], smoothness(found))
+
+
+def main_text(page: str | None, weights: Sequence[float] = TEXT_WEIGHTS) -> str:
     """The content blocks of a page, one to a line."""
-    found = blocks(page or "")
-    edges = [(i, i + 1, NEXT_TO) for i in range(len(found) - 1)]
-    last: dict[int, int] = {}
-    for i, b in enumerate(found):
-        if b.parent in last:
-            edges.append((last[b.parent], i, SAME_PARENT))
-        last[b.parent] = i
-    content = minimum_cut([max(b.score, 0.0) for b in found], [max(-b.score, 0.0) for b in found], edges)
-    return "\n".join(b.text for b, c in zip(found, content, strict=True) if c)
+    found = scored(blocks(page or ""), weights)
+    return "\n".join(b.text for b, c in zip(found, labels(found), strict=True) if c)
+
 
+def learn(pages: DataFrame, column: str = "html", key: str = "page_id", sample_pages: int = SAMPLE_PAGES) -> tuple[float, ...]:
+    """Text weights from at most sample_pages pages, drawn by a hash of the key."""
+    given = pages.where(F.col(column) != "")
+    h = F.xxhash64(F.lit("page"), key)
+    share = min(1.0, 1.2 * sample_pages / max(1, given.count()) + 0.0001)
+    some = given.select(h.alias("h"), F.col(column).alias("html")).where(F.col("h").cast("double") <= (2 * share - 1) * 2.0**63)
+    return fit_texts([r["html"] for r in some.orderBy("h", "html").limit(sample_pages).collect()])
 
-def extract_pages(pages: DataFrame, column: str = "html", key: str = "page_id", url: str = "url") -> DataFrame:
+
+def extract_pages(pages: DataFrame, column: str = "html", key: str = "page_id", url: str = "url", weights: Sequence[float] = TEXT_WEIGHTS) -> DataFrame:
     """Per input row: page_id, url, text (main text), n_chars (its code points)."""
 
     def make():
-        return lambda pages: {"text": t, "n_chars": [*map(len, t)]} if (t := [main_text(p) for p in pages]) else {"text": [], "n_chars": []}
+        def compute(cells: list) -> dict[str, list]:
+            texts = [main_text(p, weights) for p in cells]
+            return {"text": texts, "n_chars": [*map(len, texts)]}
+
+        return compute
 
     slim = pages.selectExpr(f"`{key}` AS page_id", f"`{url}` AS url", f"`{column}` AS html")
     return with_computed(slim, "html", make, {"text": "string", "n_chars": "long"})

@@ -27,7 +27,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_mincut.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html_mincut.extract_pages(pages, weights=html_mincut.learn(pages))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

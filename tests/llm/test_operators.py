@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -209,6 +210,42 @@ def test_html_boilerplate_stays_out():
     assert html_mincut.main_text("<body><head><title>T</title></head>" + inside + beside) == "A title\nThe text of the page."
 
 
+def test_html_deep_pages_are_linear():
+    def took(n):
+        page = "<div class=x><b>" * n + "text" + "<p>more</p></i>" * n
+        best = []
+        for _ in range(3):
+            began = time.perf_counter()
+            html_mincut.main_text(page)
+            best.append(time.perf_counter() - began)
+        return min(best)
+
+    assert took(8000) < 10 * took(2000)
+
+
+def test_html_cut_repairs_labels():
+    """A page without telling tags: short lines among long ones are boilerplate by their own sign, content by the cut."""
+    long = "This is a longer line that goes on, and on, for quite a while. " * 4
+    page = f"<body><div><div>{long}</div><div>{long}</div><div>Then.</div><div>{long}</div><div>So?</div><div>{long}</div></div><ul><li><a href=/>Home</a><li><a href=/>News</a></ul>"
+    found = html_mincut.scored(html_mincut.blocks(page))
+    kept = html_mincut.labels(found)
+    changed = [b.text for b, c in zip(found, kept, strict=True) if c != (b.score > 0)]
+    assert changed == ["Then.", "So?"]
+    assert html_mincut.main_text(page) == "\n".join([long.strip(), long.strip(), "Then.", long.strip(), "So?", long.strip()])
+
+
+def test_html_learns_texts(spark, sf):
+    """Fitted on pages with plain structure, the regression tells texts of articles from menus without any tags."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    weights = html_mincut.learn(pages, sample_pages=60)
+    said = lambda t, linked: sum(w * x for w, x in zip(weights, html_mincut.text_features(t, linked), strict=True))
+    assert said("A sentence of some length. Another one follows it, and a third, which ends here. " * 4, 0.0) > 0 > said("Home", 1.0)
+    plain = {r["page_id"]: r["text"] for r in html_mincut.extract_pages(pages).collect()}
+    fitted = html_mincut.extract_pages(pages, weights=weights)
+    assert {r["page_id"]: r["text"] for r in fitted.collect()} == plain
+    assert html_mincut.learn(pages.limit(0)) == html_mincut.TEXT_WEIGHTS
+
+
 def test_minimum_cut_is_minimal():
     rng = np.random.default_rng(1)
     for _ in range(50):
