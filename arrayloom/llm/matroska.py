@@ -3,11 +3,16 @@
 Parsing follows variable-length EBML elements down through Segment, Tracks, Cues and Clusters, undoes block lacing
 (none, Xiph, EBML, fixed size) and yields one row per packet with track, timestamp and byte range in the file.
 Writing gives a small lossless file: one 8-bit mono PCM track, clusters with laced blocks, and a cue per cluster.
-Work is per cell inside mapInPandas, so Spark spreads files over tasks; a cell is never split.
+Work is per cell inside tasks, so Spark spreads files over them; a cell is never split.
+
+Clusters and segments of unknown size, as live writers leave them, end where an element follows that cannot stand in
+them. The frames of a laced block follow each other by their track's default duration; without one they share the
+block's time.
 
 Defined results: null text is empty; an empty payload is one unit of zero bytes; a cell that is null or damaged gives
-no packets (the rest of the column goes on); repeated rows are handled separately; an empty table gives an empty
-result; other columns are not read.
+no packets, and its row of features has the feature `damaged` and nulls for its payload (the rest of the column goes
+on); repeated rows are handled separately; files of any length are read whole; an empty table gives an empty result;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +31,9 @@ EBML, SEGMENT, INFO, TRACKS, TRACK, CUES, CLUSTER = 0x1A45DFA3, 0x18538067, 0x15
 DOC_TYPE, SCALE, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC, AUDIO, RATE, CHANNELS, DEPTH = 0x4282, 0x2AD7B1, 0xD7, 0x73C5, 0x83, 0x86, 0xE1, 0xB5, 0x9F, 0x6264
 CLUSTER_TIME, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK = 0xE7, 0xA3, 0xA0, 0xA1
 CUE_POINT, CUE_TIME, CUE_TRACKS, CUE_TRACK, CUE_CLUSTER = 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
+DEFAULT_DURATION, SEEK_HEAD, CHAPTERS, TAGS, ATTACHMENTS = 0x23E383, 0x114D9B74, 0x1043A770, 0x1254C367, 0x1941A469
+#: Elements of a segment: any of them ends a cluster of unknown size.
+OF_SEGMENT = {INFO, TRACKS, CUES, CLUSTER, SEEK_HEAD, CHAPTERS, TAGS, ATTACHMENTS}
 PARENTS = {SEGMENT, INFO, TRACKS, TRACK, AUDIO, CUES, CLUSTER, BLOCK_GROUP, CUE_POINT, CUE_TRACKS}
 #: Payload unit; sample rate; bytes of a frame, frames of a laced block and blocks of a cluster when writing.
 UNIT, SAMPLE_RATE, FRAME, LACED, BLOCKS = 64, 8000, 800, 8, 16
@@ -58,16 +66,29 @@ def read_vint(data: bytes, at: int, marker: bool = False) -> tuple[int, int, int
     return v if marker else v & (1 << 7 * n) - 1, at + n, n
 
 
-def walk(data: bytes, at: int, end: int) -> Iterator[tuple[int, int, int, int]]:
-    """(id, start, body start, body end) of the elements in data[at:end]; an unknown size reaches to the end."""
-    while at < end:
+def walk(data: bytes) -> Iterator[tuple[int, int, int, int]]:
+    """(id, start, body start, body end) of all elements of a file in order, parents before what they hold."""
+    at, ends = 0, [(len(data), 0, True)]  # of the open parents: end, id, whether the size is known
+    while at < len(data):
+        while at >= ends[-1][0] and len(ends) > 1:
+            ends.pop()
         kind, body, _ = read_vint(data, at, marker=True)
         n, body, k = read_vint(data, body)
-        stop = end if n == (1 << 7 * k) - 1 else body + n
+        while not ends[-1][2] and (kind in OF_SEGMENT if ends[-1][1] == CLUSTER else kind in (EBML, SEGMENT)):
+            ends.pop()
+        end, _, _ = ends[-1]
+        known = n != (1 << 7 * k) - 1
+        if not known and kind not in (SEGMENT, CLUSTER):
+            raise ValueError("element of unknown size")
+        stop = body + n if known else end
         if stop > end:
             raise ValueError("element reaches beyond its parent")
         yield kind, at, body, stop
-        at = stop
+        if kind in PARENTS:
+            ends.append((stop, kind, known))
+            at = body
+        else:
+            at = stop
 
 
 def laced(frames: list[bytes], how: int) -> bytes:
@@ -127,7 +148,7 @@ def mux(payload: bytes) -> bytes:
         clusters.append(element(CLUSTER, body))
     info = element(INFO, element(SCALE, number(1_000_000)))
     audio = element(AUDIO, element(RATE, b"\x45\xfa\x00\x00") + element(CHANNELS, b"\x01") + element(DEPTH, b"\x08"))
-    tracks = element(TRACKS, element(TRACK, element(TRACK_NUMBER, b"\x01") + element(TRACK_UID, b"\x01") + element(TRACK_TYPE, b"\x02") + element(CODEC, b"A_PCM/INT/LIT") + audio))
+    tracks = element(TRACKS, element(TRACK, element(TRACK_NUMBER, b"\x01") + element(TRACK_UID, b"\x01") + element(TRACK_TYPE, b"\x02") + element(DEFAULT_DURATION, number(FRAME * 1_000_000_000 // SAMPLE_RATE)) + element(CODEC, b"A_PCM/INT/LIT") + audio))
     # cues stand after the clusters, whose places are then known
     at, cues = len(info) + len(tracks), b""
     for t, c in zip(times, clusters, strict=True):
@@ -138,29 +159,35 @@ def mux(payload: bytes) -> bytes:
 
 def packets(data: bytes) -> list[tuple]:
     """(track, cluster, timestamp_ms, lacing, keyframe, start, end, cued) of each packet in file order."""
-    found, cued, starts, scale, state = [], set(), [], 1_000_000, {"base": 0}
-
-    def down(at: int, end: int, segment: int) -> None:
-        nonlocal scale
-        for kind, start, body, stop in walk(data, at, end):
-            if kind == CLUSTER:
-                starts.append(start - segment)
-            if kind in PARENTS:
-                down(body, stop, body if kind == SEGMENT else segment)
-            elif kind == SCALE:
-                scale = int.from_bytes(data[body:stop], "big")
+    found, cued, starts, durations = [], set(), [], {}
+    scale, base, segment, track, duration = 1_000_000, 0, 0, None, None
+    for kind, start, body, stop in walk(data):
+        if kind == SEGMENT:
+            segment = body
+        elif kind == CLUSTER:
+            starts.append(start - segment)
+        elif kind == TRACK:
+            track = duration = None
+        elif kind in (SCALE, CLUSTER_TIME, CUE_CLUSTER, TRACK_NUMBER, DEFAULT_DURATION):
+            value = int.from_bytes(data[body:stop], "big")
+            if kind == SCALE:
+                scale = value
             elif kind == CLUSTER_TIME:
-                state["base"] = int.from_bytes(data[body:stop], "big")
+                base = value
             elif kind == CUE_CLUSTER:
-                cued.add(int.from_bytes(data[body:stop], "big"))
-            elif kind in (SIMPLE_BLOCK, BLOCK):
-                track, head, _ = read_vint(data, body)
-                time, flags = int.from_bytes(data[head : head + 2], "big", signed=True), data[head + 2]
-                how = flags >> 1 & 3
-                for a, b in unlaced(data, head + 3, stop, how):
-                    found.append((track, len(starts) - 1, (state["base"] + time) * scale // 1_000_000, how, kind == SIMPLE_BLOCK and flags >= 0x80, a, b))
-
-    down(0, len(data), 0)
+                cued.add(value)
+            else:
+                track, duration = (value, duration) if kind == TRACK_NUMBER else (track, value)
+                if track is not None and duration is not None:
+                    durations[track] = duration
+        elif kind in (SIMPLE_BLOCK, BLOCK):
+            number_, head, _ = read_vint(data, body)
+            if head + 3 > stop:
+                raise ValueError("damaged block")
+            time, flags = int.from_bytes(data[head : head + 2], "big", signed=True), data[head + 2]
+            how, each = flags >> 1 & 3, durations.get(number_, 0)
+            for i, (a, b) in enumerate(unlaced(data, head + 3, stop, how)):
+                found.append((number_, len(starts) - 1, ((base + time) * scale + i * each) // 1_000_000, how, kind == SIMPLE_BLOCK and flags >= 0x80, a, b))
     return [(*p, starts[p[1]] in cued if p[1] >= 0 else False) for p in found]
 
 
@@ -199,9 +226,15 @@ def packet_table(media: DataFrame, column: str = "media", key: str = "doc_id") -
 
 def media_features(media: DataFrame, column: str = "media", key: str = "doc_id") -> DataFrame:
     """Per file: doc_id, n_bytes, payload (bytes of all packets read back): size, SHA-256, CRC-32 of the last UNIT; the
-    file's size and SHA-256; feature (packets, clusters, cued clusters, tracks, last timestamp, lacing kinds, mean sample)."""
-    def row(data: bytes) -> tuple:
-        got = packets(data)
+    file's size and SHA-256; feature (packets, clusters, cued clusters, tracks, last timestamp, lacing kinds, mean sample;
+    `damaged` for a cell that is null or no whole file)."""
+
+    def row(data: bytes | None) -> tuple:
+        try:
+            got = packets(data or b"\x00")
+        except (ValueError, IndexError):
+            file = (None, None) if data is None else (len(data), hashlib.sha256(data).hexdigest())
+            return None, None, None, *file, "damaged"
         payload = b"".join([data[p[5] : p[6]] for p in got])
         kinds = "".join(str(k) for k in sorted({p[3] for p in got}))
         cued = len({p[1] for p in got if p[7]})
@@ -213,5 +246,5 @@ def media_features(media: DataFrame, column: str = "media", key: str = "doc_id")
     def make():
         return lambda cells: {f: [r[i] for r in rows] for rows in [[row(m) for m in cells]] for i, f in enumerate(fields)}
 
-    slim = media.selectExpr(f"`{key}` AS doc_id", "n_bytes", f"`{column}` AS media").where("media IS NOT NULL")
+    slim = media.selectExpr(f"`{key}` AS doc_id", "n_bytes", f"`{column}` AS media")
     return with_computed(slim, "media", make, fields)

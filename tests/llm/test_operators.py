@@ -89,6 +89,32 @@ def test_matroska_damaged(spark):
     assert matroska.packet_table(bad).count() == 0
 
 
+def test_matroska_features_of_damaged_cells(spark):
+    good = matroska.mux(b"x" * 64)
+    table = spark.createDataFrame([(1, 64, None), (2, 64, b"\x00\x01"), (3, 64, good[:-9]), (4, 64, good), (5, 0, b"")], "doc_id long, n_bytes long, media binary")
+    out = {r["doc_id"]: r for r in got(matroska.media_features(table))}
+    assert {i for i, r in out.items() if r["feature"] == "damaged" and r["payload_bytes"] is None} == {1, 2, 3, 5}
+    assert out[4]["payload_bytes"] == 64 and out[1]["media_bytes"] is None and out[3]["media_bytes"] == len(good) - 9
+
+
+def test_matroska_live_file_and_lace_times():
+    """A file built by hand as live writers do: segment and clusters of unknown size, a block group, no cues."""
+    e, live = matroska.element, lambda kind: kind.to_bytes((kind.bit_length() + 7) // 8, "big") + b"\x01" + b"\xff" * 7
+    track = e(matroska.TRACK, e(matroska.TRACK_NUMBER, b"\x03") + e(matroska.DEFAULT_DURATION, matroska.number(20_000_000)))
+    clusters = b""
+    for c in range(1500):
+        block = bytes([0x83, 0, 5, 0x80 | matroska.FIXED << 1, 2]) + bytes([c % 256]) * 3
+        clusters += live(matroska.CLUSTER) + e(matroska.CLUSTER_TIME, matroska.number(c * 100)) + e(matroska.SIMPLE_BLOCK, block)
+    clusters += live(matroska.CLUSTER) + e(matroska.CLUSTER_TIME, b"\x07") + e(matroska.BLOCK_GROUP, e(matroska.BLOCK, b"\x83\xff\xfe\x00zz"))
+    data = e(matroska.EBML, e(matroska.DOC_TYPE, b"matroska")) + live(matroska.SEGMENT) + e(matroska.INFO, e(matroska.SCALE, matroska.number(1_000_000))) + e(matroska.TRACKS, track) + clusters + e(matroska.TAGS, b"")
+    got_ = matroska.packets(data)
+    assert len(got_) == 4501 and {p[0] for p in got_} == {3} and got_[-2][1] == 1499 and got_[-1][1] == 1500
+    assert [p[2] for p in got_[3:6]] == [105, 125, 145] and got_[-1][2] == 5
+    assert [data[p[5] : p[6]] for p in got_[3:6]] == [b"\x01"] * 3 and data[got_[-1][5] : got_[-1][6]] == b"zz"
+    times = [p[2] for p in matroska.packets(matroska.mux(bytes(20000)))]
+    assert times == [i * 100 for i in range(25)]
+
+
 def test_language(spark, sf, docs, none):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     table = spark.read.parquet(f"{sf}/documents.parquet")
