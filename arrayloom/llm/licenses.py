@@ -3,11 +3,13 @@
 A text is brought to a canonical form (ASCII lower case, copyright lines dropped, equivalent spellings replaced,
 punctuation and white space folded) and its SHA-256 is looked up among the digests of known licence texts. Units are
 the entire document and each entire line of it, so a notice standing as a line of its own is found as well as a
-document that is a licence. All of it is DataFrame code; the known texts pass through the same expressions, and their
+document that is a licence. A text is brought to the form once, with its line breaks; both units are cut from that. Of
+lines, only those as long as a known text are hashed, since others cannot be equal to one. All of it is DataFrame code; the known texts pass through the same expressions, and their
 table is broadcast because its size is that of a fixed list.
 
 Defined results: null or empty text has no licence; a text of copyright lines alone is canonically empty and matches
-nothing; repeated lines count once; rows that repeat a doc_id are reported separately; an empty table gives an empty
+nothing; a line that stands several times counts as often; very long texts are read whole; a form that stands for
+several licences counts as the first in order; rows that repeat a doc_id are reported separately; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -90,39 +92,50 @@ SPELLINGS = (
     ("v", "version"),
     ("https", "http"),
 )
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*(?:[0-9]{4}|all rights reserved)[^\n]*$"
+COPYRIGHT_LINE = r"^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*(?:[0-9]{4}|all rights reserved)[^\n]*$"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form: words of ASCII letters, digits and non-ASCII characters, each followed by one space."""
-    out = F.regexp_replace(F.translate(text, UPPER, LOWER), COPYRIGHT_LINE, " ")
-    out = F.concat(F.lit(" "), F.regexp_replace(out, r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", " "), F.lit(" "))
+def canonical_lines(text: Column) -> Column:
+    """The words of a text (ASCII letters, digits and non-ASCII characters) in canonical form, line by line. Two spaces
+    stand between words, one for each, so that equal words side by side are replaced alike."""
+    # lines end at line feeds only (d), as elsewhere
+    out = F.regexp_replace(F.translate(text, UPPER, LOWER), f"(?md){COPYRIGHT_LINE}", " ")
+    out = F.regexp_replace(out, r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f]+", "  ")
+    out = F.concat(F.lit(" "), F.replace(out, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.trim(out)
+    return out
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; null if that is empty."""
-    form = canonical(text)
+def canonical(lines: Column) -> Column:
+    """Canonical lines as one text with a space between words."""
+    return F.trim(F.regexp_replace(lines, "[ \n]+", " "))
+
+
+def _digest(form: Column) -> Column:
+    """SHA-256 of a canonical form; null if that is empty."""
     return F.when(form != "", F.sha2(form, 256))
 
 
 def known_licenses(spark: SparkSession, known: tuple = KNOWN) -> DataFrame:
-    """(digest, license_id), one row per digest; a fixed list of texts, so its size is bounded."""
-    return spark.createDataFrame(list(known), "license_id string, body string").groupBy(digest(F.col("body")).alias("digest")).agg(F.min("license_id").alias("license_id"))
+    """(digest, license_id, n: characters), one row per digest; a fixed list of texts, so its size is bounded."""
+    forms = spark.createDataFrame(list(known), "license_id string, body string").select("license_id", canonical(canonical_lines(F.col("body"))).alias("form"))
+    return forms.where("form <> ''").groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license_id").alias("license_id"), F.first(F.length("form")).alias("n"))
 
 
 def license_scan(docs: DataFrame, text: str = "text", key: str = "doc_id", known: tuple | None = None) -> DataFrame:
     """Per input row: doc_id, text_digest (canonical, null if empty), license_id (of the whole text, else null),
     line_licenses (licences of whole lines, sorted, comma-joined, '' if none), n_line_hits (lines that match)."""
-    table = F.broadcast(known_licenses(docs.sparkSession, KNOWN + LATER + whole_texts() if known is None else known))
-    base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    whole = base.select("rid", "doc_id", digest(F.col("text")).alias("text_digest"))
-    whole = written(whole.join(table.withColumnRenamed("digest", "text_digest"), "text_digest", "left"), "license-texts")
-    lines = base.where("text is not null").select("rid", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("rid", digest(F.col("line")).alias("digest")).join(table, "digest")
+    table = known_licenses(docs.sparkSession, KNOWN + LATER + whole_texts() if known is None else known)
+    lengths = sorted(r["n"] for r in table.select("n").distinct().collect())
+    table = F.broadcast(table.drop("n"))
+    base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("doc_id"), canonical_lines(F.col(text)).alias("lines"))
+    base = base.select("rid", "doc_id", canonical(F.col("lines")).alias("form"), F.transform(F.split("lines", "\n"), lambda x: F.trim(F.replace(x, F.lit("  "), F.lit(" ")))).alias("lines"))
+    alike = F.filter("lines", lambda x: F.length(x).isin(lengths))
+    base = written(base.select("rid", "doc_id", _digest(F.col("form")).alias("text_digest"), F.transform(alike, lambda x: F.sha2(x, 256)).alias("lines")), "license-digests")
+    whole = base.drop("lines").join(table.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
+    lines = base.select("rid", F.explode("lines").alias("digest")).join(table, "digest")
     hits = lines.groupBy("rid").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("line_licenses"), F.count(F.lit(1)).alias("n_line_hits"))
     return whole.join(hits, "rid", "left").select("doc_id", "text_digest", "license_id", F.coalesce("line_licenses", F.lit("")).alias("line_licenses"), F.coalesce("n_line_hits", F.lit(0)).cast("bigint").alias("n_line_hits"))
 
@@ -135,11 +148,11 @@ def license_sql(known: tuple = KNOWN) -> str:
     """The same result in DuckDB SQL, for the known texts given (by default the short ones only)."""
 
     def form(x: str) -> str:
-        out = f"regexp_replace(translate({x}, '{UPPER}', '{LOWER}'), {_sql_text(COPYRIGHT_LINE)}, ' ', 'g')"
-        out = rf"' ' || regexp_replace({out}, '[\x00-\x2f\x3a-\x60\x7b-\x7f]+', ' ', 'g') || ' '"
+        out = f"regexp_replace(translate({x}, '{UPPER}', '{LOWER}'), {_sql_text('(?m)' + COPYRIGHT_LINE)}, ' ', 'g')"
+        out = rf"' ' || regexp_replace({out}, '[\x00-\x2f\x3a-\x60\x7b-\x7f]+', '  ', 'g') || ' '"
         for a, b in SPELLINGS:
             out = f"replace({out}, ' {a} ', ' {b} ')"
-        return f"trim({out})"
+        return f"trim(replace({out}, '  ', ' '))"
 
     rows = ", ".join(f"({_sql_text(i)}, {_sql_text(b)})" for i, b in known)
     dig = lambda x: f"CASE WHEN {form(x)} <> '' THEN sha256({form(x)}) END"

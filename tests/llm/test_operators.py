@@ -523,6 +523,16 @@ def test_licenses(spark, none):
     assert licenses.license_scan(none).count() == 0
 
 
+def test_licenses_forms(spark):
+    """Equal words side by side, lines that end at line feeds only, and a long text with a notice on its last line."""
+    texts = ["licence licence  Licence", "a\rCopyright 2020 b\u2028c", "x " * 300000 + "\nSPDX-License-Identifier: ISC", "\n\n", "Copyright (c) 2020 A\nReleased under the MIT Licence."]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    form = {r["doc_id"]: r["f"] for r in df.select("doc_id", licenses.canonical(licenses.canonical_lines(F.col("text"))).alias("f")).collect()}
+    assert form[0] == "license license license" and form[1] == "a copyright 2020 b\u2028c" and form[3] == ""
+    out = {r["doc_id"]: (r["license_id"], r["line_licenses"], r["n_line_hits"]) for r in licenses.license_scan(df).collect()}
+    assert out == {0: (None, "", 0), 1: (None, "", 0), 2: (None, "ISC", 1), 3: (None, "", 0), 4: ("MIT", "MIT", 1)}
+
+
 def test_licenses_entire_texts(spark):
     files = sorted(licenses.TEXTS.glob("*.txt"))
     want = {f.stem: "Copyright (c) 2021 Some Person\n\n" + " ".join(f.read_text("utf-8").upper().split()) for f in files if f.stem.startswith("BSD")}
