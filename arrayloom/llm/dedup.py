@@ -9,8 +9,9 @@ A block or pair that occurs very often would put a large share of the rows into
 counting (pre-aggregated before the shuffle), reduced to their distinct contents, named there and joined back.
 
 Defined results: null text equals the empty text; an empty text is one empty block; rows with equal doc_id and equal
-text are still separate rows of which one stays; a null doc_id sorts below all others; an empty table gives an empty
-result; other columns of the input are not read and cannot clash.
+text are still separate rows of which one stays; a null doc_id sorts below all others; very long texts are cut into as
+many blocks as they need; other columns are not read by exact_groups and passed through by drop_exact, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_or_shuffled, utf8, written
+from .common import discard, fresh, small_or_shuffled, utf8, written
 
 #: Blocks are sorted in this many buckets; a name is the bucket, then the block's rank in it.
 BUCKETS = 1 << 20
@@ -97,7 +98,8 @@ def identities(docs: DataFrame, text: str = "text", key: str = "doc_id", block_b
 def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", block_bytes: int = 8192) -> DataFrame:
     """Per input row: doc_id, keep_id (largest doc_id of its group), group_size, kept (one row of each group), text_sha256."""
     ids = written(identities(docs, text, key, block_bytes), "identities")
-    groups = ids.groupBy("n_blocks", "name").agg(F.max(F.struct("doc_id", "rid")).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    # a table of its own: a join with it may split a group of very many rows, one after an aggregate could not
+    groups = written(ids.groupBy("n_blocks", "name").agg(F.max(F.struct("doc_id", "rid")).alias("best"), F.count(F.lit(1)).alias("group_size")), "groups")
     return ids.join(groups, ["n_blocks", "name"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
@@ -109,20 +111,21 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", block
 
 def drop_exact(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """docs without the rows whose text another row keeps; all columns stay."""
-    found = exact_groups(docs, text, key)
-    lost = written(found.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")), "dropped")
+    ident, sha, own, no, kept_id, kept_sha = fresh(docs.columns, "id_", "sha_", "own_", "no_", "kept_id_", "kept_sha_")
+    found = written(exact_groups(docs, text, key), "found")
+    lost = written(found.where(~F.col("kept")).select(F.col("doc_id").alias(ident), F.col("text_sha256").alias(sha)), "dropped")
     n = lost.count()
     # a doc_id repeated with the same text: both a kept and a dropped row carry the pair, so keep one of the copies
-    kept = found.where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    both = lost.join(kept, F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
+    kept = found.where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
+    both = lost.join(kept, F.col(ident).eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha)), "left_semi")
     both = written(both.distinct(), "repeated")
+    discard(found)
     n_both = both.count()
-    sha = F.sha2(utf8(F.col(text)), 256)
-    same = lambda d: d[key].eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_s"))
-    tagged = docs.withColumn("_s", sha)
-    out = tagged.join(small_or_shuffled(lost.distinct(), n), same(tagged), "left_anti").drop("_s")
+    tagged = docs.withColumn(own, F.sha2(utf8(F.col(text)), 256))
+    same = F.col(key).eqNullSafe(F.col(ident)) & (F.col(sha) == F.col(own))
+    out = tagged.join(small_or_shuffled(lost.distinct(), n), same, "left_anti").drop(own)
     if n_both:
-        again = tagged.join(small_or_shuffled(both, n_both), same(tagged), "left_semi")
-        one = again.withColumn("_n", F.row_number().over(Window.partitionBy(key, "_s").orderBy(key))).where("_n = 1")
-        out = out.unionByName(one.drop("_n", "_s"))
+        again = tagged.join(small_or_shuffled(both, n_both), same, "left_semi")
+        one = again.withColumn(no, F.row_number().over(Window.partitionBy(key, own).orderBy(key))).where(F.col(no) == 1)
+        out = out.unionByName(one.drop(no, own))
     return out

@@ -679,3 +679,55 @@ def test_frequent_is_bounded(spark, monkeypatch):
     assert len(jaccard.frequent(df, 2, 90, 100)) == 4  # "x y" of 90 texts, "y z0" to "y z2" of 30 each
     monkeypatch.setattr(jaccard, "FREQUENT_MOST", 2)
     assert len(jaccard.frequent(df, 2, 90, 100)) == 1
+
+
+def test_drop_exact_clashing_names(spark, none):
+    given = spark.createDataFrame([(1, "a", 7, 8, 9, 0), (2, "a", 7, 8, 9, 0), (2, "a", 7, 8, 9, 0), (3, "b", 7, 8, 9, 0)], "doc_id long, text string, _s int, id_ int, SHA_ int, _n int")
+    out = dedup.drop_exact(given)
+    assert out.columns == given.columns and sorted(tuple(r)[:4] for r in out.collect()) == [(2, "a", 7, 8), (3, "b", 7, 8)]
+    assert dedup.drop_exact(none).count() == 0
+
+
+def ring_by_hand(keys, n_shards, nodes, load):
+    """A plain walk: keys in order of their arcs, own shard first, what overflows clockwise to the next shard with room."""
+    at, owner = sharding.ring(n_shards, nodes)
+    room = dict(enumerate(sharding.capacities(len(keys), n_shards, load).tolist()))
+    held = {k: int(np.searchsorted(at, p) % len(at)) for k, p in keys.items()}
+    mine = {k: int(owner[a]) for k, a in held.items()}
+    counts = Counter()
+    by = defaultdict(list)
+    for k, a in held.items():
+        by[a].append(k)
+    over = {}
+    for a in sorted(by):
+        take = min(len(by[a]), room[int(owner[a])])
+        counts[int(owner[a])] += take
+        room[int(owner[a])] -= take
+        over[a] = len(by[a]) - take
+    for a in sorted(over):
+        n, b = over[a], a
+        while n:
+            b = (b + 1) % len(at)
+            take = min(n, room[int(owner[b])])
+            counts[int(owner[b])] += take
+            room[int(owner[b])] -= take
+            n -= take
+    return mine, counts
+
+
+@pytest.mark.parametrize(("shards", "load"), [(16, 1.0), (16, 1.25), (17, 1.25)])
+def test_ring_by_hand(spark, monkeypatch, shards, load):
+    """Counts per shard follow a plain walk of the ring; keys leave their own shard only where it is full; and one more
+    shard moves few keys."""
+    monkeypatch.setattr(sharding, "SEGMENTS_PER_ARC", 1)
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    keys = {r["doc_id"]: r["p"] for r in df.select("doc_id", F.xxhash64(F.lit("ring"), "doc_id").alias("p")).collect()}
+    out = {r["doc_id"]: r["shard"] for r in sharding.shard_rows(df, n_shards=shards, load_factor=load).collect()}
+    mine, counts = ring_by_hand(keys, shards, 64, load)
+    assert Counter(out.values()) == counts
+    full = {s for s, c in Counter(out.values()).items() if c == sharding.capacities(3000, shards, load)[s]}
+    assert all(out[k] == s or s in full for k, s in mine.items())
+    if shards == 17:
+        before, _ = ring_by_hand(keys, 16, 64, load)
+        moved = [k for k in keys if before[k] != mine[k]]
+        assert all(mine[k] == 16 for k in moved) and len(moved) < 2 * 3000 / 17
