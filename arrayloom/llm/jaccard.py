@@ -177,7 +177,7 @@ def frequent(docs: DataFrame, words: int, num: int, den: int) -> np.ndarray:
         least = k
     if least is None:
         return np.zeros(0, np.uint64)
-    top = np.sort(counted.where(step >= least).select("tok").toPandas()["tok"].to_numpy(np.int64).view(np.uint64))
+    top = np.sort(counted.where(step >= least).select("tok").toArrow()["tok"].to_numpy().astype(np.int64).view(np.uint64))
     discard(counted)
     return top
 
