@@ -55,19 +55,22 @@ def micro_name() -> Column:
     return F.concat(F.lit("("), F.upper("trf_consensus"), F.lit(")n"))
 
 
+# Names of the sets of bases that can be present, for one of each pair of complementary sets.
+BASE_SETS = ("ACG", "ACT", "AGT", "AC", "AG", "AT", "CG", "C", "A")
+
+
 def ssr_name(prefix: str, a: Column, c: Column, g: Column, t: Column) -> Column:
-    """Name by the bases present, complements merged; null if there is none."""
-    return (
-        F.when((a & c & g) | (t & g & c), f"{prefix}_ACG")
-        .when((a & c & t) | (t & g & a), f"{prefix}_ACT")
-        .when(a & g & t, f"{prefix}_AGT")
-        .when((a & c) | (t & g), f"{prefix}_AC")
-        .when((a & g) | (t & c), f"{prefix}_AG")
-        .when(a & t, f"{prefix}_AT")
-        .when(c & g, f"{prefix}_CG")
-        .when(c | g, f"{prefix}_C")
-        .when(a | t, f"{prefix}_A")
-    )
+    """Name by the bases present; complementary sets share a name, all four count as the first set; null for none.
+
+    The set is a number of four bits, and a table of 16 names says what it is called."""
+    names: dict[int, str] = {}
+    bit = {"A": 1, "C": 2, "G": 4, "T": 8}
+    for n in BASE_SETS:
+        for word in (n, n.translate(str.maketrans("ACGT", "TGCA"))):
+            names.setdefault(sum(bit[x] for x in word), f"{prefix}_{n}")
+    names[15] = f"{prefix}_{BASE_SETS[0]}"
+    present = sum((F.coalesce(x, F.lit(False)).cast("int") * bit[b] for b, x in zip("ACGT", (a, c, g, t), strict=True)), F.lit(0))
+    return F.element_at(F.array(*[F.lit(names.get(k)) for k in range(16)]), present + 1)
 
 
 def true_ssr_name() -> Column:
@@ -127,3 +130,9 @@ def family_info(families: DataFrame) -> DataFrame:
     """families(family, start, bp, core, consensus): n, bp, core bp and first consensus of each, ranked by core bp."""
     by = families.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("bp").alias("bp"), F.sum(F.when(F.col("core"), F.col("bp")).otherwise(0)).alias("core_bp"), F.min_by("consensus", F.struct("start", "consensus")).alias("consensus"))
     return by.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("core_bp"), "family")))
+
+
+def run_summary(log: DataFrame) -> DataFrame:
+    """One row of a run log(status, seconds): runs that succeeded, failed and were skipped, mean seconds of the first."""
+    n = lambda s: F.count_if(F.col("status") == s).alias(s)
+    return log.agg(n("success"), n("failed"), n("skipped"), F.round(F.avg(F.when(F.col("status") == "success", F.col("seconds"))), 4).alias("mean_seconds"))

@@ -78,6 +78,14 @@ def monomers(arrays: DataFrame) -> DataFrame:
     return out.select("array_id", "no", kind.alias("type"), F.length("cut_sequence").alias("length"), "cut_sequence")
 
 
+def monomer_summary(cut: DataFrame) -> DataFrame:
+    """Per array of monomers(): n and bp of its whole monomers, the first of them, and their lengths in order."""
+    whole = cut.where("type = 'monomer'").groupBy("array_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("length").cast("bigint").alias("bp"), F.min_by("cut_sequence", "no").alias("first"), F.array_sort(F.collect_list(F.struct("no", "length"))).alias("l")
+    )
+    return whole.withColumn("lengths", F.array_join(F.transform("l", lambda x: x["length"].cast("string")), ",")).drop("l")
+
+
 def kmer_frequencies(seqs: DataFrame, k: int = 5) -> DataFrame:
     """(seqid, kmer, tf): both strands counted, divided by twice the number of places; k-mers with other letters are left out."""
     at = seqs.withColumn("_n", F.length("seq") - k + 1).where("_n > 0").select("seqid", "_n", F.explode(seqfn.kmers(F.col("seq"), k)).alias("k"))

@@ -50,12 +50,20 @@ def filter_hits(hits: DataFrame, by: list[str]) -> DataFrame:
 
 def annotation_labels(arrays: DataFrame, features: DataFrame, size: int = BIN) -> DataFrame:
     """Each repeat with its labels, descending, pipe-joined; 'No annotation' without any."""
-    hits = filter_hits(annotate(arrays, features, size), ["trf_id", "seqid", "l_ind", "r_ind"])
+    # regions never label a repeat and span whole sequences: they would fill every bin
+    hits = filter_hits(annotate(arrays, features.where("type <> 'region'"), size), ["trf_id", "seqid", "l_ind", "r_ind"])
     labels = hits.groupBy("trf_id", "l_ind", "r_ind").agg(F.array_join(F.sort_array(F.collect_list("label"), asc=False), "|").alias("trf_ref_annotation"))
     out = arrays.join(labels, ["trf_id", "l_ind", "r_ind"], "left")
     return out.withColumn("trf_ref_annotation", F.coalesce("trf_ref_annotation", F.lit("No annotation")))
 
 
+def label_report(annotated: DataFrame) -> DataFrame:
+    """Every set of labels with its number of repeats and their share of all, in percent."""
+    by = annotated.groupBy("trf_ref_annotation").agg(F.count(F.lit(1)).alias("n"))
+    total = by.agg(F.sum("n").alias("total"))  # one row
+    return by.crossJoin(F.broadcast(total)).select("trf_ref_annotation", "n", F.round(100.0 * F.col("n") / F.col("total"), 4).alias("percent"))
+
+
 def gap_neighbours(arrays: DataFrame, gaps: DataFrame, reach: int = 10000) -> DataFrame:
     """Repeats within reach of gaps: the span with the gaps and how repeat and gap lie (aN, aNa, Na, unknown)."""
     a = arrays.withColumns({"a0": F.greatest(F.col("l_ind") - reach, F.lit(0)), "a1": F.col("r_ind") + reach})

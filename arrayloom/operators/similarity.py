@@ -79,6 +79,8 @@ def _written(df: DataFrame) -> DataFrame:
     spark: SparkSession = df.sparkSession
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="arrayloom-")
         spark.conf.set("spark.checkpoint.dir", at)
     path = f"{at.rstrip('/')}/arrayloom/components-{uuid.uuid4().hex}"
@@ -109,36 +111,3 @@ def consensus_classes(rows: DataFrame) -> DataFrame:
     base = marked.join(sizes, ["seqid", "root"]).where(F.length("consensus") % F.col("b") == 0)
     base = base.groupBy("seqid", "consensus", "root").agg(F.min("b").alias("b"))
     return base.select("seqid", "consensus", F.repeat(F.col("root"), (F.col("b") / F.length("root")).cast("int")).alias("canonical")).distinct()
-
-
-def leader_families(arrays: DataFrame, most: int = 3, most_percent: float = 20.0) -> DataFrame:
-    """(canonical, leader, family) of arrays(canonical, array_length): groups in order of total length lead or join the
-    first earlier leader within ratio 2 and the distances. Decided in rounds: a group leads once no earlier neighbour
-    is undecided or leads."""
-    groups = arrays.groupBy("canonical").agg(F.sum("array_length").alias("total"))
-    size = F.length("canonical")
-    a = groups.select(F.col("canonical").alias("a"), F.col("total").alias("ta"))
-    near = edit_pairs(groups.select(F.col("canonical").alias("s")), most)
-    # a rotation within most edits keeps one of most + 1 segments, which stands somewhere in the doubled string
-    k = F.floor(F.col("n") / (most + 1)).cast("int")
-    turned = groups.where(size > most).select(F.col("canonical").alias("s"), size.alias("n"))
-    segments = turned.select(F.col("s").alias("a"), "n", F.explode(F.transform(F.sequence(F.lit(0), F.lit(most)), lambda i: F.substring(F.col("s"), i * k + 1, k))).alias("seg"))
-    doubled = turned.select(F.col("s").alias("b"), "n", F.explode(F.array(F.repeat(F.col("s"), F.lit(2)), F.repeat(seqfn.revcomp(F.col("s")), F.lit(2)))).alias("t"))
-    doubled = doubled.select("b", "n", F.explode(F.transform(F.sequence(F.lit(1), F.col("n")), lambda j: F.substring(F.col("t"), j, k))).alias("seg")).distinct()
-    same = segments.join(doubled, ["n", "seg"]).where("a < b").select("a", "b").distinct()
-    same = same.withColumn("distance", rotation_distance(F.col("a"), F.col("b"))).where(F.col("distance") <= most)
-    near = near.select("a", "b", "distance").union(same.select("a", "b", "distance")).groupBy("a", "b").agg(F.min("distance").alias("distance"))
-    longest = F.greatest(F.length("a"), F.length("b"))
-    near = near.where((longest <= 2 * F.least(F.length("a"), F.length("b"))) & (100 * F.col("distance") / longest <= most_percent)).select("a", "b")
-    both = near.union(near.select("b", "a"))
-    key = lambda t, s: F.struct((-F.col(t)).alias("k"), F.col(s).alias("s"))
-    earlier = both.join(a, "a").join(a.select(F.col("a").alias("b"), F.col("ta").alias("tb")), "b")
-    earlier = _written(earlier.where(key("tb", "b") < key("ta", "a")).select("a", "b", key("tb", "b").alias("key")))
-    state = _written(groups.select("canonical", F.lit(None).cast("string").alias("leader")))
-    while state.where("leader IS NULL").limit(1).count():
-        seen = earlier.join(state.select(F.col("canonical").alias("b"), F.col("leader").alias("lb")), "b")
-        seen = seen.groupBy("a").agg(F.max(F.col("lb").isNull()).alias("open"), F.min(F.when(F.col("lb") == F.col("b"), F.col("key"))).alias("first"), F.min(F.when(F.col("lb").isNull(), F.col("key"))).alias("wait"))
-        now = state.join(seen, state["canonical"] == seen["a"], "left")
-        lead = F.when(F.col("first").isNotNull() & (F.col("wait").isNull() | (F.col("first") < F.col("wait"))), F.col("first.s")).when(F.col("first").isNull() & ~F.coalesce("open", F.lit(False)), F.col("canonical"))
-        state = _written(now.select("canonical", F.coalesce("leader", lead).alias("leader")))
-    return state

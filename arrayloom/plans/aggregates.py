@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
-from arrayloom.operators import classify, gaps, intervals, similarity
+from arrayloom.operators import overlaps, telomeres, classify, gaps, intervals, similarity
 
 from .scalars import CLASSES, ROOT
 from .scalars import CANON as SQL_CANON
@@ -94,7 +94,11 @@ for gap, label in ((-1, "w05_merge_overlaps"), (1000, "w04_merge_near")):
     over(label, lambda spark, sf, gap=gap: intervals.merge_intervals(arrays(spark, sf).select("seqid", F.col("l_ind").alias("start"), F.col("r_ind").alias("end")), gap), f'WITH {ARRAYS}, x AS (SELECT seqid, l_ind AS "start", r_ind AS "end" FROM arrays)' + MERGE.format(gap=gap))
 over("w06_exact_duplicates", lambda spark, sf: intervals.drop_duplicates(sat(spark, sf).select("trf_id", F.col("trf_head").alias("seqid"), F.col("trf_l_ind").alias("l_ind"), F.col("trf_r_ind").alias("r_ind"), "trf_pmatch")).select("seqid", "l_ind", "r_ind", "trf_pmatch"), f"WITH {SAT} SELECT trf_head AS seqid, trf_l_ind AS l_ind, trf_r_ind AS r_ind, max(trf_pmatch) AS trf_pmatch FROM sat GROUP BY 1, 2, 3")
 over("w08_running_ids", lambda spark, sf: arrays(spark, sf).select("trf_id", "seqid", F.row_number().over(Window.partitionBy("seqid").orderBy("l_ind", "r_ind", "trf_id")).alias("no")), f"WITH {ARRAYS} SELECT trf_id, seqid, CAST(row_number() OVER (PARTITION BY seqid ORDER BY l_ind, r_ind, trf_id) AS INTEGER) AS no FROM arrays")
-over("a13_w12_label_report", lambda spark, sf: intervals.annotation_labels(arrays(spark, sf), features(spark, sf)).groupBy("trf_ref_annotation").agg(F.count(F.lit(1)).alias("n")).withColumn("percent", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 4)).orderBy(F.desc("n"), "trf_ref_annotation").limit(10000), None)
+over("a13_w12_label_report", lambda spark, sf: intervals.label_report(intervals.annotation_labels(arrays(spark, sf), features(spark, sf))), f"""WITH {ARRAYS}, {FEATURES}, f AS (SELECT DISTINCT seqid, type, "start" - 1 AS b0, "end" AS b1 FROM features),
+hits AS (SELECT trf_id, seqid, l_ind, r_ind, b0, b1, type, CASE WHEN l_ind = b0 AND r_ind = b1 THEN 'TR equal ' || type WHEN l_ind >= b0 AND r_ind <= b1 THEN 'TR in ' || type WHEN b0 >= l_ind AND b1 <= r_ind THEN type || ' in TR' WHEN l_ind < b0 THEN 'TR overlap left ' || type ELSE 'TR overlap right ' || type END AS label FROM arrays JOIN f USING (seqid) WHERE l_ind < b1 AND b0 < r_ind),
+m AS (SELECT *, bool_or(type = 'CDS') OVER (PARTITION BY trf_id, seqid, l_ind, r_ind) AS cds FROM hits), k AS (SELECT DISTINCT trf_id, l_ind, r_ind, b0, b1, type, label FROM m WHERE type <> 'region' AND NOT (cds AND type IN ('gene', 'mRNA', 'exon'))),
+l AS (SELECT trf_id, l_ind, r_ind, string_agg(label, '|' ORDER BY label DESC) AS s FROM k GROUP BY 1, 2, 3), a AS (SELECT coalesce(s, 'No annotation') AS trf_ref_annotation FROM arrays LEFT JOIN l USING (trf_id, l_ind, r_ind))
+SELECT trf_ref_annotation, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM a), 4) AS percent FROM a GROUP BY 1""")
 
 
 def telomere_seqs(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,8 +120,8 @@ over("d07_a20_telomere_calls", lambda spark, sf: gaps.telomere_calls(telomere_se
 over("d11_z07_kmer_profile", lambda spark, sf: gaps.kmer_profile(seqs(spark, sf), 5, 400, 100),
      f"""WITH {SEQS}, k AS (SELECT seqid, length(seq) AS n, i, substr(seq, CAST(i AS INTEGER) + 1, 5) AS kmer FROM seqs, LATERAL (SELECT unnest(range(0, length(seq) - 4)) AS i) WHERE length(seq) > 4), w AS (SELECT *, unnest(range(greatest(CAST(floor((i - 400) / 100.0) AS BIGINT) + 1, 0), i // 100 + 1)) AS w FROM k)
 SELECT seqid, w * 100 AS "start", least(w * 100 + 400, n) AS "end", count(DISTINCT kmer) AS unique_kmers FROM w GROUP BY seqid, w, n""")
-over("d12_a24_w14_monomers", lambda spark, sf: gaps.monomers(sat(spark, sf).select(F.col("trf_id").alias("array_id"), F.col("trf_array").alias("seq"), F.col("trf_period").alias("period"))).groupBy("array_id", "type").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bp"), F.min("cut_sequence").alias("least")),
-     f"WITH {SAT}, m AS (SELECT trf_id AS array_id, trf_period AS p, substr(trf_array, CAST(i AS INTEGER) + 1, trf_period) AS cut FROM sat, LATERAL (SELECT unnest(range(0, length(trf_array), trf_period)) AS i)) SELECT array_id, CASE WHEN length(cut) = p THEN 'monomer' ELSE 'tail' END AS type, count(*) AS n, CAST(sum(length(cut)) AS BIGINT) AS bp, min(cut) AS least FROM m GROUP BY 1, 2")
+over("d12_a24_w14_monomers", lambda spark, sf: gaps.monomer_summary(gaps.monomers(sat(spark, sf).select(F.concat_ws("_", F.col("trf_id"), F.col("trf_period").cast("string"), F.xxhash64("trf_array").cast("string")).alias("array_id"), F.col("trf_array").alias("seq"), F.col("trf_period").alias("period")).dropDuplicates(["array_id"]))).select("n", "bp", "first", "lengths"),
+     f"WITH {SAT}, d AS (SELECT DISTINCT trf_id, trf_period, trf_array FROM sat WHERE trf_array_length >= trf_period), m AS (SELECT trf_id, trf_period AS p, trf_array, i, substr(trf_array, CAST(i AS INTEGER) + 1, trf_period) AS cut FROM d, LATERAL (SELECT unnest(range(0, length(trf_array), trf_period)) AS i)) SELECT count(*) AS n, CAST(sum(length(cut)) AS BIGINT) AS bp, min_by(cut, i) AS first, string_agg(length(cut), ',' ORDER BY i) AS lengths FROM m WHERE length(cut) = p GROUP BY trf_id, p, trf_array")
 over("d16_gene_density", lambda spark, sf: intervals.density(features(spark, sf).where("type = 'CDS'").select("seqid", F.col("start").alias("l_ind"), F.col("end").alias("r_ind")), F.lit("CDS"), 50000), f"""WITH {FEATURES}, arrays AS (SELECT seqid, "start" AS l_ind, "end" AS r_ind FROM features WHERE type = 'CDS'), """ + DENS.format(a="", b=50000, c="'CDS'").removeprefix("WITH , ") + " SELECT * FROM d")
 
 
@@ -129,7 +133,14 @@ def families(spark: SparkSession, sf: str) -> DataFrame:
 over("a18_family_info", lambda spark, sf: classify.family_info(families(spark, sf)), f"""WITH {SAT}, f AS (SELECT 'SF' || lpad(CAST(trf_period AS VARCHAR), 4, '0') AS family, count(*) AS n, CAST(sum(trf_array_length) AS BIGINT) AS bp, CAST(sum(CASE WHEN trf_array_length > 60 THEN trf_array_length ELSE 0 END) AS BIGINT) AS core_bp, first(trf_consensus ORDER BY trf_l_ind, trf_consensus) AS consensus FROM sat GROUP BY 1)
 SELECT *, CAST(row_number() OVER (ORDER BY core_bp DESC, family) AS INTEGER) AS rank FROM f""")
 over("a19_assembly_summary", lambda spark, sf: seqs(spark, sf).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("seq")).alias("bp"), F.max(F.length("seq")).alias("longest"), F.count_if(F.length("seq") >= 500).alias("n_500")), f"WITH {SEQS} SELECT count(*) AS n, CAST(sum(length(seq)) AS BIGINT) AS bp, CAST(max(length(seq)) AS INTEGER) AS longest, count(*) FILTER (length(seq) >= 500) AS n_500 FROM seqs")
-over("a28_run_summary", lambda spark, sf: table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("o_totalprice"), 4).alias("mean")), "SELECT o_orderstatus, count(*) AS n, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1")
+over("a28_run_summary", lambda spark, sf: classify.run_summary(table(spark, sf, "orders").select(F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "failed").otherwise("skipped").alias("status"), F.col("o_totalprice").alias("seconds"))), "SELECT count(*) FILTER (o_orderstatus = 'F') AS success, count(*) FILTER (o_orderstatus = 'O') AS failed, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS skipped, round(avg(o_totalprice) FILTER (o_orderstatus = 'F'), 4) AS mean_seconds FROM orders")
+over("a20_telomere_summary", lambda spark, sf: telomeres.telomere_summary(gaps.telomere_calls(telomere_seqs(spark, sf), window=200)), ORACLE_SQL["d07_a20_telomere_calls"].replace("SELECT seqid, left_share, left_hits, left_call", "SELECT count(*) AS n, count(*) FILTER (left_call = 'PRESENT' AND right_call = 'PRESENT') AS t2t, count(*) FILTER (left_call = 'PRESENT') AS left_present, count(*) FILTER (right_call = 'PRESENT') AS right_present FROM c -- ").split(" -- ")[0])
+BACK = "(?:" + "|".join("CCCTAA"[:i] + "." + "CCCTAA"[i + 1 :] for i in range(6)) + ")"
+REVERSED = "(?:" + "|".join("GGGATT"[:i] + "." + "GGGATT"[i + 1 :] for i in range(6)) + ")"
+over("w11_terminal_repeats", lambda spark, sf: telomeres.terminal_repeats(telomere_seqs(spark, sf)), f"""WITH {SEQS}, {TEL} SELECT seqid, length(regexp_extract(seq, '^[Nn]*({BACK}*)', 1)) // 6 AS "left", length(regexp_extract(reverse(seq), '^[Nn]*({REVERSED}*)', 1)) // 6 AS "right" FROM t""")
+over("d08_exact_blocks", lambda spark, sf: telomeres.exact_blocks(telomere_seqs(spark, sf)), None)
+over("w10_x08_interstitial_sites", lambda spark, sf: telomeres.interstitial_sites(telomere_seqs(spark, sf), skip=10, least=4), None)
+over("w06_w07_refined_overlaps", lambda spark, sf: overlaps.refine_overlaps(sat(spark, sf)), None)
 
 
 def report_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
-from arrayloom.operators import gaps, intervals, similarity
+from arrayloom.operators import families, gaps, intervals, similarity
 
 from .scalars import CANON, ROT
 from .tables import ARRAYS, BEDS, FEATURES, SAT, SEQS, arrays, beds, features, sat, seqs, table
@@ -68,15 +68,28 @@ over("d04_connected_components", lambda spark, sf: similarity.connected_componen
 c AS (SELECT trf_id, min(trf_id) OVER (PARTITION BY seqid, run) AS comp, max(trf_id) OVER (PARTITION BY seqid, run) AS most FROM g) SELECT DISTINCT trf_id AS id, comp FROM c WHERE most > comp""")
 
 
-def components_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Components of overlapping repeats: members, total size and share of all members."""
+def overlap_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeats in components of overlaps: id, comp, bp, period (bases in hundreds)."""
     comps = similarity.connected_components(intervals.self_overlaps(arrays(spark, sf)).select("id_a", "id_b"))
-    sized = comps.join(arrays(spark, sf).select(F.col("trf_id").alias("id"), (F.col("r_ind") - F.col("l_ind")).alias("bp")), "id")
-    return sized.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.sum("bp").alias("bp")).where("n > 2")
+    bp = F.col("r_ind") - F.col("l_ind")
+    return comps.join(arrays(spark, sf).select(F.col("trf_id").alias("id"), bp.alias("bp"), F.floor(bp / 100).alias("period")), "id")
 
 
-over("d05_a22_components_report", components_report, None)
-over("d02_d03_leader_families", lambda spark, sf: similarity.leader_families(sat(spark, sf).where("trf_period = 9").select(seqfn.canonical(F.col("trf_consensus")).alias("canonical"), F.col("trf_array_length").alias("array_length"))), None)
+MEMBERS = f"""WITH {ARRAYS}, o AS (SELECT *, max(r_ind) OVER (PARTITION BY seqid ORDER BY l_ind, r_ind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM arrays), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR l_ind >= reach THEN 1 ELSE 0 END) OVER (PARTITION BY seqid ORDER BY l_ind, r_ind ROWS UNBOUNDED PRECEDING) AS run FROM o),
+c AS (SELECT trf_id AS id, r_ind - l_ind AS bp, (r_ind - l_ind) // 100 AS period, min(trf_id) OVER (PARTITION BY seqid, run) AS comp, max(trf_id) OVER (PARTITION BY seqid, run) AS most FROM g), m AS (SELECT DISTINCT id, comp, bp, period FROM c WHERE most > comp)"""
+over("a22_component_annotation", lambda spark, sf: families.component_annotation(overlap_members(spark, sf).withColumnRenamed("period", "motif_size")).select("comp", "n", "bp", "percent", F.array_join(F.transform(F.map_entries("motif_sizes"), lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"].cast("string"))), ",").alias("motif_sizes")),
+     f"""{MEMBERS}, s AS (SELECT comp, period, count(*) AS n, CAST(sum(bp) AS BIGINT) AS bp FROM m GROUP BY 1, 2) SELECT comp, CAST(sum(n) AS BIGINT) AS n, CAST(sum(bp) AS BIGINT) AS bp, round(100.0 * sum(bp) / (SELECT sum(bp) FROM m), 4) AS percent, string_agg(period || ':' || n, ',' ORDER BY period) AS motif_sizes FROM s GROUP BY 1""")
+over("d05_t07_named_clusters", lambda spark, sf: families.named_clusters(overlap_members(spark, sf)), f"""{MEMBERS}, k AS (SELECT comp, count(*) AS size, list_sort(list(period))[count(*) // 2 + 1] AS median FROM m GROUP BY 1), r AS (SELECT comp, row_number() OVER (ORDER BY size, comp) || '_' || median AS name FROM k WHERE size >= 4)
+SELECT id, m.comp, coalesce(name, 'SING') AS name FROM m LEFT JOIN r USING (comp)""")
+
+
+def family_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Families of all repeats: those of 100 bases or more found them, others of 30 or more are added, units from 5 on."""
+    rows = sat(spark, sf).select(F.col("trf_head").alias("seqid"), (F.col("trf_l_ind") - 1).alias("start"), F.col("trf_r_ind").alias("end"), "trf_array_length", F.col("trf_period").alias("period"), F.col("trf_consensus").alias("consensus"))
+    return families.family_table(rows.withColumnRenamed("trf_array_length", "array_length"), core_from=100, small_from=30, least_unit=5)
+
+
+over("d02_d03_j19_families", family_rows, None)
 over("d09_restored_regions", lambda spark, sf: seqs(spark, sf).join(intervals.merge_intervals(beds(spark, sf).where("period = 3").select("seqid", "start", "end"), 50).select("seqid", F.col("start").alias("s"), F.col("end").alias("e")), "seqid", "left").select("seqid", F.coalesce("s", F.lit(0)).alias("start"), F.least(F.coalesce("e", F.length("seq")), F.length("seq")).alias("end")).where("end > start").select(F.concat_ws("_", F.concat("seqid", F.lit("_")), F.col("start").cast("string"), F.col("end").cast("string")).alias("head")),
      f"""WITH {SEQS}, {BEDS}, x AS (SELECT seqid, "start", "end" FROM beds WHERE period = 3), o AS (SELECT *, max("end") OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM x), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR "start" - reach > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS run FROM o), m AS (SELECT seqid, min("start") AS s, max("end") AS e FROM g GROUP BY seqid, run),
 r AS (SELECT seqid, coalesce(s, 0) AS s, least(coalesce(e, length(seq)), length(seq)) AS e FROM seqs LEFT JOIN m USING (seqid)) SELECT seqid || '__' || s || '_' || e AS head FROM r WHERE e > s""")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arrayloom import schemas
 from arrayloom.functions import seqfn
-from arrayloom.operators import extract, gaps, intervals, similarity
+from arrayloom.operators import families, gaps, intervals, overlaps, similarity, telomeres
 from arrayloom.sources import sinks, text
 from arrayloom.streaming import incremental
 
@@ -88,11 +88,116 @@ def test_components(spark):
     assert {r["comp"] for r in similarity.connected_components(path).collect()} == {0}
 
 
-def test_leaders(spark):
-    """Leaders take later groups within the distances; a group never joins one that is not a leader."""
-    rows = [("AAAACCCCGGGT", 100), ("AAAACCCCGGTT", 90), ("AAAACCCCTTTT", 80), ("ACACACACACGG", 5)]
-    out = {r["canonical"]: r["leader"] for r in similarity.leader_families(spark.createDataFrame(rows, "canonical string, array_length long"), 3, 20.0).collect()}
-    assert out["AAAACCCCGGGT"] == out["AAAACCCCGGTT"] == "AAAACCCCGGGT" and len(out) == 4
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(last + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def turned_distance(a, b):
+    if len(a) != len(b):
+        return edits(a, b)
+    back = b.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    return min(edits(a, t[i:] + t[:i]) for t in (b, back) for i in range(len(b)))
+
+
+def near_by_hand(a, b):
+    long, short = max(len(a), len(b)), min(len(a), len(b))
+    d = turned_distance(a, b) if long <= 2 * short else 99
+    return d if d <= 3 and d * 100 // long <= 20 else None
+
+
+def test_near_units_by_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    units = {"".join(rng.choice("ACGT") for _ in range(rng.choice((4, 5, 6, 9, 10, 12, 15, 16, 17, 20, 33)))) for _ in range(60)}
+    for u in list(units)[:40]:
+        v = list(u)
+        for _ in range(rng.randint(1, 3)):
+            i = rng.randrange(len(v))
+            v[i : i + 1] = rng.choice((["A"], ["C", v[i]], []))
+        i = rng.randrange(len(v) + 1)
+        units.add("".join(v[i:] + v[:i]) if rng.random() < 0.5 else "".join(v))
+    units = sorted(u for u in units if u)
+    df = spark.createDataFrame([(u,) for u in units], "s string")
+    got = {(r["a"], r["b"]): r["distance"] for r in families.near_pairs(df, df).collect()}
+    want = {(a, b): d for a in units for b in units if a != b and (d := near_by_hand(a, b)) is not None}
+    assert got == want and len(want) > 40
+
+
+def test_families_by_hand(spark):
+    """Units lead by number of arrays; later ones join the first leader near them, not one that has joined another."""
+    import random
+
+    rng = random.Random(4)
+    base = ["".join(rng.choice("ACGT") for _ in range(n)) for n in (14, 15, 16, 20)]
+    rows = []
+    for k, u in enumerate(base):
+        for step in range(4):
+            v = u[:step] + "".join("TGCA"["ACGT".index(x)] for x in u[step : step + 2]) + u[step + 2 :] if step else u
+            for i in range(rng.randint(1, 5)):
+                turn = rng.randrange(len(v))
+                rows.append((f"s{k}", 100 * len(rows), 100 * len(rows) + 50, rng.choice((12000, 500, 99)), len(v), (v[turn:] + v[:turn]) * rng.choice((1, 2))))
+    got = families.family_table(spark.createDataFrame(rows, "seqid string, start long, end long, array_length long, period int, consensus string")).collect()
+
+    def unit(s):
+        n = next(d for d in range(1, len(s) + 1) if len(s) % d == 0 and s[:d] * (len(s) // d) == s)
+        r = s[:n]
+        return min(t[i:] + t[:i] for t in (r, r.translate(str.maketrans("ACGT", "TGCA"))[::-1]) for i in range(n))
+
+    count, lead, order = {}, {}, []
+    for r in rows:
+        if r[3] >= 10000:
+            count[unit(r[5])] = count.get(unit(r[5]), 0) + 1
+    for u in sorted(count, key=lambda u: (-count[u], u)):
+        first = next((x for x in order if near_by_hand(u, x) is not None), None)
+        lead[u] = first or u
+        if first is None:
+            order.append(u)
+    want = []
+    for r in rows:
+        u = unit(r[5])
+        if r[3] >= 10000:
+            want.append((r[1], f"SF{order.index(lead[u]):04d}", "core"))
+        elif r[3] >= 100:
+            fit = [i for i, x in enumerate(order) if x == u or near_by_hand(u, x) is not None]
+            want += [(r[1], f"SF{fit[0]:04d}", "enriched")] if fit else []
+    assert sorted((r["start"], r["family"], r["source"]) for r in got) == sorted(want) and any(w[2] == "enriched" for w in want)
+
+
+def test_refined_overlaps(spark):
+    import random
+
+    rng = random.Random(5)
+    seq = "".join(rng.choice("ACGT") for _ in range(400))
+    given = [("a", 1, 50, 80.0), ("b", 1, 50, 90.0), ("c", 10, 40, 99.0), ("d", 100, 160, 70.0), ("e", 130, 200, 80.0), ("f", 300, 350, 70.0), ("g", 349, 399, 70.0), ("h", 360, 380, 1.0)]
+    rows = [("p", i, "chr1", l, r, 5, 1.0, m, 100 - m, 1.5, seq[l - 1 : l + 4], seq[l - 1 : r], 0.5, 0.5, r - l + 1) for i, l, r, m in given]
+    names = "project string, trf_id string, trf_head string, trf_l_ind long, trf_r_ind long, trf_period int, trf_n_copy double, trf_pmatch double, trf_pvar double, trf_entropy double, trf_consensus string, trf_array string, trf_array_gc double, trf_consensus_gc double, trf_array_length long"
+    out = {r["trf_id"]: r for r in overlaps.refine_overlaps(spark.createDataFrame(rows, names)).collect()}
+    assert set(out) == {"b", "d", "f", "g"}  # a: worse duplicate, c and h: nested, e: merged into d; f and g share too little
+    d = out["d"]
+    assert (d["trf_l_ind"], d["trf_r_ind"], d["trf_array"], d["trf_joined"], d["trf_consensus"]) == (100, 200, seq[99:200], 1, seq[129:134])
+    assert abs(d["trf_pmatch"] - (70 * 61 + 80 * 71) / 132) < 1e-9 and d["trf_n_copy"] == 101 / 5
+    bad = [{"trf_id": i, "trf_l_ind": l, "trf_r_ind": r, "trf_pmatch": 1.0, "trf_array": "ACGT", "trf_array_length": 4} for i, l, r in (("x", 1, 10), ("y", 3, 15))]
+    with pytest.raises(ValueError, match="do not fit"):
+        overlaps.settle(bad)
+
+
+def test_telomeres(spark):
+    """Terminal runs, sites inside and exact blocks, each on sequences made for it."""
+    right, left, odd = "TTAGGG", "CCCTAA", "TTACGG"
+    rows = [("a", "NN" + left * 3 + "ACGTACGTAC" + right * 2 + odd + right + "nn"), ("b", "A" * 30), ("c", ""), ("d", "NNNN"), ("e", "TTTTGGGGCC" * 3 + left * 5 + "A" + right * 12 + "ACACACACAC" * 3)]
+    df = spark.createDataFrame(rows, "seqid string, seq string")
+    assert {tuple(r) for r in telomeres.terminal_repeats(df).collect()} == {("a", 3, 4), ("b", 0, 0), ("c", 0, 0), ("d", 0, 0), ("e", 0, 0)}
+    assert [tuple(r) for r in telomeres.interstitial_sites(df, skip=10, least=10).collect()] == [("e", 61, 133, 12)]
+    block = spark.createDataFrame([("x", "A" * 100 + right * 31 + "C" * 80 + left * 30 + "A" * 300 + right * 30)], "seqid string, seq string")
+    assert [tuple(r) for r in telomeres.exact_blocks(block).select("seqid", "start", "end", "n").orderBy("start").collect()] == [("x", 50, 596, 2), ("x", 796, 1026, 1)]
+    calls = spark.createDataFrame([("PRESENT", "PRESENT", "T2T"), ("PRESENT", "ABSENT", "INCOMPLETE")], "left_call string, right_call string, status string")
+    assert tuple(telomeres.telomere_summary(calls).first()) == (2, 1, 2, 1)
 
 
 def test_overlaps_by_nested_loops(spark):
