@@ -11,6 +11,8 @@ from .similarity import _written, rotation_distance
 
 #: Units up to this length meet on what is left after deletions, longer ones on a segment that stands unchanged.
 SHORT = 18
+#: Edits that deletions are made for.
+MOST = 3
 
 
 def allowed(n: Column, most: int, percent: int) -> Column:
@@ -25,34 +27,55 @@ def _without_one(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.length(s) > 0).withColumn(column, F.explode(F.array_distinct(cut))).distinct()
 
 
-def _deleted(units: DataFrame, most: int) -> DataFrame:
-    """(s, n, k, left): what is left of units after k of 0 to most deletions."""
-    level = units.withColumns({"n": F.length("s"), "k": F.lit(0), "left": F.col("s")})
-    every = level
-    for k in range(1, most + 1):
-        level = _without_one(level, "left").withColumn("k", F.lit(k))
-        every = every.unionByName(level)
+def _deleted(words: DataFrame) -> DataFrame:
+    """words(s, k, ...) with left: what is left of s after exactly k deletions, every way. Each deletion is a table."""
+    level = _written(words.withColumn("left", F.col("s")))
+    every = level.where("k = 0")
+    for k in range(1, MOST + 1):
+        level = _written(_without_one(level.where(F.col("k") >= k), "left"))
+        every = every.unionByName(level.where(F.col("k") == k))
     return every
 
 
-def near_pairs(a: DataFrame, b: DataFrame, most: int = 3, percent: int = 20) -> DataFrame:
-    """(a, b, distance) of units a(s) and b(s), distinct and not equal, within the edits allowed for the longer of them.
+def near_pairs(a: DataFrame, b: DataFrame | None = None, most: int = 3, percent: int = 20) -> DataFrame:
+    """(a, b, distance) of units a(s) and b(s), by default a itself, distinct and not equal, within the edits allowed for
+    the longer of them.
 
     Of equal lengths the distance is the least over rotations and strands; else the plain one. If two words are within d
     edits, d deletions in each leave the same; cyclic words that match up to rotation leave the same cyclic word. Long
     words are cut into d + 1 segments, one of which stands unchanged in the other."""
-    def short(x: DataFrame) -> DataFrame:
-        return _deleted(x.where(F.length("s") <= SHORT).select("s").distinct(), most)
-
-    left, right = short(a), short(b)
-    turn = lambda x, name: x.where(F.col("k") == allowed(F.col("n"), most, percent)).where("k > 0").select(F.col("s").alias(name), "n", seqfn.canonical(F.col("left")).alias("key"))
-    same = turn(left, "a").join(turn(right, "b"), ["n", "key"]).select("a", "b")
-    plain = lambda x, name: x.select(F.col("s").alias(name), F.col("n").alias(f"n_{name}"), "left")
-    other = plain(left, "a").join(plain(right, "b"), "left").where(F.col("n_a") != F.col("n_b"))
-    pairs = same.union(other.where(allowed(F.greatest("n_a", "n_b"), most, percent) > 0).select("a", "b"))
-    pairs = pairs.union(_long_pairs(a, b, most)).where("a <> b").distinct()
+    if most > MOST:
+        raise ValueError(f"at most {MOST} edits")
+    units = lambda x: x.where(F.length("s") <= SHORT).select("s", F.length("s").alias("n")).distinct()
+    longer, n = F.greatest("n", "m"), F.col("n")
+
+    def turned(x: DataFrame) -> DataFrame:
+        left = _deleted(units(x).withColumn("k", allowed(n, most, percent)).where("k > 0"))
+        return _written(left.select("s", "n", seqfn.canonical(F.col("left")).alias("key")).distinct())
+
+    def shifted(x: DataFrame) -> DataFrame:
+        """For each length a partner can have: as many deletions as that pair of lengths allows."""
+        other = units(x).withColumn("m", F.explode(F.array(*[n + d for d in range(-most, most + 1) if d])))
+        k = allowed(longer, most, percent) - F.greatest(F.col("m") - n, F.lit(0))
+        left = _deleted(other.withColumn("k", k).where((k >= 0) & (n - F.col("m") <= allowed(longer, most, percent))))
+        return left.select("s", longer.alias("longer"), F.least("n", "m").alias("shorter"), "n", "left")
+
+    def met(made, keys: list[str]) -> DataFrame:
+        left = made(a)
+        right = left if b is None else made(b)
+        of = lambda x, name: x.select(F.col("s").alias(name), F.col("n").alias(f"n_{name}"), *keys)
+        return of(left.withColumn("size", n), "a").join(of(right.withColumn("size", n), "b"), keys)
+
+    same = met(turned, ["size", "key"]).select("a", "b")
+    other = met(shifted, ["longer", "shorter", "left"]).where("n_a <> n_b")
+    pairs = same.union(other.select("a", "b"))
+    pairs = _written(pairs.union(_long_pairs(a, a if b is None else b, most)).where("a <> b").distinct())
     longest = F.greatest(F.length("a"), F.length("b"))
-    pairs = pairs.where(longest <= 2 * F.least(F.length("a"), F.length("b"))).withColumn("distance", rotation_distance(F.col("a"), F.col("b")))
+    # each edit changes two of the counts of bases by one at most
+    bases = lambda c: [seqfn.count_of(F.col(c), x) for x in "ACGT"]
+    if_complement = F.when(F.length("a") == F.length("b"), sum((F.abs(x - y) for x, y in zip(bases("a"), reversed(bases("b")), strict=True)), F.lit(0))).otherwise(99)
+    apart = F.least(sum((F.abs(x - y) for x, y in zip(bases("a"), bases("b"), strict=True)), F.lit(0)), if_complement)
+    pairs = pairs.where((longest <= 2 * F.least(F.length("a"), F.length("b"))) & (apart <= 2 * allowed(longest, most, percent))).withColumn("distance", rotation_distance(F.col("a"), F.col("b")))
     return pairs.where(F.col("distance") <= allowed(longest, most, percent))
 
 
@@ -84,7 +107,7 @@ def leaders(arrays: DataFrame, most: int = 3, percent: int = 20) -> DataFrame:
     units = groups.select(F.col("canonical").alias("s"))
     rank = lambda n, s: F.struct((-F.col(n)).alias("k"), F.col(s).alias("s"))
     of = lambda c: groups.select(F.col("canonical").alias(c), F.col("n").alias(f"n_{c}"))
-    near = near_pairs(units, units, most, percent).join(of("a"), "a").join(of("b"), "b")
+    near = near_pairs(units, None, most, percent).join(of("a"), "a").join(of("b"), "b")
     earlier = _written(near.where(rank("n_b", "b") < rank("n_a", "a")).select("a", "b", rank("n_b", "b").alias("key")))
     state = _written(groups.select("canonical", F.lit(None).cast("string").alias("leader")))
     while state.where("leader IS NULL").limit(1).count():
@@ -104,11 +127,11 @@ def family_table(arrays: DataFrame, core_from: int = 10000, small_from: int = 10
     shorter ones whose unit is near a family's leader, both of some length, are added to the first such family (enriched).
     Columns: seqid, start, end, array_length, period, family, consensus, base_period, source."""
     unit = seqfn.bound(seqfn.primitive_root(F.upper("consensus")), seqfn.canonical)
-    rows = arrays.where(F.length("consensus") > 0).withColumn("base_period", unit)
+    rows = _written(arrays.where((F.length("consensus") > 0) & (F.col("array_length") >= small_from)).withColumn("base_period", unit))
     core = rows.where(F.col("array_length") >= core_from)
     found = _written(leaders(core.select(F.col("base_period").alias("canonical")), most, percent))
     core = core.join(found.select(F.col("canonical").alias("base_period"), "family"), "base_period").withColumn("source", F.lit("core"))
-    small = rows.where((F.col("array_length") >= small_from) & (F.col("array_length") < core_from) & (F.length("base_period") >= least_unit))
+    small = rows.where((F.col("array_length") < core_from) & (F.length("base_period") >= least_unit))
     heads = found.where((F.col("leader") == F.col("canonical")) & (F.length("leader") >= least_unit)).select("leader", "family")
     near = near_pairs(heads.select(F.col("leader").alias("s")), small.select(F.col("base_period").alias("s")), most, percent)
     equal = heads.select(F.col("leader").alias("a"), F.col("leader").alias("b"))

@@ -84,9 +84,9 @@ SELECT id, m.comp, coalesce(name, 'SING') AS name FROM m LEFT JOIN r USING (comp
 
 
 def family_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Families of all repeats: those of 100 bases or more found them, others of 30 or more are added, units from 5 on."""
+    """Families of all repeats: those of 120 bases or more found them, others of 60 or more are added, units from 5 on."""
     rows = sat(spark, sf).select(F.col("trf_head").alias("seqid"), (F.col("trf_l_ind") - 1).alias("start"), F.col("trf_r_ind").alias("end"), "trf_array_length", F.col("trf_period").alias("period"), F.col("trf_consensus").alias("consensus"))
-    return families.family_table(rows.withColumnRenamed("trf_array_length", "array_length"), core_from=100, small_from=30, least_unit=5)
+    return families.family_table(rows.withColumnRenamed("trf_array_length", "array_length"), core_from=120, small_from=60, least_unit=5)
 
 
 over("d02_d03_j19_families", family_rows, None)
