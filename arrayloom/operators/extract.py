@@ -2,12 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
 
 
+def duplicate_names(seqs: DataFrame) -> DataFrame:
+    """(seqid, n) of first words that several sequences share."""
+    return seqs.groupBy(seqfn.first_word(F.col("seqid")).alias("seqid")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def require_unique_names(seqs: DataFrame) -> DataFrame:
+    """The sequences; an error if two share a first word, since intervals could not be told apart then."""
+    found = duplicate_names(seqs).orderBy("seqid").limit(5).collect()
+    if found:
+        raise ValueError(f"sequences share their first words: {', '.join(r['seqid'] for r in found)}")
+    return seqs
+
+
+def chunked(seqs: DataFrame, size: int = 100000) -> DataFrame:
+    """(seqid, length, chunk): sequences, in order of a hash of the name, packed by their running length, one chunk per size letters.
+
+    A greedy pack closes a chunk once it is full; here a sequence goes to the chunk its first letter falls in, which needs
+    no order of chunks one after the other. Sums over hash ranges of names keep each window small."""
+    rows = seqs.select("seqid", F.length("seq").cast("bigint").alias("length")).withColumn("_bin", F.pmod(F.xxhash64("seqid"), F.lit(4096)))
+    sums = rows.groupBy("_bin").agg(F.sum("length").alias("_n"))  # one row per bin
+    sums = sums.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inside = Window.partitionBy("_bin").orderBy("seqid").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(F.broadcast(sums.drop("_n")), "_bin").withColumn("_at", F.col("_base") + F.coalesce(F.sum("length").over(inside), F.lit(0)))
+    return rows.select("seqid", "length", F.floor(F.col("_at") / size).alias("chunk"))
+
+
 def extract_arrays(seqs: DataFrame, beds: DataFrame, project: str) -> DataFrame:
     """The repeat table of intervals (0-based half-open) within the bounds of their sequence.
 

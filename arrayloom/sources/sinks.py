@@ -52,3 +52,13 @@ def write_lines(df: DataFrame, line: Column, path: str) -> None:
 def write_store(df: DataFrame, path: str, by: str = "project") -> None:
     """The primary store: Parquet partitioned by project; only the partitions present in df are replaced."""
     df.write.partitionBy(by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
+def write_summary(summary: DataFrame, path: str) -> None:
+    """The summary document: one JSON line per category."""
+    summary.write.mode("overwrite").json(path)
+
+
+def replace_sequences(table: DataFrame, new: DataFrame, path: str, by: tuple[str, ...] = ("project", "trf_head")) -> None:
+    """Recomputed sequences into a table stored by project and sequence: only their partitions are written anew."""
+    new.select(table.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)

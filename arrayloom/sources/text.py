@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,3 +133,63 @@ def missing_results(spark: SparkSession, base: str) -> DataFrame:
     """(assembly, has_fasta, has_sat) of assembly folders: which assemblies have no results yet."""
     found = read_files(spark, base, "*").select(F.regexp_extract("path", r"/(GC[AF]_[^/_]+(?:\.\d+)?)", 1).alias("assembly"), "path").where("assembly <> ''")
     return found.groupBy("assembly").agg(F.max(F.regexp_like("path", F.lit(r"\.(fa|fna|fasta)(\.gz)?$"))).alias("has_fasta"), F.max(F.regexp_like("path", F.lit(r"\.sat$"))).alias("has_sat"))
+
+
+# Places of the fields kept of a row of the old 37-column layout, by their present names.
+LEGACY = {
+    "project": 0, "trf_id": 2, "trf_family": 4, "trf_l_ind": 6, "trf_r_ind": 7, "trf_period": 8, "trf_n_copy": 9, "trf_pmatch": 10, "trf_pvar": 11,
+    "trf_entropy": 12, "trf_consensus": 13, "trf_array": 14, "trf_array_gc": 15, "trf_consensus_gc": 16, "trf_head": 18, "trf_array_length": 20, "trf_joined": 22, "trf_ref_annotation": 33,
+}
+
+
+def parse_versions(lines: DataFrame, layouts: dict[int, dict[str, int]], types: dict[str, str]) -> DataFrame:
+    """Rows of tables of several ages: the number of fields of a line tells its layout (fields by name and place). Columns
+    are those of types; a field that a layout lacks, and the text None, is null; a line of another number of fields is
+    an error when the rows are read."""
+    f = F.split(V, "\t", -1)
+
+    def field(name: str, kind: str) -> Column:
+        by = F.lit(None).cast("string")
+        for n, places in layouts.items():
+            if name in places:
+                by = F.when(F.size(f) == n, F.get(f, F.lit(places[name]))).otherwise(by)
+        return F.nullif(by, F.lit("None")).cast(kind).alias(name)
+
+    known = F.size(f).isin(*layouts)
+    rows = lines.where((F.trim(V) != "") & ~F.startswith(V, F.lit("#")))
+    checked = F.when(known, F.col(V)).otherwise(F.raise_error(F.concat(F.lit("a line of "), F.size(f).cast("string"), F.lit(" fields"))).cast("string"))
+    return rows.select(checked.alias("value")).select(*[field(n, t) for n, t in types.items()])
+
+
+# The columns of a telomere report.
+TELOMERES = "chr string, length bigint, left_consec bigint, left_total bigint, left_density double, left_status string, right_consec bigint, right_total bigint, right_density double, right_status string, t2t_status string"
+
+
+def read_telomeres(spark: SparkSession, path: str) -> DataFrame:
+    """A telomere report with a flag for sequences complete at both ends."""
+    return read_table(spark, path, TELOMERES, header=True).withColumnRenamed("chr", "seqid").withColumn("t2t", F.col("t2t_status") == "T2T")
+
+
+def read_sites(spark: SparkSession, path: str) -> DataFrame:
+    """Interstitial sites of a BED file: (seqid, sites), in order of place."""
+    rows = read_table(spark, path, "seqid string, start bigint, end bigint, repeats bigint")
+    return rows.groupBy("seqid").agg(F.array_sort(F.collect_list(F.struct("start", "end", "repeats"))).alias("sites"))
+
+
+def stockholm_totals(spark: SparkSession, path: str) -> DataFrame:
+    """(type, n, total) of records closed by //: how many of each type (#=GF TP) and how many sequences (#=GF SQ)."""
+    records = spark.read.option("lineSep", "//").text(path)
+    get = lambda tag: F.trim(F.regexp_extract(V, rf"#=GF {tag}\s+([^\n]+)", 1))
+    rows = records.select(get("ID").alias("id"), get("TP").alias("type"), get("SQ").try_cast("bigint").alias("n_seqs")).where("id <> ''")
+    return rows.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_seqs"), F.lit(0)).alias("total"))
+
+
+def read_dictionary(spark: SparkSession, path: str, value: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """(key, value) of a two-column file; value makes a column of the second field."""
+    return read_table(spark, path, "key string, value string").select("key", value(F.col("value")).alias("value"))
+
+
+def transformed(lines: DataFrame, before: Callable[[Column], Column] | None = None, keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Lines for a parser: changed by before, those that keep accepts."""
+    rows = lines.select((before(F.col(V)) if before else F.col(V)).alias("value"))
+    return rows.where(keep(F.col(V))) if keep else rows

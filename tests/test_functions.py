@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arrayloom import schemas
 from arrayloom.functions import seqfn
-from arrayloom.operators import families, gaps, intervals, overlaps, similarity, telomeres
+from arrayloom.operators import extract, families, gaps, intervals, overlaps, similarity, telomeres
 from arrayloom.sources import sinks, text
 from arrayloom.streaming import incremental
 
@@ -225,3 +225,50 @@ def test_streams(spark, tmp_path):
     features = spark.createDataFrame([("chr1", "gene", 1, 20)], "seqid string, type string, start long, end long")
     incremental.annotate_stream(renamed, features, str(tmp_path / "out"), str(tmp_path / "c3")).awaitTermination(120)
     assert [r["trf_ref_annotation"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["TR in gene"]
+
+
+def test_more_sources(spark, tmp_path):
+    def file(name, text_):
+        (tmp_path / name).write_text(text_)
+        return str(tmp_path / name)
+
+    old = ["x"] * 37
+    for name, v in {"trf_id": "7", "trf_head": "chr2", "trf_l_ind": "5", "trf_period": "2", "trf_pmatch": "None"}.items():
+        old[text.LEGACY[name]] = v
+    wide = "\t".join(old)
+    lines = spark.read.text(file("mixed.txt", "# c\np\t3\tchr1\t1\t4\n" + wide + "\n"))
+    layouts = {5: {"project": 0, "trf_id": 1, "trf_head": 2, "trf_l_ind": 3, "trf_r_ind": 4}, 37: text.LEGACY}
+    types = {"trf_id": "string", "trf_head": "string", "trf_l_ind": "bigint", "trf_period": "int", "trf_pmatch": "double"}
+    assert [tuple(r) for r in text.parse_versions(lines, layouts, types).collect()] == [("3", "chr1", 1, None, None), ("7", "chr2", 5, 2, None)]
+    with pytest.raises(Exception, match="a line of 2 fields"):
+        text.parse_versions(spark.read.text(file("bad.txt", "a\tb\n")), layouts, types).collect()
+    head = "\t".join(c.split()[0] for c in text.TELOMERES.split(", "))
+    report = text.read_telomeres(spark, file("t.tsv", head + "\nchr1\t9\t3\t3\t0.5\tPRESENT\t3\t3\t0.5\tPRESENT\tT2T\nchr2\t9\t0\t0\t0.0\tABSENT\t3\t3\t0.5\tPRESENT\tINCOMPLETE\n"))
+    assert [(r["seqid"], r["t2t"]) for r in report.collect()] == [("chr1", True), ("chr2", False)]
+    sites = text.read_sites(spark, file("its.bed", "chr1\t50\t60\t11\nchr1\t5\t9\t10\n")).first()
+    assert [tuple(x) for x in sites["sites"]] == [(5, 9, 10), (50, 60, 11)]
+    totals = text.stockholm_totals(spark, file("f.sto", "#=GF ID   a\n#=GF TP   Sat\n#=GF SQ   3\n//\n#=GF ID   b\n#=GF TP   Sat\n#=GF SQ   4\n//\n"))
+    assert [tuple(r) for r in totals.collect()] == [("Sat", 2, 7)]
+    pairs = text.read_dictionary(spark, file("d.tsv", "a\t1\nb\t2\n"), lambda c: c.cast("int") * 2)
+    assert sorted(tuple(r) for r in pairs.collect()) == [("a", 2), ("b", 4)]
+    some = text.transformed(spark.read.text(file("l.txt", "x1\ny2\n")), before=F.upper, keep=lambda v: F.startswith(v, F.lit("X")))
+    assert [r["value"] for r in some.collect()] == ["X1"]
+
+
+def test_names_and_chunks(spark):
+    seqs = spark.createDataFrame([("a one", "A" * 30), ("b", "C" * 50), ("c", "G" * 40)], "seqid string, seq string")
+    assert extract.require_unique_names(seqs).count() == 3 and extract.duplicate_names(seqs).count() == 0
+    with pytest.raises(ValueError, match="first words: a"):
+        extract.require_unique_names(seqs.union(spark.createDataFrame([("a two", "A")], seqs.schema)))
+    rows = extract.chunked(seqs, 60).collect()
+    assert sorted(r["seqid"] for r in rows) == ["a one", "b", "c"] and {r["chunk"] for r in rows} <= {0, 1} and sum(r["chunk"] == 0 for r in rows) >= 1
+
+
+def test_replaced_sequences(spark, tmp_path):
+    path = str(tmp_path / "sat")
+    old = spark.createDataFrame([("p", "chr1", 1), ("p", "chr2", 2)], "project string, trf_head string, n int")
+    old.write.partitionBy("project", "trf_head").parquet(path)
+    sinks.replace_sequences(old, spark.createDataFrame([("p", "chr2", 5), ("p", "chr3", 6)], old.schema), path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("trf_head", "n").collect()) == [("chr1", 1), ("chr2", 5), ("chr3", 6)]
+    sinks.write_summary(old, str(tmp_path / "s"))
+    assert spark.read.json(str(tmp_path / "s")).count() == 2
