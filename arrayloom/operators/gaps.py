@@ -2,31 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
 
+N_RUN = re.compile("[Nn]+")
+#: Letters of a piece of a sequence, and pieces that a task looks at together.
+PIECE, PIECES_AT_ONCE = 1 << 20, 256
+
 
-def n_runs(seqs: DataFrame, least_length: int = 0) -> DataFrame:
+def n_runs(seqs: DataFrame, least_length: int = 0, piece: int = PIECE) -> DataFrame:
     """(seqid, start, end, length): runs of N, 0-based half-open, on sequences of at least least_length.
 
-    Runs of N and of other letters alternate, so a run's place is the sum of the lengths before it; a running total in
-    an array is enough and no base is exploded."""
-    runs = F.regexp_extract_all("seq", F.lit("([Nn]+|[^Nn]+)"), F.lit(1))
-    step = lambda acc, r: F.concat(acc, F.array(F.struct((F.element_at(acc, -1)["at"] + F.element_at(acc, -1)["n"]).alias("at"), F.length(r).alias("n"), F.upper(F.substring(r, 1, 1)).alias("b"))))
-    zero = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit("").alias("b")))
-    placed = seqs.where(F.length("seq") >= least_length).select("seqid", F.explode(F.aggregate(runs, zero, step)).alias("r")).where("r.b = 'N'")
-    return placed.select("seqid", F.col("r.at").cast("bigint").alias("start"), (F.col("r.at") + F.col("r.n")).cast("bigint").alias("end"), F.col("r.n").cast("bigint").alias("length"))
+    Sequences are cut into pieces. A run's place can be had from built-in functions only as a total over the runs before
+    it, which is quadratic in a sequence's runs, so a task searches its pieces in Python, each letter once. Runs that
+    touch a cut are joined afterwards; sequences of one piece have none."""
+    n, kind = F.length("seq"), dict(seqs.dtypes)["seqid"]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, PIECES_AT_ONCE):
+                b = whole.slice(a, PIECES_AT_ONCE)
+                found = [(i, *m.span()) for i, s in enumerate(b.column("letters").to_pylist()) for m in N_RUN.finditer(s)]
+                row, start, end = np.array(found, np.int64).reshape(-1, 3).T
+                at, size = (b.column(c).to_numpy().astype(np.int64)[row] for c in ("at", "n"))
+                cut = ((start == 0) & (at > 0)) | ((end == piece) & (at + piece < size))
+                yield pa.RecordBatch.from_arrays([b.column("seqid").take(pa.array(row)), pa.array(at + start), pa.array(at + end), pa.array(cut)], ["seqid", "start", "end", "cut"])
+
+    def runs(rows: DataFrame) -> DataFrame:
+        parts = F.transform(F.sequence(F.lit(0), n - 1, F.lit(piece)), lambda i: F.struct(i.alias("at"), F.substring(F.col("seq"), i + 1, F.lit(piece)).alias("letters")))
+        rows = rows.where(n > 0).select("seqid", n.alias("n"), F.explode(parts).alias("p")).select("seqid", "n", "p.at", "p.letters")
+        return rows.mapInArrow(find, f"seqid {kind}, start long, end long, cut boolean")
+
+    rows = seqs.where(n >= least_length)
+    order = Window.partitionBy("seqid").orderBy("start")
+    seams = runs(rows.where(n > piece)).where("cut").withColumn("new", F.when(F.lag("end").over(order) == F.col("start"), 0).otherwise(1))
+    seams = seams.withColumn("run", F.sum("new").over(order)).groupBy("seqid", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    out = runs(rows).where("NOT cut").select("seqid", "start", "end").unionByName(seams.drop("run"))
+    return out.withColumn("length", F.col("end") - F.col("start"))
 
 
 def gap_summary(gaps: DataFrame, genome: DataFrame) -> DataFrame:
-    """By size range: count, % of gaps, bp, % of the genome(one row, column genome)."""
+    """By size range, and in total: count, % of gaps, bp, % of the genome(one row, column genome), mean length."""
     n = F.col("length")
     label = F.when(n < 10, "<10").when(n < 100, "10-100").when(n < 1000, "100-1k").otherwise(">1k")
-    by = gaps.groupBy(label.alias("size_range")).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bp"))
-    total = by.agg(F.sum("n").alias("n_all"))
-    return by.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(genome)).select("size_range", "n", F.round(100.0 * F.col("n") / F.col("n_all"), 3).alias("pgaps"), "bp", F.round(100.0 * F.col("bp") / F.col("genome"), 3).alias("pgenome"))
+    by = gaps.rollup(label.alias("size_range")).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bp"))
+    share = lambda part, whole: F.round(100.0 * F.col(part) / whole, 3)
+    everything = F.max("n").over(Window.partitionBy(F.lit(1)))  # of the total's row, among five rows at most
+    return by.crossJoin(F.broadcast(genome)).select(
+        F.coalesce("size_range", F.lit("total")).alias("size_range"), "n", share("n", everything).alias("pgaps"), "bp", share("bp", F.col("genome")).alias("pgenome"), F.round(F.col("bp") / F.col("n"), 3).alias("mean")
+    )
 
 
 def _share(end: Column, motif: str) -> Column:

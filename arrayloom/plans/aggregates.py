@@ -57,7 +57,7 @@ over("a26_composition", lambda spark, sf: seqs(spark, sf).select("seqid", *[seqf
 over("a27_length_distribution", lambda spark, sf: seqs(spark, sf).groupBy(F.floor(F.length("seq") / 100).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(seqfn.gc_fraction(F.col("seq"))), 6).alias("mean_gc")), f"WITH {SEQS} SELECT length(seq) // 100 AS bin, count(*) AS n, round(avg(CASE WHEN length(seq) > 0 THEN (length(seq) - length(translate(seq, 'GC', ''))) / length(seq)::DOUBLE ELSE 0 END), 6) AS mean_gc FROM seqs GROUP BY 1")
 RUNS = "runs AS (SELECT seqid, unnest(regexp_extract_all(seq, '([Nn]+|[^Nn]+)')) AS r, generate_subscripts(regexp_extract_all(seq, '([Nn]+|[^Nn]+)'), 1) AS k FROM seqs), placed AS (SELECT seqid, r, sum(length(r)) OVER (PARTITION BY seqid ORDER BY k) - length(r) AS pos FROM runs), gaps AS (SELECT seqid, CAST(pos AS BIGINT) AS \"start\", CAST(pos + length(r) AS BIGINT) AS \"end\", length(r) AS length FROM placed WHERE upper(r[1]) = 'N')"
 over("w01_w02_n_runs", lambda spark, sf: gaps.n_runs(seqs(spark, sf)), f'WITH {SEQS}, {RUNS} SELECT seqid, "start", "end", length FROM gaps')
-over("a14_gap_summary", lambda spark, sf: gaps.gap_summary(gaps.n_runs(seqs(spark, sf)), genome(spark, sf)), f"WITH {SEQS}, {RUNS} SELECT CASE WHEN length < 10 THEN '<10' WHEN length < 100 THEN '10-100' WHEN length < 1000 THEN '100-1k' ELSE '>1k' END AS size_range, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM gaps), 3) AS pgaps, CAST(sum(length) AS BIGINT) AS bp, round(100.0 * sum(length) / {GENOME}, 3) AS pgenome FROM gaps GROUP BY 1")
+over("a14_gap_summary", lambda spark, sf: gaps.gap_summary(gaps.n_runs(seqs(spark, sf)), genome(spark, sf)), f"WITH {SEQS}, {RUNS}, k AS (SELECT CASE WHEN length < 10 THEN '<10' WHEN length < 100 THEN '10-100' WHEN length < 1000 THEN '100-1k' ELSE '>1k' END AS size_range, length FROM gaps) SELECT coalesce(size_range, 'total') AS size_range, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM gaps), 3) AS pgaps, CAST(sum(length) AS BIGINT) AS bp, round(100.0 * sum(length) / {GENOME}, 3) AS pgenome, round(sum(length)::DOUBLE / count(*), 3) AS mean FROM k GROUP BY ROLLUP (size_range)")
 DENS = "WITH {a}, cut AS (SELECT *, unnest(range(l_ind // {b}, r_ind // {b} + 1)) AS bin FROM arrays), d AS (SELECT seqid, bin, {c} AS category, CAST(sum(greatest(least(r_ind, (bin + 1) * {b}) - greatest(l_ind, bin * {b}), 0)) AS BIGINT) AS bp FROM cut GROUP BY ALL)"
 CAT = "CASE WHEN r_ind - l_ind < 1000 THEN '<1k' WHEN r_ind - l_ind < 10000 THEN '1-10k' WHEN r_ind - l_ind < 100000 THEN '10-100k' ELSE '>100k' END"
 for size, label in ((500000, "coarse"), (50000, "fine")):

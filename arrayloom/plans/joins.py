@@ -59,10 +59,21 @@ n AS (SELECT id, sqrt(sum(tf * tf)) AS norm FROM k GROUP BY 1), d AS (SELECT a.i
 
 over("j13_cosine_distance", lambda spark, sf: similarity.cosine_pairs(source_vectors(spark, sf, False)).withColumn("distance", F.abs(F.round("distance", 6))), _sql_cosine("x", 100, "TRUE"))
 over("j14_canonical_cosine", lambda spark, sf: similarity.cosine_pairs(source_vectors(spark, sf, True), 1.0).withColumn("distance", F.abs(F.round("distance", 6))).where("distance <= 0.2"), _sql_cosine("least(x, reverse(translate(x, 'ACGT', 'TGCA')))", 1, "distance <= 0.2"))
-HAM = "list_min(list_transform(list_concat({r}, {rr}), lambda y: len(list_filter(range(1, 7), lambda i: substr(y, CAST(i AS INTEGER), 1) <> substr(repeat(a, 2), CAST(i AS INTEGER), 1))) / 6.0::DOUBLE))".format(r=ROT.format("b"), rr=ROT.format("reverse(translate(b, 'ACGT', 'TGCA'))"))
-over("j16_sliding_hamming", lambda spark, sf: seqs(spark, sf).where("length(seq) > 5").select(F.substring("seq", 1, 3).alias("a"), F.substring("seq", 1, 6).alias("b")).distinct().select("a", "b", F.round(similarity.sliding_hamming(F.col("a"), F.col("b")), 6).alias("distance")), f"WITH {SEQS}, p AS (SELECT DISTINCT substr(seq, 1, 3) AS a, substr(seq, 1, 6) AS b FROM seqs WHERE length(seq) > 5) SELECT a, b, round({HAM}, 6) AS distance FROM p")
-over("j17_edit_distance", lambda spark, sf: similarity.edit_pairs(seqs(spark, sf).where("length(seq) > 8").select(F.substring("seq", 1, 9).alias("s")), 1), f"WITH {SEQS}, m AS (SELECT DISTINCT substr(seq, 1, 9) AS s FROM seqs WHERE length(seq) > 8), p AS (SELECT a.s AS a, b.s AS b, least(levenshtein(a.s, b.s), levenshtein(a.s, reverse(translate(b.s, 'ACGT', 'TGCA')))) AS distance FROM m a JOIN m b ON a.s < b.s) SELECT * FROM p WHERE distance <= 1")
-over("j18_rotation_distance", lambda spark, sf: seqs(spark, sf).where("length(seq) > 13").select(F.substring("seq", 1, 7).alias("a"), F.substring("seq", 8, 7).alias("b")).distinct().select("a", "b", similarity.rotation_distance(F.col("a"), F.col("b")).alias("distance")), "WITH {s}, p AS (SELECT DISTINCT substr(seq, 1, 7) AS a, substr(seq, 8, 7) AS b FROM seqs WHERE length(seq) > 13) SELECT a, b, CAST(list_min(list_transform(list_concat({r}, {rr}), lambda y: levenshtein(a, y))) AS INTEGER) AS distance FROM p".format(s=SEQS, r=ROT.format("b"), rr=ROT.format("reverse(translate(b, 'ACGT', 'TGCA'))")))
+
+
+def copy_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct pairs of a consensus (a) and a whole copy of it (b) in its array, of all repeats."""
+    rows = sat(spark, sf).select(F.col("trf_consensus").alias("array_id"), F.col("trf_array").alias("seq"), F.col("trf_period").alias("period"))
+    return gaps.monomers(rows).where("type = 'monomer'").select(F.col("array_id").alias("a"), F.col("cut_sequence").alias("b")).distinct()
+
+
+COPIES = f"WITH {SAT}, p AS (SELECT DISTINCT trf_consensus AS a, substr(trf_array, CAST(i AS INTEGER) + 1, trf_period) AS b FROM sat, LATERAL (SELECT unnest(range(0, length(trf_array) - trf_period + 1, trf_period)) AS i))"
+TURNS = "list_concat({r}, {rr})".format(r=ROT.format("b"), rr=ROT.format("reverse(translate(b, 'ACGT', 'TGCA'))"))
+HAM = f"list_min(list_transform({TURNS}, lambda y: len(list_filter(range(1, length(b) + 1), lambda i: substr(y, CAST(i AS INTEGER), 1) <> substr(a, CAST(i AS INTEGER), 1))) / length(b)::DOUBLE))"
+over("j16_sliding_hamming", lambda spark, sf: copy_pairs(spark, sf).select("a", "b", F.round(similarity.sliding_hamming(F.col("a"), F.col("b")), 6).alias("distance")), f"{COPIES} SELECT a, b, round({HAM}, 6) AS distance FROM p")
+# all pairs are too slow for SQL on whole tables; a test compares the operator with all pairs of a small one
+over("j17_edit_distance", lambda spark, sf: similarity.edit_pairs(sat(spark, sf).select(F.col("trf_consensus").alias("s")), 1), None)
+over("j18_rotation_distance", lambda spark, sf: copy_pairs(spark, sf).select("a", "b", similarity.rotation_distance(F.col("a"), F.col("b")).alias("distance")), f"{COPIES} SELECT a, b, CAST(list_min(list_transform({TURNS}, lambda y: levenshtein(a, y))) AS INTEGER) AS distance FROM p")
 over("j20_self_overlaps", lambda spark, sf: intervals.self_overlaps(arrays(spark, sf)), f"WITH {ARRAYS} SELECT a.seqid, a.trf_id AS id_a, b.trf_id AS id_b, CASE WHEN a.l_ind = b.l_ind AND a.r_ind = b.r_ind THEN 'duplicate' WHEN a.l_ind <= b.l_ind AND a.r_ind >= b.r_ind THEN 'contains' WHEN a.l_ind >= b.l_ind AND a.r_ind <= b.r_ind THEN 'contained' ELSE 'partial' END AS kind FROM arrays a JOIN arrays b ON a.seqid = b.seqid AND a.trf_id < b.trf_id AND a.l_ind < b.r_ind AND b.l_ind < a.r_ind")
 over("d04_connected_components", lambda spark, sf: similarity.connected_components(intervals.self_overlaps(arrays(spark, sf)).select("id_a", "id_b")), f"""WITH {ARRAYS}, o AS (SELECT *, max(r_ind) OVER (PARTITION BY seqid ORDER BY l_ind, r_ind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM arrays), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR l_ind >= reach THEN 1 ELSE 0 END) OVER (PARTITION BY seqid ORDER BY l_ind, r_ind ROWS UNBOUNDED PRECEDING) AS run FROM o),
 c AS (SELECT trf_id, min(trf_id) OVER (PARTITION BY seqid, run) AS comp, max(trf_id) OVER (PARTITION BY seqid, run) AS most FROM g) SELECT DISTINCT trf_id AS id, comp FROM c WHERE most > comp""")
@@ -90,8 +101,8 @@ def family_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 over("d02_d03_j19_families", family_rows, None)
-over("d09_restored_regions", lambda spark, sf: seqs(spark, sf).join(intervals.merge_intervals(beds(spark, sf).where("period = 3").select("seqid", "start", "end"), 50).select("seqid", F.col("start").alias("s"), F.col("end").alias("e")), "seqid", "left").select("seqid", F.coalesce("s", F.lit(0)).alias("start"), F.least(F.coalesce("e", F.length("seq")), F.length("seq")).alias("end")).where("end > start").select(F.concat_ws("_", F.concat("seqid", F.lit("_")), F.col("start").cast("string"), F.col("end").cast("string")).alias("head")),
-     f"""WITH {SEQS}, {BEDS}, x AS (SELECT seqid, "start", "end" FROM beds WHERE period = 3), o AS (SELECT *, max("end") OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM x), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR "start" - reach > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS run FROM o), m AS (SELECT seqid, min("start") AS s, max("end") AS e FROM g GROUP BY seqid, run),
+over("d09_restored_regions", lambda spark, sf: seqs(spark, sf).join(intervals.merge_intervals(beds(spark, sf).select("seqid", "start", "end"), 50).select("seqid", F.col("start").alias("s"), F.col("end").alias("e")), "seqid", "left").select("seqid", F.coalesce("s", F.lit(0)).alias("start"), F.least(F.coalesce("e", F.length("seq")), F.length("seq")).alias("end")).where("end > start").select(F.concat_ws("_", F.concat("seqid", F.lit("_")), F.col("start").cast("string"), F.col("end").cast("string")).alias("head")),
+     f"""WITH {SEQS}, {BEDS}, x AS (SELECT seqid, "start", "end" FROM beds), o AS (SELECT *, max("end") OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM x), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR "start" - reach > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS run FROM o), m AS (SELECT seqid, min("start") AS s, max("end") AS e FROM g GROUP BY seqid, run),
 r AS (SELECT seqid, coalesce(s, 0) AS s, least(coalesce(e, length(seq)), length(seq)) AS e FROM seqs LEFT JOIN m USING (seqid)) SELECT seqid || '__' || s || '_' || e AS head FROM r WHERE e > s""")
 over("d13_d14_bars", lambda spark, sf: arrays(spark, sf).select("seqid", "trf_id", "l_ind", F.greatest(F.col("r_ind") - F.col("l_ind"), F.lit(500)).alias("bar"), F.when(F.col("r_ind") - F.col("l_ind") > 900, "large").otherwise("small").alias("trace")), f"WITH {ARRAYS} SELECT seqid, trf_id, l_ind, greatest(r_ind - l_ind, 500) AS bar, CASE WHEN r_ind - l_ind > 900 THEN 'large' ELSE 'small' END AS trace FROM arrays")
 over("u01_u06_union_with_source", lambda spark, sf: arrays(spark, sf).select("seqid", F.col("l_ind").alias("start"), F.lit("core").alias("source")).unionByName(features(spark, sf).select("seqid", "start", F.lit("enriched").alias("source"))), f"""WITH {ARRAYS}, {FEATURES} SELECT seqid, l_ind AS "start", 'core' AS source FROM arrays UNION ALL SELECT seqid, "start", 'enriched' FROM features""")

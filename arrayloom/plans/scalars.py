@@ -17,7 +17,6 @@ ORACLE_SQL: dict[str, str] = {}
 RC = "reverse(translate({0}, 'ACGTacgt', 'TGCAtgca'))"
 ROT = "list_transform(range(1, length({0}) + 1), lambda i: substr({0} || {0}, CAST(i AS INTEGER), CAST(length({0}) AS INTEGER)))"
 CANON = f"list_min(list_concat({ROT}, {ROT.replace('{0}', RC)}))"
-UNIT = "substr(seq, 1, 7)"
 
 
 def over_seqs(name: str, make: Callable[[], dict[str, Column]], sql: str, where: str = "TRUE") -> None:
@@ -41,10 +40,10 @@ over_seqs("p06_revcomp_n", lambda: {"rc": seqfn.revcomp_n(F.concat(S, F.lit("xyZ
 over_seqs("p07_revcomp_keep", lambda: {"rc": seqfn.revcomp(F.concat(S, F.lit("xyZ")))}, f"{RC.format('(seq || ' + chr(39) + 'xyZ' + chr(39) + ')')} AS rc")
 over_seqs("p08_entropy", lambda: {"entropy": seqfn.entropy(S)}, f"{sql_entropy('seq')} AS entropy")
 over("p09_p11_match_copies_consensus", lambda spark, sf: sat(spark, sf).select("trf_id", "trf_period", "trf_pmatch", "trf_n_copy", "trf_consensus"), f"WITH {SAT} SELECT trf_id, trf_period, trf_pmatch, trf_n_copy, trf_consensus FROM sat")
-over_seqs("p12_rotations", lambda: {"rotations": F.array_join(seqfn.rotations(F.substring(S, 1, 7)), ",")}, f"array_to_string({ROT.format(UNIT)}, ',') AS rotations", "length(seq) > 0")
-over_seqs("p13_canonical", lambda: {"canonical": seqfn.canonical(F.substring(S, 1, 7))}, f"{CANON.format(UNIT)} AS canonical", "length(seq) > 0")
+over("p12_rotations", lambda spark, sf: sat(spark, sf).select("trf_id", F.array_join(seqfn.rotations(F.col("trf_consensus")), ",").alias("rotations")), f"WITH {SAT} SELECT trf_id, array_to_string({ROT.format('trf_consensus')}, ',') AS rotations FROM sat")
+over("p13_canonical", lambda spark, sf: sat(spark, sf).select("trf_id", seqfn.canonical(F.col("trf_consensus")).alias("canonical")), f"WITH {SAT} SELECT trf_id, {CANON.format('trf_consensus')} AS canonical FROM sat")
 ROOT = "substr({0}, 1, CAST(list_min(list_filter(range(1, length({0}) + 1), lambda d: length({0}) % d = 0 AND repeat(substr({0}, 1, CAST(d AS INTEGER)), CAST(length({0}) // d AS INTEGER)) = {0})) AS INTEGER))"
-over_seqs("p14_primitive_root", lambda: {"root": seqfn.primitive_root(F.repeat(F.substring(S, 1, 3), F.lit(4)))}, ROOT.format("repeat(substr(seq, 1, 3), 4)") + " AS root", "length(seq) > 2")
+over("p14_primitive_root", lambda spark, sf: sat(spark, sf).select("trf_id", seqfn.primitive_root(F.col("trf_consensus")).alias("root")), f"WITH {SAT} SELECT trf_id, {ROOT.format('trf_consensus')} AS root FROM sat")
 
 HEADS = [
     ("0", "concat('>gi|', doc_id, '|ref|', 'NC_', doc_id, '.1|', source, ' chromosome ', doc_id % 24, ', whole')"),
@@ -104,7 +103,7 @@ over_seqs("p20_p21_motifs_and_log", lambda: {"tel": seqfn.has_telomere(motif()),
 NUMBERS = "CASE doc_id % 5 WHEN 0 THEN CAST(doc_id AS STRING) WHEN 1 THEN concat(doc_id, '.0') WHEN 2 THEN '' WHEN 3 THEN 'not-a-number' END"
 over("p22_lenient_int", lambda spark, sf: table(spark, sf, "documents").select("doc_id", seqfn.lenient_int(F.expr(NUMBERS)).alias("n")), "SELECT doc_id, CASE WHEN doc_id % 5 < 2 THEN doc_id ELSE 0 END AS n FROM documents")
 over("p23_trimer_and_scaffold", lambda spark, sf: sat(spark, sf).select("trf_id", F.repeat("trf_consensus", F.lit(3)).alias("trimer"), seqfn.first_word(F.concat("trf_head", F.lit(" x"))).alias("scaffold")), f"WITH {SAT} SELECT trf_id, repeat(trf_consensus, 3) AS trimer, trf_head AS scaffold FROM sat")
-over("p24_renamed_chromosomes", lambda spark, sf: table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat(F.lit("chr"), F.col("n_name")).alias("chromosome")), "SELECT c_custkey, 'chr' || n_name AS chromosome FROM customer JOIN nation ON c_nationkey = n_nationkey")
+over("p24_renamed_chromosomes", lambda spark, sf: table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat(F.lit("chr"), F.col("n_name")).alias("chromosome")), "SELECT c_custkey, 'chr' || n_name AS chromosome FROM customer JOIN nation ON c_nationkey = n_nationkey")
 KMERS = "k AS (SELECT seqid, length(seq) - 4 AS n, substr(seq, CAST(i AS INTEGER), 5) AS kmer FROM seqs, LATERAL (SELECT unnest(range(1, length(seq) - 3)) AS i) WHERE length(seq) > 4)"
 over("p25_kmer_vector", lambda spark, sf: gaps.kmer_frequencies(seqs(spark, sf)).select("seqid", "kmer", F.round("tf", 8).alias("tf")),
      f"WITH {SEQS}, {KMERS}, strands AS (SELECT seqid, n, unnest([kmer, {RC.format('kmer')}]) AS kmer FROM k WHERE regexp_full_match(kmer, '[ACGT]{{5}}')) SELECT seqid, kmer, round(count(*) / (2 * first(n))::DOUBLE, 8) AS tf FROM strands GROUP BY seqid, kmer")
@@ -151,7 +150,7 @@ over_class("f08_c03_fuzzy_ssr", classify.fuzzy_ssr, classify.fuzzy_ssr_name, FUZ
 over_class("f09_complex", classify.complex_repeat, lambda: F.lit("complex"), COMPLEX, "'complex'")
 CLASSES = " UNION ALL ".join(f"SELECT *, '{k}' AS category, {n} AS trf_family FROM sat WHERE {w}" for k, n, w in [("pmicro", MICRO_NAME, "trf_period < 6 AND trf_pmatch = 100"), ("micro", MICRO_NAME, "trf_period < 6"), ("tSSR", TSSR, TRUE), ("fSSR", FSSR, FUZZY), ("complex", "NULL", COMPLEX), ("1kb", "NULL", "trf_array_length > 1000"), ("10kb", "NULL", "trf_array_length > 10000"), ("100kb", "NULL", "trf_array_length > 100000"), ("1000kb", "NULL", "trf_array_length > 1000000")])
 over("c05_all_classes", lambda spark, sf: classify.all_classes(sat(spark, sf)).select("trf_id", "trf_array", "category", "trf_family"), f"WITH {SAT}, classes AS ({CLASSES}) SELECT trf_id, trf_array, category, trf_family FROM classes")
-over("f03_exclude_list", lambda spark, sf: table(spark, sf, "lineitem").join(F.broadcast(table(spark, sf, "supplier").where("s_nationkey < 5").select(F.col("s_suppkey").alias("l_suppkey"))), "l_suppkey", "left_anti").groupBy("l_suppkey").count().withColumnRenamed("count", "n"), "SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 5) GROUP BY 1")
+over("f03_exclude_list", lambda spark, sf: table(spark, sf, "lineitem").join(table(spark, sf, "supplier").where("s_nationkey < 5").select(F.col("s_suppkey").alias("l_suppkey")), "l_suppkey", "left_anti").groupBy("l_suppkey").count().withColumnRenamed("count", "n"), "SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 5) GROUP BY 1")
 over("f04_subset_by_head", lambda spark, sf: sat(spark, sf).agg(F.count_if(F.contains("trf_head", F.lit("7"))).alias("n"), F.count(F.lit(1)).alias("total"), F.sum(F.when(F.contains("trf_head", F.lit("7")), F.col("trf_array_length"))).alias("bp")), f"WITH {SAT} SELECT count(*) FILTER (contains(trf_head, '7')) AS n, count(*) AS total, CAST(sum(trf_array_length) FILTER (contains(trf_head, '7')) AS BIGINT) AS bp FROM sat")
 over("f10_least_scaffold_length", lambda spark, sf: seqs(spark, sf).where(F.length("seq") >= 500).select("seqid", F.length("seq").cast("bigint").alias("length")), f"WITH {SEQS} SELECT seqid, length(seq) AS length FROM seqs WHERE length(seq) >= 500")
 over("f15_centromere_or_telomere", lambda spark, sf: seqs(spark, sf).select("seqid", seqfn.motif_class(motif()).alias("class_name")).where("class_name <> 'UNK'"), f"WITH {SEQS} SELECT seqid, CASE WHEN regexp_matches({MOTIF_SQL}, '{seqfn.TELOMERE}') THEN 'TEL' ELSE 'CENPB' END AS class_name FROM seqs WHERE regexp_matches({MOTIF_SQL}, '{seqfn.TELOMERE}') OR regexp_matches({MOTIF_SQL}, '{seqfn.CENPB}')")
