@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, html_mincut, jaccard, langid, licenses, matroska, mixing, packing, secret_scan, sharding
+from . import dedup, filter_audit, fingerprints, html_mincut, jaccard, langid, licenses, matroska, mixing, packing, secret_scan, sharding, vector_codes
 from .common import documents
 
 
@@ -55,9 +55,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_orders(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 OP10_SQL = """SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_matroska, op3_language_id, op4_html_extraction, op5_mixing, op6_packing, op7_license_scan, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup)}
-ORACLE_SQL = {"op7_license_scan": licenses.license_sql(), "op10_exact_dedup": OP10_SQL}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_matroska, op3_language_id, op4_html_extraction, op5_mixing, op6_packing, op7_license_scan, op8_ngram_jaccard, op9_secret_scan, op10_exact_dedup, op11_fingerprints, op12_vector_codes, op13_filter_audit)}
+ORACLE_SQL = {"op7_license_scan": licenses.license_sql(), "op10_exact_dedup": OP10_SQL, "op12_vector_codes": vector_codes.vector_codes_sql(), "op13_filter_audit": filter_audit.filter_orders_sql()}
