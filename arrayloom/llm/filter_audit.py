@@ -15,7 +15,7 @@ node of a level, the high child's weight is what the filter removes there and th
 Defined results: a null text is empty; it has no words, fails A alone, and D, C and B not. A null source is the part ''.
 E compares whole texts (SHA-256 and length) with smaller doc_ids table-wide: of rows that share text and doc_id none is
 smaller, a null doc_id is neither smaller nor larger. Repeated rows count as they stand. Labels: 1 in any of a doc_id's
-rows counts; a document without labels is neither good nor toxic. Other columns are not read. An empty table gives an
+rows counts; a document without labels, or without a doc_id, is neither good nor toxic. Other columns are not read. An empty table gives an
 empty result.
 """
 

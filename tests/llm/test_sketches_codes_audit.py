@@ -230,7 +230,7 @@ def test_pivot_distances_are_computed_once(spark, sf):
 
 def plain_audit(table, labels):
     """Every order walked document by document."""
-    good, toxic = {i for i, q, _ in labels if q == 1}, {i for i, _, t in labels if t == 1}
+    good, toxic = {i for i, q, _ in labels if q == 1} - {None}, {i for i, _, t in labels if t == 1} - {None}
     least = {}
     for i, t, _ in table:
         if i is not None:
