@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import with_computed
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?/][^>]*>|[^<]+|<", re.S | re.I)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^<>])*+)>|<[!?/][^>]*>|[^<]+|<", re.S | re.I)
 #: Elements without content of the page, each with the first thing that ends it: its end tag (the group), or a tag that cannot
 #: stand in it. Where the latter comes first, or neither, the end tag is missing and nothing but the start tag is skipped.
 SKIPPED = {
@@ -55,7 +55,8 @@ GOOD = re.compile(r"\b(article|content|post-?body|entry|main|story)\b", re.I)
 BAD = re.compile(r"\b(ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|footer|sidebar|side-bar|cookie\w*|consent|notice|breadcrumbs?|comments?|comment-\w+|respond|disqus\w*|share|social|related|newsletter|subscribe|popup|modal|login|signup|widget)\b", re.I)
 #: Names that tell of a page's layout or state, not of the element that has them.
 STATE = re.compile(r"(?:has|no|is|with|without|hide|show)-.*|.*-(?:with|without|has|no)-.*|.*-(?:open|opened|closed|active|enabled|disabled|collapsed|expanded|fixed)", re.I)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+INVISIBLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 #: Smoothness: between blocks that follow each other, and between blocks of one container, or of containers that are
 #: further apart in the tree (divided by the steps between them).
 NEXT_TO, NEAR = 0.6, 0.8
@@ -104,14 +105,17 @@ def _weight(tag: str, attrs: str, in_article: bool) -> tuple[float, float]:
     if tag == "header" and not in_article:
         w -= 20
     if attrs and tag not in ("body", "html", "head"):
-        names = [n for a, v in ATTRIBUTE.findall(attrs) if a.lower() in ("class", "id", "role") for n in v.strip("\"'").replace("_", "-").split()]
+        given: dict[str, str] = {}
+        for a, v in ATTRIBUTE.findall(attrs):
+            given.setdefault(a.lower(), v[1:-1] if v[:1] in ('"', "'") else v)
+        names = [n for a in ("class", "id", "role") if a in given for n in given[a].replace("_", "-").split()]
         good = 3 if GOOD.search(" ".join(names)) else 0
         # an article's names tell of its topics as well (category-social), so only a whole one counts
         bad = BAD.fullmatch if tag in ("article", "main") else BAD.search
         w += good
         if any(bad(n) for n in names if not STATE.fullmatch(n)):
             doubt -= 20 + good
-        if re.search(r"\bhidden\b|display\s*:\s*none", attrs, re.I):
+        if "hidden" in given or given.get("aria-hidden", "").lower() == "true" or INVISIBLE.search(given.get("style", "")):
             w -= 20
     return w, doubt
 

@@ -183,7 +183,7 @@ def frequent(docs: DataFrame, words: int, num: int, den: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Per row: rid, doc_id, n (set size), cls (128 bits that name the set; null if empty), prefix under order 1, and
+    """Per row of docs(doc_id, row, text): rid, doc_id, row, n (set size), cls (128 bits that name the set; null if empty), prefix under order 1, and
     second and third, the prefixes under the other orders."""
     often = docs.sparkSession.sparkContext.broadcast(frequent(docs, words, num, den))
 
@@ -224,12 +224,12 @@ def filtered(pairs: DataFrame, orders: DataFrame) -> DataFrame:
 
 def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b, n: elements of b) that are links. Texts of b go to groups of their a, with a's; large groups are
-    split and a stands in each part. nodes: (node, cls, doc_id) of every class."""
+    split and a stands in each part. docs: (row, text); nodes: (node, cls, row) of every class, row being one that has it."""
     load = written(pairs.groupBy("a").agg(F.ceil(F.sum("n") / GROUP_ELEMENTS).cast("int").alias("parts")), "loads")
     tails = pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("node"))
     heads = load.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("node"))
-    roles = written(tails.unionByName(heads).join(nodes, "node").withColumnRenamed("doc_id", "_id"), "roles")
-    given = docs.join(small_or_shuffled(roles, roles.count(), BROADCAST_ROWS // 4), F.col("doc_id").eqNullSafe(F.col("_id")))
+    roles = written(tails.unionByName(heads).join(nodes, "node"), "roles")
+    given = docs.select("row", "text").join(small_or_shuffled(roles, roles.count(), BROADCAST_ROWS // 4), "row")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, head, seen = None, None, set()
@@ -238,7 +238,7 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, num:
             hit = []
             for i, s in enumerate(shingle_sets(text, words)):
                 if set_name(s) != cls[i]:
-                    continue  # another row with the same doc_id
+                    raise AssertionError("a row's text is another one than when it was named")
                 if (a[i], part[i]) != at:
                     at, head, seen = (a[i], part[i]), s, {a[i]}  # a stands first
                 elif node[i] not in seen:
@@ -286,8 +286,15 @@ def similarity_components(docs: DataFrame, words: int = 5, num: int = 80, den: i
     """Per input row: doc_id, n_shingles, component_id (smallest doc_id reachable by links of num/den similarity)."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    # rows are fetched by doc_id if it tells them apart, else by a number that a written table fixes
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m")).agg(F.max("m"), F.max(F.col("doc_id").isNull())).first()
+    numbered = None
+    if (ids[0] or 1) > 1 or ids[1]:
+        docs = numbered = written(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    else:
+        docs = docs.withColumn("row", F.col("doc_id"))
     sigs = signatures(docs, words, num, den)
-    classes = written(sigs.where("n > 0").groupBy("cls").agg(F.min("rid").alias("node"), F.min_by("doc_id", "rid").alias("doc_id")), "classes")
+    classes = written(sigs.where("n > 0").groupBy("cls").agg(F.min("rid").alias("node"), F.min_by("row", "rid").alias("row")), "classes")
     n_classes = classes.count()
     orders = sigs.select(F.col("rid").alias("node"), "second", "third")
     heads = sigs.select("rid", "n", "prefix").join(small_or_shuffled(classes.select(F.col("node").alias("rid")), n_classes), "rid", "left_semi")
@@ -345,7 +352,7 @@ def similarity_components(docs: DataFrame, words: int = 5, num: int = 80, den: i
     else:
         rows = rows.withColumn("comp", F.col("node"))
     rows = written(rows.select("doc_id", "n", "comp"), "members")
-    discard(sigs, classes, shared, *done)
+    discard(sigs, classes, shared, numbered, *done)
     # a table of its own: a join with it may split a component of very many rows, one after an aggregate could not
     least = written(rows.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id")), "least")
     return rows.join(least, "comp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -731,3 +731,45 @@ def test_ring_by_hand(spark, monkeypatch, shards, load):
         before, _ = ring_by_hand(keys, 16, 64, load)
         moved = [k for k in keys if before[k] != mine[k]]
         assert all(mine[k] == 16 for k in moved) and len(moved) < 2 * 3000 / 17
+
+
+ARTICLE = "<article><h1>A heading of some words</h1><p>" + "A sentence of the article itself, long enough to count as content. " * 4 + "</p></article>"
+
+
+@pytest.mark.parametrize("attrs", ['class="overflow-hidden"', "class=overflow-hidden", 'style="overflow:hidden"', 'style="overflow: hidden; color: red"', 'aria-hidden="false"', 'data-hidden="x"', 'title="it is hidden"', "title=it's", 'style="display:nonesuch"'])
+def test_html_that_is_not_hidden(attrs):
+    text = html_mincut.main_text(f"<body><nav><a href=/>Home</a></nav><div {attrs}>{ARTICLE}</div></body>")
+    assert text.startswith("A heading of some words\nA sentence") and "Home" not in text and "<" not in text
+
+
+@pytest.mark.parametrize("attrs", ["hidden", "HIDDEN=hidden", 'aria-hidden="true"', 'style="color:red; display: none"', "style='display:none !important;'", "style=visibility:hidden"])
+def test_html_that_is_hidden(attrs):
+    page = f"<body>{ARTICLE}<div {attrs}><p>Nobody sees this text on the page, long as it may be, with its words.</p></div></body>"
+    assert "Nobody" not in html_mincut.main_text(page) and "A heading" in html_mincut.main_text(page)
+
+
+def test_html_tags_with_odd_quotes():
+    assert [b.text for b in html_mincut.blocks("<h1 title=it's>One</h1><p title='a > b' x=\"<p>\">Two</p><p a=\"b>Three</p>")] == ["One", "Two", "Three"]
+    began = time.time()
+    html_mincut.blocks("<a b=" * 20000)
+    html_mincut.blocks("<a " + "b='c' d=\"e\" " * 20000)
+    assert time.time() - began < 5
+
+
+def test_jaccard_of_rows_without_ids(spark):
+    """Near pairs of short texts under one null id take about as long as under ids of their own, and link alike."""
+    rng = np.random.default_rng(8)
+    texts = []
+    for i in range(1200):
+        words = [f"w{x}" for x in rng.integers(0, 400, 40)]
+        texts += [" ".join(words), " ".join([*words, "end"])]
+    took = {}
+    for name, ids in {"own": range(2400), "null": [None] * 2400, "one": [7] * 2400}.items():
+        df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(4)
+        began = time.time()
+        out = jaccard.similarity_components(df, 3, 90, 100).collect()
+        took[name] = time.time() - began
+        assert len(out) == 2400
+        if name == "own":
+            assert all(r["component_id"] == r["doc_id"] // 2 * 2 for r in out)
+    assert max(took["null"], took["one"]) < 2 * took["own"] + 5
