@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
+from arrayloom.operators import tiles
 
 
 def duplicate_names(seqs: DataFrame) -> DataFrame:
@@ -34,15 +35,19 @@ def chunked(seqs: DataFrame, size: int = 100000) -> DataFrame:
     return rows.select("seqid", "length", F.floor(F.col("_at") / size).alias("chunk"))
 
 
-def extract_arrays(seqs: DataFrame, beds: DataFrame, project: str) -> DataFrame:
+def extract_arrays(seqs: DataFrame, beds: DataFrame, project: str, size: int = tiles.TILE) -> DataFrame:
     """The repeat table of intervals (0-based half-open) within the bounds of their sequence.
 
-    Sequences join intervals on the first word of the name, so a sequence moves once whatever its number of intervals;
-    the bases are cut before anything else is computed.
+    Sequences join intervals on the first word of the name, as tiles: a sequence is spread over as many rows as its length
+    asks for, and an interval moves with the letters of the tiles it touches alone.
     """
-    inside = (F.col("start") >= 0) & (F.col("start") < F.col("end")) & (F.col("end") <= F.length("seq"))
-    cut = beds.join(seqs.withColumn("seqid", seqfn.first_word(F.col("seqid"))), "seqid").where(inside)
-    bases = F.substring(F.col("seq"), (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
+    return arrays_of_tiles(tiles.tiled(seqs.withColumn("seqid", seqfn.first_word(F.col("seqid"))), size), beds, project, size)
+
+
+def arrays_of_tiles(tiled: DataFrame, beds: DataFrame, project: str, size: int = tiles.TILE) -> DataFrame:
+    """The repeat table of intervals on sequences that are tiles of that size already (see tiles and sources.text)."""
+    cut = tiles.cut_spans(beds.select("seqid", "start", "end", "period", "strand"), tiled, size)
+    bases = F.col("bases")
     cut = cut.select("seqid", "start", "end", "period", F.when(F.col("strand") == "-", seqfn.revcomp_n(bases)).otherwise(bases).alias("trf_array"))
     cut = cut.withColumn("trf_pmatch", seqfn.percent_match(F.col("trf_array"), F.col("period")))
     first = seqfn.consensus(F.col("trf_array"), F.col("period"))

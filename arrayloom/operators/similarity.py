@@ -53,16 +53,19 @@ def rotation_distance(a: Column, b: Column) -> Column:
 
 
 def edit_pairs(seqs: DataFrame, most: int) -> DataFrame:
-    """(a, b, distance) of distinct sequences(s) within most edits, forward or reverse complement; every pair once.
+    """(a, b, distance) of distinct sequences(s) of any length within most edits, forward or reverse complement; every pair
+    once, a < b.
 
     If two strings are within d edits, one of d + 1 segments of the one stands unchanged in the other near its place:
-    pairs meet on such a segment, so strings are never crossed."""
+    pairs meet on such a segment, so strings are never crossed. Strings of up to d letters, too short for d + 1 segments,
+    meet longer ones on the longer one's segments; among themselves all of them are within d edits, so each of their pairs
+    is a result (over the five bases there are 5 ** d such strings and fewer)."""
     parts = most + 1
     n = F.length("s")
-    base = seqs.select("s").distinct().where(n >= parts)
+    words = seqs.select("s").where(F.col("s").isNotNull()).distinct()
     cut = lambda i: F.floor(n * i / parts).cast("int")
-    index = base.select(F.col("s").alias("a"), n.alias("na"), F.explode(F.array(*[F.struct(F.lit(i).alias("i"), cut(i).alias("at"), F.substring(F.col("s"), cut(i) + 1, cut(i + 1) - cut(i)).alias("seg")) for i in range(parts)])).alias("p"))
-    probes = base.select(F.col("s").alias("b"), F.explode(F.array(F.col("s"), seqfn.revcomp(F.col("s")))).alias("t"))
+    index = words.where(n >= parts).select(F.col("s").alias("a"), n.alias("na"), F.explode(F.array(*[F.struct(F.lit(i).alias("i"), cut(i).alias("at"), F.substring(F.col("s"), cut(i) + 1, cut(i + 1) - cut(i)).alias("seg")) for i in range(parts)])).alias("p"))
+    probes = words.where(n > 0).select(F.col("s").alias("b"), F.explode(F.array(F.col("s"), seqfn.revcomp(F.col("s")))).alias("t"))
     # segments of a string of length m, taken from strings of every length within most of it
     probes = probes.select("b", "t", F.explode(F.sequence(F.greatest(F.length("t") - most, F.lit(parts)), F.length("t") + most)).alias("na"))
     m = F.col("na")
@@ -70,7 +73,11 @@ def edit_pairs(seqs: DataFrame, most: int) -> DataFrame:
     probes = probes.select("b", "t", "na", F.explode(spans).alias("p"))
     probes = probes.select("b", "t", "na", F.col("p.i").alias("i"), F.explode(F.transform(F.sequence(F.greatest(F.col("p.at") - most, F.lit(0)), F.col("p.at") + most), lambda j: F.substring(F.col("t"), j + 1, F.col("p.k")))).alias("seg"))
     index = index.select("a", "na", F.col("p.i").alias("i"), F.col("p.seg").alias("seg"))
-    pairs = index.join(probes, ["na", "i", "seg"]).where("a < b").select("a", "b").distinct()
+    met = index.join(probes, ["na", "i", "seg"]).where((F.col("a") < F.col("b")) | (F.length("b") < parts))
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    few = words.where(n < parts).withColumn("size", F.lit("short"))
+    short = few.select("size", F.col("s").alias("a")).join(few.select("size", F.col("s").alias("b")), "size").where("a < b")
+    pairs = pairs.unionByName(short.select("a", "b")).distinct()
     d = F.least(F.levenshtein("a", "b"), F.levenshtein(F.col("a"), seqfn.revcomp(F.col("b"))))
     return pairs.withColumn("distance", d).where(F.col("distance") <= most)
 

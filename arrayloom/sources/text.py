@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrayloom import schemas
 from arrayloom.functions.seqfn import first_word, lenient_int
+from arrayloom.operators.tiles import TILE, slice_of
 
 V = "value"
 
@@ -23,6 +24,38 @@ def read_fasta(spark: SparkSession, path: str, lower: bool = False) -> DataFrame
     return out.select(first_word(F.col("header")).alias("seqid"), "header", "seq", F.length("seq").cast("bigint").alias("length"))
 
 
+def read_fasta_tiles(spark: SparkSession, path: str, lower: bool = False, size: int = TILE) -> DataFrame:
+    """(seqid, header, length, tile, offset, bases): the records of FASTA files as tiles of `size` letters, whatever the
+    length of a record; bases are empty in the one tile of a record without letters. Lines before a first header are left out.
+
+    Lines are read in blocks of the files, all at once. A line's record and place follow from a scan of two levels: counts of
+    headers and letters within its block, and sums over the blocks before it (a row each). Compressed files are one block."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("no"), F.startswith(V, F.lit(">")).alias("head"), F.col(V).alias("line")
+    )
+    letters = F.when(F.col("head"), F.lit("")).otherwise(F.regexp_replace("line", r"\s+", ""))
+    lines = lines.withColumn("letters", F.lower(letters) if lower else letters).withColumn("n", F.length("letters").cast("bigint"))
+    upto = Window.partitionBy("file", "block").orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.withColumns({"heads": F.sum(F.col("head").cast("bigint")).over(upto), "sum": F.sum("n").over(upto)})
+    blocks = lines.groupBy("file", "block").agg(F.max("heads").alias("m"), F.max("sum").alias("k"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(F.col("file").alias("f"), F.col("block").alias("b"), F.coalesce(F.sum("m").over(before), F.lit(0)).alias("m"), F.coalesce(F.sum("k").over(before), F.lit(0)).alias("k"))
+    placed = lines.join(blocks, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
+    placed = placed.select("file", (F.col("heads") + F.col("m")).alias("record"), (F.col("sum") - F.col("n") + F.col("k")).alias("place"), "n", "head", "line", "letters").where("record > 0")
+    # letters of the file before the record, and of the record
+    records = placed.groupBy("file", "record").agg(F.min("place").alias("base"), F.sum("n").alias("length"), F.max(F.when(F.col("head"), F.trim(F.substring("line", 2, 1 << 30)))).alias("header"))
+    rows = placed.where("n > 0").join(records, ["file", "record"]).withColumn("at", F.col("place") - F.col("base"))
+    # a line goes to the tiles it touches
+    t = F.sequence(F.floor(F.col("at") / size), F.floor((F.col("at") + F.col("n") - 1) / size))
+    rows = rows.select("file", "record", "at", "n", "letters", F.explode(t).alias("tile"))
+    lo, hi = F.greatest(F.col("at"), F.col("tile") * size), F.least(F.col("at") + F.col("n"), (F.col("tile") + 1) * size)
+    rows = rows.select("file", "record", "tile", lo.alias("lo"), slice_of(F.col("letters"), lo - F.col("at"), hi - lo).alias("part"))
+    parts = F.array_sort(F.collect_list(F.struct("lo", "part")))
+    tiles = rows.groupBy("file", "record", "tile").agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("bases"))
+    out = records.join(tiles, ["file", "record"], "left").withColumn("tile", F.coalesce("tile", F.lit(0)))
+    return out.select(first_word(F.col("header")).alias("seqid"), "header", "length", "tile", (F.col("tile") * size).alias("offset"), F.coalesce("bases", F.lit("")).alias("bases"))
+
+
 def read_sat(spark: SparkSession, path: str) -> DataFrame:
     """The 18-column repeat table, strict; comments and a header row are skipped."""
     rows = spark.read.schema(schemas.SAT).options(sep="\t", comment="#", quote="", nullValue="None", mode="PERMISSIVE").csv(path)
@@ -178,7 +211,7 @@ def read_sites(spark: SparkSession, path: str) -> DataFrame:
 
 def stockholm_totals(spark: SparkSession, path: str) -> DataFrame:
     """(type, n, total) of records closed by //: how many of each type (#=GF TP) and how many sequences (#=GF SQ)."""
-    records = spark.read.option("lineSep", "//").text(path)
+    records = spark.read.option("lineSep", "\n//").text(path)  # a // within a line, as of an address, ends no record
     get = lambda tag: F.trim(F.regexp_extract(V, rf"#=GF {tag}\s+([^\n]+)", 1))
     rows = records.select(get("ID").alias("id"), get("TP").alias("type"), get("SQ").try_cast("bigint").alias("n_seqs")).where("id <> ''")
     return rows.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_seqs"), F.lit(0)).alias("total"))

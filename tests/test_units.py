@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from arrayloom.operators import gaps, similarity
@@ -32,10 +33,11 @@ def words(seed, n, letters, least, most):
     return ["".join(rng.choices(letters, k=rng.randint(least, most))) for _ in range(n)]
 
 
-def test_edit_pairs_equal_all_pairs(spark):
-    units = sorted(set(words(1, 160, "ACGT", 2, 8)))
-    want = {(a, b, d) for a in units for b in units if a < b and (d := min(edits(a, b), edits(a, back(b)))) <= 1}
-    got = similarity.edit_pairs(spark.createDataFrame([(u,) for u in units * 2], "s string"), 1).collect()
+@pytest.mark.parametrize(("most", "longest"), [(1, 8), (2, 8), (3, 6)])
+def test_edit_pairs_equal_all_pairs(spark, most, longest):
+    units = sorted({*words(1, 110, "ACGT", 0, longest), *"ACGTN", "", "AC", "ACG"})
+    want = {(a, b, d) for a in units for b in units if a < b and (d := min(edits(a, b), edits(a, back(b)))) <= most}
+    got = similarity.edit_pairs(spark.createDataFrame([(u,) for u in [*units, *units, None]], "s string"), most).collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
