@@ -733,18 +733,18 @@ def test_ring_by_hand(spark, monkeypatch, shards, load):
         assert all(mine[k] == 16 for k in moved) and len(moved) < 2 * 3000 / 17
 
 
-ARTICLE = "<article><h1>A heading of some words</h1><p>" + "A sentence of the article itself, long enough to count as content. " * 4 + "</p></article>"
+STORY = "<article><h1>A heading of some words</h1><p>" + "A sentence of the article itself, long enough to count as content. " * 4 + "</p></article>"
 
 
 @pytest.mark.parametrize("attrs", ['class="overflow-hidden"', "class=overflow-hidden", 'style="overflow:hidden"', 'style="overflow: hidden; color: red"', 'aria-hidden="false"', 'data-hidden="x"', 'title="it is hidden"', "title=it's", 'style="display:nonesuch"'])
 def test_html_that_is_not_hidden(attrs):
-    text = html_mincut.main_text(f"<body><nav><a href=/>Home</a></nav><div {attrs}>{ARTICLE}</div></body>")
+    text = html_mincut.main_text(f"<body><nav><a href=/>Home</a></nav><div {attrs}>{STORY}</div></body>")
     assert text.startswith("A heading of some words\nA sentence") and "Home" not in text and "<" not in text
 
 
 @pytest.mark.parametrize("attrs", ["hidden", "HIDDEN=hidden", 'aria-hidden="true"', 'style="color:red; display: none"', "style='display:none !important;'", "style=visibility:hidden"])
 def test_html_that_is_hidden(attrs):
-    page = f"<body>{ARTICLE}<div {attrs}><p>Nobody sees this text on the page, long as it may be, with its words.</p></div></body>"
+    page = f"<body>{STORY}<div {attrs}><p>Nobody sees this text on the page, long as it may be, with its words.</p></div></body>"
     assert "Nobody" not in html_mincut.main_text(page) and "A heading" in html_mincut.main_text(page)
 
 
