@@ -141,15 +141,15 @@ def family_table(arrays: DataFrame, core_from: int = 10000, small_from: int = 10
 
 
 def named_clusters(members: DataFrame, least: int = 4) -> DataFrame:
-    """(id, comp, name) of members(id, comp, period): clusters of at least so many get {rank}_{upper median period}, by
-    rising number of members, ties by component; members of others are SING."""
+    """(id, comp, name) of members(id, comp, period): clusters of at least so many get {rank}_{upper median period}, ranks from
+    0 by rising number of members, ties by component; members of others are SING."""
     periods = members.groupBy("comp", "period").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("comp").orderBy("period")
     periods = periods.withColumns({"upto": F.sum("n").over(upto), "all": F.sum("n").over(Window.partitionBy("comp"))})
     # the upper median is the period at place n // 2, counted from 0
     half = periods.where(F.col("upto") > F.floor(F.col("all") / 2)).groupBy("comp").agg(F.min("period").alias("median"), F.first("all").alias("size"))
     large = half.where(F.col("size") >= least).withColumn("rank", F.row_number().over(Window.orderBy("size", "comp")))
-    names = large.select("comp", F.concat_ws("_", F.col("rank").cast("string"), F.col("median").cast("string")).alias("name"))
+    names = large.select("comp", F.concat_ws("_", (F.col("rank") - 1).cast("string"), F.col("median").cast("string")).alias("name"))
     return members.join(names, "comp", "left").select("id", "comp", F.coalesce("name", F.lit("SING")).alias("name"))
 
 

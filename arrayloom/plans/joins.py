@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
-from arrayloom.operators import families, gaps, intervals, similarity
+from arrayloom.operators import families, forest, gaps, intervals, neighbours, similarity
 
 from .scalars import CANON, ROT
 from .tables import ARRAYS, BEDS, FEATURES, SAT, SEQS, arrays, beds, features, sat, seqs, table
@@ -44,7 +44,7 @@ over("j11_by_id", lambda spark, sf: arrays(spark, sf).groupBy("seqid").agg(F.min
 
 
 def source_vectors(spark: SparkSession, sf: str, canonical: bool) -> DataFrame:
-    """5-mer vectors of the first bases of every sequence, one per source and language."""
+    """5-mer vectors of whole sequences, one per source and language."""
     rows = table(spark, sf, "documents").join(seqs(spark, sf).withColumn("doc_id", F.substring("seqid", 4, 20).cast("bigint")), "doc_id")
     cut = rows.select(F.concat_ws("-", "source", "lang").alias("id"), F.explode(seqfn.kmers(F.col("seq"), 5)).alias("k"))
     if canonical:
@@ -61,6 +61,31 @@ over("j13_cosine_distance", lambda spark, sf: similarity.cosine_pairs(source_vec
 over("j14_canonical_cosine", lambda spark, sf: similarity.cosine_pairs(source_vectors(spark, sf, True), 1.0).withColumn("distance", F.abs(F.round("distance", 6))).where("distance <= 0.2"), _sql_cosine("least(x, reverse(translate(x, 'ACGT', 'TGCA')))", 1, "distance <= 0.2"))
 
 
+def array_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """(id, seq, period): every distinct array of the repeat table, with an id of its own (its place, period and strand)."""
+    rows = sat(spark, sf).select("trf_id", F.col("trf_period").alias("period"), F.col("trf_array").alias("seq"))
+    # at one place and period, two arrays differ by their strand alone
+    return rows.groupBy("trf_id", "period", "seq").agg(F.count(F.lit(1)).alias("n")).select(F.concat_ws("_", "trf_id", F.col("period").cast("string"), F.substring(F.sha2("seq", 256), 1, 8)).alias("id"), "seq", "period")
+
+
+def neighbour_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of classes of equal 5-mer vectors of all arrays at a distance of 0.2 or less."""
+    return neighbours.cosine_neighbours(array_rows(spark, sf), 0.2)[0].withColumn("distance", F.round("distance", 9))
+
+
+def array_clusters(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Members (id, class, period) of vector classes, and the spanning forest of distances (0 to 20) between the classes."""
+    rows = similarity._written(array_rows(spark, sf))
+    near, members = neighbours.cosine_neighbours(rows, 0.2, scale=100.0)
+    return similarity._written(members.join(rows.select("id", "period"), "id")), forest.spanning_forest(near)
+
+
+# every pair of arrays is too much for SQL; tests compare arrays with ids divisible by 20 with all, and clusters with union-find
+over("j14_array_neighbours", neighbour_rows, None)
+over("d05_array_clusters", lambda spark, sf: forest.named_arrays(*array_clusters(spark, sf), level=1), None)
+over("d06_threshold_flow", lambda spark, sf: forest.threshold_flow(*array_clusters(spark, sf)), None)
+
+
 def copy_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct pairs of a consensus (a) and a whole copy of it (b) in its array, of all repeats."""
     rows = sat(spark, sf).select(F.col("trf_consensus").alias("array_id"), F.col("trf_array").alias("seq"), F.col("trf_period").alias("period"))
@@ -90,7 +115,7 @@ MEMBERS = f"""WITH {ARRAYS}, o AS (SELECT *, max(r_ind) OVER (PARTITION BY seqid
 c AS (SELECT trf_id AS id, r_ind - l_ind AS bp, (r_ind - l_ind) // 100 AS period, min(trf_id) OVER (PARTITION BY seqid, run) AS comp, max(trf_id) OVER (PARTITION BY seqid, run) AS most FROM g), m AS (SELECT DISTINCT id, comp, bp, period FROM c WHERE most > comp)"""
 over("a22_component_annotation", lambda spark, sf: families.component_annotation(overlap_members(spark, sf).withColumnRenamed("period", "motif_size")).select("comp", "n", "bp", "percent", F.array_join(F.transform(F.map_entries("motif_sizes"), lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"].cast("string"))), ",").alias("motif_sizes")),
      f"""{MEMBERS}, s AS (SELECT comp, period, count(*) AS n, CAST(sum(bp) AS BIGINT) AS bp FROM m GROUP BY 1, 2) SELECT comp, CAST(sum(n) AS BIGINT) AS n, CAST(sum(bp) AS BIGINT) AS bp, round(100.0 * sum(bp) / (SELECT sum(bp) FROM m), 4) AS percent, string_agg(period || ':' || n, ',' ORDER BY period) AS motif_sizes FROM s GROUP BY 1""")
-over("d05_t07_named_clusters", lambda spark, sf: families.named_clusters(overlap_members(spark, sf)), f"""{MEMBERS}, k AS (SELECT comp, count(*) AS size, list_sort(list(period))[count(*) // 2 + 1] AS median FROM m GROUP BY 1), r AS (SELECT comp, row_number() OVER (ORDER BY size, comp) || '_' || median AS name FROM k WHERE size >= 4)
+over("d05_t07_named_clusters", lambda spark, sf: families.named_clusters(overlap_members(spark, sf)), f"""{MEMBERS}, k AS (SELECT comp, count(*) AS size, list_sort(list(period))[count(*) // 2 + 1] AS median FROM m GROUP BY 1), r AS (SELECT comp, (row_number() OVER (ORDER BY size, comp) - 1) || '_' || median AS name FROM k WHERE size >= 4)
 SELECT id, m.comp, coalesce(name, 'SING') AS name FROM m LEFT JOIN r USING (comp)""")
 
 
