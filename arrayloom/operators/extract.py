@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
 from arrayloom.operators import tiles
+from arrayloom.operators.scans import running_sum
+from arrayloom.operators.similarity import _written
 
 
 def duplicate_names(seqs: DataFrame) -> DataFrame:
@@ -22,17 +24,42 @@ def require_unique_names(seqs: DataFrame) -> DataFrame:
     return seqs
 
 
-def chunked(seqs: DataFrame, size: int = 100000) -> DataFrame:
-    """(seqid, length, chunk): sequences, in order of a hash of the name, packed by their running length, one chunk per size letters.
+def chunked(seqs: DataFrame, order: str = "no", size: int = 100000) -> DataFrame:
+    """(no, seqid, length, chunk) of seqs(no, seqid, seq): sequences packed greedily in their order, whose numbers are
+    distinct. A chunk is closed by the sequence with which it holds more than size letters; chunks count from 0.
 
-    A greedy pack closes a chunk once it is full; here a sequence goes to the chunk its first letter falls in, which needs
-    no order of chunks one after the other. Sums over hash ranges of names keep each window small."""
-    rows = seqs.select("seqid", F.length("seq").cast("bigint").alias("length")).withColumn("_bin", F.pmod(F.xxhash64("seqid"), F.lit(4096)))
-    sums = rows.groupBy("_bin").agg(F.sum("length").alias("_n"))  # one row per bin
-    sums = sums.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = Window.partitionBy("_bin").orderBy("seqid").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.join(F.broadcast(sums.drop("_n")), "_bin").withColumn("_at", F.col("_base") + F.coalesce(F.sum("length").over(inside), F.lit(0)))
-    return rows.select("seqid", "length", F.floor(F.col("_at") / size).alias("chunk"))
+    What one sequence after the other decides is found without walking: with sums of lengths before each sequence, the chunk
+    that would start at a sequence ends at the first one whose sum is more than size greater, so every sequence knows the next
+    chunk's start. From the first sequence on, these steps are followed by doubling: each round is a join and a table."""
+    rows = _written(seqs.select(F.col(order).cast("bigint").alias("no"), "seqid", F.length(F.coalesce("seq", F.lit(""))).cast("bigint").alias("length")))
+    rows = _written(running_sum(rows, [], ["no"], F.col("length"), "base"))
+    # in one order of numbers, each chunk asks from its base + size on for the first sequence whose letters reach beyond it
+    asks = rows.select((F.col("base") + size).alias("at"), F.lit(0).alias("kind"), F.col("no").alias("start"), F.lit(None).cast("bigint").alias("no"))
+    ends = rows.select((F.col("base") + F.col("length")).alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("start"), "no")
+    # equal numbers: an end at exactly base + size is not beyond it
+    both = asks.unionByName(ends.withColumn("at", F.col("at") - 1)).withColumn("_bin", F.floor(F.col("at") / (4 * size)))
+    behind = Window.partitionBy("_bin").orderBy("at", "kind", "no").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    found = both.withColumn("last", F.first("no", ignorenulls=True).over(behind))
+    # where a bin has no end behind, the first end of a later bin; a row for each bin
+    firsts = both.groupBy("_bin").agg(F.min("no").alias("first"))
+    later = Window.orderBy("_bin").rowsBetween(1, Window.unboundedFollowing)
+    firsts = firsts.select("_bin", F.first("first", ignorenulls=True).over(later).alias("next_first"))
+    found = found.where("start IS NOT NULL").join(firsts, "_bin").select("start", F.coalesce("last", "next_first").alias("last"))
+    follows = rows.where("length > 0").select(F.col("no").alias("last"), (F.col("base") + F.col("length")).alias("base")).join(rows.select(F.col("no").alias("next"), "base", "length"), "base")
+    # of sequences that begin where the last one ends, the first: those without letters stand before the one with letters
+    follows = follows.where(F.col("next") > F.col("last")).groupBy("last").agg(F.min("next").alias("next"))
+    jump = _written(found.join(follows, "last").select(F.col("start").alias("no"), "next"))
+    heads = _written(rows.agg(F.min("no").alias("no")).where("no IS NOT NULL"))
+    while True:
+        reached = _written(heads.unionByName(heads.join(jump, "no").select(F.col("next").alias("no"))).distinct())
+        if reached.count() == heads.count():
+            break
+        heads = reached
+        onward = jump.select(F.col("no").alias("next"), F.col("next").alias("far"))
+        jump = _written(jump.join(onward, "next").select("no", F.col("far").alias("next")))
+    marked = rows.join(heads.select("no", F.lit(1).cast("bigint").alias("_head")), "no", "left").withColumn("_head", F.coalesce("_head", F.lit(0)))
+    marked = running_sum(marked, [], ["no"], F.col("_head"), "_before")
+    return marked.select("no", "seqid", "length", (F.col("_before") + F.col("_head") - 1).alias("chunk"))
 
 
 def extract_arrays(seqs: DataFrame, beds: DataFrame, project: str, size: int = tiles.TILE) -> DataFrame:

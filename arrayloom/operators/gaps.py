@@ -7,14 +7,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
 
+from . import tiles
+
 N_RUN = re.compile("[Nn]+")
 #: Letters of a piece of a sequence, and pieces that a task looks at together.
 PIECE, PIECES_AT_ONCE = 1 << 20, 256
+#: Sequences whose ends are counted at once.
+ENDS_AT_ONCE = 256
+#: Places of a tile that are cut out at once, and windows of a stretch in which a k-mer's place before is looked for.
+CHUNK, SPAN = 256, 16
 
 
 def n_runs(seqs: DataFrame, least_length: int = 0, piece: int = PIECE) -> DataFrame:
@@ -60,44 +66,114 @@ def gap_summary(gaps: DataFrame, genome: DataFrame) -> DataFrame:
     )
 
 
-def _share(end: Column, motif: str) -> Column:
-    """Share of an end's places whose 4-mer stands in the doubled motif."""
-    k = min(4, len(motif))
-    cycle = sorted({(motif * 2)[i : i + k] for i in range(2 * len(motif) - k + 1)})
-    n = F.length(end) - k + 1
-    hits = F.filter(F.sequence(F.lit(1), n), lambda i: F.upper(F.substring(end, i, F.lit(k))).isin(cycle))
-    return F.when(n > 0, F.size(hits) / F.length(end)).otherwise(F.lit(0.0))
+def _end_counts(ends: list[str | None], motif: str) -> tuple[list[float], list[int]]:
+    """Of each end: share of its places whose 4-mer stands in the doubled motif, and places where the motif stands with one
+    mismatch at most. One pass over all ends at once for each letter of the motif, whatever their lengths."""
+    k, m = min(4, len(motif)), len(motif)
+    cycle = sorted({(motif * 2)[i : i + k] for i in range(2 * m - k + 1)})
+    texts = [(e or "").upper().encode("ascii", "replace") for e in ends]
+    # a zero behind each end keeps its places apart from the next one's
+    b = np.frombuffer(b"".join(t + bytes(m) for t in texts), np.uint8)
+    size = np.array([len(t) for t in texts], np.int64)
+    start = np.cumsum(size + m) - size - m
+    at = {x: b == x for x in set(motif.encode())}
+    places = max(0, len(b) - m)
+    shifted = lambda x, j: at[x][j : j + places]
+    covered = np.zeros(places, bool)
+    for word in cycle:
+        covered |= np.logical_and.reduce([shifted(x, j) for j, x in enumerate(word.encode())])
+    wrong = np.zeros(places, np.uint8)
+    for j, x in enumerate(motif.encode()):
+        wrong += ~shifted(x, j)
+    # places of an end at which a whole word still fits
+    sums = lambda x: np.r_[0, np.cumsum(x)]
+    count = lambda total, n: total[start + np.maximum(size - n + 1, 0)] - total[start]
+    c, h = count(sums(covered), k), count(sums(wrong <= 1), m)
+    return (c / np.maximum(size, 1)).tolist(), h.tolist()
+
+
+def _ends_counted(rows: DataFrame, motif: str) -> DataFrame:
+    """(seqid, left_share, left_hits, right_share, right_hits) of rows(seqid, left, right)."""
+    back = motif.translate(str.maketrans("ACGT", "TGCA"))[::-1]
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, ENDS_AT_ONCE):
+                b = whole.slice(i, ENDS_AT_ONCE)
+                found = [x for side, m in (("left", back), ("right", motif)) for x in _end_counts(b.column(side).to_pylist(), m)]
+                yield pa.RecordBatch.from_arrays([b.column("seqid"), *(pa.array(x, t) for x, t in zip(found, (pa.float64(), pa.int32()) * 2, strict=True))], ["seqid", "left_share", "left_hits", "right_share", "right_hits"])
 
-def _near(end: Column, motif: str) -> Column:
-    """Places where the motif stands with one mismatch at most."""
-    k = len(motif)
-    n = F.length(end) - k + 1
-    wrong = lambda i: sum(((F.upper(F.substring(end, i + j, F.lit(1))) != b).cast("int") for j, b in enumerate(motif)), F.lit(0))
-    return F.when(n > 0, F.size(F.filter(F.sequence(F.lit(1), n), lambda i: wrong(i) <= 1))).otherwise(F.lit(0))
+    kind = dict(rows.dtypes)["seqid"]
+    return rows.mapInArrow(count, f"seqid {kind}, left_share double, left_hits int, right_share double, right_hits int")
 
 
-def telomere_calls(seqs: DataFrame, motif: str = "TTAGGG", window: int = 10000, share: float = 0.15, hits: int = 10) -> DataFrame:
-    """Per sequence: coverage and call (PRESENT, PARTIAL, ABSENT) of the left end (reverse complement of the motif) and
-    of the right end, and T2T if both are PRESENT."""
-    back = motif.translate(str.maketrans("ACGT", "TGCA"))[::-1]
-    left, right = F.substring("seq", 1, window), F.substring(F.col("seq"), F.greatest(F.length("seq") - window + 1, F.lit(1)), F.lit(window))
+def _called(ends: DataFrame, share: float, hits: int) -> DataFrame:
     call = lambda c, n: F.when(F.col(c) >= share, "PRESENT").when(F.col(n) >= hits, "PARTIAL").otherwise("ABSENT")
-    ends = seqs.select("seqid", _share(left, back).alias("left_share"), _near(left, back).alias("left_hits"), _share(right, motif).alias("right_share"), _near(right, motif).alias("right_hits"))
     ends = ends.withColumns({"left_call": call("left_share", "left_hits"), "right_call": call("right_share", "right_hits")})
     t2t = F.when((F.col("left_call") == "PRESENT") & (F.col("right_call") == "PRESENT"), "T2T").otherwise("INCOMPLETE")
     return ends.select("seqid", F.round("left_share", 4).alias("left_share"), "left_hits", "left_call", F.round("right_share", 4).alias("right_share"), "right_hits", "right_call", t2t.alias("status"))
 
 
+def telomere_calls(seqs: DataFrame, motif: str = "TTAGGG", window: int = 10000, share: float = 0.15, hits: int = 10) -> DataFrame:
+    """Per sequence: coverage and call (PRESENT, PARTIAL, ABSENT) of the left end (reverse complement of the motif) and
+    of the right end, `window` letters each, and T2T if both are PRESENT. Only the ends leave the sequence."""
+    body, n = F.col("seq"), F.length("seq")
+    left, right = tiles.slice_of(body, F.lit(0), F.lit(window)), tiles.slice_of(body, F.greatest(n - window, F.lit(0)), F.lit(window))
+    return _called(_ends_counted(seqs.select("seqid", left.alias("left"), right.alias("right")), motif), share, hits)
+
+
+def telomere_calls_of_tiles(tiled: DataFrame, motif: str = "TTAGGG", window: int = 10000, share: float = 0.15, hits: int = 10, size: int = tiles.TILE) -> DataFrame:
+    """telomere_calls of sequences that are tiles; a sequence without letters has no row."""
+    n = F.col("length")
+    spans = F.array(F.struct(F.lit("left").alias("side"), F.lit(0).cast("bigint").alias("start"), F.least(n, F.lit(window)).alias("end")), F.struct(F.lit("right").alias("side"), F.greatest(n - window, F.lit(0)).alias("start"), n.alias("end")))
+    spans = tiled.where((F.col("tile") == 0) & (n > 0)).select("seqid", F.inline(spans))
+    cut = tiles.cut_spans(spans, tiled, size)
+    side = lambda x: F.max(F.when(F.col("side") == x, F.col("bases"))).alias(x)
+    return _called(_ends_counted(cut.groupBy("seqid").agg(side("left"), side("right")), motif), share, hits)
+
+
+def kmer_places(tiled: DataFrame, k: int) -> DataFrame:
+    """(seqid, length, i, kmer): every place of sequences that are tiles, with the k letters from there on. Tiles reach k - 1
+    letters into the next one (see tiles.overlapping); letters are taken out of pieces of CHUNK places."""
+    m = F.length("bases") - (k - 1)
+    chunks = F.transform(F.sequence(F.lit(0), m - 1, F.lit(CHUNK)), lambda j: F.struct((F.col("offset") + j).alias("at"), tiles.slice_of(F.col("bases"), j, F.lit(CHUNK + k - 1)).alias("piece")))
+    rows = tiled.where(m > 0).select("seqid", "length", F.inline(chunks))
+    each = F.transform(F.sequence(F.lit(0), F.length("piece") - k), lambda j: F.struct((F.col("at") + j).alias("i"), F.substring(F.col("piece"), j + 1, F.lit(k)).alias("kmer")))
+    return rows.where(F.length("piece") >= k).select("seqid", "length", F.inline(each))
+
+
 def kmer_profile(seqs: DataFrame, k: int = 17, window: int = 100000, step: int = 25000) -> DataFrame:
     """(seqid, start, end, unique_kmers): distinct k-mers that begin in each sliding window."""
-    n = F.length("seq") - k + 1
-    at = seqs.where(n > 0).select("seqid", F.length("seq").alias("n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("i"), "seq")
-    at = at.select("seqid", "n", "i", F.substring(F.col("seq"), F.col("i") + 1, F.lit(k)).alias("kmer"))
-    first = F.greatest(F.floor((F.col("i") - window) / step) + 1, F.lit(0))
-    at = at.withColumn("w", F.explode(F.sequence(first, F.floor(F.col("i") / step))))
+    return kmer_profile_of_tiles(tiles.tiled(seqs, overlap=k - 1), k, window, step)
+
+
+def kmer_profile_of_tiles(tiled: DataFrame, k: int = 17, window: int = 100000, step: int = 25000) -> DataFrame:
+    """kmer_profile of tiles that reach k - 1 letters into the next one.
+
+    A place counts in a window that holds it if the k-mer's place before it lies in front of the window. So it adds one to a
+    range of windows, as a difference at either end; these are added up before they are shuffled, and a sum over a sequence's
+    windows gives the counts. Rows are the places, once each, whatever the number of windows that hold them.
+
+    The place before is looked for in stretches of SPAN windows, which also see the last window in front of them; one
+    further back lies in front of every window that holds the place. So a k-mer's places are never all in one task."""
+    at = kmer_places(tiled, k)
+    span = SPAN * window
+    own = F.floor(F.col("i") / span)
+    seen = at.select("seqid", "length", "i", "kmer", F.inline(F.array_compact(F.array(F.struct(own.alias("stretch"), F.lit(False).alias("ahead")), F.when(F.col("i") >= (own + 1) * span - window, F.struct((own + 1).alias("stretch"), F.lit(True).alias("ahead")))))))
+    before = F.lag("i").over(Window.partitionBy("seqid", "kmer", "stretch").orderBy("i"))
+    seen = seen.withColumn("before", before).where("NOT ahead")
+    first = F.greatest(F.floor(F.greatest(F.coalesce("before", F.lit(-1)), F.col("i") - window) / step) + 1, F.lit(0))
+    last = F.floor(F.col("i") / step)
+    # none, if the k-mer stands in every window that holds the place already
+    ends = seen.select("seqid", "length", first.alias("w"), (last + 1).alias("behind")).where("w < behind")
+    steps = ends.select("seqid", "length", F.inline(F.array(F.struct(F.col("w"), F.lit(1).alias("d")), F.struct(F.col("behind").alias("w"), F.lit(-1).alias("d")))))
+    sums = steps.groupBy("seqid", "length", "w").agg(F.sum("d").alias("d"))
+    every = tiled.where(F.col("tile") == 0).where(F.col("length") >= k).select("seqid", "length", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("length") - k) / step))).alias("w"))
+    # a row for each window of a sequence
+    upto = Window.partitionBy("seqid", "length").orderBy("w").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = every.join(sums, ["seqid", "length", "w"], "left").withColumn("unique_kmers", F.sum(F.coalesce("d", F.lit(0))).over(upto))
     start = F.col("w") * step
-    return at.groupBy("seqid", start.alias("start"), F.least(start + window, F.col("n")).alias("end")).agg(F.count_distinct("kmer").alias("unique_kmers"))
+    return out.select("seqid", start.alias("start"), F.least(start + window, F.col("length")).alias("end"), "unique_kmers")
 
 
 def monomers(arrays: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from arrayloom.functions.seqfn import relation
 
+from .scans import low_runs, merge_intervals  # noqa: F401
+
 #: Bin of an overlap join; near the median length, so that most intervals stand in one or two bins.
 BIN = 2000
 
@@ -80,24 +82,6 @@ def without_gaps(arrays: DataFrame, gaps: DataFrame, reach: int = 10000) -> Data
     return on.join(gap_neighbours(arrays, gaps, reach).select("trf_id"), "trf_id", "left_anti")
 
 
-def merge_intervals(df: DataFrame, gap: int) -> DataFrame:
-    """(seqid, start, end, n): intervals at most gap apart become one; gap -1 merges overlaps only."""
-    order = Window.partitionBy("seqid").orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(reach.isNull() | (F.col("start") - reach > gap), 1).otherwise(0)
-    runs = df.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return runs.groupBy("seqid", "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n")).drop("_run")
-
-
-def low_runs(windows: DataFrame, threshold: int, least_span: int) -> DataFrame:
-    """Runs of consecutive windows(seqid, start, end, unique_kmers) under the threshold that span enough."""
-    order = Window.partitionBy("seqid").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = windows.withColumn("_low", F.col("unique_kmers") < threshold)
-    marked = marked.withColumn("_run", F.sum((~F.col("_low")).cast("int")).over(order)).where("_low")
-    runs = marked.groupBy("seqid", "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n"))
-    return runs.drop("_run").where(F.col("end") - F.col("start") >= least_span)
-
-
 def density(df: DataFrame, category: Column, size: int) -> DataFrame:
     """Bases of each category in each bin: (seqid, bin, category, bp)."""
     first, last = F.floor(F.col("l_ind") / size), F.floor(F.col("r_ind") / size)

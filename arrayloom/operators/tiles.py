@@ -22,15 +22,36 @@ def slice_of(s: Column, at: Column, n: Column) -> Column:
     return F.when(plain, F.substring(s.cast("binary"), at + 1, n).cast("string")).otherwise(F.substring(s, at + 1, n))
 
 
-def tiled(seqs: DataFrame, size: int = TILE) -> DataFrame:
-    """The tiles of seqs(seqid, seq); an empty sequence has one empty tile, a null one is empty; other columns go."""
+def tiled(seqs: DataFrame, size: int = TILE, overlap: int = 0) -> DataFrame:
+    """The tiles of seqs(seqid, seq); an empty sequence has one empty tile, a null one is empty; other columns go. With an
+    overlap, tiles also hold so many letters of what follows."""
     last = F.greatest(F.floor((F.col("length") - 1) / size), F.lit(0))
     # the texts of all tiles of a row are cut while it is at hand, so the row itself never goes beside each of them
-    cut = F.transform(F.sequence(F.lit(0).cast("bigint"), last), lambda i: F.struct(i.alias("tile"), (i * size).alias("offset"), slice_of(F.col("_body"), i * size, F.lit(size)).alias("bases")))
+    cut = F.transform(F.sequence(F.lit(0).cast("bigint"), last), lambda i: F.struct(i.alias("tile"), (i * size).alias("offset"), slice_of(F.col("_body"), i * size, F.lit(size + overlap)).alias("bases")))
     rows = seqs.select("seqid", F.coalesce("seq", F.lit("")).alias("_body")).withColumn("length", F.length("_body").cast("bigint"))
     return rows.select("seqid", "length", F.inline(cut))
 
 
+def overlapping(tiles: DataFrame, overlap: int) -> DataFrame:
+    """Tiles with the first letters, at most a tile's, of the next one behind their own; only those letters move."""
+    heads = tiles.where("tile > 0").select("seqid", (F.col("tile") - 1).alias("tile"), F.substring("bases", 1, overlap).alias("_head"))
+    out = tiles.join(heads, ["seqid", "tile"], "left")
+    return out.withColumn("bases", F.concat("bases", F.coalesce("_head", F.lit("")))).drop("_head").select(tiles.columns)
+
+
+def of_pieces(pieces: DataFrame, keys: list[str], size: int = TILE) -> DataFrame:
+    """(keys, tile, offset, bases) from pieces(keys, at, letters) of sequences, at being the place of a piece's first letter;
+    pieces do not overlap. A piece goes to the tiles it touches."""
+    n = F.length("letters")
+    t = F.sequence(F.floor(F.col("at") / size), F.floor((F.col("at") + n - 1) / size))
+    rows = pieces.where(n > 0).select(*keys, "at", "letters", F.explode(t).alias("tile"))
+    lo, hi = F.greatest(F.col("at"), F.col("tile") * size), F.least(F.col("at") + n, (F.col("tile") + 1) * size)
+    rows = rows.select(*keys, "tile", lo.alias("lo"), slice_of(F.col("letters"), lo - F.col("at"), hi - lo).alias("part"))
+    parts = F.array_sort(F.collect_list(F.struct("lo", "part")))
+    out = rows.groupBy(*keys, "tile").agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("bases"))
+    return out.select(*keys, "tile", (F.col("tile") * size).alias("offset"), "bases")
+
+
 def assembled(tiles: DataFrame) -> DataFrame:
     """(seqid, seq) from the tiles of each sequence."""
     parts = F.array_sort(F.collect_list(F.struct("tile", "bases")))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
-from arrayloom.operators import overlaps, telomeres, classify, gaps, intervals, similarity
+from arrayloom.operators import classify, extract, gaps, intervals, overlaps, scans, similarity, telomeres, tiles
 
 from .scalars import CLASSES, ROOT
 from .scalars import CANON as SQL_CANON
@@ -52,7 +52,7 @@ over("a08_two_fields", lambda spark, sf: sat(spark, sf).select("trf_array_length
 over("a09_a10_repeats_per_sequence", lambda spark, sf: arrays(spark, sf).groupBy("seqid").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("r_ind") - F.col("l_ind") > 300).alias("n_300"), F.count_if(F.col("r_ind") - F.col("l_ind") > 900).alias("n_900")), f"WITH {ARRAYS} SELECT seqid, count(*) AS n, count(*) FILTER (r_ind - l_ind > 300) AS n_300, count(*) FILTER (r_ind - l_ind > 900) AS n_900 FROM arrays GROUP BY 1")
 over("a11_genome_size", lambda spark, sf: seqs(spark, sf).rollup("seqid").agg(F.sum(F.length("seq")).alias("length")).select(F.coalesce("seqid", F.lit("TOTAL")).alias("seqid"), "length"), f"WITH {SEQS} SELECT coalesce(seqid, 'TOTAL') AS seqid, CAST(sum(length(seq)) AS BIGINT) AS length FROM seqs GROUP BY ROLLUP (seqid)")
 over("a12_line_count", lambda spark, sf: table(spark, sf, "documents").agg(F.sum(F.size(F.split("text", "\n"))).alias("n_lines")), "SELECT CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS n_lines FROM documents")
-over("a25_upper_median", lambda spark, sf: sat(spark, sf).groupBy("trf_head").agg(F.array_sort(F.collect_list("trf_period")).alias("p")).select("trf_head", F.element_at("p", (F.size("p") / 2).cast("int") + 1).alias("median")), f"WITH {SAT} SELECT trf_head, list_sort(list(trf_period))[len(list(trf_period)) // 2 + 1] AS median FROM sat GROUP BY 1")
+over("a25_upper_median", lambda spark, sf: scans.upper_medians(sat(spark, sf), "trf_head", "trf_period"), f"WITH {SAT} SELECT trf_head, list_sort(list(trf_period))[len(list(trf_period)) // 2 + 1] AS median FROM sat GROUP BY 1")
 over("a26_composition", lambda spark, sf: seqs(spark, sf).select("seqid", *[seqfn.count_of(F.col("seq"), b).alias(f"n_{b.lower()}") for b in "ACGT"]), f"WITH {SEQS} SELECT seqid, " + ", ".join(f"CAST(length(seq) - length(replace(seq, '{b}', '')) AS INTEGER) AS n_{b.lower()}" for b in "ACGT") + " FROM seqs")
 over("a27_length_distribution", lambda spark, sf: seqs(spark, sf).groupBy(F.floor(F.length("seq") / 100).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(seqfn.gc_fraction(F.col("seq"))), 6).alias("mean_gc")), f"WITH {SEQS} SELECT length(seq) // 100 AS bin, count(*) AS n, round(avg(CASE WHEN length(seq) > 0 THEN (length(seq) - length(translate(seq, 'GC', ''))) / length(seq)::DOUBLE ELSE 0 END), 6) AS mean_gc FROM seqs GROUP BY 1")
 RUNS = "runs AS (SELECT seqid, unnest(regexp_extract_all(seq, '([Nn]+|[^Nn]+)')) AS r, generate_subscripts(regexp_extract_all(seq, '([Nn]+|[^Nn]+)'), 1) AS k FROM seqs), placed AS (SELECT seqid, r, sum(length(r)) OVER (PARTITION BY seqid ORDER BY k) - length(r) AS pos FROM runs), gaps AS (SELECT seqid, CAST(pos AS BIGINT) AS \"start\", CAST(pos + length(r) AS BIGINT) AS \"end\", length(r) AS length FROM placed WHERE upper(r[1]) = 'N')"
@@ -93,7 +93,7 @@ SELECT seqid, min("start") AS "start", max("end") AS "end", count(*) AS n FROM g
 for gap, label in ((-1, "w05_merge_overlaps"), (1000, "w04_merge_near")):
     over(label, lambda spark, sf, gap=gap: intervals.merge_intervals(arrays(spark, sf).select("seqid", F.col("l_ind").alias("start"), F.col("r_ind").alias("end")), gap), f'WITH {ARRAYS}, x AS (SELECT seqid, l_ind AS "start", r_ind AS "end" FROM arrays)' + MERGE.format(gap=gap))
 over("w06_exact_duplicates", lambda spark, sf: intervals.drop_duplicates(sat(spark, sf).select("trf_id", F.col("trf_head").alias("seqid"), F.col("trf_l_ind").alias("l_ind"), F.col("trf_r_ind").alias("r_ind"), "trf_pmatch")).select("seqid", "l_ind", "r_ind", "trf_pmatch"), f"WITH {SAT} SELECT trf_head AS seqid, trf_l_ind AS l_ind, trf_r_ind AS r_ind, max(trf_pmatch) AS trf_pmatch FROM sat GROUP BY 1, 2, 3")
-over("w08_running_ids", lambda spark, sf: arrays(spark, sf).select("trf_id", "seqid", F.row_number().over(Window.partitionBy("seqid").orderBy("l_ind", "r_ind", "trf_id")).alias("no")), f"WITH {ARRAYS} SELECT trf_id, seqid, CAST(row_number() OVER (PARTITION BY seqid ORDER BY l_ind, r_ind, trf_id) AS INTEGER) AS no FROM arrays")
+over("w08_running_ids", lambda spark, sf: scans.numbered(arrays(spark, sf), ["seqid"], ["l_ind", "r_ind", "trf_id"]).select("trf_id", "seqid", F.col("no").cast("int").alias("no")), f"WITH {ARRAYS} SELECT trf_id, seqid, CAST(row_number() OVER (PARTITION BY seqid ORDER BY l_ind, r_ind, trf_id) AS INTEGER) AS no FROM arrays")
 over("a13_w12_label_report", lambda spark, sf: intervals.label_report(intervals.annotation_labels(arrays(spark, sf), features(spark, sf))), f"""WITH {ARRAYS}, {FEATURES}, f AS (SELECT DISTINCT seqid, type, "start" - 1 AS b0, "end" AS b1 FROM features),
 hits AS (SELECT trf_id, seqid, l_ind, r_ind, b0, b1, type, CASE WHEN l_ind = b0 AND r_ind = b1 THEN 'TR equal ' || type WHEN l_ind >= b0 AND r_ind <= b1 THEN 'TR in ' || type WHEN b0 >= l_ind AND b1 <= r_ind THEN type || ' in TR' WHEN l_ind < b0 THEN 'TR overlap left ' || type ELSE 'TR overlap right ' || type END AS label FROM arrays JOIN f USING (seqid) WHERE l_ind < b1 AND b0 < r_ind),
 m AS (SELECT *, bool_or(type = 'CDS') OVER (PARTITION BY trf_id, seqid, l_ind, r_ind) AS cds FROM hits), k AS (SELECT DISTINCT trf_id, l_ind, r_ind, b0, b1, type, label FROM m WHERE type <> 'region' AND NOT (cds AND type IN ('gene', 'mRNA', 'exon'))),
@@ -101,6 +101,14 @@ l AS (SELECT trf_id, l_ind, r_ind, string_agg(label, '|' ORDER BY label DESC) AS
 SELECT trf_ref_annotation, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM a), 4) AS percent FROM a GROUP BY 1""")
 
 
+def source_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The sequences of each source, one behind the other by doc_id, as tiles."""
+    rows = table(spark, sf, "documents").select("doc_id", "source").join(seqs(spark, sf).select(F.substring("seqid", 4, 20).cast("bigint").alias("doc_id"), F.col("seq").alias("letters")), "doc_id")
+    placed = scans.running_sum(rows, ["source"], ["doc_id"], F.length("letters").cast("bigint"), "at").select(F.col("source").alias("seqid"), "at", "letters")
+    lengths = placed.groupBy("seqid").agg(F.sum(F.length("letters")).alias("length"))
+    return tiles.of_pieces(placed, ["seqid"]).join(lengths, "seqid")
+
+
 def telomere_seqs(spark: SparkSession, sf: str) -> DataFrame:
     n = F.length("seq") % 4
     return seqs(spark, sf).select("seqid", F.concat(F.when(n < 2, F.lit("CCCTAA" * 40)).otherwise(""), "seq", F.when(n == 0, F.lit("TTAGGG" * 40)).when(n == 2, F.lit("TTAGGGTTACGG" * 2)).otherwise("")).alias("seq"))
@@ -115,11 +123,15 @@ def _sql_end(end: str, motif: str, side: str) -> str:
     return f"{side} AS (SELECT seqid, round(CASE WHEN length(e) > 3 THEN len(list_filter(range(1, length(e) - 2), lambda i: substr(e, CAST(i AS INTEGER), 4) IN ({cycle}))) / length(e)::DOUBLE ELSE 0 END, 4) AS {side}_share, CAST(CASE WHEN length(e) > 5 THEN len(list_filter(range(1, length(e) - 4), lambda i: ({wrong}) <= 1)) ELSE 0 END AS INTEGER) AS {side}_hits FROM (SELECT seqid, {end} AS e FROM t))"
 
 
-over("d07_a20_telomere_calls", lambda spark, sf: gaps.telomere_calls(telomere_seqs(spark, sf), window=200),
-     f"WITH {SEQS}, {TEL}, {_sql_end('substr(seq, 1, 200)', 'CCCTAA', 'left')}, {_sql_end('substr(seq, greatest(length(seq) - 199, 1), 200)', 'TTAGGG', 'right')}, c AS (SELECT *, CASE WHEN left_share >= 0.15 THEN 'PRESENT' WHEN left_hits >= 10 THEN 'PARTIAL' ELSE 'ABSENT' END AS left_call, CASE WHEN right_share >= 0.15 THEN 'PRESENT' WHEN right_hits >= 10 THEN 'PARTIAL' ELSE 'ABSENT' END AS right_call FROM \"left\" JOIN \"right\" USING (seqid)) SELECT seqid, left_share, left_hits, left_call, right_share, right_hits, right_call, CASE WHEN left_call = 'PRESENT' AND right_call = 'PRESENT' THEN 'T2T' ELSE 'INCOMPLETE' END AS status FROM c".replace('left AS (', '"left" AS (').replace('right AS (', '"right" AS ('))
+over("d07_a20_telomere_calls", lambda spark, sf: gaps.telomere_calls(telomere_seqs(spark, sf)),
+     f"WITH {SEQS}, {TEL}, {_sql_end('substr(seq, 1, 10000)', 'CCCTAA', 'left')}, {_sql_end('substr(seq, greatest(length(seq) - 9999, 1), 10000)', 'TTAGGG', 'right')}, c AS (SELECT *, CASE WHEN left_share >= 0.15 THEN 'PRESENT' WHEN left_hits >= 10 THEN 'PARTIAL' ELSE 'ABSENT' END AS left_call, CASE WHEN right_share >= 0.15 THEN 'PRESENT' WHEN right_hits >= 10 THEN 'PARTIAL' ELSE 'ABSENT' END AS right_call FROM \"left\" JOIN \"right\" USING (seqid)) SELECT seqid, left_share, left_hits, left_call, right_share, right_hits, right_call, CASE WHEN left_call = 'PRESENT' AND right_call = 'PRESENT' THEN 'T2T' ELSE 'INCOMPLETE' END AS status FROM c".replace('left AS (', '"left" AS (').replace('right AS (', '"right" AS ('))
 over("d11_z07_kmer_profile", lambda spark, sf: gaps.kmer_profile(seqs(spark, sf), 5, 400, 100),
      f"""WITH {SEQS}, k AS (SELECT seqid, length(seq) AS n, i, substr(seq, CAST(i AS INTEGER) + 1, 5) AS kmer FROM seqs, LATERAL (SELECT unnest(range(0, length(seq) - 4)) AS i) WHERE length(seq) > 4), w AS (SELECT *, unnest(range(greatest(CAST(floor((i - 400) / 100.0) AS BIGINT) + 1, 0), i // 100 + 1)) AS w FROM k)
 SELECT seqid, w * 100 AS "start", least(w * 100 + 400, n) AS "end", count(DISTINCT kmer) AS unique_kmers FROM w GROUP BY seqid, w, n""")
+# the same with the defaults, on the sequences of a source one behind the other
+over("d11_kmer_profile_defaults", lambda spark, sf: gaps.kmer_profile_of_tiles(tiles.overlapping(source_tiles(spark, sf), 16)),
+     f"""WITH {SEQS}, j AS (SELECT source AS seqid, string_agg(seq, '' ORDER BY doc_id) AS seq FROM documents d JOIN seqs s ON s.seqid = 'doc' || doc_id GROUP BY 1), k AS (SELECT seqid, length(seq) AS n, i, substr(seq, CAST(i AS INTEGER) + 1, 17) AS kmer FROM j, LATERAL (SELECT unnest(range(0, length(seq) - 16)) AS i) WHERE length(seq) > 16),
+w AS (SELECT *, unnest(range(greatest(CAST(floor((i - 100000) / 25000.0) AS BIGINT) + 1, 0), i // 25000 + 1)) AS w FROM k) SELECT seqid, w * 25000 AS "start", least(w * 25000 + 100000, n) AS "end", count(DISTINCT kmer) AS unique_kmers FROM w GROUP BY seqid, w, n""")
 over("d12_a24_w14_monomers", lambda spark, sf: gaps.monomer_summary(gaps.monomers(sat(spark, sf).select(F.concat_ws("_", F.col("trf_id"), F.col("trf_period").cast("string"), F.xxhash64("trf_array").cast("string")).alias("array_id"), F.col("trf_array").alias("seq"), F.col("trf_period").alias("period")).dropDuplicates(["array_id"]))).select("n", "bp", "first", "lengths"),
      f"WITH {SAT}, d AS (SELECT DISTINCT trf_id, trf_period, trf_array FROM sat WHERE trf_array_length >= trf_period), m AS (SELECT trf_id, trf_period AS p, trf_array, i, substr(trf_array, CAST(i AS INTEGER) + 1, trf_period) AS cut FROM d, LATERAL (SELECT unnest(range(0, length(trf_array), trf_period)) AS i)) SELECT count(*) AS n, CAST(sum(length(cut)) AS BIGINT) AS bp, min_by(cut, i) AS first, string_agg(length(cut), ',' ORDER BY i) AS lengths FROM m WHERE length(cut) = p GROUP BY trf_id, p, trf_array")
 over("d16_gene_density", lambda spark, sf: intervals.density(features(spark, sf).where("type = 'CDS'").select("seqid", F.col("start").alias("l_ind"), F.col("end").alias("r_ind")), F.lit("CDS"), 50000), f"""WITH {FEATURES}, arrays AS (SELECT seqid, "start" AS l_ind, "end" AS r_ind FROM features WHERE type = 'CDS'), """ + DENS.format(a="", b=50000, c="'CDS'").removeprefix("WITH , ") + " SELECT * FROM d")
@@ -134,12 +146,14 @@ over("a18_family_info", lambda spark, sf: classify.family_info(families(spark, s
 SELECT *, CAST(row_number() OVER (ORDER BY core_bp DESC, family) AS INTEGER) AS rank FROM f""")
 over("a19_assembly_summary", lambda spark, sf: seqs(spark, sf).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("seq")).alias("bp"), F.max(F.length("seq")).alias("longest"), F.count_if(F.length("seq") >= 500).alias("n_500")), f"WITH {SEQS} SELECT count(*) AS n, CAST(sum(length(seq)) AS BIGINT) AS bp, CAST(max(length(seq)) AS INTEGER) AS longest, count(*) FILTER (length(seq) >= 500) AS n_500 FROM seqs")
 over("a28_run_summary", lambda spark, sf: classify.run_summary(table(spark, sf, "orders").select(F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "failed").otherwise("skipped").alias("status"), F.col("o_totalprice").alias("seconds"))), "SELECT count(*) FILTER (o_orderstatus = 'F') AS success, count(*) FILTER (o_orderstatus = 'O') AS failed, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS skipped, round(avg(o_totalprice) FILTER (o_orderstatus = 'F'), 4) AS mean_seconds FROM orders")
-over("a20_telomere_summary", lambda spark, sf: telomeres.telomere_summary(gaps.telomere_calls(telomere_seqs(spark, sf), window=200)), ORACLE_SQL["d07_a20_telomere_calls"].replace("SELECT seqid, left_share, left_hits, left_call", "SELECT count(*) AS n, count(*) FILTER (left_call = 'PRESENT' AND right_call = 'PRESENT') AS t2t, count(*) FILTER (left_call = 'PRESENT') AS left_present, count(*) FILTER (right_call = 'PRESENT') AS right_present FROM c -- ").split(" -- ")[0])
+over("a20_telomere_summary", lambda spark, sf: telomeres.telomere_summary(gaps.telomere_calls(telomere_seqs(spark, sf))), ORACLE_SQL["d07_a20_telomere_calls"].replace("SELECT seqid, left_share, left_hits, left_call", "SELECT count(*) AS n, count(*) FILTER (left_call = 'PRESENT' AND right_call = 'PRESENT') AS t2t, count(*) FILTER (left_call = 'PRESENT') AS left_present, count(*) FILTER (right_call = 'PRESENT') AS right_present FROM c -- ").split(" -- ")[0])
 BACK = "(?:" + "|".join("CCCTAA"[:i] + "." + "CCCTAA"[i + 1 :] for i in range(6)) + ")"
 REVERSED = "(?:" + "|".join("GGGATT"[:i] + "." + "GGGATT"[i + 1 :] for i in range(6)) + ")"
 over("w11_terminal_repeats", lambda spark, sf: telomeres.terminal_repeats(telomere_seqs(spark, sf)), f"""WITH {SEQS}, {TEL} SELECT seqid, length(regexp_extract(seq, '^[Nn]*({BACK}*)', 1)) // 6 AS "left", length(regexp_extract(reverse(seq), '^[Nn]*({REVERSED}*)', 1)) // 6 AS "right" FROM t""")
 over("d08_exact_blocks", lambda spark, sf: telomeres.exact_blocks(telomere_seqs(spark, sf)), None)
 over("w10_x08_interstitial_sites", lambda spark, sf: telomeres.interstitial_sites(telomere_seqs(spark, sf), skip=10, least=4), None)
+# one sequence after the other has no SQL; a test walks the smallest table
+over("d10_chunks", lambda spark, sf: extract.chunked(seqs(spark, sf).withColumn("no", F.substring("seqid", 4, 20).cast("bigint")), size=100000), None)
 over("w06_w07_refined_overlaps", lambda spark, sf: overlaps.refine_overlaps(sat(spark, sf)), None)
 
 

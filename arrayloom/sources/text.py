@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from arrayloom import schemas
 from arrayloom.functions.seqfn import first_word, lenient_int
-from arrayloom.operators.tiles import TILE, slice_of
+from arrayloom.operators.tiles import TILE, of_pieces
 
 V = "value"
 
@@ -44,14 +44,8 @@ def read_fasta_tiles(spark: SparkSession, path: str, lower: bool = False, size:
     placed = placed.select("file", (F.col("heads") + F.col("m")).alias("record"), (F.col("sum") - F.col("n") + F.col("k")).alias("place"), "n", "head", "line", "letters").where("record > 0")
     # letters of the file before the record, and of the record
     records = placed.groupBy("file", "record").agg(F.min("place").alias("base"), F.sum("n").alias("length"), F.max(F.when(F.col("head"), F.trim(F.substring("line", 2, 1 << 30)))).alias("header"))
-    rows = placed.where("n > 0").join(records, ["file", "record"]).withColumn("at", F.col("place") - F.col("base"))
-    # a line goes to the tiles it touches
-    t = F.sequence(F.floor(F.col("at") / size), F.floor((F.col("at") + F.col("n") - 1) / size))
-    rows = rows.select("file", "record", "at", "n", "letters", F.explode(t).alias("tile"))
-    lo, hi = F.greatest(F.col("at"), F.col("tile") * size), F.least(F.col("at") + F.col("n"), (F.col("tile") + 1) * size)
-    rows = rows.select("file", "record", "tile", lo.alias("lo"), slice_of(F.col("letters"), lo - F.col("at"), hi - lo).alias("part"))
-    parts = F.array_sort(F.collect_list(F.struct("lo", "part")))
-    tiles = rows.groupBy("file", "record", "tile").agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("bases"))
+    rows = placed.where("n > 0").join(records, ["file", "record"]).select("file", "record", (F.col("place") - F.col("base")).alias("at"), "letters")
+    tiles = of_pieces(rows, ["file", "record"], size).drop("offset")
     out = records.join(tiles, ["file", "record"], "left").withColumn("tile", F.coalesce("tile", F.lit(0)))
     return out.select(first_word(F.col("header")).alias("seqid"), "header", "length", "tile", (F.col("tile") * size).alias("offset"), F.coalesce("bases", F.lit("")).alias("bases"))
 
