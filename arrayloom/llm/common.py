@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -50,6 +51,13 @@ def discard(*tables: DataFrame | None) -> None:
                 path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished queries. It does once their plans are garbage that the JVM has
+    collected; a driver that makes little garbage may not collect any for half an hour, while the files fill the disks."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def fresh(columns: list[str], *names: str) -> list[str]:
     """The names, with underscores in front of those that would clash with the columns."""
     taken, out = {c.lower() for c in columns}, []

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, WORD, discard, fresh, written
+from .common import BROADCAST_ROWS, WORD, discard, fresh, release, written
 
 #: Weights by a source's place in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -157,10 +157,12 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", zero("taken"), zero("n_slots"), F.col("first.shard").cast("bigint").alias("first_shard"), F.col("first.place").alias("first_place"))
 
 
-def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", laid_out: bool = True, **options) -> DataFrame:
     """The mix as documents: for each epoch that takes words of a document, a row with those words in order (the whole
-    text unchanged when all its words are taken); documents without words keep no row. Rows are laid out by output
-    shard, in order of place, each at the first slot that holds words of it."""
+    text unchanged when all its words are taken); documents without words keep no row. laid_out: rows come by output
+    shard, in order of place, each at the first slot that holds words of it, for which texts are shuffled once more;
+    else in no order."""
+    release(docs.sparkSession)
     names = dict(zip(("row", "spans", "n", "size", "first"), fresh(docs.columns, "row_", "spans_", "n_", "size_", "first_"), strict=True))
     row, spans, n, size, first = names.values()
     docs = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
@@ -174,7 +176,8 @@ def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", so
     out = docs.join(picks, row).withColumn(text, F.when(F.col(spans).isNull(), F.col(text)).otherwise(_cut(F.col(text), F.col(spans))))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast("bigint"))
-    out = out.repartitionByRange(_tasks(docs), F.col(f"{first}.shard"), F.col(f"{first}.place")).sortWithinPartitions(F.col(f"{first}.shard"), F.col(f"{first}.place"))
+    if laid_out:
+        out = out.repartitionByRange(_tasks(docs), F.col(f"{first}.shard"), F.col(f"{first}.place")).sortWithinPartitions(F.col(f"{first}.shard"), F.col(f"{first}.place"))
     return out.select([c for c in docs.columns if c != row])
 
 
