@@ -24,14 +24,16 @@ def require_unique_names(seqs: DataFrame) -> DataFrame:
     return seqs
 
 
-def chunked(seqs: DataFrame, order: str = "no", size: int = 100000) -> DataFrame:
-    """(no, seqid, length, chunk) of seqs(no, seqid, seq): sequences packed greedily in their order, whose numbers are
-    distinct. A chunk is closed by the sequence with which it holds more than size letters; chunks count from 0.
+def chunked(seqs: DataFrame, size: int = 100000) -> DataFrame:
+    """(no, seqid, length, chunk) of seqs(seqid, seq): sequences packed greedily in order of a column no of distinct numbers, or,
+    without one, as they are read. A chunk is closed by the sequence with which it holds more than size letters; chunks
+    count from 0.
 
     What one sequence after the other decides is found without walking: with sums of lengths before each sequence, the chunk
     that would start at a sequence ends at the first one whose sum is more than size greater, so every sequence knows the next
     chunk's start. From the first sequence on, these steps are followed by doubling: each round is a join and a table."""
-    rows = _written(seqs.select(F.col(order).cast("bigint").alias("no"), "seqid", F.length(F.coalesce("seq", F.lit(""))).cast("bigint").alias("length")))
+    no = F.col("no").cast("bigint") if "no" in seqs.columns else F.monotonically_increasing_id()
+    rows = _written(seqs.select(no.alias("no"), "seqid", F.length(F.coalesce("seq", F.lit(""))).cast("bigint").alias("length")))
     rows = _written(running_sum(rows, [], ["no"], F.col("length"), "base"))
     # in one order of numbers, each chunk asks from its base + size on for the first sequence whose letters reach beyond it
     asks = rows.select((F.col("base") + size).alias("at"), F.lit(0).alias("kind"), F.col("no").alias("start"), F.lit(None).cast("bigint").alias("no"))

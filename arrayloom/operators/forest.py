@@ -53,9 +53,15 @@ def level_labels(forest: DataFrame, levels: list[float]) -> DataFrame:
     """(level, id, comp) of every node that has an edge of a distance below the level: the least id it is connected to by such
     edges. All levels are labelled in the same rounds."""
     at = forest.withColumn("level", F.explode(F.filter(F.lit(sorted(map(float, levels))), lambda x: x > F.col("distance"))))
-    node = lambda c: F.struct("level", F.col(c).alias("id"))
-    labels = connected_components(at.select(node("id_a").alias("id_a"), node("id_b").alias("id_b")))
-    return labels.select("id.level", "id.id", F.col("comp.id").alias("comp"))
+    kind = dict(forest.dtypes)["id_a"]
+    # a node of a level as one text, so that tasks can join up what their own edges connect
+    node = lambda c: F.concat_ws("|", F.col("level").cast("string"), F.col(c).cast("string"))
+    found = connected_components(at.select(node("id_a").alias("id_a"), node("id_b").alias("id_b")))
+    # texts need not be in the order of ids, so the least id is told anew
+    level, name = F.substring_index("id", "|", 1).cast("double"), F.expr("substring(id, instr(id, '|') + 1)").cast(kind)
+    found = _written(found.select(level.alias("level"), name.alias("id"), F.col("comp").alias("of")))
+    least = found.groupBy("of").agg(F.min("id").alias("comp"))
+    return found.join(least, "of").select("level", "id", "comp")
 
 
 def level_clusters(labels: DataFrame, members: DataFrame, levels: list[float], least: int = 4) -> DataFrame:

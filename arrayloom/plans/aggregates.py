@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from arrayloom.functions import seqfn
 from arrayloom.operators import classify, extract, gaps, intervals, overlaps, scans, similarity, telomeres, tiles
 
+from arrayloom.sources import versions
+
 from .scalars import CLASSES, ROOT
 from .scalars import CANON as SQL_CANON
 from .tables import ARRAYS, FEATURES, SAT, SEQS, arrays, features, sat, seqs, table
@@ -77,6 +79,8 @@ SELECT seqid, bin, CASE WHEN family IN (SELECT family FROM top) THEN family ELSE
 over("a23_d01_consensus_classes", lambda spark, sf: similarity.consensus_classes(sat(spark, sf).select(F.col("trf_head").alias("seqid"), F.col("trf_consensus").alias("consensus"))),
      f"""WITH {SAT}, m AS (SELECT DISTINCT trf_head AS seqid, trf_consensus AS consensus, {ROOT.format('trf_consensus')} AS u FROM sat WHERE length(trf_consensus) > 0), r AS (SELECT seqid, consensus, {SQL_CANON.format('u')} AS root FROM m)
 SELECT a.seqid, a.consensus, repeat(a.root, CAST(min(length(b.consensus)) // length(a.root) AS INTEGER)) AS canonical FROM r a JOIN r b ON a.seqid = b.seqid AND a.root = b.root AND length(a.consensus) % length(b.consensus) = 0 GROUP BY a.seqid, a.consensus, a.root""")
+CLASSED = ORACLE_SQL["a23_d01_consensus_classes"].replace("SELECT a.seqid, a.consensus, repeat", ", k AS (SELECT a.seqid, a.consensus, repeat") + ")"
+over("a23_consensus_frequencies", lambda spark, sf: similarity.consensus_frequencies(sat(spark, sf).select(F.col("trf_head").alias("seqid"), F.col("trf_consensus").alias("consensus"))), f"{CLASSED} SELECT canonical, count(*) AS n FROM sat s JOIN k ON k.seqid = s.trf_head AND k.consensus = s.trf_consensus GROUP BY 1")
 PROFILE = "p AS (SELECT 'u' || user_id AS seqid, CAST(floor(epoch(ts)) AS BIGINT) AS \"start\", CAST(floor(epoch(ts)) AS BIGINT) + 1000 AS \"end\", CAST(floor(value) AS BIGINT) AS unique_kmers FROM events)"
 
 
@@ -145,6 +149,7 @@ def families(spark: SparkSession, sf: str) -> DataFrame:
 over("a18_family_info", lambda spark, sf: classify.family_info(families(spark, sf)), f"""WITH {SAT}, f AS (SELECT 'SF' || lpad(CAST(trf_period AS VARCHAR), 4, '0') AS family, count(*) AS n, CAST(sum(trf_array_length) AS BIGINT) AS bp, CAST(sum(CASE WHEN trf_array_length > 60 THEN trf_array_length ELSE 0 END) AS BIGINT) AS core_bp, first(trf_consensus ORDER BY trf_l_ind, trf_consensus) AS consensus FROM sat GROUP BY 1)
 SELECT *, CAST(row_number() OVER (ORDER BY core_bp DESC, family) AS INTEGER) AS rank FROM f""")
 over("a19_assembly_summary", lambda spark, sf: seqs(spark, sf).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("seq")).alias("bp"), F.max(F.length("seq")).alias("longest"), F.count_if(F.length("seq") >= 500).alias("n_500")), f"WITH {SEQS} SELECT count(*) AS n, CAST(sum(length(seq)) AS BIGINT) AS bp, CAST(max(length(seq)) AS INTEGER) AS longest, count(*) FILTER (length(seq) >= 500) AS n_500 FROM seqs")
+over("a21_consistency", lambda spark, sf: versions.consistency(seqs(spark, sf).select("seqid", F.length("seq").cast("bigint").alias("length")), sat(spark, sf).select(F.col("trf_head").alias("seqid")), 500), f"WITH {SAT} SELECT count(*) AS total, count(*) FILTER (length(seq) >= 500) AS large, count(*) FILTER (length(seq) < 500) AS skipped, CAST(sum(length(seq)) AS BIGINT) AS bp, CAST(coalesce(sum(length(seq)) FILTER (length(seq) >= 500), 0) AS BIGINT) AS large_bp, (SELECT count(DISTINCT trf_head) FROM sat) AS with_rows FROM seqs")
 over("a28_run_summary", lambda spark, sf: classify.run_summary(table(spark, sf, "orders").select(F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "failed").otherwise("skipped").alias("status"), F.col("o_totalprice").alias("seconds"))), "SELECT count(*) FILTER (o_orderstatus = 'F') AS success, count(*) FILTER (o_orderstatus = 'O') AS failed, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS skipped, round(avg(o_totalprice) FILTER (o_orderstatus = 'F'), 4) AS mean_seconds FROM orders")
 over("a20_telomere_summary", lambda spark, sf: telomeres.telomere_summary(gaps.telomere_calls(telomere_seqs(spark, sf))), ORACLE_SQL["d07_a20_telomere_calls"].replace("SELECT seqid, left_share, left_hits, left_call", "SELECT count(*) AS n, count(*) FILTER (left_call = 'PRESENT' AND right_call = 'PRESENT') AS t2t, count(*) FILTER (left_call = 'PRESENT') AS left_present, count(*) FILTER (right_call = 'PRESENT') AS right_present FROM c -- ").split(" -- ")[0])
 BACK = "(?:" + "|".join("CCCTAA"[:i] + "." + "CCCTAA"[i + 1 :] for i in range(6)) + ")"

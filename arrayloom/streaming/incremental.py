@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from arrayloom import schemas
 from arrayloom.operators.intervals import annotation_labels
+from arrayloom.operators.similarity import _written, discard
 
 
 def repeats(spark: SparkSession, folder: str, fmt: str = "parquet", schema: str = schemas.SAT) -> DataFrame:
@@ -37,11 +41,58 @@ def windowed_totals(events: DataFrame, width: str = "1 hour", slide: str = "15 m
     return out.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), "event_type", "n", "total")
 
 
-def finished(stream: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
-    """A run log, one row per project and batch; projects are handled side by side in one job."""
+def attempted(rows: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, by: str = "project") -> DataFrame:
+    """What work makes of the rows of each project, with what went wrong as data: by, the schema's columns, error.
+
+    work gets some of one project's rows at a time, as tasks come to them, and may raise; its error becomes a row (the other
+    columns null) and ends neither the task nor the work on other projects."""
+    kind = dict(rows.dtypes)[by]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for key, part in b.groupby(by, dropna=False, sort=False):
+                try:
+                    out = work(part.reset_index(drop=True)).assign(error=None)
+                except Exception as e:  # whatever a project's rows bring about is that project's outcome
+                    out = pd.DataFrame({"error": [f"{type(e).__name__}: {e}"]})
+                out[by] = None if pd.isna(key) else key
+                out = out.reindex(columns=[by, *names, "error"]).astype(object)
+                yield out.where(out.notna(), None)
+
+    names = [f.split()[0] for f in schema.split(", ")]
+    return rows.mapInPandas(run, f"`{by}` {kind}, {schema}, error string")
+
+
+def outcomes(tried: DataFrame, by: str = "project") -> DataFrame:
+    """(by, status, n, error) of attempted rows: a project with any error has failed, with the first of its errors."""
+    wrong = F.col("error").isNotNull()
+    of = tried.groupBy(by).agg(F.count_if(~wrong).alias("n"), F.min("error").alias("error"))
+    return of.select(by, F.when(F.col("error").isNull(), "success").otherwise("failed").alias("status"), F.when(F.col("error").isNull(), F.col("n")).otherwise(0).alias("n"), "error")
+
+
+def sound(rows: pd.DataFrame) -> pd.DataFrame:
+    """Repeat rows whose places, lengths and arrays agree, as (trf_id, bp); an error names the first row that is not."""
+    n = rows["trf_r_ind"] - rows["trf_l_ind"] + 1
+    wrong = (n < 1) | (rows["trf_array_length"] != n) | (rows["trf_array"].str.len() != n)
+    if wrong.any():
+        raise ValueError(f"place, length and array of {rows.loc[wrong, 'trf_id'].iloc[0]} do not agree")
+    return pd.DataFrame({"trf_id": rows["trf_id"], "bp": n})
+
+
+def finished(stream: DataFrame, log: str, checkpoint: str, work: Callable[[pd.DataFrame], pd.DataFrame] = sound, schema: str = "trf_id string, bp bigint", out: str | None = None) -> StreamingQuery:
+    """Work on arriving projects side by side in one job, with a run log: a row for each project and batch (project, status,
+    n, error, batch). Results of projects that succeeded go to `out`, if given.
+
+    A batch is a folder of its own in both, written over when the batch is repeated, so a repeated batch adds nothing."""
 
     def batch(df: DataFrame, no: int) -> None:
-        rows = df.groupBy("project").agg(F.count(F.lit(1)).alias("n"), F.sum("trf_array_length").alias("bp"))
-        rows.withColumns({"batch": F.lit(no), "status": F.lit("success")}).write.mode("append").parquet(log)
+        tried = _written(attempted(df, work, schema))
+        ended = _written(outcomes(tried))
+        if out is not None:
+            good = ended.where("status = 'success'").select(F.col("project").alias("_p"))
+            kept = tried.join(good, F.col("project").eqNullSafe(F.col("_p")), "left_semi").drop("error")
+            kept.write.mode("overwrite").parquet(f"{out}/batch={no}")
+        ended.write.mode("overwrite").parquet(f"{log}/batch={no}")  # last: what the log names is there
+        discard(tried, ended)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

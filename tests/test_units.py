@@ -66,3 +66,27 @@ def test_gap_summary_has_a_total(spark):
     df = spark.createDataFrame([(4,), (40,), (44,), (4000,)], "length long")
     got = gaps.gap_summary(df, spark.createDataFrame([(10000,)], "genome long")).collect()
     assert sorted(tuple(r) for r in got) == [("10-100", 2, 50.0, 84, 0.84, 42.0), ("<10", 1, 25.0, 4, 0.04, 4.0), (">1k", 1, 25.0, 4000, 40.0, 4000.0), ("total", 4, 100.0, 4088, 40.88, 1022.0)]
+
+
+def test_cosine_of_all_pairs(spark):
+    v = spark.createDataFrame([("a", "AC", 1.0), ("a", "GT", 1.0), ("b", "AC", 2.0), ("c", "TT", 1.0), ("z", "TT", 0.0)], "id string, kmer string, tf double")
+    near = {(r["id_a"], r["id_b"]): round(r["distance"], 4) for r in similarity.cosine_pairs(v, whole=True).collect()}
+    assert near == {("a", "b"): 29.2893, ("a", "c"): 100.0, ("b", "c"): 100.0, ("a", "z"): 100.0, ("b", "z"): 100.0, ("c", "z"): 100.0}
+    assert similarity.cosine_pairs(v).count() == 2
+    with pytest.raises(ValueError, match="10000"):
+        similarity.cosine_pairs(spark.range(10001).selectExpr("id", "'A' AS kmer", "1.0D AS tf"), whole=True)
+
+
+def test_components_of_any_kind(spark):
+    rng = random.Random(12)
+    edges = [(rng.randrange(90), rng.randrange(90)) for _ in range(70)] + [(200, 200)]
+    up = {x: x for e in edges for x in e}
+    for _ in up:
+        for a, b in edges:
+            up[a] = up[b] = min(up[a], up[b])
+    df = spark.createDataFrame(edges, "id_a long, id_b long").repartition(5)
+    assert {r["id"]: r["comp"] for r in similarity.connected_components(df.union(spark.createDataFrame([(None, 3)], df.schema))).collect()} == up
+    names = similarity.connected_components(df.select(*[F.format_string("n%03d", c).alias(c) for c in df.columns]))
+    assert {r["id"]: r["comp"] for r in names.collect()} == {f"n{i:03d}": f"n{c:03d}" for i, c in up.items()}
+    pairs = similarity.connected_components(df.select(*[F.struct(F.col(c).alias("x")).alias(c) for c in df.columns]))
+    assert {r["id"]["x"]: r["comp"]["x"] for r in pairs.collect()} == up
