@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
-from arrayloom.operators import classify, extract, gaps, intervals, overlaps, scans, similarity, telomeres, tiles
+from arrayloom.operators import classify, extract, gaps, intervals, overlaps, scans, similarity, telomeres, tiles, views
 
 from arrayloom.sources import versions
 
@@ -155,6 +155,23 @@ over("a20_telomere_summary", lambda spark, sf: telomeres.telomere_summary(gaps.t
 BACK = "(?:" + "|".join("CCCTAA"[:i] + "." + "CCCTAA"[i + 1 :] for i in range(6)) + ")"
 REVERSED = "(?:" + "|".join("GGGATT"[:i] + "." + "GGGATT"[i + 1 :] for i in range(6)) + ")"
 over("w11_terminal_repeats", lambda spark, sf: telomeres.terminal_repeats(telomere_seqs(spark, sf)), f"""WITH {SEQS}, {TEL} SELECT seqid, length(regexp_extract(seq, '^[Nn]*({BACK}*)', 1)) // 6 AS "left", length(regexp_extract(reverse(seq), '^[Nn]*({REVERSED}*)', 1)) // 6 AS "right" FROM t""")
+
+
+def view_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Length, telomere calls, densities of length categories and families (their consensus as it stands) of every sequence."""
+    rows = sat(spark, sf).select(F.col("trf_head").alias("seqid"), F.col("trf_l_ind").alias("l_ind"), F.col("trf_r_ind").alias("r_ind"), F.col("trf_consensus").alias("family"), F.col("trf_array_length").alias("bp"))
+    lengths = seqs(spark, sf).select("seqid", F.length("seq").cast("bigint").alias("length"))
+    view = views.chromosome_view(lengths, gaps.telomere_calls(telomere_seqs(spark, sf)), intervals.density(rows, F.when(F.col("bp") < 60, "short").otherwise("long"), 100), rows)
+    return view.withColumns({"densities": views.flat(F.col("densities"), ["bin", "category", "bp"]), "families": views.flat(F.col("families"), ["family", "n", "bp"])})
+
+
+CALLS = ORACLE_SQL["d07_a20_telomere_calls"].removeprefix(f"WITH {SEQS}, ").replace(" SELECT seqid, left_share", ", calls AS (SELECT seqid, left_share") + ")"
+over("d13_chromosome_view", view_rows, f"""WITH {SAT}, {CALLS}, cut AS (SELECT trf_head AS seqid, trf_l_ind AS l, trf_r_ind AS r, CASE WHEN trf_array_length < 60 THEN 'short' ELSE 'long' END AS category, unnest(range(trf_l_ind // 100, trf_r_ind // 100 + 1)) AS bin FROM sat),
+d AS (SELECT seqid, bin, category, CAST(sum(greatest(least(r, (bin + 1) * 100) - greatest(l, bin * 100), 0)) AS BIGINT) AS bp FROM cut GROUP BY ALL), ds AS (SELECT seqid, string_agg(bin || ':' || category || ':' || bp, ',' ORDER BY bin, category) AS densities FROM d GROUP BY 1),
+f AS (SELECT trf_head AS seqid, trf_consensus AS family, count(*) AS n, CAST(sum(trf_array_length) AS BIGINT) AS bp FROM sat GROUP BY 1, 2), fs AS (SELECT seqid, string_agg(family || ':' || n || ':' || bp, ',' ORDER BY family) AS families FROM f GROUP BY 1)
+SELECT s.seqid, length(seq) AS length, round(100.0 * length(seq) / (SELECT max(length(seq)) FROM seqs)::DOUBLE, 2) AS percent_of_longest, left_call, right_call, status, coalesce(densities, '') AS densities, coalesce(families, '') AS families
+FROM seqs s LEFT JOIN calls USING (seqid) LEFT JOIN ds USING (seqid) LEFT JOIN fs USING (seqid)""".replace(", cut AS (SELECT trf_head", ", bins AS (SELECT trf_head").replace("FROM cut GROUP BY ALL)", "FROM bins GROUP BY ALL)"))
+over("a19_t2t_and_sites", lambda spark, sf: views.assembly_view(seqs(spark, sf).select("seqid", F.length("seq").cast("bigint").alias("length")), gaps.telomere_calls(telomere_seqs(spark, sf)), telomeres.interstitial_sites(telomere_seqs(spark, sf), skip=10, least=4)), None)
 over("d08_exact_blocks", lambda spark, sf: telomeres.exact_blocks(telomere_seqs(spark, sf)), None)
 over("w10_x08_interstitial_sites", lambda spark, sf: telomeres.interstitial_sites(telomere_seqs(spark, sf), skip=10, least=4), None)
 # one sequence after the other has no SQL; a test walks the smallest table

@@ -23,12 +23,12 @@ def intervals(seed, n, longest, space=1000):
     return [(rng.choice("ab"), a, a + rng.choice([1, rng.randint(1, 30), rng.randint(1, longest)])) for a in (rng.randint(0, space) for _ in range(n))]
 
 
-@pytest.mark.parametrize("gap", [-1, 0, 7, 120])
+@pytest.mark.parametrize("gap", [-1, 7])
 @pytest.mark.parametrize(("n", "longest"), [(120, 40), (60, 400), (300, 3)])
 def test_merge(spark, gap, n, longest):
     rows = intervals(n + gap, n, longest)
     df = spark.createDataFrame(rows, "seqid string, start long, end long").repartition(3)
-    for width in (16, 100, 1 << 20):
+    for width in (16, 1 << 20):
         assert sorted(tuple(r) for r in scans.merge_intervals(df, gap, width).collect()) == walk(rows, gap)
 
 
@@ -121,7 +121,7 @@ def test_telomere_ends(spark):
         assert of_tiles == {k: r for k, r in got.items() if seqs[k]}
 
 
-@pytest.mark.parametrize(("k", "window", "step"), [(5, 40, 10), (3, 30, 30), (4, 20, 50), (17, 100, 25), (2, 37, 5)])
+@pytest.mark.parametrize(("k", "window", "step"), [(5, 40, 10), (4, 20, 50), (17, 100, 25), (2, 37, 5)])
 def test_kmer_profile(spark, monkeypatch, k, window, step):
     monkeypatch.setattr(gaps, "SPAN", 2)
     monkeypatch.setattr(gaps, "CHUNK", 24)

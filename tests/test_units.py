@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from arrayloom.operators import gaps, similarity
+from arrayloom.operators import gaps, similarity, views
 
 OTHER = str.maketrans("ACGT", "TGCA")
 
@@ -90,3 +90,17 @@ def test_components_of_any_kind(spark):
     assert {r["id"]: r["comp"] for r in names.collect()} == {f"n{i:03d}": f"n{c:03d}" for i, c in up.items()}
     pairs = similarity.connected_components(df.select(*[F.struct(F.col(c).alias("x")).alias(c) for c in df.columns]))
     assert {r["id"]["x"]: r["comp"]["x"] for r in pairs.collect()} == up
+
+
+def test_views(spark):
+    lengths = spark.createDataFrame([("a", 200), ("b", 50)], "seqid string, length long")
+    calls = spark.createDataFrame([("a", "PRESENT", "PRESENT", "T2T"), ("b", "ABSENT", "PARTIAL", "INCOMPLETE")], "seqid string, left_call string, right_call string, status string")
+    families = spark.createDataFrame([("a", "SF1", 30), ("a", "SF0", 10), ("a", "SF1", 5)], "seqid string, family string, bp long")
+    sites = spark.createDataFrame([("a", 90, 120, 5), ("a", 20, 50, 5)], "seqid string, start long, end long, repeats long")
+    view = views.chromosome_view(lengths, calls, None, families, sites)
+    a, b = sorted(view.collect())
+    assert a["percent_of_longest"] == 100 and b["percent_of_longest"] == 25 and b["families"] == [] and b["sites"] == [] and "densities" not in view.columns
+    assert [tuple(x) for x in a["families"]] == [("SF0", 1, 10), ("SF1", 2, 35)] and [x["start"] for x in a["sites"]] == [20, 90]
+    assert view.select(views.flat(F.col("families"), ["family", "bp"]).alias("f")).where("f <> ''").first()["f"] == "SF0:10,SF1:35"
+    assert '"status":"T2T"' in views.json_lines(view).where("seqid = 'a'").first()["value"]
+    assert views.assembly_view(lengths, calls, sites).first().asDict() == {"n": 2, "bp": 250, "t2t": 1, "sites": 2}
