@@ -86,6 +86,14 @@ def classify(sat: DataFrame, predicate: Column, name: Column) -> DataFrame:
     return with_counts(sat).where(predicate).withColumn("trf_family", name).drop(*[f"_n_{b}" for b in "ACGT"])
 
 
+def separated(sat: DataFrame, predicate: Column, name: Column, line: Column, path: str, digits: int = 2) -> DataFrame:
+    """One class of repeats, named and in order of its sequences and places, written as lines (gff3_line or another form) to
+    path; returns its statistics by family."""
+    rows = classify(sat, predicate, name)
+    rows.orderBy("trf_head", "trf_l_ind", "trf_r_ind", "trf_id").select(line.alias("value")).write.mode("overwrite").text(path)
+    return family_statistics(rows, digits)
+
+
 def all_classes(sat: DataFrame) -> DataFrame:
     """One row per repeat and class, in one pass over the table: category, trf_family and the repeat's columns."""
     both = lambda when, category, name: F.when(when, F.struct(F.lit(category).alias("category"), name.alias("trf_family")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
-from arrayloom.sources import sinks, text
+from arrayloom.sources import quality, sinks, text
 from arrayloom.streaming import incremental
 
 from .tables import BEDS, FEATURES, SAT, beds, features, sat, table
@@ -38,6 +38,13 @@ def repeatmasker():
 
 over("s09_f13_repeatmasker_quality", lambda spark, sf: text.repeatmasker_quality(features(spark, sf).select(repeatmasker().alias("value"))).groupBy("flag").agg(F.count(F.lit(1)).alias("n")),
      f"""WITH {FEATURES} SELECT CASE WHEN ("end" // 50) % 4 = 2 THEN 'reversed' WHEN ("end" // 50) % 8 = 4 THEN 'short' ELSE 'ok' END AS flag, count(*) AS n FROM features WHERE NOT (("end" // 50) % 4 <> 2 AND ("end" // 50) % 8 = 0) GROUP BY 1""")
+def broken_gff():
+    e = F.col("end") % 16
+    return F.when(e == 0, F.lit("#comment")).when(e == 1, F.concat_ws("\t", "seqid", "start")).when(e == 2, F.regexp_replace(gff(), "\t\\d+\t\\d+", "\tx\t9")).when(e == 3, F.regexp_replace(gff(), "\t\\d+\t\\d+", "\t10\t9")).when(e == 4, F.regexp_replace(gff(), "\t\\d+\t\\d+", "\t0\t9")).otherwise(gff())
+
+
+over("f13_gff_quality", lambda spark, sf: quality.flag_counts(quality.gff_quality(features(spark, sf).select(broken_gff().alias("value")))),
+     f"""WITH {FEATURES} SELECT CASE "end" % 16 WHEN 1 THEN 'short' WHEN 2 THEN 'bad number' WHEN 3 THEN 'reversed' WHEN 4 THEN 'below 1' ELSE 'ok' END AS flag, count(*) AS n FROM features WHERE "end" % 16 > 0 GROUP BY 1""")
 over("s09_parse_repeatmasker", lambda spark, sf: text.parse_repeatmasker(features(spark, sf).select(repeatmasker().alias("value"))), f"""WITH {FEATURES} SELECT seqid, "start", "end", 'RM_' || type AS type FROM features WHERE ("end" // 50) % 4 <> 2 AND ("end" // 50) % 4 <> 0""")
 def trf():
     return F.concat_ws(" ", "start", "end", "period", F.lit("2.5"), "period", F.lit("90"), F.lit("1"), F.lit("55"), F.lit("25"), F.lit("25"), F.lit("25"), F.lit("25"), F.lit("1.9"), F.lit("ACG"), "seqid")

@@ -45,6 +45,21 @@ def write_table(df: DataFrame, path: str, header: bool = True, mode: str = "over
     df.write.options(sep="\t", header=header, quote="", nullValue="None").mode(mode).csv(path)
 
 
+def write_repeats(df: DataFrame, path: str, dataset_id: int | None = None, key: str | None = None) -> None:
+    """A repeat table with a header; with a dataset id, rows are added to what is there, tagged with it (giid). Rows are in
+    order of the key, if one is given: parts are ranges of it, each sorted."""
+    rows = df.orderBy(key) if key else df
+    if dataset_id is None:
+        write_table(rows, path)
+    else:
+        write_table(rows.withColumn("giid", F.lit(dataset_id)), path, mode="append")
+
+
+def write_classes(df: DataFrame, path: str, key: str | None = None) -> None:
+    """A table of classes, without a header; in order of the key, if one is given."""
+    write_table(df.orderBy(key) if key else df, path, header=False)
+
+
 def write_lines(df: DataFrame, line: Column, path: str) -> None:
     df.select(line.alias("value")).write.mode("overwrite").text(path)
 

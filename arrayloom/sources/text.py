@@ -139,6 +139,21 @@ def read_trf_dat(spark: SparkSession, path: str) -> DataFrame:
     return lines.withColumn("r", parse_trf_line(V)).where("no > 0 AND r IS NOT NULL").select("head", "no", "r.*")
 
 
+def read_trf_folder(spark: SparkSession, path: str, project: str) -> DataFrame:
+    """(project, trf_id, head, fields of the data lines) of all .dat files of a folder: ids run on from 1 through the files in
+    order of their paths, and through each in order of its lines. Files are numbered at once: places within a block of a file,
+    and counts of the blocks before it (a row each)."""
+    blocks = spark.read.option("lineSep", "Sequence:").option("pathGlobFilter", "*.dat").option("recursiveFileLookup", True).text(path)
+    blocks = blocks.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.split(V, "\n").alias("l"))
+    rows = blocks.select("file", "block", "at", F.trim(F.col("l")[0]).alias("head"), F.posexplode("l").alias("no", "value")).withColumn("r", parse_trf_line(V)).where("no > 0 AND r IS NOT NULL")
+    counts = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select(F.col("file").alias("f"), F.col("block").alias("b"), F.coalesce(before, F.lit(0)).alias("base"))
+    rows = rows.withColumn("own", F.row_number().over(Window.partitionBy("file", "block").orderBy("at", "no")))
+    out = rows.join(counts, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
+    return out.select(F.lit(project).alias("project"), (F.col("base") + F.col("own")).alias("trf_id"), "head", "r.*")
+
+
 def array_id_parts(array_id: Column) -> Column:
     """struct of an id name_start_end_length_period; the name may hold underscores."""
     rx = r"^(.*)_(\d+)_(\d+)_(\d+)_(\d+)$"

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from arrayloom import schemas
-from arrayloom.sources import versions
+from arrayloom.operators import classify
+from arrayloom.sources import quality, sinks, text, versions
 from arrayloom.streaming import incremental
 
 
@@ -108,3 +109,47 @@ def test_consistency(spark):
     assert versions.consistency(seqs, rows).first().asDict() == {"total": 3, "large": 2, "skipped": 1, "bp": 3000005, "large_bp": 3000000, "with_rows": 2}
     assert [tuple(r) for r in versions.low_counts(seqs, rows).collect()] == [("b", 1000000, 0)]
     assert versions.consistency(seqs.where("false"), rows.where("false")).first()["bp"] == 0
+
+
+def test_quality(spark, tmp_path):
+    good, short = "c\ts\tgene\t5\t9\t.\t+\t.\tID=1", "c\ts\tgene"
+    lines = lambda *rows: spark.createDataFrame([(r,) for r in rows], "value string")
+    flags = quality.gff_quality(lines("# x", "", good, good.replace("5", "x"), good.replace("5", "10"), good.replace("5", "0"), short))
+    assert {r["flag"]: r["n"] for r in quality.flag_counts(flags).collect()} == {"ok": 1, "bad number": 1, "reversed": 1, "below 1": 1, "short": 1}
+    with pytest.warns(UserWarning, match="1 of 5"):
+        assert quality.checked(flags, "f.gff") == {"features": 4, "malformed": 1}
+    assert quality.checked(quality.gff_quality(lines(*[good] * 10, short)), "g.gff") == {"features": 10, "malformed": 1}  # a tenth is not more than a tenth
+    with pytest.raises(ValueError, match="no features"):
+        quality.checked(quality.gff_quality(lines("# x")), "h.gff")
+    (tmp_path / "a.fa").write_text("\n>x\nACGT\n")
+    (tmp_path / "b.fa").write_text("ACGT\n")
+    (tmp_path / "c.fa").write_text("\n")
+    quality.check_fasta(spark, str(tmp_path / "a.fa"))
+    for name, what in (("b.fa", "no header"), ("c.fa", "empty")):
+        with pytest.raises(ValueError, match=what):
+            quality.check_fasta(spark, str(tmp_path / name))
+
+
+def test_ids_run_through_files(spark, tmp_path):
+    line = "{} 9 3 3.0 3 90 0 40 33 33 33 0 1.5 ACG ACGACGACG\n"
+    for name, starts in (("b/z.dat", (5, 6)), ("a.dat", (1, 2, 3)), ("c.dat", (7,)), ("skip.txt", (8,))):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("".join(f"Sequence: s{s} x\n\n{line.format(s)}" for s in starts))
+    rows = text.read_trf_folder(spark, str(tmp_path), "p").collect()
+    assert sorted((r["trf_id"], r["start"], r["head"], r["project"]) for r in rows) == [(i + 1, s, f"s{s} x", "p") for i, s in enumerate((1, 2, 3, 5, 6, 7))]
+
+
+def test_writers(spark, tmp_path):
+    df = spark.createDataFrame([("b", 2), ("a", 1)], "trf_id string, n int")
+    sinks.write_repeats(df, str(tmp_path / "one"), key="trf_id")
+    assert [r["trf_id"] for r in spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "one")).collect()] == ["a", "b"]
+    for i in (1, 2):
+        sinks.write_repeats(df, str(tmp_path / "more"), dataset_id=i)
+    more = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "more"))
+    assert sorted((r["trf_id"], r["giid"]) for r in more.collect()) == [("a", "1"), ("a", "2"), ("b", "1"), ("b", "2")]
+    sinks.write_classes(df, str(tmp_path / "classes"), key="trf_id")
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "classes")).collect()] == ["a\t1", "b\t2"]
+    rows = spark.createDataFrame([repeat("p", f"i{k}", 90 - k, "ACG" * 4) for k in range(5)], schemas.SAT)
+    stats = classify.separated(rows, F.col("trf_period") == 3, F.lit("three"), F.concat_ws("\t", "trf_head", F.col("trf_l_ind").cast("string")), str(tmp_path / "three"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "three")).collect()] == [f"chr1\t{90 - k}" for k in (4, 3, 2, 1, 0)]
+    assert [(r["trf_family"], r["n"]) for r in stats.collect()] == [("three", 5)]
