@@ -54,7 +54,7 @@ def level_labels(forest: DataFrame, levels: list[float]) -> DataFrame:
     edges. All levels are labelled in the same rounds."""
     at = forest.withColumn("level", F.explode(F.filter(F.lit(sorted(map(float, levels))), lambda x: x > F.col("distance"))))
     kind = dict(forest.dtypes)["id_a"]
-    # a node of a level as one text, so that tasks can join up what their own edges connect
+    # a node of a level as one text
     node = lambda c: F.concat_ws("|", F.col("level").cast("string"), F.col(c).cast("string"))
     found = connected_components(at.select(node("id_a").alias("id_a"), node("id_b").alias("id_b")))
     # texts need not be in the order of ids, so the least id is told anew

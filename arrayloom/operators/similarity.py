@@ -4,11 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +12,6 @@ from arrayloom.functions import seqfn
 
 #: Vectors of which all pairs may be asked for.
 FULL_IDS = 10_000
-#: Edges of which a task makes stars at once.
-CHUNK_EDGES = 1 << 20
 
 
 def cosine_pairs(vectors: DataFrame, scale: float = 100.0, whole: bool = False) -> DataFrame:
@@ -123,66 +117,19 @@ def discard(*tables: DataFrame) -> None:
                 path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def _least_reachable(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Of nodes 0 to n - 1 with edges (a, b), the least node each is connected to."""
-    label = np.arange(n)
-    while True:
-        least = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], least)
-        np.minimum.at(new, label[b], least)
-        while not np.array_equal(up := new[new], new):
-            new = up
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (u, v) to (node, least node) of what the edges of a task, CHUNK_EDGES at a time, connect: as many rows as there
-    are nodes, and nodes that were far apart are two steps apart."""
-
-    def star(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(held).combine_chunks()
-        u, v = (table.column(c).combine_chunks() for c in ("u", "v"))
-        code = pa.concat_arrays([u, v]).dictionary_encode()
-        order = pc.sort_indices(code.dictionary).to_numpy()
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        x, y = np.split(rank[code.indices.to_numpy()], 2)
-        nodes = code.dictionary.take(pa.array(order))
-        return pa.RecordBatch.from_arrays([nodes, nodes.take(pa.array(_least_reachable(x, y, len(nodes))))], ["u", "v"])
-
-    held: list[pa.RecordBatch] = []
-    for b in batches:
-        held.append(b)
-        if sum(x.num_rows for x in held) >= CHUNK_EDGES:
-            yield star(held)
-            held = []
-    if held:
-        yield star(held)
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, comp) of edges(id_a, id_b): the least id reachable. Rows with a null id are left out.
-
-    Tasks first replace what their own edges connect by stars. Then labels spread along edges and jump to their label's label;
-    each round is a table in the shared folder, so a lost executor costs one round, and replaces the one before."""
-    kind = dict(edges.dtypes)["id_a"]
-    all_ = edges.where(F.col("id_a").isNotNull() & F.col("id_b").isNotNull()).select(F.col("id_a").alias("u"), F.col("id_b").alias("v"))
-    if kind in ("string", "bigint", "int"):
-        all_ = all_.mapInArrow(_stars, f"u {kind}, v {kind}")
-    both = _written(all_.union(all_.select("v", "u")).distinct())
+    """(id, comp) of edges(id_a, id_b): the least id reachable. Rows with a null id are left out. Labels spread along edges
+    and jump to their label's label; each round is a table in the shared folder, so a lost executor costs one round."""
+    known = edges.where(F.col("id_a").isNotNull() & F.col("id_b").isNotNull())
+    both = _written(known.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).union(known.select("id_b", "id_a")).distinct())
     labels = _written(both.groupBy(F.col("u").alias("id")).agg(F.least(F.first("u"), F.min("v")).alias("comp")))
     while True:
         near = both.join(labels, both["v"] == labels["id"]).groupBy("u").agg(F.min("comp").alias("near"))
         step = labels.join(near, labels["id"] == near["u"]).select("id", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
         up = labels.select(F.col("id").alias("comp"), F.col("comp").alias("above"))
         step = _written(step.join(up, "comp", "left").select("id", "was", F.least("comp", F.coalesce("above", "comp")).alias("comp")))
-        discard(labels)
         labels = step.select("id", "comp")
         if not step.where("comp <> was").limit(1).count():
-            discard(both)
             return labels
 
 
