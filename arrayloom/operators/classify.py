@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrayloom.functions.seqfn import count_of
 
+from .orders import places
+
 #: Base counts are columns, computed once for all predicates and names.
 A, C, G, T = (lambda b=b: F.col(f"_n_{b}") for b in "ACGT")
 SIZES = (1000, 10000, 100000, 1000000)
@@ -137,7 +139,24 @@ def micro_summary(classes: DataFrame) -> DataFrame:
 def family_info(families: DataFrame) -> DataFrame:
     """families(family, start, bp, core, consensus): n, bp, core bp and first consensus of each, ranked by core bp."""
     by = families.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("bp").alias("bp"), F.sum(F.when(F.col("core"), F.col("bp")).otherwise(0)).alias("core_bp"), F.min_by("consensus", F.struct("start", "consensus")).alias("consensus"))
-    return by.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("core_bp"), "family")))
+    return places(by, [F.desc("core_bp"), F.col("family")], "rank").withColumn("rank", (F.col("rank") + 1).cast("int"))
+
+
+def family_members(table: DataFrame) -> DataFrame:
+    """Rows of families.family_table as family_info takes them."""
+    return table.select("family", "start", F.col("array_length").alias("bp"), (F.col("source") == "core").alias("core"), "consensus")
+
+
+def with_attributes(repeats: DataFrame, classified: DataFrame, key: str = "trf_id") -> DataFrame:
+    """repeats whose columns take the values of the row of classified with the same key, where both have a column of that name
+    and there is such a row (its nulls as well); other columns of classified are not read. Of rows of classified with one key the
+    least one counts; a null key matches nothing."""
+    shared = [c for c in repeats.columns if c != key and c in classified.columns]
+    if not shared:
+        return repeats
+    one = classified.groupBy(F.col(key).alias("_key")).agg(F.min(F.struct(*shared)).alias("_new"))
+    found = repeats.join(one, F.col(key) == F.col("_key"), "left")
+    return found.select(*[F.when(F.col("_key").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in shared else F.col(c) for c in repeats.columns])
 
 
 def run_summary(log: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
 
-from .similarity import _written, rotation_distance
+from .orders import places
+from .similarity import _written, connected_components, edit_pairs, rotation_distance
 
 #: Units up to this length meet on what is left after deletions, longer ones on a segment that stands unchanged.
 SHORT = 18
@@ -117,8 +118,8 @@ def leaders(arrays: DataFrame, most: int = 3, percent: int = 20) -> DataFrame:
         joins = F.col("first").isNotNull() & (F.col("wait").isNull() | (F.col("first") < F.col("wait")))
         lead = F.when(joins, F.col("first.s")).when(F.col("first").isNull() & F.col("wait").isNull(), F.col("canonical"))
         state = _written(now.select("canonical", F.coalesce("leader", lead).alias("leader")))
-    # one row per family is ordered as a whole
-    numbered = state.where("leader = canonical").join(groups, "canonical").select("leader", (F.row_number().over(Window.orderBy(rank("n", "canonical"))) - 1).alias("no"))
+    heads = state.where("leader = canonical").join(groups, "canonical").select("leader", "n")
+    numbered = places(heads, [F.desc("n"), F.col("leader")]).select("leader", "no")
     return state.join(numbered, "leader").select("canonical", "leader", F.concat(F.lit("SF"), F.lpad(F.col("no").cast("string"), 4, "0")).alias("family"))
 
 
@@ -148,8 +149,8 @@ def named_clusters(members: DataFrame, least: int = 4) -> DataFrame:
     periods = periods.withColumns({"upto": F.sum("n").over(upto), "all": F.sum("n").over(Window.partitionBy("comp"))})
     # the upper median is the period at place n // 2, counted from 0
     half = periods.where(F.col("upto") > F.floor(F.col("all") / 2)).groupBy("comp").agg(F.min("period").alias("median"), F.first("all").alias("size"))
-    large = half.where(F.col("size") >= least).withColumn("rank", F.row_number().over(Window.orderBy("size", "comp")))
-    names = large.select("comp", F.concat_ws("_", (F.col("rank") - 1).cast("string"), F.col("median").cast("string")).alias("name"))
+    large = places(half.where(F.col("size") >= least), ["size", "comp"], "rank")
+    names = large.select("comp", F.concat_ws("_", F.col("rank").cast("string"), F.col("median").cast("string")).alias("name"))
     return members.join(names, "comp", "left").select("id", "comp", F.coalesce("name", F.lit("SING")).alias("name"))
 
 
@@ -160,3 +161,29 @@ def component_annotation(members: DataFrame) -> DataFrame:
     by = sizes.groupBy("comp").agg(F.sum("n").alias("n"), F.sum("bp").alias("bp"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("motif_size", "n")))).alias("motif_sizes"))
     total = by.agg(F.sum("bp").alias("total"))  # one row
     return by.crossJoin(F.broadcast(total)).select("comp", "n", "bp", F.round(100.0 * F.col("bp") / F.col("total"), 4).alias("percent"), "motif_sizes")
+
+
+def unit_components(units: DataFrame, most: int = 1) -> DataFrame:
+    """(id, comp) of units(motif) that links of at most so many edits, on either strand, connect: the least unit reachable; a
+    unit without a link is a component of its own. Null units are left out."""
+    every = units.select(F.col("motif").alias("id")).where("id IS NOT NULL").distinct()
+    links = edit_pairs(every.withColumnRenamed("id", "s"), most).select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
+    return every.join(connected_components(links), "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
+
+
+def taxon_flags(members: DataFrame, taxa: DataFrame) -> DataFrame:
+    """(comp, taxa) of members(comp, motif): every taxon of taxa(motif, taxon) in order, with 1 if a motif of the component is
+    known of it and else 0. The list of all taxa is one row; null taxa are left out."""
+    known = taxa.where("taxon IS NOT NULL").select("motif", "taxon").distinct()
+    names = known.agg(F.array_sort(F.collect_set("taxon")).alias("all"))  # one row
+    held = members.select("comp", "motif").distinct().join(known, "motif").groupBy("comp").agg(F.collect_set("taxon").alias("has"))
+    rows = members.select("comp").distinct().join(held, "comp", "left").crossJoin(F.broadcast(names))
+    flag = lambda t: F.concat(t, F.when(F.array_contains(F.coalesce("has", F.array().cast("array<string>")), t), "1").otherwise("0"))
+    return rows.select("comp", F.array_join(F.transform("all", flag), " ").alias("taxa"))
+
+
+def annotated_components(members: DataFrame, taxa: DataFrame) -> DataFrame:
+    """component_annotation of members(id, comp, bp, motif) with taxon_flags, and each component's place by falling bp, from 0,
+    ties by component."""
+    by = component_annotation(members.withColumn("motif_size", F.length("motif")))
+    return places(by.join(taxon_flags(members, taxa), "comp"), [F.desc("bp"), F.col("comp")])

@@ -112,3 +112,15 @@ def drop_duplicates(arrays: DataFrame) -> DataFrame:
     """Of repeats with equal place the one with the best match stays, ties by id."""
     best = Window.partitionBy("seqid", "l_ind", "r_ind").orderBy(F.desc("trf_pmatch"), "trf_id")
     return arrays.withColumn("_r", F.row_number().over(best)).where("_r = 1").drop("_r")
+
+
+def guided_regions(lengths: DataFrame, windows: DataFrame, threshold: int = 90000, least_span: int = 50000, gap: int = 100000, least: int = 1000) -> DataFrame:
+    """(seqid, start, end, head): the parts of sequences(seqid, length) to search for repeats. Of a sequence with
+    windows(seqid, start, end, unique_kmers), the runs of windows under the threshold that span enough, those at most gap apart
+    as one, cut at the sequence's end; of a sequence without any window, all of it. Parts shorter than least are left out. head
+    names the place; tiles.cut_spans gives the letters."""
+    runs = merge_intervals(low_runs(windows, threshold, least_span).select("seqid", "start", "end"), gap).select("seqid", "start", "end")
+    unknown = lengths.join(windows.select("seqid").distinct(), "seqid", "left_anti").select("seqid", F.lit(0).cast("bigint").alias("start"), F.col("length").cast("bigint").alias("end"))
+    rich = runs.where(F.col("end") - F.col("start") >= least).join(lengths.select("seqid", "length"), "seqid").select("seqid", "start", F.least("end", "length").cast("bigint").alias("end"))
+    parts = rich.unionByName(unknown.where(F.col("end") >= least))
+    return parts.select("seqid", "start", "end", F.concat_ws("_", F.concat("seqid", F.lit("__"), F.col("start").cast("string")), F.col("end").cast("string")).alias("head"))

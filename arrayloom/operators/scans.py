@@ -57,7 +57,8 @@ def merge_intervals(rows: DataFrame, gap: int, width: int = WIDTH) -> DataFrame:
     together, and its last one, if it may reach into later bins, are left to merge: two for each bin."""
     binned = rows.select("seqid", "start", "end", F.lit(1).cast("bigint").alias("n"), F.floor(F.col("start") / width).alias("_bin"))
     pieces = _merged(binned, ["seqid", "_bin"], gap)
-    carried = _bins_before(pieces.groupBy("seqid", "_bin").agg(F.max("end").alias("_most")), ["seqid"], {"_reach": F.max("_most")})
+    # of the rows themselves, so that the windows are not computed for it once more
+    carried = _bins_before(binned.groupBy("seqid", "_bin").agg(F.max("end").alias("_most")), ["seqid"], {"_reach": F.max("_most")})
     pieces = _with_bins(pieces, ["seqid"], carried)
     reached = F.coalesce(F.col("start") - F.col("_reach") <= gap, F.lit(False))
     reaches = F.col("end") + gap >= (F.col("_bin") + 1) * width

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
-from arrayloom.operators import families, forest, gaps, intervals, neighbours, similarity
+from arrayloom.operators import classify, families, forest, gaps, intervals, neighbours, orders, similarity, tiles
 
 from .scalars import CANON, ROT
 from .tables import ARRAYS, BEDS, FEATURES, SAT, SEQS, arrays, beds, features, sat, seqs, table
@@ -41,6 +41,8 @@ over("j08_a21_low_counts", lambda spark, sf: seqs(spark, sf).select("seqid", F.l
 over("j09_j12_subset_by_names", lambda spark, sf: seqs(spark, sf).join(beds(spark, sf).where("period = 7").select("seqid").distinct(), "seqid", "left_semi"), f"WITH {SEQS}, {BEDS} SELECT seqid, seq FROM seqs WHERE seqid IN (SELECT seqid FROM beds WHERE period = 7)")
 over("j10_u05_name_differences", lambda spark, sf: seqs(spark, sf).select("seqid").subtract(sat(spark, sf).select("trf_head")), f"WITH {SAT} SELECT seqid FROM seqs EXCEPT SELECT trf_head FROM sat")
 over("j11_by_id", lambda spark, sf: arrays(spark, sf).groupBy("seqid").agg(F.min("trf_id").alias("trf_id")).join(arrays(spark, sf).select("trf_id", "l_ind"), "trf_id"), f"WITH {ARRAYS}, m AS (SELECT seqid, min(trf_id) AS trf_id FROM arrays GROUP BY 1) SELECT trf_id, m.seqid, l_ind FROM m JOIN arrays USING (trf_id)")
+over("j11_attribute_copy", lambda spark, sf: classify.with_attributes(arrays(spark, sf), intervals.gap_neighbours(arrays(spark, sf), gap_rows(spark, sf)).withColumnsRenamed({"start": "l_ind", "end": "r_ind"})),
+     f"WITH {ARRAYS}, {FEATURES}, {GAPS} SELECT a.trf_id, a.seqid, coalesce(least(n.l_ind, n.g0), a.l_ind) AS l_ind, coalesce(greatest(n.r_ind, n.g1), a.r_ind) AS r_ind FROM arrays a LEFT JOIN near n USING (trf_id)")
 
 
 def source_vectors(spark: SparkSession, sf: str, canonical: bool) -> DataFrame:
@@ -146,3 +148,42 @@ def overlap_flow(spark: SparkSession, sf: str) -> DataFrame:
 
 
 over("d06_cluster_flow", overlap_flow, None)
+
+
+def unit_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Units of all repeats: members (id, comp, bp, motif) in components of one edit, bp their repeats' bases, and the sources
+    (motif, taxon) they stand in."""
+    source = table(spark, sf, "documents").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("trf_head"), F.col("source").alias("taxon"))
+    rows = similarity._written(sat(spark, sf).join(source, "trf_head").groupBy(F.col("trf_consensus").alias("motif"), "taxon").agg(F.sum("trf_array_length").alias("bp")))
+    comps = families.unit_components(rows)
+    members = rows.groupBy("motif").agg(F.sum("bp").alias("bp")).join(comps, F.col("motif") == F.col("id")).select("id", "comp", "bp", "motif")
+    return members, rows.select("motif", "taxon")
+
+
+# components by edits are too slow for SQL, as j17; a test compares them and their annotation with union-find
+over("a22_unit_components", lambda spark, sf: families.annotated_components(*unit_rows(spark, sf)).select("no", "comp", "n", "bp", "percent", "taxa", F.array_join(F.transform(F.map_entries("motif_sizes"), lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"].cast("string"))), ",").alias("motif_sizes")), None)
+# of the families of D02, which have no SQL either
+over("a18_families_ranked", lambda spark, sf: classify.family_info(classify.family_members(family_rows(spark, sf))), None)
+LEAST_ROWS = f"WITH {SAT}, k AS (SELECT trf_consensus AS key, count(*) AS value FROM sat GROUP BY 1)"
+over("t01_repeats_by_head", lambda spark, sf: orders.places(sat(spark, sf).select("trf_head", "trf_id", "trf_period", "trf_array"), ["trf_head", "trf_id", "trf_period", "trf_array"]), f"WITH {SAT} SELECT trf_head, trf_id, trf_period, trf_array, row_number() OVER (ORDER BY trf_head, trf_id, trf_period, trf_array) - 1 AS no FROM sat")
+over("t02_bed_order", lambda spark, sf: orders.places(beds(spark, sf), ["seqid", "start", "end", "period", "strand"]), f"""WITH {BEDS} SELECT *, row_number() OVER (ORDER BY seqid, "start", "end", period, strand) - 1 AS no FROM beds""")
+over("t03_repeats_by_place", lambda spark, sf: orders.places(arrays(spark, sf), ["l_ind", "r_ind", "trf_id"]), f"WITH {ARRAYS} SELECT *, row_number() OVER (ORDER BY l_ind, r_ind, trf_id) - 1 AS no FROM arrays")
+over("t06_dictionary_by_value", lambda spark, sf: orders.places(orders.dictionary_by_value(sat(spark, sf).groupBy("trf_consensus").agg(F.count(F.lit(1)).alias("n")), "trf_consensus", "n"), ["value", "key"]), f"{LEAST_ROWS} SELECT value, key, row_number() OVER (ORDER BY value, key) - 1 AS no FROM k")
+over("t08_arrays_by_place", lambda spark, sf: orders.places(arrays(spark, sf).select("seqid", "l_ind", "trf_id"), ["seqid", "l_ind", "trf_id"]), f"WITH {ARRAYS} SELECT seqid, l_ind, trf_id, row_number() OVER (ORDER BY seqid, l_ind, trf_id) - 1 AS no FROM arrays")
+
+
+def guided_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Sequences' parts of few different k-mers with their letters: 5-mers, windows of 400 by 100, as d11_z07_kmer_profile;
+    those whose number ends in 9 or 0 are left out of the profile, so that they stay whole."""
+    rows = similarity._written(seqs(spark, sf))
+    profiled = rows.where(F.substring("seqid", -1, 1).isin("1", "2", "3", "4", "5", "6", "7", "8"))
+    parts = intervals.guided_regions(rows.select("seqid", F.length("seq").alias("length")), gaps.kmer_profile(profiled, 5, 400, 100), threshold=200, least_span=300, gap=100, least=200)
+    return tiles.cut_spans(parts, tiles.tiled(rows))
+
+
+over("d09_guided_parts", guided_parts, f"""WITH {SEQS}, q AS (SELECT *, right(seqid, 1) NOT IN ('9', '0') AS profiled FROM seqs), k AS (SELECT seqid, length(seq) AS n, i, substr(seq, CAST(i AS INTEGER) + 1, 5) AS kmer FROM q, LATERAL (SELECT unnest(range(0, length(seq) - 4)) AS i) WHERE profiled AND length(seq) > 4),
+w AS (SELECT *, unnest(range(greatest(CAST(floor((i - 400) / 100.0) AS BIGINT) + 1, 0), i // 100 + 1)) AS w FROM k), p AS (SELECT seqid, w * 100 AS "start", least(w * 100 + 400, n) AS "end", count(DISTINCT kmer) AS unique_kmers FROM w GROUP BY seqid, w, n),
+r AS (SELECT *, sum(CASE WHEN unique_kmers < 200 THEN 0 ELSE 1 END) OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS run FROM p), x AS (SELECT seqid, min("start") AS "start", max("end") AS "end" FROM r WHERE unique_kmers < 200 GROUP BY seqid, run HAVING max("end") - min("start") >= 300),
+o AS (SELECT *, max("end") OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM x), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR "start" - reach > 100 THEN 1 ELSE 0 END) OVER (PARTITION BY seqid ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS run FROM o),
+m AS (SELECT seqid, min("start") AS "start", max("end") AS "end" FROM g GROUP BY seqid, run), a AS (SELECT * FROM m UNION ALL SELECT seqid, 0, length(seq) FROM seqs WHERE seqid NOT IN (SELECT seqid FROM p))
+SELECT a.seqid, a."start", least(a."end", length(seq)) AS "end", a.seqid || '__' || a."start" || '_' || least(a."end", length(seq)) AS head, substr(seq, CAST(a."start" AS INTEGER) + 1, CAST(least(a."end", length(seq)) - a."start" AS INTEGER)) AS bases FROM a JOIN seqs USING (seqid) WHERE a."end" - a."start" >= 200""")

@@ -55,6 +55,7 @@ over("s11_parse_trf_line", lambda spark, sf: beds(spark, sf).withColumn("r", tex
 over("s20_array_id_parts", lambda spark, sf: beds(spark, sf).select(sinks.coordinate_name(F.concat(F.lit("NC_1."), "seqid"), F.col("start"), F.col("end"), F.col("period")).alias("array_id")).withColumn("p", text.array_id_parts(F.col("array_id"))).select("array_id", "p.*"),
      f"""WITH {BEDS} SELECT 'NC_1.' || seqid || '_' || "start" || '_' || "end" || '_' || ("end" - "start") || '_' || period AS array_id, 'NC_1.' || seqid AS seqid, "start", "end", "end" - "start" AS length, period FROM beds""")
 over("s22_dictionary", lambda spark, sf: table(spark, sf, "orders").join(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")), "SELECT c_mktsegment, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1")
+over("s22_parse_dictionary", lambda spark, sf: text.parse_dictionary(table(spark, sf, "customer").select(F.concat_ws("\t", F.col("c_custkey").cast("string"), "c_mktsegment", "c_name").alias("value")), F.lower), "SELECT CAST(c_custkey AS VARCHAR) AS key, lower(c_mktsegment) AS value FROM customer")
 RC = "reverse(translate(trf_consensus, 'ACGTacgt', 'TGCAtgca'))"
 over("s23_s24_both_strand_index", lambda spark, sf: sat(spark, sf).select("trf_head", F.explode(F.array("trf_consensus", seqfn.revcomp(F.col("trf_consensus")))).alias("kmer")).groupBy("kmer").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("trf_head").alias("n_heads")), f"WITH {SAT}, k AS (SELECT trf_head, unnest([trf_consensus, {RC}]) AS kmer FROM sat) SELECT kmer, count(*) AS n, count(DISTINCT trf_head) AS n_heads FROM k GROUP BY 1")
 over("k03_row_lines", lambda spark, sf: sat(spark, sf).select(sinks.row_line("project", "trf_id", "trf_head", "trf_l_ind", "trf_r_ind", "trf_period", "trf_array").alias("line")), f"WITH {SAT} SELECT concat_ws(chr(9), project, trf_id, trf_head, trf_l_ind, trf_r_ind, trf_period, trf_array) AS line FROM sat")

@@ -231,6 +231,13 @@ def read_dictionary(spark: SparkSession, path: str, value: Callable[[Column], Co
     return read_table(spark, path, "key string, value string").select("key", value(F.col("value")).alias("value"))
 
 
+def parse_dictionary(lines: DataFrame, value: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """(key, value) of lines of two fields; lines of one field are left out, further fields are not read."""
+    cut = F.split(F.col(V), "\t")
+    rows = lines.where(F.size(cut) > 1).select(cut[0].alias("key"), cut[1].alias("value"))
+    return rows.select("key", value(F.col("value")).alias("value"))
+
+
 def transformed(lines: DataFrame, before: Callable[[Column], Column] | None = None, keep: Callable[[Column], Column] | None = None) -> DataFrame:
     """Lines for a parser: changed by before, those that keep accepts."""
     rows = lines.select((before(F.col(V)) if before else F.col(V)).alias("value"))
