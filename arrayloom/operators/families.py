@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arrayloom.functions import seqfn
 
 from .orders import places
-from .similarity import _written, connected_components, edit_pairs, rotation_distance
+from .similarity import _written, connected_components, discard, edit_pairs, rotation_distance
 
 #: Units up to this length meet on what is left after deletions, longer ones on a segment that stands unchanged.
 SHORT = 18
@@ -117,7 +117,9 @@ def leaders(arrays: DataFrame, most: int = 3, percent: int = 20) -> DataFrame:
         now = state.join(seen, state["canonical"] == seen["a"], "left")
         joins = F.col("first").isNotNull() & (F.col("wait").isNull() | (F.col("first") < F.col("wait")))
         lead = F.when(joins, F.col("first.s")).when(F.col("first").isNull() & F.col("wait").isNull(), F.col("canonical"))
-        state = _written(now.select("canonical", F.coalesce("leader", lead).alias("leader")))
+        last, state = state, _written(now.select("canonical", F.coalesce("leader", lead).alias("leader")))
+        discard(last)
+    discard(earlier)
     heads = state.where("leader = canonical").join(groups, "canonical").select("leader", "n")
     numbered = places(heads, [F.desc("n"), F.col("leader")]).select("leader", "no")
     return state.join(numbered, "leader").select("canonical", "leader", F.concat(F.lit("SF"), F.lpad(F.col("no").cast("string"), 4, "0")).alias("family"))

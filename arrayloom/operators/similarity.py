@@ -128,8 +128,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         step = labels.join(near, labels["id"] == near["u"]).select("id", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
         up = labels.select(F.col("id").alias("comp"), F.col("comp").alias("above"))
         step = _written(step.join(up, "comp", "left").select("id", "was", F.least("comp", F.coalesce("above", "comp")).alias("comp")))
+        discard(labels)
         labels = step.select("id", "comp")
         if not step.where("comp <> was").limit(1).count():
+            discard(both)
             return labels
 
 
