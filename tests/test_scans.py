@@ -55,6 +55,14 @@ def test_low_runs(spark, seed):
         assert sorted(tuple(r) for r in scans.low_runs(df, 60, 150, width).collect()) == want
 
 
+def test_low_runs_ties_do_not_depend_on_the_order_of_rows(spark):
+    # at 100 to 200 a window under the threshold and one above it stand at the same place
+    rows = [("a", 0, 100, 10), ("a", 100, 200, 90), ("a", 100, 200, 10), ("a", 200, 300, 10)]
+    for some in (rows, rows[::-1]):
+        df = spark.createDataFrame(some, "seqid string, start long, end long, unique_kmers long").coalesce(1)
+        assert sorted(tuple(r) for r in scans.low_runs(df, 60, 1).collect()) == [("a", 0, 200, 2), ("a", 200, 300, 1)]
+
+
 def test_running_sums_and_numbers(spark):
     rng = random.Random(7)
     rows = [(rng.choice(["a", "b", None]), rng.randint(-50, 300), i, rng.randint(0, 9)) for i in range(300)]
