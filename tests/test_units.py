@@ -6,7 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from arrayloom.operators import gaps, similarity, views
+from arrayloom.functions import seqfn
+from arrayloom.operators import classify, gaps, similarity, views
 
 OTHER = str.maketrans("ACGT", "TGCA")
 
@@ -104,3 +105,11 @@ def test_views(spark):
     assert view.select(views.flat(F.col("families"), ["family", "bp"]).alias("f")).where("f <> ''").first()["f"] == "SF0:10,SF1:35"
     assert '"status":"T2T"' in views.json_lines(view).where("seqid = 'a'").first()["value"]
     assert views.assembly_view(lengths, calls, sites).first().asDict() == {"n": 2, "bp": 250, "t2t": 1, "sites": 2}
+
+
+def test_statistics_round_by_the_value(spark):
+    # 641 / 640 is a double under 1.0015625, 69 / 120 one under 0.575
+    rows = spark.range(640).select(F.lit("f").alias("trf_family"), F.lit(60).alias("trf_array_length"), F.when(F.col("id") == 0, 2.0).otherwise(1.0).alias("trf_pmatch"), F.lit(0.5).alias("trf_array_gc"))
+    assert [r["mean_pmatch"] for r in classify.family_statistics(rows, 6).collect()] == [1.001562]
+    gc = spark.sql("SELECT 69 / 120D AS x, 0.125D AS y, cast(NULL AS double) AS z").select(*[seqfn.rounded(F.col(c), 2) for c in "xyz"])
+    assert tuple(gc.first()) == (0.57, 0.13, None)
