@@ -42,6 +42,14 @@ def test_edit_pairs_equal_all_pairs(spark, most, longest):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def test_one_edit_of_long_and_short_strings(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "SHORT", 4)
+    units = sorted({*words(5, 150, "AC", 0, 8), "", "A", "ACGTACGT"})
+    want = {(a, b, d) for a in units for b in units if a < b and (d := min(edits(a, b), edits(a, back(b)))) <= 1}
+    got = similarity.edit_pairs(spark.createDataFrame([(u,) for u in units], "s string"), 1).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
 def test_distances_over_rotations(spark):
     pairs = list(zip(words(2, 60, "ACGTN", 1, 7), words(3, 60, "ACGTN", 1, 7), strict=True))
     df = spark.createDataFrame(pairs, "a string, b string")
