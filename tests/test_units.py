@@ -121,3 +121,10 @@ def test_statistics_round_by_the_value(spark):
     assert [r["mean_pmatch"] for r in classify.family_statistics(rows, 6).collect()] == [1.001562]
     gc = spark.sql("SELECT 69 / 120D AS x, 0.125D AS y, cast(NULL AS double) AS z").select(*[seqfn.rounded(F.col(c), 2) for c in "xyz"])
     assert tuple(gc.first()) == (0.57, 0.13, None)
+
+
+def test_hamming_of_nulls_other_letters_and_part_lengths(spark):
+    rows = [("AC", "CACA"), ("ACG", "ACGAC"), ("Aé", "éA"), (None, "A"), ("A", ""), ("", "A"), ("A" * 300, "A" * 299 + "C")]
+    got = [r["d"] for r in spark.createDataFrame(rows, "a string, b string").coalesce(1).select(similarity.sliding_hamming(F.col("a"), F.col("b")).alias("d")).collect()]
+    # before, an empty word had a mismatch at a place that it does not have, or stopped the query
+    assert got == [0.0, 0.4, 0.0, None, None, None, 1 / 300]
