@@ -25,3 +25,22 @@ def test_rows_are_read_once(spark):
     df = spark.createDataFrame(ROWS, "seqid string, consensus string").where(F.col("seqid").isNotNull()).mapInArrow(count, "seqid string, consensus string")
     similarity.consensus_frequencies(df).collect()
     assert seen.value == 9
+
+
+def test_entropy_counts_each_base_once(spark):
+    """The plan holds one translation for each base, and the values those of the plain sum."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from arrayloom.functions import seqfn
+
+    texts = ["", "A", "acgt", "ACGTNN", "GGGGCC", "NNNN", "TtTa" * 40, None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select("s", seqfn.entropy(F.col("s")).alias("e"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("translate(") <= 4
+
+    def plain(s: str) -> float:
+        shares = [sum(map(s.upper().count, b)) / len(s) for b in "ACGT"] if s else []
+        return round(sum(-p * math.log2(p) for p in shares if p), 2)
+
+    assert all(abs(r["e"] - plain(r["s"] or "")) < 0.011 for r in df.collect())
