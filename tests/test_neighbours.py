@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from arrayloom.operators import forest, neighbours
+from arrayloom.operators import forest, neighbours, similarity
 from arrayloom.plans.joins import array_rows, neighbour_rows
 
 OTHER = str.maketrans("ACGT", "TGCA")
@@ -195,3 +195,35 @@ def test_flow_without_edges(spark):
     members = spark.createDataFrame([("a", 1, 3)] * 5, "id string, class long, period int")
     assert forest.threshold_flow(members, forest.spanning_forest(none)).count() == 0
     assert {r["name"] for r in forest.named_arrays(members, forest.spanning_forest(none)).collect()} == {"0_3"}
+
+
+def test_clusters_below_a_level_look_for_no_other_pairs(spark, sf):
+    """d05_array_clusters: the pairs it asks for are those below its level, and names are as with more pairs."""
+    from arrayloom.plans import joins
+
+    members, near = joins.array_clusters(spark, sf, 0.01 + 1e-9)
+    every = similarity._written(joins.array_clusters(spark, sf, 0.05)[1])
+    assert near.agg(F.max("distance")).first()[0] <= 1 + 1e-6 < every.agg(F.max("distance")).first()[0]
+    want = {r["id"]: r["name"] for r in forest.named_arrays(members, every, 1).collect()}
+    assert {r["id"]: r["name"] for r in joins.clusters_below(spark, sf).collect()} == want
+
+
+def test_pairs_come_out_of_one_list(spark):
+    """A pair that shares many k-mers is emitted once, and an index row holds places, not k-mers."""
+    arrays = spark.createDataFrame([(i, "ACGTTGCATTAGGCA" * 3 + "ACGT"[i]) for i in range(4)], "id long, seq string")
+    classes, _ = neighbours.vector_classes(neighbours.canonical_counts(arrays))
+    placed = neighbours._placed(classes, 0.5)
+    assert dict(placed.dtypes) == {"class": "bigint", "at": "array<int>", "c": "array<bigint>", "m": "int"}
+    kept = {r["class"]: r["n"] for r in neighbours.prefixes(classes, 0.5).groupBy("class").agg(F.count("*").alias("n")).collect()}
+    assert {r["class"]: r["m"] for r in placed.collect()} == kept and max(kept.values()) > 1
+    near = neighbours.cosine_neighbours(arrays, 0.5)[0]
+    assert sorted((r["id_a"], r["id_b"]) for r in near.collect()) == [(a, b) for a in range(4) for b in range(a + 1, 4)]
+
+
+def test_many_kmers_have_their_places_from_a_table(spark, monkeypatch):
+    arrays = spark.createDataFrame(noisy_repeats(2, 60), "id string, seq string")
+    classes, _ = neighbours.vector_classes(neighbours.canonical_counts(arrays))
+    rows = lambda: sorted((r["class"], r["at"], r["c"], r["m"]) for r in neighbours._placed(classes, 0.8).collect())
+    fixed = rows()
+    monkeypatch.setattr(neighbours, "FIXED", 3)
+    assert rows() == fixed
