@@ -143,3 +143,17 @@ def test_kmer_profile(spark, monkeypatch, k, window, step):
     for tiled in (tiles.tiled(df, 64, k - 1), tiles.overlapping(tiles.tiled(df, 64), k - 1), tiles.tiled(df, overlap=k - 1)):
         got = {(r["seqid"], r["start"]): (r["end"], r["unique_kmers"]) for r in gaps.kmer_profile_of_tiles(tiled, k, window, step).collect()}
         assert got == want
+
+
+def test_kmer_profile_counts_stretches_by_themselves(spark, monkeypatch):
+    # what is shuffled are letters: a row a stretch and tile, none for each place
+    rng = random.Random(33)
+    seqs = {f"s{n}": "".join(rng.choices("ACGTN", k=n)) for n in (5, 6, 399, 400, 401, 6399, 6400, 6401, 20_000)} | {"é": "AÉAÉ𝔸" * 200}
+    df = spark.createDataFrame([*seqs.items()], "seqid string, seq string")
+    plan = gaps.kmer_profile(df, 5, 400, 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+    for k, window, step, at_once in ((5, 400, 100, 1 << 20), (17, 50, 70, 1), (40, 300, 100, 1 << 20)):
+        monkeypatch.setattr(gaps, "AT_ONCE", at_once)
+        got = {(r["seqid"], r["start"]): (r["end"], r["unique_kmers"]) for r in gaps.kmer_profile(df, k, window, step).collect()}
+        want = {(s, w): (min(w + window, len(q)), len({q[i : i + k] for i in range(w, min(w + window, len(q) - k + 1))})) for s, q in seqs.items() for w in range(0, len(q) - k + 1, step)}
+        assert got == want
