@@ -157,3 +157,18 @@ def test_kmer_profile_counts_stretches_by_themselves(spark, monkeypatch):
         got = {(r["seqid"], r["start"]): (r["end"], r["unique_kmers"]) for r in gaps.kmer_profile(df, k, window, step).collect()}
         want = {(s, w): (min(w + window, len(q)), len({q[i : i + k] for i in range(w, min(w + window, len(q) - k + 1))})) for s, q in seqs.items() for w in range(0, len(q) - k + 1, step)}
         assert got == want
+
+
+def test_monomer_summary_is_that_of_the_monomers(spark):
+    rng = random.Random(23)
+    rows = [(f"a{i % 40}", "".join(rng.choices("ACGT", k=rng.randint(0, 30))), rng.randint(0, 9)) for i in range(300)]
+    rows += [("a1", "ACGACGAC", 3), ("a1", "ACGACGAC", 3), ("a1", "ACGACGAT", 3), ("a2", None, 3), ("a2", "ACG", None), ("a3", "ACG", 3), ("a3", "AÉ𝔸", 1)]
+    df = spark.createDataFrame(rows, "array_id string, seq string, period int")
+    plan = gaps.monomer_summary(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+    got = sorted((r["array_id"], r["n"], r["bp"], r["first"], r["lengths"]) for r in gaps.monomer_summary(df).collect())
+    numbered = {f"{i}": r for i, r in enumerate(sorted({r for r in rows if None not in r}))}
+    cut: dict = {}
+    for r in gaps.monomers(spark.createDataFrame([(i, r[1], r[2]) for i, r in numbered.items()], df.schema)).where("type = 'monomer'").orderBy("no").collect():
+        cut.setdefault(r["array_id"], []).append(r["cut_sequence"])
+    assert got == sorted((numbered[i][0], len(c), sum(map(len, c)), c[0], ",".join(str(len(x)) for x in c)) for i, c in cut.items())
