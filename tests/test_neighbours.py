@@ -227,3 +227,62 @@ def test_many_kmers_have_their_places_from_a_table(spark, monkeypatch):
     fixed = rows()
     monkeypatch.setattr(neighbours, "FIXED", 3)
     assert rows() == fixed
+
+
+def plain_array_pairs(arrays, most, k=5):
+    classes, of = classes_of(arrays, k)
+    near = all_pairs(classes, most)
+    out = {}
+    for n, (i, _) in enumerate(arrays):
+        for j, _ in arrays[n + 1 :]:
+            a, b = of[i], of[j]
+            if a is not None and b is not None:
+                d = 0.0 if a == b else near.get((min(a, b), max(a, b)))
+                if d is not None:
+                    out[min(i, j), max(i, j)] = d
+    return out
+
+
+@pytest.mark.parametrize(("dense", "pairs"), [(7, 100), (neighbours.DENSE, neighbours.PAIRS)])
+@pytest.mark.parametrize(("k", "most"), [(5, 0.2), (3, 0.6)])
+def test_every_pair_of_arrays(spark, monkeypatch, dense, pairs, k, most):
+    """Arrays of equal vectors are pairs too, and a class stands for none of its arrays."""
+    monkeypatch.setattr(neighbours, "DENSE", dense)
+    monkeypatch.setattr(neighbours, "PAIRS", pairs)
+    arrays = [*noisy_repeats(3, 60), *((f"s{i}", s) for i, s in noisy_repeats(3, 40)), ("none", None), ("short", "ACG"), ("ns", "NNNNNNNN")]
+    got = [tuple(r) for r in neighbours.array_pairs(spark.createDataFrame(arrays, "id string, seq string").repartition(3), most, k).collect()]
+    want = plain_array_pairs([(i, s or "") for i, s in arrays], most, k)
+    assert len(got) == len(want) and {(a, b) for a, b, _ in got} == set(want)
+    assert all(abs(d - want[a, b]) < 1e-8 for a, b, d in got) and min(want.values()) == 0
+    assert neighbours.array_pairs(spark.createDataFrame([], "id string, seq string"), most, k).count() == 0
+
+
+def test_registered_neighbours_hold_arrays_of_one_class(spark, sf):
+    from arrayloom.plans.registry import QUERIES
+
+    arrays = sorted(map(tuple, array_rows(spark, sf).select("id", "seq").collect()))
+    classes, of = classes_of(arrays)
+    near = all_pairs(classes, 0.2)
+    own = sum(n * (n - 1) // 2 for _, n in classes.values())
+    want = own + sum(classes[a][1] * classes[b][1] for a, b in near)
+    rows = QUERIES["j14_array_neighbours"](spark, sf).collect()
+    assert own and len(rows) == want == len({(r["id_a"], r["id_b"]) for r in rows})
+    assert sum(of[r["id_a"]] == of[r["id_b"]] for r in rows) == own
+
+
+@pytest.mark.parametrize(("dense", "edges"), [(7, 20), (neighbours.DENSE, neighbours.EDGES)])
+def test_forest_of_blocks_connects_what_all_pairs_connect(spark, monkeypatch, dense, edges):
+    monkeypatch.setattr(neighbours, "DENSE", dense)
+    monkeypatch.setattr(neighbours, "EDGES", edges)
+    arrays = noisy_repeats(4, 150)
+    df = spark.createDataFrame(arrays, "id string, seq string")
+    near, members = neighbours.near_forest(df, 0.5, scale=100.0)
+    found = [tuple(r) for r in near.collect()]
+    classes, of = classes_of(arrays)
+    every = {p: 100 * d for p, d in all_pairs(classes, 0.5).items()}
+    assert all(abs(every[a, b] - d) < 1e-8 for a, b, d in found) and len(found) < len(every)
+    assert {r["id"]: r["class"] for r in members.collect()} == of
+    place = {c: i for i, c in enumerate(sorted(classes))}
+    for level in (5, 20, 33.3, 50):
+        want, _ = union(len(place), [(d, place[a], place[b]) for (a, b), d in every.items() if d < level])
+        assert union(len(place), [(d, place[a], place[b]) for a, b, d in found if d < level])[0] == want
