@@ -773,3 +773,36 @@ def test_jaccard_of_rows_without_ids(spark):
         if name == "own":
             assert all(r["component_id"] == r["doc_id"] // 2 * 2 for r in out)
     assert max(took["null"], took["one"]) < 2 * took["own"] + 5
+
+
+@pytest.mark.parametrize("dense", [0, 1 / 3, 2])
+def test_frequent_words_are_scored(spark, monkeypatch, dense):
+    """Words that more documents hold than any bound, and counts beyond a byte: by products, by postings, and by both."""
+    monkeypatch.setattr(packing, "DENSE", dense)
+    monkeypatch.setattr(packing, "SEEDS", 7)
+    rng = np.random.default_rng(9)
+    common = [chr(97 + i % 26) * 3 + chr(97 + i // 26) for i in range(40)]
+    texts = [" ".join(rng.choice(common, 12, replace=False)) for _ in range(1500)]
+    texts[3] = "aaaa " * 400 + texts[3]
+    tokens = packing.tokenized(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+    ends = packing.word_ends()
+    weights = packing.document_frequencies(tokens, ends)
+    docs = {r["rid"]: np.frombuffer(r["ids"], np.uint16)[:-1] for r in tokens.collect()}
+    size = {r["rid"]: r["n"] for r in tokens.collect()}
+    terms = {r: packing.batch_terms([i], ends)[1:] for r, i in docs.items()}
+    if dense == 0:
+        assert weights.df.max() == sum(weights.terms[np.argmax(weights.df)] in t for t, _ in terms.values()) < 1024
+        more = packing.Weights(weights.terms, weights.df * 1000, weights.n_docs * 1000, weights.rarest, weights.mean)
+        held = packing.shard_entries(tokens, more, ends, 512, 1).where("NOT query").select("rid", "terms", "tfs").collect()
+        assert all(len(r["terms"]) // 4 == len(terms[r["rid"]][0]) for r in held) and max(np.frombuffer(r["tfs"], np.uint32).max() for r in held) > 255
+    got_ = {r["rid"]: (r["seed"], r["score"]) for r in packing.assigned(tokens, weights, ends, 512).collect()}
+    seeds = sorted(r for r, (s, x) in got_.items() if np.isinf(x))
+    assert len(seeds) > 20 and set(got_) == set(docs)
+    for rid, (seed, score) in got_.items():
+        if rid in seeds:
+            continue
+        t, tf = terms[rid]
+        w = weights.score(weights.frequency(t), tf.astype(np.float32), np.float32(size[rid])).astype(float)
+        want = [(-w[np.isin(t, terms[s][0])].sum(), s) for s in seeds]
+        first = min(want)
+        assert abs(score + first[0]) < 1e-4 and abs(dict((s, x) for x, s in want)[seed] - first[0]) < 1e-4
