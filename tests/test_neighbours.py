@@ -286,3 +286,28 @@ def test_forest_of_blocks_connects_what_all_pairs_connect(spark, monkeypatch, de
     for level in (5, 20, 33.3, 50):
         want, _ = union(len(place), [(d, place[a], place[b]) for (a, b), d in every.items() if d < level])
         assert union(len(place), [(d, place[a], place[b]) for a, b, d in found if d < level])[0] == want
+
+
+@pytest.mark.parametrize("few", [0, 5, similarity.FEW])
+def test_components_and_forests_in_rounds_or_at_once(spark, monkeypatch, few):
+    monkeypatch.setattr(similarity, "FEW", few)
+    n, edges = 40, graph(6, 40, 60)
+    best = {}
+    for d, a, b in edges:
+        best[a, b] = min(d, best.get((a, b), d))
+    plain = [(d, a, b) for (a, b), d in best.items()]
+    df = spark.createDataFrame([(a, b, d) for d, a, b in plain] + [(3, None, 0.1), (5, 5, 0.2)], "id_a long, id_b long, distance double")
+    comp, taken = union(n, plain)
+    assert {r["id"]: r["comp"] for r in similarity.connected_components(df).collect()} == {i: comp[i] for i in range(n) if any(i in (a, b) for _, a, b in plain) or i == 5}
+    assert sorted((r["distance"], r["id_a"], r["id_b"]) for r in forest.spanning_forest(df).collect()) == sorted(taken)
+
+
+def test_a_level_follows_its_own_edges_alone(spark, monkeypatch):
+    """Labels of 20 levels of a path: every edge is joined at one level, not at all levels above it."""
+    seen = []
+    inner = forest.connected_components
+    monkeypatch.setattr(forest, "connected_components", lambda e: seen.append(e.count()) or inner(e))
+    tree = spark.range(100).select(F.col("id").alias("id_a"), (F.col("id") + 1).alias("id_b"), (F.col("id") % 20).cast("double").alias("distance"))
+    rows = forest.level_labels(tree, list(range(1, 21))).collect()
+    assert sum(seen) == 100 and len({r["comp"] for r in rows if r["level"] == 20}) == 1
+    assert {(r["id"], r["comp"]) for r in rows if r["level"] == 2} == {(i, i // 20 * 20) for i in range(100) if i % 20 < 3}
