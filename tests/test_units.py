@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arrayloom.functions import seqfn
-from arrayloom.operators import classify, gaps, similarity, views
+from arrayloom.operators import classify, families, gaps, similarity, views
 
 OTHER = str.maketrans("ACGT", "TGCA")
 
@@ -128,3 +128,21 @@ def test_hamming_of_nulls_other_letters_and_part_lengths(spark):
     got = [r["d"] for r in spark.createDataFrame(rows, "a string, b string").coalesce(1).select(similarity.sliding_hamming(F.col("a"), F.col("b")).alias("d")).collect()]
     # before, an empty word had a mismatch at a place that it does not have, or stopped the query
     assert got == [0.0, 0.4, 0.0, None, None, None, 1 / 300]
+
+
+def test_unit_components_broadcast_no_words(spark):
+    """Words take the driver far more memory than their files say, so no join of them is a broadcast."""
+    words = spark.createDataFrame([("ACGT",), ("ACGA",), ("TTTT",)], "motif string")
+    for df in (similarity.edit_pairs(words.withColumnRenamed("motif", "s"), 1), families.unit_components(words)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_leaders_in_order_or_in_rounds(spark, monkeypatch):
+    rng = random.Random(8)
+    units = ["".join(rng.choices("ACGT", k=rng.randint(5, 7))) for _ in range(60)]
+    rows = spark.createDataFrame([(u,) for u in units for _ in range(rng.randint(1, 4))], "canonical string")
+    got = lambda: sorted(map(tuple, families.leaders(rows).collect()))
+    at_once = got()
+    monkeypatch.setattr(families, "FEW", 0)
+    assert at_once == got() and len({x for _, x, _ in at_once}) < len({x for x, _, _ in at_once})
